@@ -14,6 +14,8 @@ from . import shared
 
 BANDS, ROWS = 38, 6  # a pair at similarity 0.8 misses all 38 bands with probability 1e-5
 UNIVERSE = 1 << 20
+BLOCK = 512  # members of a bucket that are compared with as many others at a time
+LIKELY = 0.68  # agreeing coordinates of a pair, 4.5 standard errors below 0.8
 _made: dict[str, np.ndarray] = {}
 
 
@@ -43,8 +45,8 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(shared.gram_hashes(h, k))
 
 
-def bands_of(shingles: np.ndarray) -> np.ndarray:
-    """The 64-bit key of each band of a set's circulant MinHash signature."""
+def bands_of(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The 64-bit key of each band of a set's circulant MinHash signature, and a byte of each coordinate."""
     first, second = permutations()
     at = first[(shingles & np.uint64(UNIVERSE - 1)).astype(np.int64)]
     signature = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
@@ -54,23 +56,25 @@ def bands_of(shingles: np.ndarray) -> np.ndarray:
     keys = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for j in range(ROWS):
         keys = shared.mix(keys ^ grid[:, j])
-    return keys.view(np.int64)
+    return keys.view(np.int64), signature.astype(np.uint8).tobytes()
 
 
 def _sketch(k: int, id_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, sizes, left, right, bands = batch.column(text_col), [], [], [], []
+            texts, sizes, left, right, bands, minis = batch.column(text_col), [], [], [], [], []
             for text in texts:
                 s = shingle_set(text.as_py(), k)
                 sizes.append(len(s))
                 digest = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
                 left.append(digest[0])
                 right.append(digest[1])
-                bands.append(bands_of(s) if len(s) else np.empty(0, np.int64))
+                keys, mini = bands_of(s) if len(s) else (np.empty(0, np.int64), b"")
+                bands.append(keys)
+                minis.append(mini)
             arrays = [batch.column(id_col), pa.array(sizes, pa.int64()), pa.array(left, pa.int64()), pa.array(right, pa.int64())]
             offsets = pa.array(np.cumsum([0, *map(len, bands)]), pa.int32())
-            yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *bands])))], ["doc_id", "n_shingles", "c1", "c2", "bands"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *bands]))), pa.array(minis, pa.binary())], ["doc_id", "n_shingles", "c1", "c2", "bands", "mini"])
 
     return run
 
@@ -103,6 +107,39 @@ def _verify(percent: int):
     return run
 
 
+def _likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different labels in a block pair whose signatures agree in enough coordinates.
+
+    Rows come sorted by (band, i, j); those of one key are at most two blocks.
+    """
+
+    def pairs(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        own, node, label = (np.array([r[c] for r in rows]) for c in (3, 4, 5))
+        mini = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1)
+        left, right = own == rows[0][1], own == rows[0][2]
+        out, b, b_node, b_label = [], mini[right], node[right], label[right]
+        for at in np.array_split(np.flatnonzero(left), -(-int(left.sum()) // 64)):
+            alike = (mini[at][:, None] == b[None]).sum(axis=2, dtype=np.int16) >= LIKELY * b.shape[1]
+            x, y = np.nonzero(alike & (label[at][:, None] != b_label[None]) & (node[at][:, None] != b_node[None]))
+            out.append((node[at][x], b_node[y]))
+        u, v = (np.concatenate(c) for c in zip(*out, strict=True))
+        return np.maximum(u, v), np.minimum(u, v)
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs(rows)], ["u", "v"])
+
+    held: list[tuple] = []
+    for got in batches:
+        for row in zip(*(c.to_pylist() for c in got.columns), strict=True):
+            if held and row[:3] != held[0][:3]:
+                if len(held) > 1:
+                    yield batch(held)
+                held = []
+            held.append(row)
+    if len(held) > 1:
+        yield batch(held)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable over edges (u, v): columns node, label, a row for each node of an edge.
 
@@ -126,11 +163,12 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
 
     1. Each text gives its set's size, a 128-bit digest and the band keys of its signature.
     2. Texts with equal sets form a class with one node, its smallest id; only nodes go on.
-    3. In every band bucket the smallest node leads; it is paired with the others (a star, never
-       all pairs), pairs are confirmed on the full sets, and components are formed.
-    4. A bucket whose other members still lie in different components gets more leaders,
-       four times as many each round, paired only with members of other components, until no
-       such bucket is left. So every pair that shares a bucket is confirmed or already joined.
+    3. In every band bucket the node with most companions leads; it is paired with the others
+       (a star, never all pairs), pairs are confirmed on the full sets, components are formed.
+    4. Where a bucket's other members still lie in different components, they are compared in
+       blocks of 512 by one byte of each coordinate; only pairs of different components that
+       agree often enough to reach the similarity come out, and are confirmed too. So every
+       pair that shares a bucket is joined, confirmed, or shown to be too far apart.
 
     Returns doc_id, n_shingles, component_id, kept. Texts without words have no shingles, link
     with nothing and are kept. Rows without an id are kept with a null component. Rows with one
@@ -138,12 +176,14 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     are not read; an empty table gives no rows.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = shared.stage(docs.mapInArrow(_sketch(k, "doc_id", "text"), "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>"))
+    sketch = shared.stage(docs.mapInArrow(_sketch(k, "doc_id", "text"), "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, mini binary"))
     members = sketch.where("n_shingles > 0 and doc_id is not null")
-    classes = members.groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    classes = members.groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("mini").alias("mini"))
     spread = shared.stage(classes.select("node", F.explode("bands").alias("band")))
-    leaders = spread.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader < other").drop("other")
-    shared_bands = shared.stage(spread.join(leaders, "band"))  # buckets of two and more
+    sizes = spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    full = shared.stage(spread.join(sizes, "band"))  # buckets of two and more
+    central = full.groupBy("node").agg(F.sum("size").alias("score"))
+    shared_bands = shared.stage(full.join(central, "node").select("band", "node", F.struct("score", (-F.col("node")).alias("less")).alias("place")))
 
     involved = shared_bands.select("node").distinct()
     sets = shared.stage(docs.join(involved, docs.doc_id == involved.node, "left_semi").mapInArrow(_sets(k), "node long, shingles binary"))
@@ -153,23 +193,24 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
         theirs = sets.select(F.col("node").alias("v"), F.col("shingles").alias("theirs"))
         return shared.stage(pairs.join(mine, "u").join(theirs, "v").mapInArrow(_verify(percent), "u long, v long"))
 
-    rest = shared_bands.where("node > leader").select("band", "node")
-    stars = shared_bands.where("node > leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
-    edges = confirmed(stars)
-    labels, many = components(edges), 1
-    while True:
-        labelled = rest.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-        mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("band")
-        rest = shared.stage(labelled.join(mixed, "band", "left_semi"))
-        if not rest.take(1):
-            break
-        many *= 4
-        ranked = rest.withColumn("nth", F.row_number().over(Window.partitionBy("band").orderBy("node")))
-        lead = ranked.where(F.col("nth") <= many).select("band", F.col("node").alias("v"), F.col("label").alias("lead_label"))
-        pairs = ranked.join(lead, "band").where("label <> lead_label and node > v").select(F.col("node").alias("u"), "v").distinct()
-        edges = edges.union(confirmed(pairs))
-        rest = shared.stage(ranked.where(F.col("nth") > many).select("band", "node"))
-        labels = components(edges)
+    leaders = shared_bands.groupBy("band").agg(F.max("place").alias("top")).select("band", (-F.col("top.less")).alias("leader"))
+    led = shared.stage(shared_bands.join(leaders, "band").where("node <> leader"))
+    edges = confirmed(led.select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v")).distinct())
+    labels = components(edges)
+
+    labelled = led.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("members")).where("a < b")
+    rest = labelled.join(mixed.select("band", "members"), "band")
+    rest = rest.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("band").orderBy("label", "node")) - 1) / BLOCK).cast("int"))
+    minis = classes.select("node", "mini").join(rest.select("node").distinct(), "node", "left_semi")
+    rest = rest.join(minis, "node")
+    meets = F.explode(F.sequence(F.lit(0), F.floor((F.col("members") - 1) / BLOCK).cast("int")))
+    dealt = rest.select("band", "node", "label", "mini", "block", meets.alias("other"))
+    dealt = dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
+    pairs = dealt.select("band", "i", "j", "block", "node", "label", "mini").mapInArrow(_likely_pairs, "u long, v long").distinct()
+    labels = components(edges.union(confirmed(pairs)))
 
     of_class = classes.select("c1", "c2", "node").join(labels, "node", "left").select("c1", "c2", F.coalesce("label", "node").alias("component"))
     return (
