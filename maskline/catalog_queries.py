@@ -1,11 +1,635 @@
-"""Registered queries of the library and their SQL."""
+"""Registered queries of the library over the given tables, each with SQL that gives the same rows.
+
+The customer table stands for people (its name is the record number; ZIP, age and date of birth
+follow from its key by a formula), supplier for providers, orders and lineitem for claims,
+events for encounters and scores, documents for free text.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import keyed, strategies, text
+from .operators import ledger, quality, residual, risk, star, synth, vault
+from .plans import rules
+from .sources import ingest
+
+KEY, NEW_KEY = "demonstration-key-for-synthetic-rows-0001", "demonstration-key-for-synthetic-rows-0002"
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# --- the tables, in both languages ---------------------------------------------------------
+
+
+def t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def people(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return t(spark, d, "customer").select(
+        k.alias("patient_key"), F.col("c_name").alias("mrn"), F.lpad((k * 7919 % 100000).cast("string"), 5, "0").alias("zip"),
+        (k * 31 % 110).cast("int").alias("age"), F.date_add(F.lit("1930-01-01").cast("date"), (k * 97 % 30000).cast("int")).alias("dob"),
+        F.when(k % 7 != 0, F.col("c_mktsegment")).alias("segment"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"),
+    )
+
+
+PEOPLE = """people AS (SELECT c_custkey AS patient_key, c_name AS mrn, lpad((c_custkey * 7919 % 100000)::VARCHAR, 5, '0') AS zip,
+  (c_custkey * 31 % 110)::INTEGER AS age, (DATE '1930-01-01' + (c_custkey * 97 % 30000)::INTEGER)::DATE AS dob,
+  CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment, c_nationkey AS nation, c_acctbal AS balance FROM customer)"""
+
+
+def claims(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as claims: allowed is three quarters of billed, paid two thirds of allowed, in whole cents."""
+    billed = F.round(F.col("o_totalprice"), 2).cast("decimal(12,2)")
+    return t(spark, d, "orders").select(
+        F.col("o_orderkey").alias("claim_key"), F.col("o_custkey").alias("patient_key"), F.col("o_orderdate").cast("date").alias("service_date"),
+        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderstatus")).alias("status"), F.col("o_orderpriority").alias("priority"), billed.alias("billed"),
+        (F.floor(F.col("o_totalprice") * 75) / 100).cast("decimal(12,2)").alias("allowed"), (F.floor(F.col("o_totalprice") * 50) / 100).cast("decimal(12,2)").alias("paid"),
+    )
+
+
+CLAIMS = """claims AS (SELECT o_orderkey AS claim_key, o_custkey AS patient_key, o_orderdate::DATE AS service_date,
+  CASE WHEN o_orderkey % 11 <> 0 THEN o_orderstatus END AS status, o_orderpriority AS priority, round(o_totalprice, 2)::DECIMAL(12,2) AS billed,
+  (floor(o_totalprice * 75) / 100)::DECIMAL(12,2) AS allowed, (floor(o_totalprice * 50) / 100)::DECIMAL(12,2) AS paid FROM orders)"""
+
+
+def _blob(data: bytes) -> str:
+    return "'" + "".join(f"\\x{b:02X}" for b in data) + "'::BLOB"
+
+
+def hmac_sql(value: str, namespace: str, key: str = KEY) -> str:
+    inner, outer = keyed.pads(key)
+    return f"sha256({_blob(outer)} || unhex(sha256({_blob(inner)} || encode('{namespace}' || chr(31) || ({value})::VARCHAR))))"
+
+
+def token_sql(value: str, namespace: str, prefix: str = "", length: int = 16, key: str = KEY) -> str:
+    return f"'{prefix}' || left({hmac_sql(value, namespace, key)}, {length})"
+
+
+def number_sql(value: str, namespace: str) -> str:
+    return f"('0x' || left({hmac_sql(value, namespace)}, 8))::BIGINT"
+
+
+def shift_sql(value: str, entity: str, most: int = 365) -> str:
+    return f"({value} + ({number_sql(entity, 'date_shift')} % {2 * most + 1} - {most})::INTEGER)::DATE"
+
+
+def _list(values: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+ZIP3_SQL = f"CASE WHEN left(zip, 3) IN ({', '.join(repr(z) for z in strategies.RESTRICTED_ZIP3)}) THEN '000' ELSE left(zip, 3) END"
+
+
+# --- A: ingest ------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, coalesce(upper(trim(v)) IN ('TRUE', 'T', '1', 'Y', 'YES'), NULL) AS flag FROM (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN ' y ' WHEN 1 THEN 'True' WHEN 2 THEN '0' WHEN 3 THEN NULL ELSE o_orderstatus END AS v FROM orders)")
+def flag_normalize(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey") % 5
+    v = F.when(k == 0, " y ").when(k == 1, "True").when(k == 2, "0").when(k == 3, None).otherwise(F.col("o_orderstatus"))
+    return t(spark, d, "orders").select("o_orderkey", ingest.flag(v).alias("flag"))
+
+
+@query("SELECT count(*) AS n_rows, count(urgent) AS known_urgent, count(*) > 0 AND count(urgent) > 0 AS passes FROM (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority = '1-URGENT' END AS urgent FROM orders)")
+def load_guard(spark: SparkSession, d: str) -> DataFrame:
+    urgent = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority") == "1-URGENT")
+    return ingest.guard(t(spark, d, "orders").select(urgent.alias("urgent")), ("urgent",))
+
+
+# --- B: conform and star --------------------------------------------------------------------
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0")
+def current_rows(spark: SparkSession, d: str) -> DataFrame:
+    return star.current(t(spark, d, "customer").withColumn("_IsCurrent", F.col("c_custkey") % 3 != 0)).select("c_custkey", "c_name")
+
+
+@query(f"WITH {PEOPLE} SELECT patient_key, concat_ws(' ', segment, mrn) AS full_name, age_, CASE WHEN age_ < 18 THEN '0-17' WHEN age_ < 40 THEN '18-39' WHEN age_ < 65 THEN '40-64' ELSE '65+' END AS age_band FROM (SELECT *, floor((DATE '2025-01-01' - dob) / 365.25)::INTEGER AS age_ FROM people)")
+def derive_age_band(spark: SparkSession, d: str) -> DataFrame:
+    p = people(spark, d).withColumn("age_", star.age_at(F.col("dob"), F.lit("2025-01-01").cast("date")))
+    return p.select("patient_key", star.full_name(F.col("segment"), F.col("mrn")).alias("full_name"), "age_", star.age_band(F.col("age_")).alias("age_band"))
+
+
+@query(f"""WITH {CLAIMS} SELECT claim_key, year(service_date)::INTEGER AS "ServiceYear", strftime(service_date, '%Y-%m') AS "ServiceMonth", status = 'F' AS "DeniedFlag", billed - allowed AS "AllowedVariance", allowed - paid AS "PatientResponsibility" FROM claims""")
+def derive_fact(spark: SparkSession, d: str) -> DataFrame:
+    c = star.claim_columns(claims(spark, d), "service_date", "status", "billed", "allowed", "paid", denied="F")
+    return c.select("claim_key", "ServiceYear", "ServiceMonth", "DeniedFlag", "AllowedVariance", "PatientResponsibility")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders SEMI JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0) ON o_custkey = c_custkey")
+def ri_semi(spark: SparkSession, d: str) -> DataFrame:
+    return star.with_parent(t(spark, d, "orders"), t(spark, d, "customer").where("c_custkey % 5 <> 0"), "o_custkey", "c_custkey").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ANTI JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0) ON o_custkey = c_custkey")
+def ri_orphans(spark: SparkSession, d: str) -> DataFrame:
+    return star.with_parent(t(spark, d, "orders"), t(spark, d, "customer").where("c_custkey % 5 <> 0"), "o_custkey", "c_custkey", orphans=True).select("o_orderkey", "o_custkey")
+
+
+@query("""SELECT strftime(f, '%Y%m%d')::INTEGER AS "DateKey", f AS "FullDate", year(f)::INTEGER AS "Year", quarter(f)::INTEGER AS "Quarter", month(f)::INTEGER AS "Month", monthname(f) AS "MonthName", day(f)::INTEGER AS "Day", dayname(f) AS "DayName"
+FROM (SELECT unnest(generate_series(least(a, b), greatest(c, e), INTERVAL 1 DAY))::DATE AS f FROM (SELECT min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS c FROM orders), (SELECT min(l_shipdate)::DATE AS b, max(l_shipdate)::DATE AS e FROM lineitem))""")
+def dim_date(spark: SparkSession, d: str) -> DataFrame:
+    return star.date_dimension(t(spark, d, "orders"), "o_orderdate", t(spark, d, "lineitem"), "l_shipdate")
+
+
+@query("SELECT 'customer' AS dim, c_custkey AS dim_key, c_name AS label FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier UNION ALL SELECT 'part', p_partkey, p_name FROM part UNION ALL SELECT 'nation', n_nationkey, n_name FROM nation UNION ALL SELECT 'region', r_regionkey, r_name FROM region")
+def star_dims(spark: SparkSession, d: str) -> DataFrame:
+    dims = [("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"), ("part", "p_partkey", "p_name"), ("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name")]
+    parts = [t(spark, d, n).select(F.lit(n).alias("dim"), F.col(k).cast("long").alias("dim_key"), F.col(c).alias("label")) for n, k, c in dims]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')::INTEGER AS date_key, l_quantity FROM lineitem")
+def fact_datekey(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", star.date_key(F.col("l_shipdate")).alias("date_key"), "l_quantity")
+
+
+# --- C: strategies --------------------------------------------------------------------------
+
+
+@query(f"SELECT c_custkey, {token_sql('c_name', 'mrn', 'PT-')} AS token FROM customer")
+def tokenize(spark: SparkSession, d: str) -> DataFrame:
+    return keyed.with_key(t(spark, d, "customer"), KEY).select("c_custkey", keyed.token(F.col("c_name"), "mrn", prefix="PT-").alias("token"))
+
+
+@query(f"SELECT s_suppkey, lpad((('0x' || left({hmac_sql('s_suppkey', 'npi')}, 16))::UBIGINT % 10000000000)::VARCHAR, 10, '0') AS token FROM supplier")
+def tokenize_numeric(spark: SparkSession, d: str) -> DataFrame:
+    return keyed.with_key(t(spark, d, "supplier"), KEY).select("s_suppkey", keyed.token_numeric(F.col("s_suppkey"), "npi", 10).alias("token"))
+
+
+@query(rf"""SELECT c_custkey, array_to_string(list_transform(string_split(c_name, ''), lambda ch, i: CASE WHEN regexp_matches(ch, '^\p{{Nd}}$') THEN (b[(i - 1) % 32 + 1] % 10)::VARCHAR WHEN regexp_matches(ch, '^\p{{Lu}}$') THEN chr((b[(i - 1) % 32 + 1] % 26 + 65)::INTEGER) WHEN regexp_matches(ch, '^\p{{Ll}}$') THEN chr((b[(i - 1) % 32 + 1] % 26 + 97)::INTEGER) ELSE ch END), '') AS token
+FROM (SELECT c_custkey, c_name, list_transform(range(0, 32), lambda j: ('0x' || substr(h, 2 * j + 1, 2))::INTEGER) AS b FROM (SELECT *, {hmac_sql('c_name', 'mrn')} AS h FROM customer))""")
+def tokenize_fpe(spark: SparkSession, d: str) -> DataFrame:
+    return keyed.with_key(t(spark, d, "customer"), KEY).select("c_custkey", keyed.token_shaped(F.col("c_name"), "mrn").alias("token"))
+
+
+@query("SELECT o_orderkey, year(o_orderdate)::INTEGER AS order_year FROM orders")
+def generalize_year(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "orders").select("o_orderkey", strategies.year_of(F.col("o_orderdate"), "timestamp").alias("order_year"))
+
+
+@query(f"WITH {PEOPLE} SELECT patient_key, {ZIP3_SQL} AS zip3 FROM people")
+def zip3(spark: SparkSession, d: str) -> DataFrame:
+    return people(spark, d).select("patient_key", strategies.zip3(F.col("zip")).alias("zip3"))
+
+
+@query(f"WITH {PEOPLE} SELECT patient_key, least(age, 90)::INTEGER AS age FROM people")
+def age_cap(spark: SparkSession, d: str) -> DataFrame:
+    return people(spark, d).select("patient_key", strategies.age_cap(F.col("age"), "int").alias("age"))
+
+
+@query(f"SELECT o_orderkey, {shift_sql('o_orderdate::DATE', 'o_custkey')} AS shifted FROM orders")
+def date_shift(spark: SparkSession, d: str) -> DataFrame:
+    return keyed.with_key(t(spark, d, "orders"), KEY).select("o_orderkey", strategies.date_shift(F.col("o_orderdate"), F.col("o_custkey"), "timestamp").alias("shifted"))
+
+
+def _synth(name: str) -> str:
+    n, first, last = number_sql("c_name", f"synth_{name}"), _list(strategies.FIRST_NAMES), _list(strategies.LAST_NAMES)
+    return {"first_name": f"{first}[{n} % 16 + 1]", "last_name": f"{last}[{n} % 16 + 1]", "name": f"{last}[({n} // 16) % 16 + 1] || ', ' || {first}[{n} % 16 + 1]"}[name]
+
+
+def _synthesized(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    return keyed.with_key(t(spark, d, "customer"), KEY).select("c_custkey", strategies.synthesize(F.col("c_name"), kind).alias("made"))
+
+
+@query(f"SELECT c_custkey, {_synth('first_name')} AS made FROM customer")
+def synth_first(spark: SparkSession, d: str) -> DataFrame:
+    return _synthesized(spark, d, "first_name")
+
+
+@query(f"SELECT c_custkey, {_synth('last_name')} AS made FROM customer")
+def synth_last(spark: SparkSession, d: str) -> DataFrame:
+    return _synthesized(spark, d, "last_name")
+
+
+@query(f"SELECT c_custkey, {_synth('name')} AS made FROM customer")
+def synth_name(spark: SparkSession, d: str) -> DataFrame:
+    return _synthesized(spark, d, "name")
+
+
+@query("SELECT o_orderkey, coalesce(try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%m/%d/%Y'), try_strptime(v, '%Y/%m/%d'))::DATE AS parsed FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y') WHEN 2 THEN strftime(o_orderdate, '%Y/%m/%d') ELSE 'on ' || strftime(o_orderdate, '%d') END AS v FROM orders)")
+def coerce_date(spark: SparkSession, d: str) -> DataFrame:
+    k, o = F.col("o_orderkey") % 4, F.col("o_orderdate")
+    v = F.when(k == 0, F.date_format(o, "yyyy-MM-dd")).when(k == 1, F.date_format(o, "MM/dd/yyyy")).when(k == 2, F.date_format(o, "yyyy/MM/dd")).otherwise(F.concat(F.lit("on "), F.date_format(o, "dd")))
+    return t(spark, d, "orders").select("o_orderkey", strategies.coerce_date(v).alias("parsed"))
+
+
+STRICT: dict[str, rules.Rule] = {
+    "patient_key": "passthrough", "mrn": {"strategy": "tokenize", "namespace": "mrn", "prefix": "PT-"}, "zip": {"strategy": "generalize", "kind": "zip3"},
+    "age": {"strategy": "generalize", "kind": "age_cap", "cap": 90}, "dob": {"strategy": "generalize", "kind": "year"}, "nation": "passthrough", "segment": "passthrough",
+}
+ANALYTIC = STRICT | {"dob": {"strategy": "date_shift", "entity_column": "patient_key", "max_days": 365}}
+SAFE = f"safe AS (SELECT patient_key, {token_sql('mrn', 'mrn', 'PT-')} AS mrn, {ZIP3_SQL} AS zip, least(age, 90)::INTEGER AS age, year(dob)::INTEGER AS dob, segment, nation, NULL::VARCHAR AS balance FROM people)"
+
+
+def safe_people(spark: SparkSession, d: str) -> DataFrame:
+    return rules.deidentify(people(spark, d), STRICT, KEY)
+
+
+@query(f"WITH {PEOPLE}, {SAFE} SELECT * FROM safe")
+def deid_table(spark: SparkSession, d: str) -> DataFrame:
+    return safe_people(spark, d)
+
+
+@query(f"WITH {PEOPLE}, {SAFE} SELECT safe.* REPLACE ({shift_sql('people.dob', 'people.patient_key')} AS dob) FROM safe JOIN people USING (patient_key)")
+def deid_table_shift(spark: SparkSession, d: str) -> DataFrame:
+    return rules.deidentify(people(spark, d), ANALYTIC, KEY)
+
+
+@query("SELECT count(*) AS pairs, count(DISTINCT o_custkey) AS keys FROM orders JOIN customer ON o_custkey = c_custkey")
+def token_join(spark: SparkSession, d: str) -> DataFrame:
+    token = lambda c: keyed.token(F.col(c), "person")
+    a = keyed.with_key(t(spark, d, "orders"), KEY).select(token("o_custkey").alias("tk"))
+    b = keyed.with_key(t(spark, d, "customer"), KEY).select(token("c_custkey").alias("tk"))
+    return a.join(b, "tk").groupBy("tk").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.count(F.lit(1)).alias("keys"))
+
+
+# --- D: free text ---------------------------------------------------------------------------
+
+# No look-ahead there: the areas 000, 666 and 9.. are left out by spelling the others.
+DUCK = {"US_SSN": r"\b(?:00[1-9]|0[1-9]\d|[1-578]\d\d|6[0-57-9]\d|66[0-57-9])[-.\s]?\d{2}[-.\s]?\d{4}\b"} | {k: p for k, p in text.PATTERNS.items() if k != "US_SSN"}
+
+
+def _redact_sql(put: Callable[[str], str]) -> str:
+    out = "text"
+    for name in ("EMAIL_ADDRESS", "IP_ADDRESS", "CREDIT_CARD", "PHONE_NUMBER"):
+        out = f"regexp_replace({out}, '{DUCK[name]}', '{put(name)}', 'g')"
+    return out
+
+
+@query()
+def text_spans(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "documents").select("doc_id", text.spans(F.col("text")).alias("spans")).where("size(spans) > 0")
+
+
+@query(f"SELECT doc_id, md5({_redact_sql(lambda n: f'[{n}]')}) AS redacted FROM documents")
+def redact_label(spark: SparkSession, d: str) -> DataFrame:
+    return text.redact_column(t(spark, d, "documents"), "text").select("doc_id", F.md5("text").alias("redacted"))
+
+
+@query(f"SELECT doc_id, md5({_redact_sql(lambda n: '')}) AS redacted FROM documents")
+def redact_remove(spark: SparkSession, d: str) -> DataFrame:
+    return text.redact_column(t(spark, d, "documents"), "text", "remove", output="clean").select("doc_id", F.md5("clean").alias("redacted"))
+
+
+@query()
+def redact_token(spark: SparkSession, d: str) -> DataFrame:
+    return text.redact_column(keyed.with_key(t(spark, d, "documents"), KEY), "text", "token").select("doc_id", F.md5("text").alias("redacted"))
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS entity_type, sum(len(regexp_extract_all(text, '{p}')))::BIGINT AS findings FROM documents" for n, p in DUCK.items()) + ") WHERE findings > 0")
+def entity_counts(spark: SparkSession, d: str) -> DataFrame:
+    return text.count_entities(t(spark, d, "documents"), "text")
+
+
+@query(" UNION ALL ".join(f"SELECT doc_id, '{n}' AS entity_type, unnest(regexp_extract_all(text, '{p}')) AS matched FROM documents" for n, p in DUCK.items()))
+def finding_rows(spark: SparkSession, d: str) -> DataFrame:
+    return text.finding_rows(t(spark, d, "documents"), "doc_id", "text", include_text=True).select("doc_id", "entity_type", "matched")
+
+
+# --- E: residual scan and gate --------------------------------------------------------------
+
+RES = {"ssn": DUCK["US_SSN"], "phone": DUCK["PHONE_NUMBER"], "email": DUCK["EMAIL_ADDRESS"]}
+
+
+def _hits(table: str, columns: tuple[str, ...], head: str = "") -> str:
+    return "SELECT * FROM (" + " UNION ALL ".join(f"SELECT {head}'{c}' AS \"column\", '{n}' AS pattern, count_if(regexp_matches({c}, '{p}'))::BIGINT AS hits FROM {table}" for c in columns for n, p in RES.items()) + ") WHERE hits > 0"
+
+
+@query("SELECT doc_id, array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(text, '{p}') THEN '{n}' END" for n, p in RES.items()) + "], lambda x: x IS NOT NULL), ',') AS flags FROM documents")
+def residual_flags(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "documents").select("doc_id", F.array_join(residual.flags(F.col("text")), ",").alias("flags"))
+
+
+@query(_hits("documents", ("text", "lang", "source")))
+def residual_scan(spark: SparkSession, d: str) -> DataFrame:
+    return residual.scan(t(spark, d, "documents"))
+
+
+_LAYER = " UNION ALL ".join("SELECT * FROM (" + _hits(n, c, f"'{n}' AS \"table\", ") + ")" for n, c in (("documents", ("text", "lang", "source")), ("conversations", ("role", "text")), ("customer", ("c_name", "c_mktsegment"))))
+
+
+def _layer(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {n: t(spark, d, n) for n in ("documents", "conversations", "customer")}
+
+
+@query(f"SELECT pattern, sum(hits)::BIGINT AS hits FROM ({_LAYER}) GROUP BY pattern")
+def residual_layer(spark: SparkSession, d: str) -> DataFrame:
+    return residual.totals(residual.scan_layer(_layer(spark, d)))
+
+
+_LEAK = " OR ".join(f"regexp_matches({{c}}, '{p}')" for p in residual.LEAKS)
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS \"table\", '{c}' AS \"column\", coalesce(bool_or({_LEAK.replace('{c}', c)}), false) AS leaks FROM {n}" for n, cs in (("documents", ("text", "lang", "source")), ("conversations", ("role", "text")), ("customer", ("c_name", "c_mktsegment"))) for c in cs))
+def scorecard_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return residual.leaky_columns(_layer(spark, d))
+
+
+@query(f"""WITH {PEOPLE}, {SAFE} SELECT * FROM (
+SELECT 'tokens carry the prefix' AS "check", count_if(NOT starts_with(mrn, 'PT-')) = 0 AS passed, false AS advisory FROM safe
+UNION ALL SELECT 'years are plausible', count_if(dob < 1900 OR dob > 2100) = 0, false FROM safe
+UNION ALL SELECT 'ZIPs have three characters', count_if(length(zip) > 3) = 0, false FROM safe
+UNION ALL SELECT 'no column DateOfBirth', true, false UNION ALL SELECT 'column dob is there', true, false
+UNION ALL SELECT 'no identifier patterns', NOT coalesce(bool_or({" OR ".join("(" + _LEAK.replace('{c}', c) + ")" for c in ("mrn", "zip", "segment"))}), false), false FROM safe)""")
+def scorecard(spark: SparkSession, d: str) -> DataFrame:
+    safe = safe_people(spark, d)
+    return residual.scorecard(safe, {"people": safe}, "mrn", "PT-", "dob", "zip", ("DateOfBirth",))
+
+
+@query("""SELECT "table", a AS rows_before, b AS rows_after, CASE WHEN a = b THEN 'OK' ELSE 'MISMATCH' END AS state FROM (SELECT 'people' AS "table", (SELECT count(*) FROM customer) AS a, (SELECT count(*) FROM customer) AS b UNION ALL SELECT 'claims', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders WHERE o_custkey % 5 <> 0))""")
+def reconcile(spark: SparkSession, d: str) -> DataFrame:
+    c = claims(spark, d)
+    return residual.reconcile({"people": people(spark, d), "claims": c}, {"people": safe_people(spark, d), "claims": c.where("patient_key % 5 <> 0")})
+
+
+@query(f"SELECT (SELECT coalesce(sum(hits), 0) FROM ({_LAYER}))::BIGINT AS residual_hits, 0::BIGINT AS mismatches, (SELECT coalesce(sum(hits), 0) FROM ({_LAYER})) = 0 AS publish")
+def publish_gate(spark: SparkSession, d: str) -> DataFrame:
+    return residual.gate(residual.scan_layer(_layer(spark, d)), residual.reconcile({"people": people(spark, d)}, {"people": safe_people(spark, d)}))
+
+
+# --- F: disclosure risk ---------------------------------------------------------------------
+
+QI, SENSITIVE = ["zip", "age", "segment"], "nation"
+RISKY = "risky AS (SELECT left(zip, 1) AS zip, (age // 30)::INTEGER AS age, segment, CASE WHEN nation % 4 <> 0 THEN nation END AS nation FROM people)"
+CLASSES = "classes AS (SELECT zip, age, segment, count(*) AS class_size, count(DISTINCT nation) + max((nation IS NULL)::INTEGER) AS n_values FROM risky GROUP BY ALL)"
+DISTANCES = """cells AS (SELECT zip, age, segment, nation, count(*) AS n FROM risky GROUP BY ALL), everything AS (SELECT nation, sum(n) AS a FROM cells GROUP BY ALL), sizes AS (SELECT zip, age, segment, sum(n) AS size FROM cells GROUP BY ALL),
+grid AS (SELECT s.zip, s.age, s.segment, size, abs(coalesce(c.n, 0) / size - a / (SELECT sum(n) FROM cells)) AS gap FROM sizes s CROSS JOIN everything e LEFT JOIN cells c ON c.zip IS NOT DISTINCT FROM s.zip AND c.age IS NOT DISTINCT FROM s.age AND c.segment IS NOT DISTINCT FROM s.segment AND c.nation IS NOT DISTINCT FROM e.nation),
+far AS (SELECT zip, age, segment, max(size)::BIGINT AS class_size, sum(gap) / 2 AS distance FROM grid GROUP BY ALL)"""
+_RISK = f"WITH {PEOPLE}, {RISKY}, {CLASSES}"
+_NULLS = ", ".join(f"{c} NULLS FIRST" for c in QI)
+
+
+def risky(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("nation")
+    return people(spark, d).select(F.substring("zip", 1, 1).alias("zip"), F.floor(F.col("age") / 30).cast("int").alias("age"), "segment", F.when(n % 4 != 0, n).alias("nation"))
+
+
+@query(f"{_RISK} SELECT zip, age, segment, class_size FROM classes")
+def eq_classes(spark: SparkSession, d: str) -> DataFrame:
+    return risk.classes(risky(spark, d), QI)
+
+
+_K = "SELECT min(class_size) AS k, sum(class_size)::BIGINT AS n_rows, count(*) AS n_classes, count_if(class_size < 5)::BIGINT AS violating_classes, coalesce(sum(class_size) FILTER (class_size < 5), 0)::BIGINT AS violating_rows, min(class_size) >= 5 AS passes FROM classes"
+
+
+@query(f"{_RISK} {_K}")
+def k_anonymity(spark: SparkSession, d: str) -> DataFrame:
+    return risk.k_anonymity(risky(spark, d), QI, 5)
+
+
+@query(f"{_RISK} SELECT class_size, count(*) AS n_classes FROM classes GROUP BY class_size")
+def class_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return risk.histogram(risky(spark, d), QI)
+
+
+@query(f"{_RISK} SELECT zip, age, segment, class_size FROM classes ORDER BY class_size, {_NULLS} LIMIT 5")
+def smallest_classes(spark: SparkSession, d: str) -> DataFrame:
+    return risk.smallest(risky(spark, d), QI, 5)
+
+
+@query(f"{_RISK} SELECT min(n_values)::BIGINT AS l, count(*) AS n_classes, count_if(n_values < 3)::BIGINT AS violating_classes, coalesce(sum(class_size) FILTER (n_values < 3), 0)::BIGINT AS violating_rows, min(n_values) >= 3 AS passes FROM classes")
+def l_diversity(spark: SparkSession, d: str) -> DataFrame:
+    return risk.l_diversity(risky(spark, d), QI, SENSITIVE, 3)
+
+
+@query(f"{_RISK} SELECT zip, age, segment, n_values::BIGINT AS n_values, class_size FROM classes ORDER BY n_values, {_NULLS} LIMIT 5")
+def worst_l(spark: SparkSession, d: str) -> DataFrame:
+    return risk.least_diverse(risky(spark, d), QI, SENSITIVE, 5)
+
+
+@query(f"WITH {PEOPLE}, {RISKY}, {DISTANCES} SELECT round(max(distance), 9) AS t, count(*) AS n_classes, count_if(distance > 0.2)::BIGINT AS violating_classes, round(max(distance), 9) <= 0.2 AS passes FROM far")
+def t_closeness(spark: SparkSession, d: str) -> DataFrame:
+    return risk.t_closeness(risky(spark, d), QI, SENSITIVE, 0.2)
+
+
+@query(f"WITH {PEOPLE}, {RISKY}, {DISTANCES} SELECT zip, age, segment, round(distance, 9) AS distance, class_size FROM far ORDER BY round(distance, 9) DESC, {_NULLS} LIMIT 5")
+def worst_t(spark: SparkSession, d: str) -> DataFrame:
+    return risk.most_skewed(risky(spark, d), QI, SENSITIVE, 5)
+
+
+@query(f"{_RISK} SELECT r.* FROM risky r SEMI JOIN (SELECT * FROM classes WHERE class_size >= 5) c ON r.zip IS NOT DISTINCT FROM c.zip AND r.age IS NOT DISTINCT FROM c.age AND r.segment IS NOT DISTINCT FROM c.segment")
+def enforce_k(spark: SparkSession, d: str) -> DataFrame:
+    return risk.enforce_k(risky(spark, d), QI, 5)
+
+
+@query(f"{_RISK} SELECT sum(class_size)::BIGINT AS rows_in, coalesce(sum(class_size) FILTER (class_size >= 15), 0)::BIGINT AS rows_out, count_if(class_size >= 15)::BIGINT AS retained_classes, count_if(class_size < 15)::BIGINT AS dropped_classes, coalesce(sum(class_size) FILTER (class_size < 15), 0)::BIGINT AS suppressed, round(coalesce(sum(class_size) FILTER (class_size < 15), 0) / sum(class_size), 6) AS rate FROM classes")
+def suppression_report(spark: SparkSession, d: str) -> DataFrame:
+    return risk.suppression_report(risky(spark, d), QI, 15)
+
+
+@query(f"WITH {PEOPLE}, {RISKY}, {CLASSES}, {DISTANCES}, v AS (SELECT (SELECT min(class_size) >= 5 FROM classes) AS k, (SELECT min(n_values) >= 3 FROM classes) AS l, (SELECT round(max(distance), 9) <= 0.2 FROM far) AS t, (SELECT coalesce(sum(hits), 0) = 0 FROM ({_hits('risky', ('zip', 'segment'))})) AS r) SELECT k AS k_passes, l AS l_passes, t AS t_passes, r AS residual_passes, k AND l AND t AND r AS passes FROM v")
+def risk_evidence(spark: SparkSession, d: str) -> DataFrame:
+    r = risky(spark, d)
+    clean = residual.scan(r).agg((F.coalesce(F.sum("hits"), F.lit(0)) == 0).alias("passes"))
+    return risk.evidence(risk.k_anonymity(r, QI, 5), risk.l_diversity(r, QI, SENSITIVE, 3), risk.t_closeness(r, QI, SENSITIVE, 0.2), clean)
+
+
+# --- G: re-identification and rotation ------------------------------------------------------
+
+WALK = f"walk AS (SELECT patient_key, mrn, dob, {token_sql('mrn', 'mrn', 'PT-')} AS token FROM people)"
+
+
+def _walk(spark: SparkSession, d: str) -> DataFrame:
+    return vault.crosswalk(people(spark, d), "mrn", KEY, ["patient_key", "mrn", "dob"], "mrn", "PT-")
+
+
+@query(f"WITH {PEOPLE}, {WALK} SELECT * FROM walk")
+def crosswalk(spark: SparkSession, d: str) -> DataFrame:
+    return _walk(spark, d)
+
+
+@query("SELECT count(DISTINCT c_name) AS tokens, 0::BIGINT AS unknown_tokens, true AS passes FROM customer")
+def crosswalk_parity(spark: SparkSession, d: str) -> DataFrame:
+    return vault.parity(safe_people(spark, d), _walk(spark, d), "mrn")
+
+
+@query(f"WITH {PEOPLE}, {WALK} SELECT token, patient_key, mrn, dob FROM walk WHERE patient_key IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+def reidentify(spark: SparkSession, d: str) -> DataFrame:
+    asked = keyed.with_key(t(spark, d, "orders").where("o_orderstatus = 'P'").join(t(spark, d, "customer"), F.expr("o_custkey = c_custkey")), KEY)
+    return vault.reidentify(asked.select(keyed.token(F.col("c_name"), "mrn", prefix="PT-").alias("token")), _walk(spark, d))
+
+
+@query(f"WITH {PEOPLE} SELECT patient_key, {token_sql('mrn', 'mrn', 'PT-', key=NEW_KEY)} AS mrn FROM people")
+def rotate_tokens(spark: SparkSession, d: str) -> DataFrame:
+    moved = vault.rotation(people(spark, d), "mrn", KEY, NEW_KEY, "mrn", "PT-")
+    return vault.rekey(safe_people(spark, d).select("patient_key", "mrn"), "mrn", moved)
+
+
+# --- H: safe star and measures --------------------------------------------------------------
+
+
+@query(f"WITH {PEOPLE}, {SAFE} SELECT patient_key, mrn, dob AS birth_year, age, zip FROM safe")
+def safe_dims(spark: SparkSession, d: str) -> DataFrame:
+    safe = safe_people(spark, d)
+    return safe.select("patient_key", "mrn", star.year_grain(safe, "dob").alias("birth_year"), "age", "zip")
+
+
+@query(f"WITH {CLAIMS} SELECT claim_key, patient_key, year({shift_sql('service_date', 'patient_key')})::INTEGER AS service_year, billed, paid FROM claims")
+def safe_facts(spark: SparkSession, d: str) -> DataFrame:
+    profile = {c: "passthrough" for c in ("claim_key", "patient_key", "billed", "paid")} | {"service_date": {"strategy": "date_shift", "entity_column": "patient_key"}}
+    safe = rules.deidentify(claims(spark, d), profile, KEY)
+    return safe.select("claim_key", "patient_key", star.year_grain(safe, "service_date").alias("service_year"), "billed", "paid")
+
+
+@query(f"WITH {CLAIMS} SELECT round(sum(billed), 2)::DOUBLE AS total_billed, round(sum(paid), 2)::DOUBLE AS total_paid, round(count_if(status = 'F') / count(*), 6) AS denial_rate, count(*) AS n_claims FROM claims")
+def kpi_claims(spark: SparkSession, d: str) -> DataFrame:
+    out = claims(spark, d).agg(*star.claim_measures(None, "billed", "paid", F.col("status") == "F"))
+    return out.withColumns({c: F.col(c).cast("double") for c in ("total_billed", "total_paid")})
+
+
+@query("SELECT event_type, count(*) AS encounters FROM events GROUP BY event_type")
+def kpi_events(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("encounters"))
+
+
+@query("SELECT user_id, round(avg(value), 6) AS avg_score FROM events GROUP BY user_id")
+def kpi_score(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "events").groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("avg_score"))
+
+
+@query("SELECT r_name, count(*) AS n_orders, round(sum(o_totalprice), 0) AS billed FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
+def star_by_region(spark: SparkSession, d: str) -> DataFrame:
+    j = t(spark, d, "orders").join(t(spark, d, "customer"), F.expr("o_custkey = c_custkey"), "left").join(t(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"), "left")
+    j = j.join(t(spark, d, "region"), F.expr("n_regionkey = r_regionkey"), "left")
+    return j.groupBy("r_name").agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 0).alias("billed"))
+
+
+@query("SELECT a.n_name AS customer_nation, b.n_name AS supplier_nation, count(*) AS n_lines FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation a ON c_nationkey = a.n_nationkey LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation b ON s_nationkey = b.n_nationkey GROUP BY ALL")
+def star_role_playing(spark: SparkSession, d: str) -> DataFrame:
+    n = t(spark, d, "nation")
+    j = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.expr("l_orderkey = o_orderkey"), "left").join(t(spark, d, "customer"), F.expr("o_custkey = c_custkey"), "left").join(t(spark, d, "supplier"), F.expr("l_suppkey = s_suppkey"), "left")
+    j = j.join(n.select(F.col("n_nationkey").alias("a"), F.col("n_name").alias("customer_nation")), F.expr("c_nationkey = a"), "left")
+    j = j.join(n.select(F.col("n_nationkey").alias("b"), F.col("n_name").alias("supplier_nation")), F.expr("s_nationkey = b"), "left")
+    return j.groupBy("customer_nation", "supplier_nation").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query(f"WITH {PEOPLE}, {SAFE} SELECT zip, age, segment, count(*) AS n_people FROM safe GROUP BY ALL")
+def roster(spark: SparkSession, d: str) -> DataFrame:
+    return safe_people(spark, d).groupBy("zip", "age", "segment").agg(F.count(F.lit(1)).alias("n_people"))
+
+
+@query(f"WITH {PEOPLE}, {SAFE} SELECT patient_key, p.mrn AS mrn_before, p.zip AS zip_before, p.age AS age_before, s.mrn AS mrn_after, s.zip AS zip_after, s.age::VARCHAR AS age_after FROM people p JOIN safe s USING (patient_key)")
+def before_after(spark: SparkSession, d: str) -> DataFrame:
+    return star.before_after(people(spark, d), safe_people(spark, d), "patient_key", ["mrn", "zip", "age"])
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def rls_region(spark: SparkSession, d: str) -> DataFrame:
+    mapping = t(spark, d, "nation").select(F.concat(F.lit("analyst_"), F.col("n_regionkey").cast("string")).alias("principal"), F.col("n_nationkey").alias("region"))
+    return star.scoped_rows(t(spark, d, "customer"), mapping, "analyst_1", "c_nationkey", ("steward",)).select("c_custkey", "c_nationkey")
+
+
+@query(f"WITH {PEOPLE}, {SAFE} SELECT * EXCLUDE (mrn) FROM safe")
+def cls_columns(spark: SparkSession, d: str) -> DataFrame:
+    return star.scoped_columns(safe_people(spark, d), "analyst", {"analyst": ("mrn",)})
+
+
+# --- I: detector quality --------------------------------------------------------------------
+
+_RATES = "round(coalesce(tp / nullif(tp + fp, 0), 1.0), 4) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 1.0), 4) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 1.0), 4) AS f1, tp + fn AS support"
+_FLAGGED = " OR ".join(f"regexp_matches(text, '{p}')" for p in DUCK.values())
+
+
+def _flagged(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "documents").select("doc_id", text.any_match(F.col("text"), [text.java(p) for p in text.PATTERNS.values()]).alias("flagged"))
+
+
+@query(f"WITH p AS (SELECT doc_id FROM documents WHERE {_FLAGGED}), g AS (SELECT doc_id FROM labels WHERE toxic = 1), c AS (SELECT (SELECT count(*) FROM p SEMI JOIN g USING (doc_id)) AS tp, (SELECT count(*) FROM p ANTI JOIN g USING (doc_id)) AS fp, (SELECT count(*) FROM g ANTI JOIN p USING (doc_id)) AS fn) SELECT tp, fp, fn, {_RATES} FROM c")
+def eval_sets(spark: SparkSession, d: str) -> DataFrame:
+    return quality.evaluate_sets(_flagged(spark, d).where("flagged"), t(spark, d, "labels").where("toxic = 1"), ["doc_id"])
+
+
+@query(f"WITH b AS (SELECT ({_FLAGGED}) AS p, quality = 0 AS g FROM documents JOIN labels USING (doc_id)), c AS (SELECT count_if(p AND g)::BIGINT AS tp, count_if(p AND NOT g)::BIGINT AS fp, count_if(NOT p AND g)::BIGINT AS fn FROM b) SELECT tp, fp, fn, {_RATES} FROM c")
+def eval_flags(spark: SparkSession, d: str) -> DataFrame:
+    both = _flagged(spark, d).join(t(spark, d, "labels"), "doc_id")
+    return quality.evaluate_flags(both, F.col("flagged"), F.col("quality") == 0)
+
+
+@query()
+def eval_spans(spark: SparkSession, d: str) -> DataFrame:
+    found = text.finding_rows(t(spark, d, "documents"), "doc_id", "text")
+    gold = found.where("entity_type <> 'CREDIT_CARD'").withColumn("end", F.col("end") + 1)
+    return quality.evaluate_spans(found, gold, "doc_id")
+
+
+# --- J: audit -------------------------------------------------------------------------------
+
+
+@query()
+def run_ledger(spark: SparkSession, d: str) -> DataFrame:
+    counts = residual.reconcile({"people": people(spark, d)}, {"people": safe_people(spark, d)}).select("table", F.col("rows_before").alias("rows_in"), F.col("rows_after").alias("rows_out"))
+    return ledger.run_rows(counts, {"people": STRICT}, {"people": people(spark, d).columns}, "pipeline", "v1", datetime(2025, 1, 1))
+
+
+@query("""SELECT 'people' AS "table", c AS "column", s AS state FROM (VALUES ('patient_key', 'classified'), ('mrn', 'classified'), ('zip', 'classified'), ('age', 'classified'), ('dob', 'classified'), ('nation', 'classified'), ('segment', 'classified'), ('balance', 'defaulted'), ('gender', 'missing')) v(c, s)""")
+def coverage(spark: SparkSession, d: str) -> DataFrame:
+    live = rules.columns_frame(spark, {"people": people(spark, d).columns + ["_ingested_at"]})
+    return rules.coverage(live, rules.columns_frame(spark, {"people": [*STRICT, "gender"]}))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN TIMESTAMP '1998-01-01' >= o_orderdate END AS expired FROM orders")
+def expired(spark: SparkSession, d: str) -> DataFrame:
+    due = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate").cast("string"))
+    return t(spark, d, "orders").select("o_orderkey", ledger.expired(due, F.lit("1998-01-01").cast("timestamp")).alias("expired"))
+
+
+# --- K: synthetic load ----------------------------------------------------------------------
+
+
+@query("SELECT value, weight, (high - weight)::BIGINT AS low, high::BIGINT AS high FROM (SELECT p_brand AS value, least(count(*), 50)::BIGINT AS weight, sum(least(count(*), 50)) OVER (ORDER BY p_brand) AS high FROM part GROUP BY p_brand)")
+def gen_pool(spark: SparkSession, d: str) -> DataFrame:
+    return synth.pool(t(spark, d, "part"), "p_brand")
+
+
+@query()
+def gen_patients(spark: SparkSession, d: str) -> DataFrame:
+    c = t(spark, d, "customer")
+    return synth.patients(c, "c_custkey", c.count(), {"segment": synth.pool(c, "c_mktsegment")})
+
+
+@query()
+def gen_claims(spark: SparkSession, d: str) -> DataFrame:
+    o = t(spark, d, "orders")
+    return synth.claims(o, "o_orderkey", o.count(), t(spark, d, "customer"), "c_custkey")
+
+
+@query()
+def gen_encounters(spark: SparkSession, d: str) -> DataFrame:
+    e = t(spark, d, "events")
+    return synth.encounters(e, "event_id", e.count(), t(spark, d, "customer"), "c_custkey", t(spark, d, "supplier"), "s_suppkey")
+
+
+@query()
+def gen_risk(spark: SparkSession, d: str) -> DataFrame:
+    e = t(spark, d, "events")
+    return synth.risk_scores(e, "event_id", e.count(), t(spark, d, "customer"), "c_custkey")
