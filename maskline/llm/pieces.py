@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from math import inf
 
@@ -63,7 +64,10 @@ class PieceTransducer:
             if i != self.unknown:
                 self.written[i] = bytes([b])
         self.kind = np.dtype("<u2") if n <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self._chunks: dict[str, bytes] = {}
+        self._spans: dict[str, bytes] = {}
         self._stays: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str, parts_left: int = 1) -> list[str]:
@@ -113,17 +117,21 @@ class PieceTransducer:
 
     def _finite(self, chunk: str) -> list[str]:
         """Weights are 0 or infinite: search the one finite path depth first, longest arcs first."""
-        out, at, n, dead, ids = [], 0, len(chunk), set(), self.ids
+        out, at, n, dead, ids, stays, last = [], 0, len(chunk), set(), self.ids, self._stays.get, ""
         while at < n:
-            for size in range(min(self.longest, n - at), 0, -1):
-                piece = chunk[at : at + size]
-                if (piece in ids or size == 1) and at + size not in dead and (not out or self.stays(out[-1], piece)):
-                    out.append(piece)
-                    at += size
-                    break
+            for end in range(min(at + self.longest, n), at, -1):
+                piece = chunk[at:end]
+                if piece in ids or end == at + 1:
+                    if last and not (self.stays(last, piece) if (known := stays((last, piece))) is None else known):
+                        continue
+                    if end not in dead:
+                        out.append(piece)
+                        at, last = end, piece
+                        break
             else:
                 dead.add(at)
                 at -= len(out.pop())
+                last = out[-1] if out else ""
         return out
 
     def _least(self, chunk: str) -> list[str]:
@@ -141,16 +149,26 @@ class PieceTransducer:
             at -= len(back[at])
         return out[::-1]
 
-    def chunk_ids(self, chunk: str) -> bytes:
-        found = self._chunks.get(chunk)
+    def _span_ids(self, span: str) -> bytes:
+        found = self._spans.get(span)
         if found is None:
             ids: list[int] = []
-            for piece in self.path(chunk):
+            for piece in self.path(span):
                 if piece in self.ids:
                     ids.append(self.ids[piece])
                 else:
                     ids += [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
-            found = np.array(ids, self.kind).tobytes()
+            found = array(self.code, ids).tobytes()
+            if len(span) <= 48:
+                self._spans[span] = found
+        return found
+
+    def chunk_ids(self, chunk: str) -> bytes:
+        """Ids of a chunk: of its spans between neighbours that stand together in no piece."""
+        found = self._chunks.get(chunk)
+        if found is None:
+            cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.inside]
+            found = b"".join(self._span_ids(chunk[a:b]) for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True))
             if len(chunk) <= 48:
                 self._chunks[chunk] = found
         return found
@@ -160,6 +178,8 @@ class PieceTransducer:
             return np.empty(0, self.kind)
         if len(self._chunks) > self.limit:
             self._chunks.clear()
+        if len(self._spans) > self.limit:
+            self._spans.clear()
         if len(self._stays) > 2 * self.limit:
             self._stays.clear()
         chunks = _CHUNK.findall(SPACE + text.replace(" ", SPACE))

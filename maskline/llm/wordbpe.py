@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from array import array
+
 import numpy as np
 
 END_ID = 1
@@ -12,20 +15,49 @@ class WordEncoder(dict):
     """Ids of a text as the ``tokenizers`` library gives them, with each word encoded once.
 
     Tokenizers whose normaliser and pre-tokeniser do not look across white space encode a text
-    as the chain of its blank-separated words. Texts that hold ``<|`` (a special token could
+    as the chain of its blank-separated words. Where they also lower-case and cut letters from
+    marks, a word of Latin letters and trailing marks is the chain of these two, and the
+    library's model takes the letters straight. Texts that hold ``<|`` (a special token could
     span words there) are encoded whole.
     """
 
     limit = 250_000
+    _marks = ".,;:!?*&%$#@|"
+    _latin = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self._code = "H" if self.kind.itemsize == 2 else "I"
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._shown = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
+        self._parts: dict[str, bytes] = {}
+        tried = ("The", "thou,", "Straße.", "ÉTÉ***", "ñandú!!", "x")
+        self._splits = all(self._letters(w.rstrip(self._marks).lower()) + self._encoded(w[len(w.rstrip(self._marks)) :]) == self._encoded(w) for w in tried)
+
+    def _encoded(self, word: str) -> bytes:
+        return array(self._code, self.library.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        shown = word if word.isascii() else word.translate(self._shown)
+        return array(self._code, [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+
+    def _part(self, part: str, letters: bool) -> bytes:
+        got = self._parts.get(part)
+        if got is None:
+            got = self._parts[part] = self._letters(part) if letters else self._encoded(part)
+        return got
 
     def __missing__(self, word: str) -> bytes:
-        got = np.array(self.library.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+        letters = word.rstrip(self._marks)
+        if self._splits and letters and len(word) <= 48 and (letters.isalpha() if letters.isascii() else self._latin.fullmatch(letters)):
+            got = self._part(letters.lower(), True)
+            if len(letters) < len(word):
+                got += self._part(word[len(letters) :], False)
+        else:
+            got = self._encoded(word)
         if len(word) <= 48:
             self[word] = got
         return got
@@ -34,6 +66,8 @@ class WordEncoder(dict):
         """Ids of the text (null: empty) and the end id, in the smallest unsigned kind."""
         if len(self) > self.limit:
             self.clear()
+        if len(self._parts) > self.limit:
+            self._parts.clear()
         text, end = text or "", np.array([end_id], self.kind).tobytes()
         if "<|" in text:
             return np.array([*self.library.encode(text, add_special_tokens=False).ids, end_id], self.kind)
