@@ -87,57 +87,70 @@ def _sets(k: int):
     return run
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have a Jaccard similarity of ``percent`` or more."""
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    if not len(small) or 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, last, b = [], None, None
-            for mine, other in zip(batch.column("mine"), batch.column("theirs"), strict=True):
-                a, other = np.frombuffer(mine.as_py(), np.uint64), other.as_py()
-                if other is not last and other != last:
-                    last, b = other, np.frombuffer(other, np.uint64)
-                small, large = (a, b) if len(a) < len(b) else (b, a)
-                if not len(small) or 100 * len(small) < percent * len(large):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+            pairs = zip(batch.column("mine"), batch.column("theirs"), strict=True)
+            keep = [similar(*(np.frombuffer(x.as_py(), np.uint64) for x in pair), percent) for pair in pairs]
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different labels in a block pair whose signatures agree in enough coordinates.
+def _linked(percent: int):
+    """One link for each two labels that a block pair joins.
 
-    Rows come sorted by (band, i, j); those of one key are at most two blocks.
+    Rows come sorted by (band, i, j); those of one key are at most two blocks. Pairs of different
+    labels whose signatures agree in enough coordinates are confirmed on the full sets, in the
+    first of the bands that they share only.
     """
 
-    def pairs(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    def links(rows: list[tuple]) -> tuple[list[int], list[int]]:
         own, node, label = (np.array([r[c] for r in rows]) for c in (3, 4, 5))
         mini = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1)
-        left, right = own == rows[0][1], own == rows[0][2]
-        out, b, b_node, b_label = [], mini[right], node[right], label[right]
-        for at in np.array_split(np.flatnonzero(left), -(-int(left.sum()) // 64)):
-            alike = (mini[at][:, None] == b[None]).sum(axis=2, dtype=np.int16) >= LIKELY * b.shape[1]
-            x, y = np.nonzero(alike & (label[at][:, None] != b_label[None]) & (node[at][:, None] != b_node[None]))
-            out.append((node[at][x], b_node[y]))
-        u, v = (np.concatenate(c) for c in zip(*out, strict=True))
-        return np.maximum(u, v), np.minimum(u, v)
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs(rows)], ["u", "v"])
-
-    held: list[tuple] = []
-    for got in batches:
-        for row in zip(*(c.to_pylist() for c in got.columns), strict=True):
-            if held and row[:3] != held[0][:3]:
-                if len(held) > 1:
-                    yield batch(held)
-                held = []
-            held.append(row)
-    if len(held) > 1:
-        yield batch(held)
+        bands = np.array([r[7] for r in rows])
+        sets = [np.frombuffer(r[8], np.uint64) for r in rows]
+        left, right = np.flatnonzero(own == rows[0][1]), np.flatnonzero(own == rows[0][2])
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        for at in np.array_split(left, -(-len(left) // 64)):
+            alike = (mini[at][:, None] == mini[right][None]).sum(axis=2, dtype=np.int16) >= LIKELY * mini.shape[1]
+            apart = np.less if rows[0][1] == rows[0][2] else np.not_equal  # within a block, each pair once
+            x, y = np.nonzero(alike & apart(label[at][:, None], label[right][None]))
+            x, y = at[x], right[y]
+            first = bands[x, (bands[x] == bands[y]).argmax(axis=1)] == rows[0][0] if len(x) else np.empty(0, bool)
+            for a, b in zip(x[first].tolist(), y[first].tolist(), strict=True):
+                key = (min(label[a], label[b]), max(label[a], label[b]))
+                if key not in found and similar(sets[a], sets[b], percent):
+                    found[key] = (max(node[a], node[b]), min(node[a], node[b]))
+        return [u for u, _ in found.values()], [v for _, v in found.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in links(held)], ["u", "v"])
+
+        for got in batches:
+            for row in zip(*(c.to_pylist() for c in got.columns), strict=True):
+                if held and row[:3] != held[0][:3]:
+                    if len(held) > 1:
+                        yield flush()
+                    held = []
+                held.append(row)
+        if len(held) > 1:
+            yield flush()
+
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -166,9 +179,10 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     3. In every band bucket the node with most companions leads; it is paired with the others
        (a star, never all pairs), pairs are confirmed on the full sets, components are formed.
     4. Where a bucket's other members still lie in different components, they are compared in
-       blocks of 512 by one byte of each coordinate; only pairs of different components that
-       agree often enough to reach the similarity come out, and are confirmed too. So every
-       pair that shares a bucket is joined, confirmed, or shown to be too far apart.
+       blocks of 512 by one byte of each coordinate; pairs of different components that agree
+       often enough to reach the similarity are confirmed there on the full sets, and one link
+       for two components comes out. So every pair that shares a bucket is joined, confirmed,
+       or shown to be too far apart, and no list of pairs is ever written.
 
     Returns doc_id, n_shingles, component_id, kept. Texts without words have no shingles, link
     with nothing and are kept. Rows without an id are kept with a null component. Rows with one
@@ -202,15 +216,17 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("members")).where("a < b")
     rest = labelled.join(mixed.select("band", "members"), "band")
     rest = rest.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("band").orderBy("label", "node")) - 1) / BLOCK).cast("int"))
-    minis = classes.select("node", "mini").join(rest.select("node").distinct(), "node", "left_semi")
-    rest = rest.join(minis, "node")
+    about = classes.select("node", "mini", "bands").join(rest.select("node").distinct(), "node", "left_semi")
+    rest = rest.join(about, "node").join(sets, "node")
     meets = F.explode(F.sequence(F.lit(0), F.floor((F.col("members") - 1) / BLOCK).cast("int")))
-    dealt = rest.select("band", "node", "label", "mini", "block", meets.alias("other"))
+    dealt = rest.select("band", "node", "label", "mini", "bands", "shingles", "block", meets.alias("other"))
     dealt = dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    pairs = dealt.select("band", "i", "j", "block", "node", "label", "mini").mapInArrow(_likely_pairs, "u long, v long").distinct()
-    labels = components(edges.union(confirmed(pairs)))
+    links = dealt.select("band", "i", "j", "block", "node", "label", "mini", "bands", "shingles").mapInArrow(_linked(percent), "u long, v long")
+    links = shared.stage(links.distinct())
+    if links.take(1):
+        labels = components(edges.union(links))
 
     of_class = classes.select("c1", "c2", "node").join(labels, "node", "left").select("c1", "c2", F.coalesce("label", "node").alias("component"))
     return (
