@@ -200,5 +200,5 @@ def with_transport_stream(df: DataFrame, text_col: str = "text") -> DataFrame:
                 columns = [pa.array(sizes, pa.int64()), pa.array(media, pa.binary()), pa.array(payloads, pa.binary()), pa.array(points, pa.list_(point)), pa.array(features, pa.string())]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
 
-    added = T.StructType().add("n_bytes", "long").add("media", "binary").add("payload", "binary").add("entry_points", "array<struct<offset:bigint,pts:bigint>>").add("feature", "string")
+    added = T.StructType.fromDDL("n_bytes long, media binary, payload binary, entry_points array<struct<offset:bigint,pts:bigint>>, feature string")
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
