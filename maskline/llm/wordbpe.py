@@ -21,7 +21,7 @@ class WordEncoder(dict):
     span words there) are encoded whole.
     """
 
-    limit = 250_000
+    limit = 400_000
     _marks = ".,;:!?*&%$#@|"
     _latin = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
@@ -33,7 +33,8 @@ class WordEncoder(dict):
         self._code = "H" if self.kind.itemsize == 2 else "I"
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._shown = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
-        self._parts: dict[str, bytes] = {}
+        self._tokenize = self.library.model.tokenize
+        self._tails: dict[str, bytes] = {"": b""}
         tried = ("The", "thou,", "Straße.", "ÉTÉ***", "ñandú!!", "x")
         self._splits = all(self._letters(w.rstrip(self._marks).lower()) + self._encoded(w[len(w.rstrip(self._marks)) :]) == self._encoded(w) for w in tried)
 
@@ -42,20 +43,21 @@ class WordEncoder(dict):
 
     def _letters(self, word: str) -> bytes:
         shown = word if word.isascii() else word.translate(self._shown)
-        return array(self._code, [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+        return array(self._code, [t.id for t in self._tokenize(shown)]).tobytes()
 
-    def _part(self, part: str, letters: bool) -> bytes:
-        got = self._parts.get(part)
+    def _tail(self, marks: str) -> bytes:
+        got = self._tails.get(marks)
         if got is None:
-            got = self._parts[part] = self._letters(part) if letters else self._encoded(part)
+            got = self._encoded(marks)
+            if len(marks) <= 3:  # few thousands
+                self._tails[marks] = got
         return got
 
     def __missing__(self, word: str) -> bytes:
         letters = word.rstrip(self._marks)
         if self._splits and letters and len(word) <= 48 and (letters.isalpha() if letters.isascii() else self._latin.fullmatch(letters)):
-            got = self._part(letters.lower(), True)
-            if len(letters) < len(word):
-                got += self._part(word[len(letters) :], False)
+            low = letters.lower()
+            got = self._letters(low) if low == word else self[low] + self._tail(word[len(letters) :])
         else:
             got = self._encoded(word)
         if len(word) <= 48:
@@ -66,8 +68,6 @@ class WordEncoder(dict):
         """Ids of the text (null: empty) and the end id, in the smallest unsigned kind."""
         if len(self) > self.limit:
             self.clear()
-        if len(self._parts) > self.limit:
-            self._parts.clear()
         text, end = text or "", np.array([end_id], self.kind).tobytes()
         if "<|" in text:
             return np.array([*self.library.encode(text, add_special_tokens=False).ids, end_id], self.kind)
