@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from math import inf
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,20 @@ SPACE = "▁"
 _loaded: dict[str, PieceTransducer] = {}
 
 
+class _Ids(dict):
+    """Ids of texts, found once and kept when they are short."""
+
+    def __init__(self, find):
+        super().__init__()
+        self._find = find
+
+    def __missing__(self, text: str) -> bytes:
+        found = self._find(text)
+        if len(text) <= 48:
+            self[text] = found
+        return found
+
+
 class PieceTransducer:
     """Normaliser, pieces and byte fallback of a model file, as one transducer.
 
@@ -31,7 +47,7 @@ class PieceTransducer:
     blanks, around a line break); chunks are kept per worker.
     """
 
-    limit = 200_000
+    limit = 300_000
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -66,9 +82,12 @@ class PieceTransducer:
         self.kind = np.dtype("<u2") if n <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self._chunks: dict[str, bytes] = {}
-        self._spans: dict[str, bytes] = {}
-        self._stays: dict[tuple[str, str], bool] = {}
+        self.reach: dict[str, int] = {}  # length of the longest piece that starts with two characters
+        for p in self.ids:
+            self.reach[p[:2]] = max(len(p), self.reach.get(p[:2], 0))
+        self._chunks, self._spans = _Ids(self._chunk_ids), _Ids(self._span_ids)
+        self._follow: defaultdict[str, dict[str, bool]] = defaultdict(dict)  # arcs known so far, by last piece
+        self._arcs = 0
 
     def merged(self, text: str, parts_left: int = 1) -> list[str]:
         """The merge rule itself: join the neighbours that give the best piece, leftmost first."""
@@ -92,24 +111,17 @@ class PieceTransducer:
         """
         if SPACE * 2 in left + right:  # runs of blanks share one score: ask the rule itself
             return self.merged(left + right, 2) == [left, right] and left + right not in self.score
-        key = (left, right)
-        if (known := self._stays.get(key)) is not None:
-            return known
         limit, rank, last = inf, self.rank, self.last_join
         while True:
             if rank.get(left + right, inf) < limit:
-                found = False
-                break
+                return False
             l, r = rank[left] if left in last else -1, rank[right] if right in last else -1
             if l < 0 and r < 0:
-                found = True
-                break
+                return True
             if l > r:
                 limit, left = l, last[left][1]
             else:
                 limit, right = r + 1, last[right][0]
-        self._stays[key] = found
-        return found
 
     def path(self, chunk: str) -> list[str]:
         """Pieces of the shortest path through the composition of a chunk with the piece machine."""
@@ -117,21 +129,30 @@ class PieceTransducer:
 
     def _finite(self, chunk: str) -> list[str]:
         """Weights are 0 or infinite: search the one finite path depth first, longest arcs first."""
-        out, at, n, dead, ids, stays, last = [], 0, len(chunk), set(), self.ids, self._stays.get, ""
+        n, ids, reach, follow = len(chunk), self.ids, self.reach.get, self._follow
+        out, at, dead, last, known = [], 0, set(), "", None
+        top = min(reach(chunk[:2], 1), n)
         while at < n:
-            for end in range(min(at + self.longest, n), at, -1):
+            for end in range(top, at, -1):
                 piece = chunk[at:end]
                 if piece in ids or end == at + 1:
-                    if last and not (self.stays(last, piece) if (known := stays((last, piece))) is None else known):
-                        continue
+                    if known is not None:
+                        if (may := known.get(piece)) is None:
+                            may = known[piece] = self.stays(last, piece)
+                            self._arcs += 1
+                        if not may:
+                            continue
                     if end not in dead:
                         out.append(piece)
-                        at, last = end, piece
+                        at, last, top = end, piece, min(end + reach(chunk[end : end + 2], 1), n)
+                        known = follow[last]
                         break
-            else:
+            else:  # no arc leads on: go back, and on with the shorter ones there
                 dead.add(at)
+                top = at - 1
                 at -= len(out.pop())
                 last = out[-1] if out else ""
+                known = follow[last] if out else None
         return out
 
     def _least(self, chunk: str) -> list[str]:
@@ -150,28 +171,21 @@ class PieceTransducer:
         return out[::-1]
 
     def _span_ids(self, span: str) -> bytes:
-        found = self._spans.get(span)
-        if found is None:
-            ids: list[int] = []
-            for piece in self.path(span):
-                if piece in self.ids:
-                    ids.append(self.ids[piece])
-                else:
-                    ids += [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
-            found = array(self.code, ids).tobytes()
-            if len(span) <= 48:
-                self._spans[span] = found
-        return found
+        ids: list[int] = []
+        for piece in self.path(span):
+            i = self.ids.get(piece)
+            if i is not None:
+                ids.append(i)
+            else:
+                ids += [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
+        return array(self.code, ids).tobytes()
 
-    def chunk_ids(self, chunk: str) -> bytes:
+    def _chunk_ids(self, chunk: str) -> bytes:
         """Ids of a chunk: of its spans between neighbours that stand together in no piece."""
-        found = self._chunks.get(chunk)
-        if found is None:
-            cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.inside]
-            found = b"".join(self._span_ids(chunk[a:b]) for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True))
-            if len(chunk) <= 48:
-                self._chunks[chunk] = found
-        return found
+        cuts = [i for i, pair in enumerate(map(add, chunk, chunk[1:]), 1) if pair not in self.inside]
+        if not cuts:
+            return self._span_ids(chunk)
+        return b"".join([self._spans[chunk[a:b]] for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True)])
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
@@ -180,10 +194,11 @@ class PieceTransducer:
             self._chunks.clear()
         if len(self._spans) > self.limit:
             self._spans.clear()
-        if len(self._stays) > 2 * self.limit:
-            self._stays.clear()
+        if self._arcs > 2 * self.limit:
+            self._follow.clear()
+            self._arcs = 0
         chunks = _CHUNK.findall(SPACE + text.replace(" ", SPACE))
-        return np.frombuffer(b"".join(map(self.chunk_ids, chunks)), self.kind)
+        return np.frombuffer(b"".join(map(self._chunks.__getitem__, chunks)), self.kind)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that the ids were written for: the machine read backwards, less the blank in front."""
