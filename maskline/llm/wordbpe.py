@@ -16,14 +16,16 @@ class WordEncoder(dict):
 
     Tokenizers whose normaliser and pre-tokeniser do not look across white space encode a text
     as the chain of its blank-separated words. Where they also lower-case and cut letters from
-    marks, a word of Latin letters and trailing marks is the chain of these two, and the
-    library's model takes the letters straight. Texts that hold ``<|`` (a special token could
-    span words there) are encoded whole.
+    marks, a word of Latin letters and trailing marks is the chain of these two: they are looked
+    up apart, so each kept entry serves all its mixes, and the library's model takes the letters
+    straight. Texts that hold ``<|`` (a special token could span words there) are encoded whole.
     """
 
-    limit = 400_000
+    limit = 500_000
     _marks = ".,;:!?*&%$#@|"
     _latin = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    _parts = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?*&%$#@|]*(?:[ \n]|\Z))|[^ \n]+").findall
+    _beyond = re.compile(r"[^\x00-\xff]").search
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -34,7 +36,6 @@ class WordEncoder(dict):
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._shown = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
         self._tokenize = self.library.model.tokenize
-        self._tails: dict[str, bytes] = {"": b""}
         tried = ("The", "thou,", "Straße.", "ÉTÉ***", "ñandú!!", "x")
         self._splits = all(self._letters(w.rstrip(self._marks).lower()) + self._encoded(w[len(w.rstrip(self._marks)) :]) == self._encoded(w) for w in tried)
 
@@ -45,19 +46,10 @@ class WordEncoder(dict):
         shown = word if word.isascii() else word.translate(self._shown)
         return array(self._code, [t.id for t in self._tokenize(shown)]).tobytes()
 
-    def _tail(self, marks: str) -> bytes:
-        got = self._tails.get(marks)
-        if got is None:
-            got = self._encoded(marks)
-            if len(marks) <= 3:  # few thousands
-                self._tails[marks] = got
-        return got
-
     def __missing__(self, word: str) -> bytes:
-        letters = word.rstrip(self._marks)
-        if self._splits and letters and len(word) <= 48 and (letters.isalpha() if letters.isascii() else self._latin.fullmatch(letters)):
-            low = letters.lower()
-            got = self._letters(low) if low == word else self[low] + self._tail(word[len(letters) :])
+        if self._splits and self._latin.fullmatch(word):
+            low = word.lower()
+            got = self._letters(low) if low == word else self[low]
         else:
             got = self._encoded(word)
         if len(word) <= 48:
@@ -71,7 +63,10 @@ class WordEncoder(dict):
         text, end = text or "", np.array([end_id], self.kind).tobytes()
         if "<|" in text:
             return np.array([*self.library.encode(text, add_special_tokens=False).ids, end_id], self.kind)
-        words = text.replace("\n", " ").split(" ")
+        if not self._splits:
+            words = text.replace("\n", " ").split(" ")
+        else:  # up to U+00FF lower case is the library's, letter by letter
+            words = self._parts(text if self._beyond(text) else text.lower())
         return np.frombuffer(b"".join([*map(self.__getitem__, words), end]), self.kind)
 
 

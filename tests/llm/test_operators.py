@@ -9,7 +9,7 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
-from maskline.llm import eliasfano, language, neardup, packing, pieces, sharding, substrings, syncmers, tokenstore, toxicity, transport  # noqa: E402
+from maskline.llm import eliasfano, language, neardup, packing, pieces, sharding, substrings, syncmers, tokenstore, toxicity, transport, wordbpe  # noqa: E402
 from maskline.llm.fmindex import FMIndex  # noqa: E402
 
 LONG = " ".join(f"w{i % 700}" for i in range(3000))
@@ -59,6 +59,13 @@ def test_token_store(docs, empty):
     assert tokenstore.token_store(docs.where("doc_id = 7"), path).count() == 1
 
 
+def test_word_cache():
+    encode = wordbpe.WordEncoder(P.path("word_bpe_49k.json"))
+    odd = ["Σίσυφος ΣΑΣ", "İstanbul I'm don't it's", "a\tb\rc\x85d", "naïve*** µm ª º 5µ ÿ", "123abc abc123, x...y ***", "A ", ",a", "ẞ ß STRASSE", "a\n\nb.\n", "|a| <x>", "é" * 60, "x" * 60 + "..", "ab\x00cd", "× a×b", "e\u0301.", "a <|endoftext|>b"]
+    for text in odd * 2:
+        assert encode.ids(text).tolist() == [*encode.library.encode(text, add_special_tokens=False).ids, 1], text
+
+
 def test_near_duplicates(docs, empty):
     got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs, k=4).collect()}
     assert got[(1, 117)] == (1, True) and got[(2, 117)] == (1, False) and got[(3, 118)] == (1, False)
