@@ -16,9 +16,9 @@ def with_syncmers(df: DataFrame, text_col: str, name: str) -> DataFrame:
 
     A k-mer (six units, word-like) is chosen if the smallest hash of its five inner two-unit
     substrings stands first or last in it. The choice looks at the k-mer alone, so equal
-    passages give equal anchors wherever they stand, and at least one of any five neighbouring
-    k-mers is chosen in a long text. A text of one to five units has one anchor, its whole;
-    null, empty and blank texts have none.
+    passages give equal anchors wherever they stand, and at least one of any four neighbouring
+    k-mers is chosen. A text without a chosen k-mer (all of one to five units, some of six to
+    eight) has one anchor, its whole; null, empty and blank texts have none.
     """
     units, ranks, at = f"{name}_u", f"{name}_r", f"{name}_p"
     n, last = F.size(units), K - S
@@ -34,16 +34,14 @@ def with_syncmers(df: DataFrame, text_col: str, name: str) -> DataFrame:
         inner = F.least(*(F.get(ranks, i + j) for j in range(1, last)))
         return F.least(first, end) <= inner
 
-    df = df.withColumn(at, F.filter(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))), lambda i: (n < K) | edge(i)))
-    whole = F.xxhash64(F.array_join(units, " "))
+    df = df.withColumn(at, F.filter(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))), lambda i: (n >= K) & edge(i)))
+    whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(F.array_join(units, " ")).alias("hash")))
     hashed = F.transform(
         at,
-        lambda i: F.struct(
-            i.alias("pos"),
-            F.when(n < K, whole).otherwise(F.xxhash64(*(F.get(ranks, i + j) for j in range(0, K, S)))).alias("hash"),
-        ),
+        lambda i: F.struct(i.alias("pos"), F.xxhash64(*(F.get(ranks, i + j) for j in range(0, K, S))).alias("hash")),
     )
-    df = df.withColumn(name, F.when(n > 0, hashed).otherwise(F.array().cast("array<struct<pos:int,hash:bigint>>")))
+    none = F.array().cast("array<struct<pos:int,hash:bigint>>")
+    df = df.withColumn(name, F.when(F.size(at) > 0, hashed).when(n > 0, whole).otherwise(none))
     return df.drop(units, f"{name}_h", ranks, at)
 
 

@@ -161,3 +161,28 @@ def test_syncmers(docs, empty):
         assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
     assert got[1]["fingerprint"] == got[2]["fingerprint"] and got[2]["near_next"] == 1.0
     assert syncmers.fingerprint_edits(docs).count() == len(ROWS) and syncmers.fingerprint_edits(empty).count() == 0
+
+
+def test_syncmers_of_short_texts(spark):
+    draw = np.random.default_rng(4)
+    texts = [" ".join(f"u{x}" for x in draw.integers(0, 40, n)) for n in range(1, 13) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = spark.createDataFrame([(f"u{x}",) for x in range(40)], "a string")
+    rank = {(r[0], r[1]): r[2] for r in names.crossJoin(names.toDF("b")).selectExpr("a", "b", "xxhash64(xxhash64(a), xxhash64(b))").collect()}
+    chosen = {}
+    for i, t in enumerate(texts):
+        ranks = [rank[p] for p in zip(t.split(), t.split()[1:], strict=False)]
+        kmers = [ranks[j : j + 5] for j in range(len(ranks) - 4)]
+        chosen[i] = [(j, k[0], k[2], k[4]) for j, k in enumerate(kmers) if min(k) in (k[0], k[4])]
+    assert {len(texts[i].split()) for i in chosen if not chosen[i]} >= {5, 6, 7, 8}
+    flat = spark.createDataFrame([(i, *c) for i in chosen for c in chosen[i]], "i long, pos int, a long, b long, c long")
+    want = {i: [] for i in chosen}
+    for r in flat.selectExpr("i", "pos", "xxhash64(a, b, c) AS h").orderBy("i", "pos").collect():
+        want[r["i"]].append((r["pos"], r["h"]))
+    whole = {r[0]: r[1] for r in df.selectExpr("doc_id", "xxhash64(text)").collect()}
+    got = {r["doc_id"]: [tuple(a) for a in r["s"]] for r in syncmers.with_syncmers(df, "text", "s").collect()}
+    assert got == {i: want[i] or [(0, whole[i])] for i in chosen}
+    for r in syncmers.fingerprint_edits(df).collect():
+        i, after = r["doc_id"], (r["doc_id"] - 1) % len(texts)
+        a, b = ({h for _, h in got[j]} for j in (i, after))
+        assert r["fingerprint"] and r["edited_fingerprint"] and r["near_next"] == pytest.approx(len(a & b) / len(a | b))
