@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import shared, wordbpe
 
 K1, B = 1.2, 0.75
-QUERY_TERMS = 32  # of a seed, by BM25 weight
+DENSE = 8  # a term in more than one of so many documents has a full row of weights
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -53,27 +53,37 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray], df: np.ndarray, n_docs: int, mean: float):
         lengths = np.array([len(d) for d in docs])
-        terms = np.concatenate(docs).astype(np.int64)
-        owner = np.repeat(np.arange(len(docs)), lengths)
-        keys, tf = np.unique(terms * len(docs) + owner, return_counts=True)
-        self.docs, self.n = keys % len(docs), len(docs)
-        term = keys // len(docs)
+        each = [np.unique(d, return_counts=True) for d in docs]
+        distinct, tf = (np.concatenate(x) for x in zip(*each, strict=True))
+        self.n, self._cut = len(docs), np.cumsum([0, *(len(t) for t, _ in each)])
+        by_term = np.argsort(distinct, kind="stable")
+        self.docs = np.repeat(np.arange(self.n), np.diff(self._cut))[by_term]
+        term, tf = distinct[by_term].astype(np.int64), tf[by_term]
         idf = np.log(1 + (n_docs - df[term] + 0.5) / (df[term] + 0.5))
         self.weights = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
-        begins = np.flatnonzero(np.diff(term, prepend=-1))
-        group = np.cumsum(np.diff(term, prepend=-1) != 0) - 1
+        fresh = np.diff(term, prepend=-1) != 0
+        begins = np.flatnonzero(fresh)
         ends = np.append(begins[1:], len(term))
-        by_doc = np.lexsort((-self.weights, self.docs))
-        rank = np.arange(len(by_doc)) - np.searchsorted(self.docs[by_doc], self.docs[by_doc])
-        best = by_doc[rank < QUERY_TERMS]
-        cut = np.searchsorted(self.docs[best], np.arange(self.n + 1))
-        self._spans = [[(begins[g], ends[g]) for g in group[best[a:b]]] for a, b in zip(cut, cut[1:], strict=False)]
+        group = np.cumsum(fresh) - 1
+        self._groups = np.empty_like(group)  # of each document's distinct terms
+        self._groups[by_term] = group
+        self._spans = list(zip(begins.tolist(), ends.tolist(), strict=True))
+        common = ends - begins > self.n / DENSE
+        self._row = np.where(common, np.cumsum(common) - 1, -1)
+        self._common = np.zeros((int(common.sum()), self.n))
+        dense = common[group]
+        self._common[self._row[group[dense]], self.docs[dense]] = self.weights[dense]
 
     def scores(self, doc: int) -> np.ndarray:
-        """BM25 of every document of the shard for a document's best terms."""
-        spans = self._spans[doc]
-        docs = np.concatenate([self.docs[a:b] for a, b in spans])
-        return np.bincount(docs, np.concatenate([self.weights[a:b] for a, b in spans]), self.n)
+        """BM25 of every document of the shard for all distinct terms of a document."""
+        groups = self._groups[self._cut[doc] : self._cut[doc + 1]]
+        rows = self._row[groups]
+        total = self._common[rows[rows >= 0]].sum(axis=0)
+        spans = [self._spans[g] for g in groups[rows < 0].tolist()]
+        if spans:
+            docs = np.concatenate([self.docs[a:b] for a, b in spans])
+            total += np.bincount(docs, np.concatenate([self.weights[a:b] for a, b in spans]), self.n)
+        return total
 
 
 def fill(docs: list[np.ndarray], index: Index, size: int) -> Iterator[list[tuple[int, int, int]]]:

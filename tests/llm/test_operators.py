@@ -143,6 +143,24 @@ def test_packing(docs, empty):
     assert packing.pack_by_retrieval(empty, path).count() == 0
 
 
+def test_packing_scores():
+    rng = np.random.default_rng(6)
+    texts = [np.unique(rng.zipf(1.3, 90) % 400).repeat(2)[: rng.integers(1, 300)] for _ in range(40)] + [np.array([401])]
+    has = [Counter(t.tolist()) for t in texts]
+    df = np.zeros(500, np.int64)
+    for h in has:
+        df[list(h)] += 1
+    mean = sum(map(len, texts)) / len(texts)
+    index = packing.Index(texts, df, len(texts), mean)
+    assert max(map(len, has)) > 32
+    for i, query in enumerate(has):
+        want = []
+        for h, t in zip(has, texts, strict=True):
+            norm = 1.2 * (0.25 + 0.75 * len(t) / mean)
+            want.append(sum(np.log(1 + (len(texts) - df[q] + 0.5) / (df[q] + 0.5)) * h[q] * 2.2 / (h[q] + norm) for q in query))
+        assert np.allclose(index.scores(i), want)
+
+
 def test_language(spark, docs, empty):
     rows = [(i, ("the thing with this and that " if i % 2 else "der die und ein nicht für über ") * 9, "en" if i % 2 else "de") for i in range(120)]
     net = language.fit_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
