@@ -94,12 +94,8 @@ def train(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 4, rate:
     return net
 
 
-def fit_language(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> ByteNet | None:
-    """Fit on at most ``MAX_ROWS`` texts, an equal number of each language, chosen by a hash of their ids.
-
-    Each gives ``PER_TEXT`` windows spread over it. Rows without text, language or id are passed
-    over. None if nothing is left.
-    """
+def _drawn(df: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame | None:
+    """About ``MAX_ROWS`` labelled texts at most, an equal number of each language, chosen by a hash of their ids."""
     known = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().orderBy(F.desc("count")).limit(MAX_ROWS).collect()}
     if not counts:
@@ -109,8 +105,20 @@ def fit_language(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     take = F.lit(False)
     for lang, n in counts.items():
         take = take | ((F.col(lang_col) == lang) & (draw < int(min(1.0, 0.9 * each / n) * 1_000_000)))
+    return known.where(take)
+
+
+def fit_language(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> ByteNet | None:
+    """Fit on at most ``MAX_ROWS`` texts, an equal number of each language, chosen by a hash of their ids.
+
+    Each gives ``PER_TEXT`` windows spread over it. Rows without text, language or id are passed
+    over. None if nothing is left.
+    """
+    drawn = _drawn(df, text_col, lang_col, id_col)
+    if drawn is None:
+        return None
     cut = [F.substring(F.col(text_col), (F.length(text_col) * i / PER_TEXT).cast("int") + 1, F.lit(WINDOW)) for i in range(PER_TEXT)]
-    rows = known.where(take).select(F.col(lang_col).alias("lang"), F.array(*cut).alias("parts"), F.col(id_col).alias("id")).limit(MAX_ROWS).toPandas()
+    rows = drawn.select(F.col(lang_col).alias("lang"), F.array(*cut).alias("parts"), F.col(id_col).alias("id")).limit(MAX_ROWS).toPandas()
     rows = rows.sort_values("id")
     langs = sorted(set(rows["lang"]))
     x, y = [], []
@@ -122,29 +130,47 @@ def fit_language(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     return train(np.concatenate(x), np.array(y), langs) if x else None
 
 
+def sure_from(df: DataFrame, net: ByteNet, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> float:
+    """The limit of ``sure`` under which a text is in no learned language, from labelled texts left out of the fit.
+
+    Half-way from chance to the least sure of them, so that all of them stay; 0 if there are none.
+    """
+    drawn = _drawn(df, text_col, lang_col, id_col)
+    if drawn is None:
+        return 0.0
+    scored = with_language(drawn.select(F.col(text_col).alias("text")), net).where(F.col("lang_pred") != "und")
+    least = scored.agg(F.min("sure")).first()[0]
+    return 0.0 if least is None else (least + 1 / len(net.langs)) / 2
+
+
 def with_language(df: DataFrame, net: ByteNet | None, text_col: str = "text") -> DataFrame:
     """Add lang_pred and score for every whole text: the mean of its windows' probabilities.
 
-    Windows count by their letters; a text that is null or has no letter, or any text if there
-    was nothing to learn from, is ``und`` with score 0. The two replace columns of these names.
+    ``sure`` is the mean of each window's own best probability, so it stays high in a text of
+    several languages. Windows count by their letters; a text that is null or has no letter, or
+    any text if there was nothing to learn from, is ``und`` with score and sure 0. The three
+    replace columns of these names.
     """
-    df = df.drop("lang_pred", "score")
+    df = df.drop("lang_pred", "score", "sure")
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, sures = [], [], []
             for value in batch.column(at):
                 text = value.as_py()
                 if net is None or text is None or not _LETTER.search(text):
                     langs.append("und")
                     scores.append(0.0)
+                    sures.append(0.0)
                     continue
                 x = windows(text)
                 letters = _LETTERS[x].sum(axis=1)
-                p = letters[letters > 0] @ net.probabilities(x[letters > 0]) / letters.sum()
+                each = net.probabilities(x[letters > 0])
+                p = letters[letters > 0] @ each / letters.sum()
                 langs.append(net.langs[int(p.argmax())])
                 scores.append(min(1.0, float(p.max())))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
+                sures.append(min(1.0, float(letters[letters > 0] @ each.max(axis=1) / letters.sum())))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(sures, pa.float64())], [*batch.schema.names, "lang_pred", "score", "sure"])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("sure", T.DoubleType())]))

@@ -75,3 +75,14 @@ def test_stages(spark, tmp_path):
                 assert begin == at
                 at += length
             assert at == parts[0][2] if total else at <= 2048
+
+
+def test_language_keeps_clean_texts(spark):
+    parts = ["the thing with this and that ", "der nicht für über ein schon ", "què això però aquesta llengua ", "og ikke være også når blå ", "że się jest który może był "]
+    rows = [(i, parts[i % 5] * 12, str(i % 5)) for i in range(300)]
+    several, one_word = "".join(p * 60 for p in parts), "nicht " * 500
+    rows += [(1000, several, None), (1001, one_word, None), (1002, "12 34 " * 50, None), (1003, None, None)]
+    rows += [(2000 + i, p.split()[0] + " " + (p.split()[1] + " ") * 300, str(i)) for i, p in enumerate(parts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus.drop_unknown_language(spark, docs, DATA).collect()}
+    assert kept == {r[0] for r in rows} - {1002, 1003}
