@@ -21,26 +21,42 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 def _tokenise(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = wordbpe.encoder(vocabulary)
-        for batch in batches:
-            ids = [encode.ids(t.as_py(), end_id) for t in batch.column(1)]
-            route = []
-            for x in ids:  # smallest hash of two neighbouring ids: texts that share much often share it
-                wide = x.astype(np.uint64)
-                pairs = wide[:-1] << np.uint64(32) | wide[1:] if len(x) > 1 else wide
-                route.append(int(shared.mix(pairs).min() >> np.uint64(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(route, pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], ["doc_id", "route", "ids"])
+        for whole in batches:
+            for batch in shared.slices(whole, 1):
+                flat, bounds = encode.batch(batch.column(1), end_id)
+                # smallest hash of two neighbouring ids: texts that share much often share it
+                pairs = flat[:-1].astype(np.uint64) << np.uint64(32) | flat[1:]
+                hashes = shared.mix(np.append(pairs, np.uint64(0)))
+                hashes[bounds[1:] - 1] = np.uint64(shared.M64)
+                route = np.minimum.reduceat(hashes, bounds[:-1]) >> np.uint64(1)
+                ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(bounds * flat.itemsize), pa.py_buffer(flat)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(route.astype(np.int64)), ids], ["doc_id", "route", "ids"])
 
     return run
 
 
+def _counted(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids of each document: document number, id, and how often it occurs there; ordered by both."""
+    keys = np.sort(np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths) << np.uint64(32) | flat)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return (keys[first] >> np.uint64(32)).astype(np.int64), (keys[first] & np.uint64(0xFFFFFFFF)).astype(np.int64), np.diff(first, append=len(keys))
+
+
+def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column, and how many each row has."""
+    wide = column.cast(pa.large_binary())
+    at = np.frombuffer(wide.buffers()[1], np.int64, len(wide) + 1, 8 * wide.offset)
+    return np.frombuffer(wide.buffers()[2], np.uint8)[at[0] : at[-1]].view(kind), np.diff(at) // np.dtype(kind).itemsize
+
+
 def _document_frequencies(kind: str, vocab: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, docs, total = np.zeros(vocab, np.int64), 0, 0
-        for batch in batches:
-            for x in batch.column(0):
-                ids = np.frombuffer(x.as_py(), kind)
-                df[np.unique(ids)] += 1
-                docs, total = docs + 1, total + len(ids)
+        for whole in batches:
+            for batch in shared.slices(whole, 0):
+                flat, lengths = _flat(batch.column(0), kind)
+                df += np.bincount(_counted(flat, lengths)[1], minlength=vocab)
+                docs, total = docs + len(lengths), total + len(flat)
         terms = np.flatnonzero(df)
         counts = [np.concatenate([[-2, -1], terms]), np.concatenate([[docs, total], df[terms]])]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in counts], ["term", "n"])
@@ -53,12 +69,10 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray], df: np.ndarray, n_docs: int, mean: float):
         lengths = np.array([len(d) for d in docs])
-        each = [np.unique(d, return_counts=True) for d in docs]
-        distinct, tf = (np.concatenate(x) for x in zip(*each, strict=True))
-        self.n, self._cut = len(docs), np.cumsum([0, *(len(t) for t, _ in each)])
+        doc, distinct, tf = _counted(np.concatenate(docs), lengths)
+        self.n, self._cut = len(docs), np.searchsorted(doc, np.arange(len(docs) + 1))
         by_term = np.argsort(distinct, kind="stable")
-        self.docs = np.repeat(np.arange(self.n), np.diff(self._cut))[by_term]
-        term, tf = distinct[by_term].astype(np.int64), tf[by_term]
+        self.docs, term, tf = doc[by_term], distinct[by_term], tf[by_term]
         idf = np.log(1 + (n_docs - df[term] + 0.5) / (df[term] + 0.5))
         self.weights = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
         fresh = np.diff(term, prepend=-1) != 0

@@ -5,8 +5,11 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +69,17 @@ def range_of(col: Column, cuts: list[int]) -> Column:
     return F.coalesce(found, F.lit(0))
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose texts in a column have about ``size`` bytes, one row at least."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < batch.num_rows:
+        done = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, done + size, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 class WordHashes(dict):
     """64-bit hash of each word, kept per Python worker; emptied when it grows past its limit."""
 
