@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from . import shared
 
 
-def shard_by_bytes(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16) -> DataFrame:
+def shard_by_bytes(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16, range_bytes: int = shared.RANGE_BYTES) -> DataFrame:
     """Cut a table, in ascending id order, into contiguous shards of near equal bytes.
 
     A row weighs the UTF-8 bytes of its text (null: none) plus ``overhead``. Rows are put into
-    id ranges; the totals of the ranges give each range's global byte and row offset, a running
+    ranges of id, size and checksum, as many as their number asks for; the totals of the ranges give each range's global byte and row offset, a running
     sum inside the range gives each row's, and a row goes to the shard in whose equal share of
     all bytes its middle byte lies. No task sees more than one range.
 
@@ -22,17 +22,15 @@ def shard_by_bytes(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", te
     gives no rows; a row heavier than a shard's share can leave neighbours empty. Other columns
     of ``df``, whatever their names, are not read.
     """
-    spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    cuts = shared.cut_points(df, id_col, shared.n_ranges(spark))
-    sized = shared.stage(
-        df.select(
-            shared.range_of(F.col(id_col), cuts).alias("_range"),
-            F.col(id_col).alias("doc_id"),
-            (F.octet_length(text) + overhead).cast("long").alias("size"),
-            F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        )
+    rows = df.select(
+        F.col(id_col).alias("doc_id"),
+        (F.octet_length(text) + overhead).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
     )
+    order = ["doc_id", "size", "text_crc32"]
+    cut = shared.ranges(rows, [F.col(c) for c in order], F.lit(24), range_bytes)  # a row is sorted as three numbers
+    sized = shared.stage(rows.withColumn("_range", cut.index()))
     whole = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (  # a row for each range, of which there are as many as cuts + 1
@@ -45,7 +43,7 @@ def shard_by_bytes(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", te
             F.sum("_bytes").over(whole).alias("_total"),
         )
     )
-    inside = Window.partitionBy("_range").orderBy("doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         sized.withColumn("_end", F.sum("size").over(inside))
         .withColumn("_nth", F.row_number().over(inside) - 1)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import contextlib
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +22,13 @@ M64 = 0xFFFFFFFFFFFFFFFF
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (single-machine tests) a temporary one is set.
+    Only where the session names none and runs on one machine (tests) a temporary one is set.
     """
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not where:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="maskline-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(where)
@@ -37,36 +41,76 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def n_ranges(spark: SparkSession, per: int = 2) -> int:
-    """How many id ranges to form: a multiple of the shuffle partitions, 64 at least."""
-    return max(64, per * int(spark.conf.get("spark.sql.shuffle.partitions")))
+RANGE_BYTES, MOST_RANGES = 8 << 20, 50_000  # a range of rows, and how many of them at most
+DRAWN = 12  # rows that are drawn for each range
 
 
-def cut_points(df: DataFrame, col: str, n: int) -> list[int]:
-    """At most n - 1 ids that occur in ``df`` and cut it into ranges of about equal row counts.
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-    One aggregate over one integer column; its single row of n - 1 numbers is all that the
-    driver sees.
-    """
-    got = df.agg(F.percentile_approx(col, [i / n for i in range(1, n)], max(10_000, 50 * n)).alias("c")).first()
-    return sorted(set(got["c"] or []))
+
+@dataclass
+class Ranges:
+    """Cuts of a table, in the order of its key: a range holds the rows above one cut, up to and with the next."""
+
+    keys: list[Column]
+    kind: str
+    cuts: list[dict]
+    top: dict | None  # the largest key
+
+    def points(self) -> Column:
+        return F.from_json(F.lit(json.dumps(self.cuts)), f"array<{self.kind}>")  # folded once
+
+    def key(self) -> Column:
+        return F.struct(*self.keys)
+
+    def index(self) -> Column:
+        """The range of a row: how many cuts lie below its key, by a binary search (nulls are smallest)."""
+        if not self.cuts:
+            return F.lit(0)
+        points, key = self.points(), self.key()
+        steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(self.cuts).bit_length()))))
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda low, step: F.when(F.try_element_at(points, low + step) < key, low + step).otherwise(low),
+        )
+
+    def dealt(self, df: DataFrame, index: str) -> DataFrame:
+        """Every range in a partition of its own."""
+        return df.repartitionById(len(self.cuts) + 1, F.col(index))
 
 
-def range_of(col: Column, cuts: list[int]) -> Column:
-    """Index of the range that an id lies in: the number of cuts below it (null: 0).
+def ranges(df: DataFrame, keys: list[Column], weight: Column, target: int = RANGE_BYTES) -> Ranges:
+    """Cut a table into ranges of about ``target`` bytes (or a 50,000th of it, if that is more).
 
-    A binary search over the literal array of cuts, so it costs the logarithm of their number.
+    Rows are drawn with a probability in proportion to their bytes, twelve for each range, and
+    every range gets the same number of drawn bytes. The draw's keys, a few for each range, and
+    one row of totals are all that the driver sees. Rows with one id are told apart by the
+    keys after it, so that one id, or none, may hold any share of the rows.
     """
-    if not cuts:
-        return F.lit(0)
-    points = F.array(*map(F.lit, cuts))
-    steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))))
-    found = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda low, step: F.when(F.try_element_at(points, low + step) < col, low + step).otherwise(low),
-    )
-    return F.coalesce(found, F.lit(0))
+    wanted = df.select(F.struct(*keys).alias("key"), weight.alias("weight"))
+    seen = wanted.agg(F.sum("weight"), F.max("key")).first()
+    total, top = seen[0] or 0, seen[1]
+    kind, cuts = wanted.schema["key"].dataType.simpleString(), []
+    n = min(MOST_RANGES, -(-int(total) // target))
+    if n > 1:
+        step = total / (n * DRAWN)
+        drawn = [(tuple(r["key"]), max(step, float(r["weight"]))) for r in wanted.where(F.rand(17) * step < F.col("weight")).toLocalIterator()]
+        drawn.sort(key=lambda d: [(x is not None, x) for x in d[0]])
+        due, share, upto = 1, sum(w for _, w in drawn) / n, 0.0
+        for key, w in drawn:
+            upto += w
+            if upto >= due * share and key != tuple(top):
+                due = int(upto / share) + 1
+                if not cuts or cuts[-1] != key:
+                    cuts.append(key)
+    names = [f.name for f in wanted.schema["key"].dataType.fields]
+    return Ranges(keys, kind, [dict(zip(names, c, strict=True)) for c in cuts], top and top.asDict())
 
 
 def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:

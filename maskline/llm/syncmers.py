@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from . import shared
 
 K, S = 6, 2  # units in a k-mer and in its inner substrings
-UNIT = r"[^\x20\x09-\x0D]{1,16}"  # a word; longer runs without a space are cut every 16 characters
+# A word of up to 16 characters is a unit; in a longer run without a blank, each character is one.
+UNIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,16}+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]"
+ANCHORS = "array<struct<pos:int,hash:bigint>>"
 
 
 def with_syncmers(df: DataFrame, text_col: str, name: str) -> DataFrame:
@@ -17,11 +19,13 @@ def with_syncmers(df: DataFrame, text_col: str, name: str) -> DataFrame:
     A k-mer (six units, word-like) is chosen if the smallest hash of its five inner two-unit
     substrings stands first or last in it. The choice looks at the k-mer alone, so equal
     passages give equal anchors wherever they stand, and at least one of any four neighbouring
-    k-mers is chosen. A text without a chosen k-mer (all of one to five units, some of six to
-    eight) has one anchor, its whole; null, empty and blank texts have none.
+    k-mers is chosen. Anchors carry 32 bits of their k-mer's hash. A text without a chosen k-mer
+    (all of one to five units, some of six to eight) has one anchor, its whole; null, empty and
+    blank texts have none.
     """
     units, ranks, at = f"{name}_u", f"{name}_r", f"{name}_p"
     n, last = F.size(units), K - S
+    short = lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF))
     df = df.withColumn(units, F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(UNIT), F.lit(0)))
     df = df.withColumn(f"{name}_h", F.transform(units, lambda u: F.xxhash64(u)))
     df = df.withColumn(
@@ -35,68 +39,86 @@ def with_syncmers(df: DataFrame, text_col: str, name: str) -> DataFrame:
         return F.least(first, end) <= inner
 
     df = df.withColumn(at, F.filter(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))), lambda i: (n >= K) & edge(i)))
-    whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(F.array_join(units, " ")).alias("hash")))
+    whole = F.array(F.struct(F.lit(0).alias("pos"), short(F.xxhash64(F.array_join(units, " "))).alias("hash")))
     hashed = F.transform(
         at,
-        lambda i: F.struct(i.alias("pos"), F.xxhash64(*(F.get(ranks, i + j) for j in range(0, K, S))).alias("hash")),
+        lambda i: F.struct(i.alias("pos"), short(F.xxhash64(*(F.get(ranks, i + j) for j in range(0, K, S)))).alias("hash")),
     )
-    none = F.array().cast("array<struct<pos:int,hash:bigint>>")
-    df = df.withColumn(name, F.when(F.size(at) > 0, hashed).when(n > 0, whole).otherwise(none))
+    df = df.withColumn(name, F.when(F.size(at) > 0, hashed).when(n > 0, whole).otherwise(F.array().cast(ANCHORS)))
     return df.drop(units, f"{name}_h", ranks, at)
 
 
 def as_string(anchors: Column) -> Column:
-    """The hashes of the anchors in order, eight hexadecimal digits each."""
-    return F.lower(F.array_join(F.transform(anchors, lambda a: F.lpad(F.hex(a["hash"].bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), ""))
+    """The anchors in order, nine digits each: how many units it stands behind the one before, and its hash.
 
+    That step is one digit, 0 to 4, since one of any four neighbouring k-mers is chosen.
+    """
+    step = lambda a, i: a["pos"] - F.coalesce(F.get(anchors, i - 1)["pos"], F.lit(0))
+    return F.array_join(F.transform(anchors, lambda a, i: F.concat(step(a, i).cast("string"), F.lower(F.lpad(F.hex(a["hash"]), 8, "0")))), "")
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two arrays of distinct anchor hashes; two empty ones are alike."""
-    both = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - both
-    return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
 
+def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Add ``name``: how alike two texts' anchors are, 0 to 1, by positional matching.
 
-def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    Of the anchors that occur in both (each by its first place), those are matched whose step
+    to the common anchor before or after is the same in both texts, or that are the only one:
+    a passage keeps its steps wherever it stands, chance hits do not. The likeness is the
+    matched anchors over all different ones. Two texts without anchors are alike.
+    """
+    sided, once, met = f"{name}_s", f"{name}_o", f"{name}_m"
+    of = lambda c, side: F.transform(c, lambda x: F.struct(x["hash"].alias("h"), F.lit(side).alias("s"), x["pos"].alias("p")))
+    df = df.withColumn(sided, F.array_sort(F.concat(of(a, 0), of(b, 1))))
+    before = lambda i: F.get(sided, i - 1)
+    df = df.withColumn(once, F.filter(sided, lambda x, i: (i == 0) | (before(i)["h"] != x["h"]) | (before(i)["s"] != x["s"])))
+    after = lambda i: F.get(once, i + 1)
+    pairs = F.transform(once, lambda x, i: F.when(after(i)["h"] == x["h"], F.struct(x["p"].alias("p"), after(i)["p"].alias("q"))))
+    df = df.withColumn(met, F.array_sort(F.filter(pairs, lambda x: x.isNotNull())))
+    step = lambda x, y: F.coalesce((y["p"] - x["p"]) == (y["q"] - x["q"]), F.lit(False))
+    placed = F.size(F.filter(met, lambda x, i: step(F.get(met, i - 1), x) | step(x, F.get(met, i + 1)) | (F.size(met) == 1)))
+    union = F.size(once) - F.size(met)
+    return df.withColumn(name, F.when(union == 0, F.lit(1.0)).otherwise(placed / union)).drop(sided, once, met)
+
+
+def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = shared.RANGE_BYTES) -> DataFrame:
     """Fingerprint every text, its edited text, and compare it with that and with the next text.
 
     The next document is that with the next smaller id (after the smallest: the largest, nulls
     being smallest). The edited text is the text with its last floor(n/2) code points replaced
-    by the first as many of the next one. Rows are dealt to id ranges; the top row of a range
-    is also sent, as a guest, to the range above it, so one shuffle brings every row and its
-    successor together and no window is wider than a range.
+    by the first as many of the next one. Rows are dealt to ranges of about ``range_bytes``; the
+    top row of a range is also sent, as a guest, to the range above it, so one shuffle brings
+    every row and its successor together and no window is wider than a range.
 
-    Null texts count as empty; rows with equal ids follow each other in text order; one row
-    alone is its own successor; other columns of ``df`` are not read.
+    Null texts count as empty; rows with one id or none follow each other in the order of a hash
+    of their texts; one row alone is its own successor; other columns of ``df`` are not read.
     """
-    spark = df.sparkSession
     docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = df.select(F.col(id_col).alias("doc_id"))
-    top = ids.agg(F.max("doc_id")).first()[0]
-    cuts = [c for c in shared.cut_points(ids, "doc_id", shared.n_ranges(spark)) if c != top]
-    last = len(cuts)  # ranges are 0 to last, and the largest id is the top of the last
-    home = shared.range_of(F.col("doc_id"), cuts)
-    lifted = F.when(F.col("doc_id").isin(cuts), F.array(home, home + 1)) if cuts else F.when(F.lit(False), F.array(home))
-    if cuts:
-        lifted = lifted.when(F.col("doc_id") == F.lit(top), F.array(home, F.lit(0)))
-    dealt = docs.withColumn("_home", home).withColumn("_in", F.explode(lifted.otherwise(F.array(home))))
-    dealt = dealt.repartition(max(last + 1, 1), "_in")
+    docs = docs.withColumn("_tie", F.xxhash64("text"))
+    cut = shared.ranges(docs, [F.col("doc_id"), F.col("_tie")], F.octet_length("text") + 16, range_bytes)
+    dealt = docs.withColumn("_home", cut.index())
+    home, last = F.col("_home"), len(cut.cuts)
+    if last:
+        top = F.from_json(F.lit(shared.json.dumps(cut.top)), cut.kind)
+        guest = F.when(F.get(cut.points(), home) == cut.key(), home + 1).when(cut.key() == top, F.lit(0))
+        dealt = dealt.withColumn("_in", F.explode(F.when(guest.isNull(), F.array(home)).otherwise(F.array(home, guest))))
+    else:
+        dealt = dealt.withColumn("_in", home)
+    dealt = cut.dealt(dealt, "_in")
     dealt = with_syncmers(dealt, "text", "_a")
-    dealt = dealt.withColumn("_d", F.array_distinct(F.transform("_a", lambda a: a["hash"])))
-    order = Window.partitionBy("_in").orderBy((F.col("_in") != F.col("_home")).asc(), F.col("doc_id").desc_nulls_last(), "text")
+    order = Window.partitionBy("_in").orderBy((F.col("_in") != F.col("_home")).asc(), F.col("doc_id").desc_nulls_last(), F.col("_tie").desc())
     everyone = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    pair = F.struct(F.col("text").alias("t"), F.col("_d").alias("d"))
-    one = F.first(pair).over(everyone) if not cuts else F.lit(None)
+    pair = F.struct(F.col("text").alias("t"), F.col("_a").alias("a"))
+    one = F.lit(None) if last else F.first(pair).over(everyone)
     both = dealt.withColumn("_next", F.coalesce(F.lead(pair).over(order), one)).where(F.col("_in") == F.col("_home"))
     half = F.floor(F.length("text") / 2).cast("int")
     both = both.withColumn("_edited", F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("_next.t", F.lit(1), half)))
-    both = with_syncmers(both, "_edited", "_e")
+    both = with_syncmers(both, "_edited", "_e").withColumn("_n", F.col("_next.a"))
+    both = with_likeness(with_likeness(both, "_a", "_e", "near_edited"), "_a", "_n", "near_next")
     return both.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.encode("_edited", "UTF-8"), 256).alias("edited_sha256"),
         as_string(F.col("_a")).alias("fingerprint"),
         as_string(F.col("_e")).alias("edited_fingerprint"),
-        likeness(F.col("_d"), F.array_distinct(F.transform("_e", lambda a: a["hash"]))).alias("near_edited"),
-        likeness(F.col("_d"), F.col("_next.d")).alias("near_next"),
+        "near_edited",
+        "near_next",
     )

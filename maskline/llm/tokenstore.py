@@ -62,21 +62,23 @@ def _put(root: str, name: str, data: bytes) -> None:
     store.move(part, f"{path}/{name}")
 
 
-def write_tokens(df: DataFrame, root: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, chunk_ids: int = 4_000_000) -> DataFrame:
+def write_tokens(df: DataFrame, root: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, chunk_ids: int = 4_000_000, range_bytes: int = shared.RANGE_BYTES) -> DataFrame:
     """Encode every whole text and write the ids, in ascending document id, to files under ``root``.
 
-    Rows are dealt to id ranges by one shuffle and sorted there; a task streams its ranges into
+    Rows are dealt to ranges of about ``range_bytes`` by one shuffle, a task for each, and sorted
+    there; rows with one id or none are told apart by a hash of their text. A task streams its range into
     files of about ``chunk_ids`` ids, named by range and chunk, so it holds one file at a time
     and a retry rewrites the same names. Returns a row for each file: range, chunk, n_ids.
     ``root`` is a URI that pyarrow can write (file://, hdfs://, s3://).
     """
     from pyarrow import fs
 
-    cuts = shared.cut_points(df, id_col, shared.n_ranges(df.sparkSession))
+    tie = F.xxhash64(F.col(text_col))
+    cut = shared.ranges(df, [F.col(id_col).cast("long").alias("id"), tie.alias("tie")], F.coalesce(F.octet_length(text_col), F.lit(0)) + 16, range_bytes)
     store, path = fs.FileSystem.from_uri(root)
     store.create_dir(path, recursive=True)
-    docs = df.select(shared.range_of(F.col(id_col), cuts).alias("_range"), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    docs = docs.repartition(len(cuts) + 1, "_range").sortWithinPartitions("_range", F.col("_id").asc_nulls_first(), "_text")
+    docs = df.select(cut.index().alias("_range"), F.col(id_col).cast("long").alias("_id"), tie.alias("_tie"), F.col(text_col).alias("_text"))
+    docs = cut.dealt(docs, "_range").sortWithinPartitions("_range", F.col("_id").asc_nulls_first(), "_tie", "_text").drop("_tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = wordbpe.encoder(vocabulary)
@@ -87,16 +89,18 @@ def write_tokens(df: DataFrame, root: str, vocabulary: str, id_col: str = "doc_i
             return where, chunk, held
 
         done = []
-        for batch in batches:
-            for r, d, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if ids and (r != where or held >= chunk_ids):
-                    done.append(flush())
-                    chunk = chunk + 1 if r == where else 0
-                    doc_ids, ids, held = [], [], 0
-                where = r
-                doc_ids.append(d)
-                ids.append(encode.ids(text, end_id))
-                held += len(ids[-1])
+        for whole in batches:
+            for batch in shared.slices(whole, 2):
+                flat, at = encode.batch(batch.column(2), end_id)
+                for i, (r, d) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                    if ids and (r != where or held >= chunk_ids):
+                        done.append(flush())
+                        chunk = chunk + 1 if r == where else 0
+                        doc_ids, ids, held = [], [], 0
+                    where = r
+                    doc_ids.append(d)
+                    ids.append(flat[at[i] : at[i + 1]])
+                    held += len(ids[-1])
         if ids:
             done.append(flush())
         if done:
@@ -123,17 +127,17 @@ def read_tokens(spark: SparkSession, root: str) -> DataFrame:
     return files.mapInArrow(read, "range long, chunk long, doc_id long, local_start long, n_tokens long, ids_crc32 long")
 
 
-def token_store(df: DataFrame, vocabulary: str, root: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_store(df: DataFrame, vocabulary: str, root: str | None = None, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = shared.RANGE_BYTES) -> DataFrame:
     """Write a table's token files, read them back, and give each document's place and checksum.
 
     Returns doc_id, start (ids of all documents before it), n_tokens (with the end id),
     ids_crc32 (of its ids as little-endian unsigned 32-bit numbers), all as read from the files.
-    Null texts are empty; null ids come first; rows with equal ids follow in text order; an
+    Null texts are empty; null ids come first; rows with equal ids follow in the order of a hash of their texts; an
     empty table gives no files and no rows; other columns are not read.
     """
     spark = df.sparkSession
     root = root or f"{shared.shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    files = shared.stage(write_tokens(df, root, vocabulary, id_col, text_col))  # runs the writing
+    files = shared.stage(write_tokens(df, root, vocabulary, id_col, text_col, range_bytes=range_bytes))  # runs the writing
     ranges = files.groupBy("range").agg(F.sum("n_ids").alias("n"))  # as many rows as ranges
     of_range = ranges.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_r0"))
     in_range = Window.partitionBy("range").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
