@@ -152,8 +152,11 @@ def ri_orphans(spark: SparkSession, d: str) -> DataFrame:
     return star.with_parent(t(spark, d, "orders"), t(spark, d, "customer").where("c_custkey % 5 <> 0"), "o_custkey", "c_custkey", orphans=True).select("o_orderkey", "o_custkey")
 
 
-@query("""SELECT strftime(f, '%Y%m%d')::INTEGER AS "DateKey", f AS "FullDate", year(f)::INTEGER AS "Year", quarter(f)::INTEGER AS "Quarter", month(f)::INTEGER AS "Month", monthname(f) AS "MonthName", day(f)::INTEGER AS "Day", dayname(f) AS "DayName"
-FROM (SELECT unnest(generate_series(least(a, b), greatest(c, e), INTERVAL 1 DAY))::DATE AS f FROM (SELECT min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS c FROM orders), (SELECT min(l_shipdate)::DATE AS b, max(l_shipdate)::DATE AS e FROM lineitem))""")
+@query("""
+SELECT strftime(f, '%Y%m%d')::INTEGER AS "DateKey", f AS "Date", year(f)::INTEGER AS "Year", quarter(f)::INTEGER AS "Quarter", month(f)::INTEGER AS "Month",
+  monthname(f) AS "MonthName", strftime(f, '%Y-%m') AS "YearMonth", dayname(f) AS "DayOfWeek"
+FROM (SELECT unnest(generate_series(least(a, b), greatest(c, e), INTERVAL 1 DAY))::DATE AS f
+  FROM (SELECT min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS c FROM orders), (SELECT min(l_shipdate)::DATE AS b, max(l_shipdate)::DATE AS e FROM lineitem))""")
 def dim_date(spark: SparkSession, d: str) -> DataFrame:
     return star.date_dimension(t(spark, d, "orders"), "o_orderdate", t(spark, d, "lineitem"), "l_shipdate")
 
@@ -265,69 +268,160 @@ def deid_table_shift(spark: SparkSession, d: str) -> DataFrame:
     return rules.deidentify(people(spark, d), ANALYTIC, KEY)
 
 
+PLAIN = {"o_custkey": "tokenize", "o_orderpriority": {"strategy": "tokenize", "namespace": "level", "format_preserving": True}, "o_orderstatus": {"strategy": "suppress", "redaction": "*"}}
+
+
+@query(f"""
+WITH h AS (SELECT *, {hmac_sql('o_orderpriority', 'level')} AS h FROM orders),
+b AS (SELECT *, list_transform(range(0, 32), lambda j: ('0x' || substr(h, 2 * j + 1, 2))::INTEGER) AS b FROM h)
+SELECT o_orderkey, {token_sql('o_custkey', 'default')} AS o_custkey, '*' AS o_orderstatus,
+  array_to_string(list_transform(string_split(o_orderpriority, ''), lambda ch, i:
+    CASE WHEN regexp_matches(ch, '^[0-9]$') THEN (b[(i - 1) % 32 + 1] % 10)::VARCHAR
+         WHEN regexp_matches(ch, '^[A-Z]$') THEN chr((b[(i - 1) % 32 + 1] % 26 + 65)::INTEGER)
+         WHEN regexp_matches(ch, '^[a-z]$') THEN chr((b[(i - 1) % 32 + 1] % 26 + 97)::INTEGER) ELSE ch END), '') AS o_orderpriority
+FROM b""")
+def deid_defaults(spark: SparkSession, d: str) -> DataFrame:
+    """Rules that leave the namespace to its default, keep a value's shape, or put a fixed text."""
+    columns = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return rules.deidentify(columns, PLAIN | {"o_orderkey": "passthrough"}, KEY)
+
+
 @query("SELECT count(*) AS pairs, count(DISTINCT o_custkey) AS keys FROM orders JOIN customer ON o_custkey = c_custkey")
 def token_join(spark: SparkSession, d: str) -> DataFrame:
-    token = lambda c: keyed.token(F.col(c), "person")
-    a = keyed.with_key(t(spark, d, "orders"), KEY).select(token("o_custkey").alias("tk"))
-    b = keyed.with_key(t(spark, d, "customer"), KEY).select(token("c_custkey").alias("tk"))
-    return a.join(b, "tk").groupBy("tk").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"), F.count(F.lit(1)).alias("keys"))
+    """Joins on tokens as on the raw keys: distinct keys are counted first, so that each is hashed once."""
+
+    def tokens(table: str, key: str, n: str) -> DataFrame:
+        counted = t(spark, d, table).groupBy(key).agg(F.count(F.lit(1)).alias(n))
+        return keyed.with_key(counted, KEY).select(keyed.token(F.col(key), "person").alias("tk"), n)
+
+    both = tokens("orders", "o_custkey", "n").join(tokens("customer", "c_custkey", "m"), "tk")
+    return both.agg(F.coalesce(F.sum(F.col("n") * F.col("m")), F.lit(0)).alias("pairs"), F.count(F.lit(1)).alias("keys"))
 
 
 # --- D: free text ---------------------------------------------------------------------------
 
-# No look-ahead there: the areas 000, 666 and 9.. are left out by spelling the others.
-DUCK = {"US_SSN": r"\b(?:00[1-9]|0[1-9]\d|[1-578]\d\d|6[0-57-9]\d|66[0-57-9])[-.\s]?\d{2}[-.\s]?\d{4}\b"} | {k: p for k, p in text.PATTERNS.items() if k != "US_SSN"}
 
 
-def _redact_sql(put: Callable[[str], str]) -> str:
-    out = "text"
-    for name in ("EMAIL_ADDRESS", "IP_ADDRESS", "CREDIT_CARD", "PHONE_NUMBER"):
-        out = f"regexp_replace({out}, '{DUCK[name]}', '{put(name)}', 'g')"
-    return out
+def notes(spark: SparkSession, d: str) -> DataFrame:
+    """The documents, most with an identifier more: each type occurs, and URLs that hold a mail address."""
+    k = F.col("doc_id")
+    more = (
+        F.when(k % 6 == 0, F.format_string(" SSN %03d-%02d-%04d", 100 + k % 500, 10 + k % 90, k % 9973))
+        .when(k % 6 == 1, F.format_string(" see https://example.org/p/%d?q=1 now", k))
+        .when(k % 6 == 2, F.format_string(" or a%d@example.com, +1 212-555-%04d.", k, k % 9973))
+        .when(k % 6 == 3, F.format_string(" at https://example.org/u/a%d@example.com/x", k))
+        .otherwise("")
+    )
+    return t(spark, d, "documents").select("doc_id", F.concat("text", more).alias("text"))
+
+
+# The SQL engine's \b, \d and \s know ASCII only. Classes are widened; for patterns of digits,
+# letters are set between two ASCII letters first (and taken out again), so that they bound no
+# word. It has no look-ahead either: the areas 000, 666 and 9.. are left out by spelling the others.
+_AREAS = r"(?:00[1-9]|0[1-9]\d|[1-578]\d\d|6[0-57-9]\d|66[0-57-9])"
+DUCK = {n: p.replace(r"(?!000|666|9\d\d)\d{3}", _AREAS).replace(r"\d", r"\p{Nd}").replace(r"\s", r"\s\x0B\x{85}\p{Z}") for n, p in text.PATTERNS.items()}
+DIGITS = ("US_SSN", "PHONE_NUMBER", "CREDIT_CARD", "IP_ADDRESS")
+
+
+def _marked(x: str) -> str:
+    return rf"regexp_replace({x}, '([\p{{L}}\p{{M}}])', 'q\1q', 'g')"
+
+
+def _unmarked(x: str) -> str:
+    return rf"regexp_replace({x}, 'q([\p{{L}}\p{{M}}])q', '\1', 'g')"
+
+
+def matches_sql(x: str, name: str) -> str:
+    return f"regexp_matches({_marked(x) if name in DIGITS else x}, '{DUCK[name]}')"
+
 
+NOTES = """notes AS (SELECT doc_id, text || CASE doc_id % 6
+  WHEN 0 THEN printf(' SSN %03d-%02d-%04d', 100 + doc_id % 500, 10 + doc_id % 90, doc_id % 9973)
+  WHEN 1 THEN printf(' see https://example.org/p/%d?q=1 now', doc_id)
+  WHEN 2 THEN printf(' or a%d@example.com, +1 212-555-%04d.', doc_id, doc_id % 9973)
+  WHEN 3 THEN printf(' at https://example.org/u/a%d@example.com/x', doc_id) ELSE '' END AS text FROM documents)"""
+_FOUND = " UNION ALL ".join(
+    f"SELECT doc_id, '{n}' AS entity_type, {i} AS ord, regexp_extract_all({x}, '{DUCK[n]}') AS f, string_split_regex({x}, '{DUCK[n]}') AS g FROM marked"
+    for i, (n, x) in enumerate((n, "m" if n in DIGITS else "text") for n in text.PATTERNS)
+)
+_BEFORE = f"list_sum(list_transform(g[1:i], lambda v: length(CASE WHEN entity_type IN {DIGITS} THEN {_unmarked('v')} ELSE v END))) + coalesce(list_sum(list_transform(f[1:i-1], lambda v: length(v))), 0)"
+SPANS = f"""{NOTES}, marked AS (SELECT *, {_marked('text')} AS m FROM notes), found AS ({_FOUND}),
+spans AS (SELECT doc_id, entity_type, ord, a, a + length(matched) AS b, matched FROM (
+  SELECT doc_id, entity_type, ord, ({_BEFORE})::BIGINT AS a, f[i] AS matched FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM found)))"""
+MERGED = f"""{SPANS},
+runs AS (SELECT *, max(b) OVER (PARTITION BY doc_id ORDER BY a, b DESC, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM spans),
+grouped AS (SELECT *, sum((reach IS NULL OR a >= reach)::INTEGER) OVER (PARTITION BY doc_id ORDER BY a, b DESC, ord) AS k FROM runs),
+merged AS (SELECT doc_id, min(a) AS a, max(b) AS b, first(entity_type ORDER BY a, b DESC, ord) AS entity_type FROM grouped GROUP BY doc_id, k),
+placed AS (SELECT m.*, text, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS done FROM merged m JOIN notes USING (doc_id))"""
 
-@query()
+
+def _redacted_sql(put: str) -> str:
+    return f"""WITH {MERGED},
+parts AS (SELECT doc_id, string_agg(substr(text, done + 1, a - done) || {put}, '' ORDER BY a) AS head, max(b) AS b FROM placed GROUP BY doc_id)
+SELECT doc_id, md5(coalesce(head, '') || substr(text, coalesce(b, 0) + 1)) AS redacted FROM notes LEFT JOIN parts USING (doc_id)"""
+
+
+def _hmac_found(key: str = KEY) -> str:
+    inner, outer = keyed.pads(key)
+    return f"sha256({_blob(outer)} || unhex(sha256({_blob(inner)} || encode('free_text:' || entity_type || chr(31) || substr(text, a + 1, b - a)))))"
+
+
+_LABEL, _TOKEN = "'[' || entity_type || ']'", f"'[' || entity_type || ':' || left({_hmac_found()}, 12) || ']'"
+
+
+@query(f"WITH {SPANS} SELECT doc_id, string_agg(entity_type || '@' || a || '-' || b, ' ' ORDER BY a, ord) AS spans FROM spans GROUP BY doc_id")
 def text_spans(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "documents").select("doc_id", text.spans(F.col("text")).alias("spans")).where("size(spans) > 0")
+    found = text.spread(notes(spark, d)).select("doc_id", text.spans(F.col("text")).alias("s")).where("size(s) > 0")
+    shown = F.transform("s", lambda s: F.concat(s["entity_type"], F.lit("@"), s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return found.select("doc_id", F.array_join(shown, " ").alias("spans"))
 
 
-@query(f"SELECT doc_id, md5({_redact_sql(lambda n: f'[{n}]')}) AS redacted FROM documents")
+@query(_redacted_sql(_LABEL))
 def redact_label(spark: SparkSession, d: str) -> DataFrame:
-    return text.redact_column(t(spark, d, "documents"), "text").select("doc_id", F.md5("text").alias("redacted"))
+    return text.redact_column(notes(spark, d), "text").select("doc_id", F.md5("text").alias("redacted"))
 
 
-@query(f"SELECT doc_id, md5({_redact_sql(lambda n: '')}) AS redacted FROM documents")
+@query(_redacted_sql("''"))
 def redact_remove(spark: SparkSession, d: str) -> DataFrame:
-    return text.redact_column(t(spark, d, "documents"), "text", "remove", output="clean").select("doc_id", F.md5("clean").alias("redacted"))
+    return text.redact_column(notes(spark, d), "text", "remove", output="clean").select("doc_id", F.md5("clean").alias("redacted"))
 
 
-@query()
+@query(_redacted_sql(_TOKEN))
 def redact_token(spark: SparkSession, d: str) -> DataFrame:
-    return text.redact_column(keyed.with_key(t(spark, d, "documents"), KEY), "text", "token").select("doc_id", F.md5("text").alias("redacted"))
+    return text.redact_column(keyed.with_key(text.spread(notes(spark, d)), KEY), "text", "token").select("doc_id", F.md5("text").alias("redacted"))
 
 
-@query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS entity_type, sum(len(regexp_extract_all(text, '{p}')))::BIGINT AS findings FROM documents" for n, p in DUCK.items()) + ") WHERE findings > 0")
+@query(_redacted_sql(_TOKEN).replace("FROM spans)", "FROM spans WHERE entity_type IN ('US_SSN', 'EMAIL_ADDRESS', 'URL'))", 1))
+def redact_rule(spark: SparkSession, d: str) -> DataFrame:
+    """Redaction as a column's rule, for some types."""
+    rule = {"strategy": "redact_text", "replacement": "token", "entities": ["US_SSN", "EMAIL_ADDRESS", "URL"]}
+    safe = rules.deidentify(text.spread(notes(spark, d)), {"doc_id": "passthrough", "text": rule}, KEY)
+    return safe.select("doc_id", F.md5("text").alias("redacted"))
+
+
+@query(f"WITH {SPANS} SELECT entity_type, count(*) AS findings FROM spans GROUP BY entity_type")
 def entity_counts(spark: SparkSession, d: str) -> DataFrame:
-    return text.count_entities(t(spark, d, "documents"), "text")
+    return text.count_entities(notes(spark, d), "text")
 
 
-@query(" UNION ALL ".join(f"SELECT doc_id, '{n}' AS entity_type, unnest(regexp_extract_all(text, '{p}')) AS matched FROM documents" for n, p in DUCK.items()))
+@query(f"WITH {SPANS} SELECT doc_id, entity_type, a::INTEGER AS start, b::INTEGER AS \"end\", matched FROM spans")
 def finding_rows(spark: SparkSession, d: str) -> DataFrame:
-    return text.finding_rows(t(spark, d, "documents"), "doc_id", "text", include_text=True).select("doc_id", "entity_type", "matched")
+    return text.finding_rows(notes(spark, d), "doc_id", "text", include_text=True).drop("score")
 
 
 # --- E: residual scan and gate --------------------------------------------------------------
 
-RES = {"ssn": DUCK["US_SSN"], "phone": DUCK["PHONE_NUMBER"], "email": DUCK["EMAIL_ADDRESS"]}
+def _hits(table: str, columns: tuple[str, ...], head: str = "") -> str:
+    cells = (f"SELECT {head}'{c}' AS \"column\", '{n}' AS pattern, count_if({matches_sql(c, e)})::BIGINT AS hits FROM {table}" for c in columns for n, e in residual.RESIDUAL.items())
+    return "SELECT * FROM (" + " UNION ALL ".join(cells) + ") WHERE hits > 0"
 
 
-def _hits(table: str, columns: tuple[str, ...], head: str = "") -> str:
-    return "SELECT * FROM (" + " UNION ALL ".join(f"SELECT {head}'{c}' AS \"column\", '{n}' AS pattern, count_if(regexp_matches({c}, '{p}'))::BIGINT AS hits FROM {table}" for c in columns for n, p in RES.items()) + ") WHERE hits > 0"
+_FLAGS = ", ".join(f"CASE WHEN {matches_sql('text', e)} THEN '{n}' END" for n, e in residual.RESIDUAL.items())
 
 
-@query("SELECT doc_id, array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(text, '{p}') THEN '{n}' END" for n, p in RES.items()) + "], lambda x: x IS NOT NULL), ',') AS flags FROM documents")
+@query(f"WITH {NOTES} SELECT doc_id, array_to_string(list_filter([{_FLAGS}], lambda x: x IS NOT NULL), ',') AS flags FROM notes")
 def residual_flags(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "documents").select("doc_id", F.array_join(residual.flags(F.col("text")), ",").alias("flags"))
+    return notes(spark, d).select("doc_id", F.array_join(residual.flags(F.col("text")), ",").alias("flags"))
 
 
 @query(_hits("documents", ("text", "lang", "source")))
@@ -359,22 +453,43 @@ def scorecard_leaks(spark: SparkSession, d: str) -> DataFrame:
 SELECT 'tokens carry the prefix' AS "check", count_if(NOT starts_with(mrn, 'PT-')) = 0 AS passed, false AS advisory FROM safe
 UNION ALL SELECT 'years are plausible', count_if(dob < 1900 OR dob > 2100) = 0, false FROM safe
 UNION ALL SELECT 'ZIPs have three characters', count_if(length(zip) > 3) = 0, false FROM safe
-UNION ALL SELECT 'no column DateOfBirth', true, false UNION ALL SELECT 'column dob is there', true, false
+UNION ALL SELECT 'no column DateOfBirth', count_if(c = 'DateOfBirth') = 0, false FROM (SELECT unnest(json_keys(to_json(s))) AS c FROM (SELECT * FROM safe LIMIT 1) s)
+UNION ALL SELECT 'no column zip', count_if(c = 'zip') = 0, false FROM (SELECT unnest(json_keys(to_json(s))) AS c FROM (SELECT * FROM safe LIMIT 1) s)
+UNION ALL SELECT 'column dob is there', count_if(c = 'dob') > 0, false FROM (SELECT unnest(json_keys(to_json(s))) AS c FROM (SELECT * FROM safe LIMIT 1) s)
 UNION ALL SELECT 'no identifier patterns', NOT coalesce(bool_or({" OR ".join("(" + _LEAK.replace('{c}', c) + ")" for c in ("mrn", "zip", "segment"))}), false), false FROM safe)""")
 def scorecard(spark: SparkSession, d: str) -> DataFrame:
     safe = safe_people(spark, d)
-    return residual.scorecard(safe, {"people": safe}, "mrn", "PT-", "dob", "zip", ("DateOfBirth",))
+    return residual.scorecard(safe, {"people": safe}, "mrn", "PT-", "dob", "zip", ("DateOfBirth", "zip"))
+
+
+_KEPT = {"people": ("customer", "c_custkey % 7 <> 3"), "claims": ("orders", "o_custkey % 5 <> 0"), "providers": ("supplier", "true"), "events": ("events", "true")}
+_COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS rows_before, count_if({kept})::BIGINT AS rows_after FROM {source}" for n, (source, kept) in _KEPT.items())
+RECONCILED = f"""counted AS ({_COUNTS}), reconciled AS (SELECT *, CASE WHEN rows_before = rows_after THEN 'OK' ELSE 'MISMATCH' END AS state FROM counted)"""
+
+
+def _reconciled(spark: SparkSession, d: str) -> DataFrame:
+    """Four tables before and after a step that lost rows of two."""
+    before = {n: t(spark, d, source) for n, (source, _) in _KEPT.items()}
+    return residual.reconcile(before, {n: before[n].where(kept) for n, (_, kept) in _KEPT.items()})
 
 
-@query("""SELECT "table", a AS rows_before, b AS rows_after, CASE WHEN a = b THEN 'OK' ELSE 'MISMATCH' END AS state FROM (SELECT 'people' AS "table", (SELECT count(*) FROM customer) AS a, (SELECT count(*) FROM customer) AS b UNION ALL SELECT 'claims', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders WHERE o_custkey % 5 <> 0))""")
+@query(f"WITH {RECONCILED} SELECT * FROM reconciled")
 def reconcile(spark: SparkSession, d: str) -> DataFrame:
-    c = claims(spark, d)
-    return residual.reconcile({"people": people(spark, d), "claims": c}, {"people": safe_people(spark, d), "claims": c.where("patient_key % 5 <> 0")})
+    return _reconciled(spark, d)
 
 
-@query(f"SELECT (SELECT coalesce(sum(hits), 0) FROM ({_LAYER}))::BIGINT AS residual_hits, 0::BIGINT AS mismatches, (SELECT coalesce(sum(hits), 0) FROM ({_LAYER})) = 0 AS publish")
+@query(f"""WITH {RECONCILED}, totals AS (SELECT (SELECT coalesce(sum(hits), 0) FROM ({_LAYER}))::BIGINT AS residual_hits, (SELECT count(*) FROM reconciled WHERE state <> 'OK') AS mismatches)
+SELECT *, residual_hits = 0 AND mismatches = 0 AS publish FROM totals""")
 def publish_gate(spark: SparkSession, d: str) -> DataFrame:
-    return residual.gate(residual.scan_layer(_layer(spark, d)), residual.reconcile({"people": people(spark, d)}, {"people": safe_people(spark, d)}))
+    return residual.gate(residual.scan_layer(_layer(spark, d)), _reconciled(spark, d))
+
+
+@query(f"""WITH {RECONCILED}, kept AS (SELECT * FROM reconciled WHERE "table" IN ('providers', 'events')),
+totals AS (SELECT (SELECT coalesce(sum(hits), 0) FROM ({_hits('supplier', ('s_name',))}))::BIGINT AS residual_hits, (SELECT count(*) FROM kept WHERE state <> 'OK') AS mismatches)
+SELECT *, residual_hits = 0 AND mismatches = 0 AS publish FROM totals""")
+def publish_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The gate over tables that are clean and whole."""
+    return residual.gate(residual.scan(t(spark, d, "supplier")), _reconciled(spark, d).where(F.col("table").isin("providers", "events")))
 
 
 # --- F: disclosure risk ---------------------------------------------------------------------
@@ -468,9 +583,12 @@ def crosswalk(spark: SparkSession, d: str) -> DataFrame:
     return _walk(spark, d)
 
 
-@query("SELECT count(DISTINCT c_name) AS tokens, 0::BIGINT AS unknown_tokens, true AS passes FROM customer")
+@query(f"""WITH {PEOPLE}, {WALK}, {SAFE}, known AS (SELECT token FROM walk WHERE patient_key % 10 <> 0), seen AS (SELECT DISTINCT mrn AS token FROM safe),
+n AS (SELECT (SELECT count(*) FROM seen) AS tokens, (SELECT count(*) FROM seen ANTI JOIN known USING (token)) AS unknown_tokens)
+SELECT *, unknown_tokens = 0 AS passes FROM n""")
 def crosswalk_parity(spark: SparkSession, d: str) -> DataFrame:
-    return vault.parity(safe_people(spark, d), _walk(spark, d), "mrn")
+    """A crosswalk that lacks every tenth person."""
+    return vault.parity(safe_people(spark, d), _walk(spark, d).where("patient_key % 10 <> 0"), "mrn")
 
 
 @query(f"WITH {PEOPLE}, {WALK} SELECT token, patient_key, mrn, dob FROM walk WHERE patient_key IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
@@ -503,7 +621,7 @@ def safe_facts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {CLAIMS} SELECT round(sum(billed), 2)::DOUBLE AS total_billed, round(sum(paid), 2)::DOUBLE AS total_paid, round(count_if(status = 'F') / count(*), 6) AS denial_rate, count(*) AS n_claims FROM claims")
 def kpi_claims(spark: SparkSession, d: str) -> DataFrame:
-    out = claims(spark, d).agg(*star.claim_measures(None, "billed", "paid", F.col("status") == "F"))
+    out = claims(spark, d).agg(*star.claim_measures("billed", "paid", F.col("status") == "F"))
     return out.withColumns({c: F.col(c).cast("double") for c in ("total_billed", "total_paid")})
 
 
@@ -517,20 +635,25 @@ def kpi_score(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "events").groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("avg_score"))
 
 
+_R = star.Relationship
+STAR = [  # the customer's nation is active, the supplier's a second role
+    _R("order", "l_orderkey", "orders", "o_orderkey"), _R("customer", "o_custkey", "customer", "c_custkey"), _R("nation", "customer_c_nationkey", "nation", "n_nationkey"),
+    _R("region", "nation_n_regionkey", "region", "r_regionkey"), _R("supplier", "l_suppkey", "supplier", "s_suppkey"),
+    _R("supplier_nation", "supplier_s_nationkey", "nation", "n_nationkey", active=False),
+]
+
+
 @query("SELECT r_name, count(*) AS n_orders, round(sum(o_totalprice), 0) AS billed FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def star_by_region(spark: SparkSession, d: str) -> DataFrame:
-    j = t(spark, d, "orders").join(t(spark, d, "customer"), F.expr("o_custkey = c_custkey"), "left").join(t(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"), "left")
-    j = j.join(t(spark, d, "region"), F.expr("n_regionkey = r_regionkey"), "left")
-    return j.groupBy("r_name").agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 0).alias("billed"))
+    j = star.star_join(t(spark, d, "orders"), {n: t(spark, d, n) for n in ("customer", "nation", "region")}, STAR[1:4])
+    return j.groupBy(F.col("region_r_name").alias("r_name")).agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 0).alias("billed"))
 
 
 @query("SELECT a.n_name AS customer_nation, b.n_name AS supplier_nation, count(*) AS n_lines FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation a ON c_nationkey = a.n_nationkey LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation b ON s_nationkey = b.n_nationkey GROUP BY ALL")
 def star_role_playing(spark: SparkSession, d: str) -> DataFrame:
-    n = t(spark, d, "nation")
-    j = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.expr("l_orderkey = o_orderkey"), "left").join(t(spark, d, "customer"), F.expr("o_custkey = c_custkey"), "left").join(t(spark, d, "supplier"), F.expr("l_suppkey = s_suppkey"), "left")
-    j = j.join(n.select(F.col("n_nationkey").alias("a"), F.col("n_name").alias("customer_nation")), F.expr("c_nationkey = a"), "left")
-    j = j.join(n.select(F.col("n_nationkey").alias("b"), F.col("n_name").alias("supplier_nation")), F.expr("s_nationkey = b"), "left")
-    return j.groupBy("customer_nation", "supplier_nation").agg(F.count(F.lit(1)).alias("n_lines"))
+    links = [_R(r.role, "order_o_custkey" if r.role == "customer" else r.from_column, r.dimension, r.to_column, r.active) for r in STAR if r.role != "region"]
+    j = star.star_join(t(spark, d, "lineitem"), {n: t(spark, d, n) for n in ("orders", "customer", "nation", "supplier")}, links, ("supplier_nation",))
+    return j.groupBy(F.col("nation_n_name").alias("customer_nation"), F.col("supplier_nation_n_name").alias("supplier_nation")).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 @query(f"WITH {PEOPLE}, {SAFE} SELECT zip, age, segment, count(*) AS n_people FROM safe GROUP BY ALL")
@@ -557,11 +680,11 @@ def cls_columns(spark: SparkSession, d: str) -> DataFrame:
 # --- I: detector quality --------------------------------------------------------------------
 
 _RATES = "round(coalesce(tp / nullif(tp + fp, 0), 1.0), 4) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 1.0), 4) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 1.0), 4) AS f1, tp + fn AS support"
-_FLAGGED = " OR ".join(f"regexp_matches(text, '{p}')" for p in DUCK.values())
+_FLAGGED = " OR ".join(matches_sql("text", n) for n in DUCK)
 
 
 def _flagged(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "documents").select("doc_id", text.any_match(F.col("text"), [text.java(p) for p in text.PATTERNS.values()]).alias("flagged"))
+    return text.spread(t(spark, d, "documents")).select("doc_id", text.any_entity(F.col("text")).alias("flagged"))
 
 
 @query(f"WITH p AS (SELECT doc_id FROM documents WHERE {_FLAGGED}), g AS (SELECT doc_id FROM labels WHERE toxic = 1), c AS (SELECT (SELECT count(*) FROM p SEMI JOIN g USING (doc_id)) AS tp, (SELECT count(*) FROM p ANTI JOIN g USING (doc_id)) AS fp, (SELECT count(*) FROM g ANTI JOIN p USING (doc_id)) AS fn) SELECT tp, fp, fn, {_RATES} FROM c")
@@ -575,25 +698,54 @@ def eval_flags(spark: SparkSession, d: str) -> DataFrame:
     return quality.evaluate_flags(both, F.col("flagged"), F.col("quality") == 0)
 
 
-@query()
+_COMMON = "greatest(0, least(p[i + 1].b, g[j].b) - greatest(p[i + 1].a, g[j].a))"
+_SHARE = f"CASE WHEN p[i + 1].t = g[j].t THEN {_COMMON} / ((p[i + 1].b - p[i + 1].a) + (g[j].b - g[j].a) - {_COMMON}) ELSE -1 END"
+_BEST = f"list_sort(list_filter(list_transform(range(1, len(g) + 1), lambda j: {{'s': -({_SHARE}), 'i': j}}), lambda c: c.s <= -0.5 AND NOT list_contains(used, c.i)))[1]"
+
+
+@query(f"""WITH RECURSIVE {SPANS},
+predicted AS (SELECT doc_id, list({{'a': a, 'b': b, 't': entity_type}} ORDER BY a, b, entity_type) AS p FROM spans GROUP BY doc_id),
+golden AS (SELECT doc_id, list({{'a': a + doc_id % 3, 'b': b + 1, 't': entity_type}} ORDER BY a + doc_id % 3, b, entity_type) AS g FROM spans WHERE entity_type <> 'CREDIT_CARD' GROUP BY doc_id),
+step AS (SELECT doc_id, p, coalesce(g, []) AS g, 0 AS i, []::BIGINT[] AS used FROM predicted LEFT JOIN golden USING (doc_id)
+  UNION ALL SELECT doc_id, p, g, i + 1, CASE WHEN best IS NULL THEN used ELSE list_append(used, best.i) END FROM (SELECT *, {_BEST} AS best FROM step WHERE i < len(p))),
+c AS (SELECT sum(len(used))::BIGINT AS tp, sum(len(p) - len(used))::BIGINT AS fp, sum(len(g) - len(used))::BIGINT AS fn FROM step WHERE i = len(p))
+SELECT tp, fp, fn, {_RATES} FROM c""")
 def eval_spans(spark: SparkSession, d: str) -> DataFrame:
-    found = text.finding_rows(t(spark, d, "documents"), "doc_id", "text")
-    gold = found.where("entity_type <> 'CREDIT_CARD'").withColumn("end", F.col("end") + 1)
-    return quality.evaluate_spans(found, gold, "doc_id")
+    """The findings against themselves, moved a little and without cards."""
+    found = text.finding_rows(notes(spark, d), "doc_id", "text")
+    moved = found.withColumns({"start": F.col("start") + (F.col("doc_id") % 3).cast("int"), "end": F.col("end") + 1})
+    return quality.evaluate_spans(found, moved.where("entity_type <> 'CREDIT_CARD'"), "doc_id")
 
 
 # --- J: audit -------------------------------------------------------------------------------
 
 
-@query()
+LEDGER = {"people": ("passthrough", 3, "generalize", 3, "suppress", 1, "tokenize", 1), "claims": ("passthrough", 2, "suppress", 6)}
+_USED = {n: "{" + ",".join(f'"{u[i]}":{u[i + 1]}' for i in sorted(range(0, len(u), 2), key=lambda i: u[i])) + "}" for n, u in LEDGER.items()}
+_BOOKS: dict[str, dict[str, rules.Rule]] = {"people": STRICT, "claims": {"claim_key": "passthrough", "patient_key": "passthrough"}}
+_BOOKED = " UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", count(*) AS rows_in, count(*) AS rows_out, '{_USED[n]}' AS strategies, '{ledger.rules_hash(_BOOKS)}' AS rules_hash, 'v1' AS key_version, 'pipeline' AS actor FROM {source}"
+    for n, source in (("people", "customer"), ("claims", "orders"))
+)
+
+
+@query(_BOOKED)
 def run_ledger(spark: SparkSession, d: str) -> DataFrame:
-    counts = residual.reconcile({"people": people(spark, d)}, {"people": safe_people(spark, d)}).select("table", F.col("rows_before").alias("rows_in"), F.col("rows_after").alias("rows_out"))
-    return ledger.run_rows(counts, {"people": STRICT}, {"people": people(spark, d).columns}, "pipeline", "v1", datetime(2025, 1, 1))
+    before = {"people": people(spark, d), "claims": claims(spark, d)}
+    after = {n: rules.deidentify(df, _BOOKS[n], KEY) for n, df in before.items()}
+    counts = residual.reconcile(before, after).select("table", F.col("rows_before").alias("rows_in"), F.col("rows_after").alias("rows_out"))
+    return ledger.run_rows(counts, _BOOKS, {n: df.columns for n, df in before.items()}, "pipeline", "v1", datetime(2025, 1, 1)).drop("at")
 
 
-@query("""SELECT 'people' AS "table", c AS "column", s AS state FROM (VALUES ('patient_key', 'classified'), ('mrn', 'classified'), ('zip', 'classified'), ('age', 'classified'), ('dob', 'classified'), ('nation', 'classified'), ('segment', 'classified'), ('balance', 'defaulted'), ('gender', 'missing')) v(c, s)""")
+_CELLS = " UNION ALL ".join(f"SELECT '{c}' AS c, count(*) AS n_rows, count({c}) AS n_known FROM people" for c in ("patient_key", "mrn", "zip", "age", "dob", "segment", "nation", "balance"))
+
+
+@query(f"""WITH {PEOPLE}, live AS ({_CELLS}), ruled AS (SELECT unnest([{', '.join(repr(c) for c in (*STRICT, 'gender'))}]) AS c)
+SELECT 'people' AS "table", c AS "column", CASE WHEN n_rows IS NULL THEN 'missing' WHEN ruled.c IS NULL THEN 'defaulted' ELSE 'classified' END AS state, n_rows, n_known
+FROM live FULL JOIN ruled USING (c)""")
 def coverage(spark: SparkSession, d: str) -> DataFrame:
-    live = rules.columns_frame(spark, {"people": people(spark, d).columns + ["_ingested_at"]})
+    """What the rules say of each column, with its rows and known values."""
+    live = rules.column_counts({"people": people(spark, d).withColumn("_ingested_at", F.current_timestamp())})
     return rules.coverage(live, rules.columns_frame(spark, {"people": [*STRICT, "gender"]}))
 
 
@@ -606,30 +758,99 @@ def expired(spark: SparkSession, d: str) -> DataFrame:
 # --- K: synthetic load ----------------------------------------------------------------------
 
 
-@query("SELECT value, weight, (high - weight)::BIGINT AS low, high::BIGINT AS high FROM (SELECT p_brand AS value, least(count(*), 50)::BIGINT AS weight, sum(least(count(*), 50)) OVER (ORDER BY p_brand) AS high FROM part GROUP BY p_brand)")
+def draw_sql(seed: int, name: str, below: str | int) -> str:
+    return f"(('0x' || left(md5('{seed}|{name}|' || id), 15))::BIGINT % {below})"
+
+
+def laid_out_sql(values: str, value: str, weight: str) -> str:
+    return f"SELECT *, sum({weight}) OVER (ORDER BY left(md5({value}::VARCHAR), 2), {value}) AS high FROM ({values})"
+
+
+def pool_sql(table: str, column: str) -> str:
+    weights = f"SELECT {column} AS value, least(count(*), 50)::BIGINT AS weight FROM {table} WHERE trim({column}::VARCHAR) <> '' GROUP BY {column}"
+    return f"SELECT value, weight, (high - weight)::BIGINT AS low, high::BIGINT AS high FROM ({laid_out_sql(weights, 'value', 'weight')})"
+
+
+def made_sql(existing: str, key: str, seed: int, keys: dict[str, tuple[str, str]], pools: dict[str, tuple[str, str]], columns: str) -> str:
+    """Rows of a generator: numbered, with foreign keys and pool values joined by their draws."""
+    parts = [f"base AS (SELECT i AS id, (SELECT coalesce(max({key}), 0) FROM {existing}) + i + 1 AS new_key FROM range((SELECT count(*) FROM {existing})) r(i))"]
+    joins, shown = [], []
+    for name, (table, column) in keys.items():
+        parts.append(f"k_{name} AS ({laid_out_sql(f'SELECT DISTINCT {column} AS value, 1 AS one FROM {table} WHERE {column} IS NOT NULL', 'value', 'one')})")
+        joins.append(f'LEFT JOIN k_{name} ON k_{name}.high - 1 = {draw_sql(seed, name, f"(SELECT count(*) FROM k_{name})")}')
+        shown.append(f'k_{name}.value AS "{name}"')
+    for name, (table, column) in pools.items():
+        parts.append(f"p_{name} AS ({pool_sql(table, column)})")
+        drawn = draw_sql(seed, name, f"(SELECT max(high) FROM p_{name})")
+        joins.append(f"LEFT JOIN p_{name} ON {drawn} >= p_{name}.low AND {drawn} < p_{name}.high")
+        shown.append(f'p_{name}.value AS "{name}"')
+    return f"WITH {PEOPLE}, {', '.join(parts)}, made AS (SELECT id, new_key, {', '.join(shown)} FROM base {' '.join(joins)}) SELECT {columns} FROM made"
+
+
+def day_sql(seed: int, name: str, span: tuple) -> str:
+    return f"(DATE '{span[0]}' + {draw_sql(seed, name, (span[1] - span[0]).days + 1)}::INTEGER)::DATE"
+
+
+def _sources(spark: SparkSession, d: str, keys: dict[str, tuple[str, str]]) -> dict[str, synth.ForeignKey]:
+    return {name: (people(spark, d) if table == "people" else t(spark, d, table), column) for name, (table, column) in keys.items()}
+
+
+@query(pool_sql("part", "p_brand"))
 def gen_pool(spark: SparkSession, d: str) -> DataFrame:
     return synth.pool(t(spark, d, "part"), "p_brand")
 
 
-@query()
+_P_KEYS, _P_POOLS = {"PCPProviderKey": ("supplier", "s_suppkey")}, {"Gender": ("people", "segment"), "Race": ("part", "p_brand"), "Ethnicity": ("part", "p_size"), "ZIP": ("people", "zip")}
+_FIRST, _LAST = (f"{_list(v)}[{draw_sql(42, n, 16)} + 1]" for n, v in (("FirstName", strategies.FIRST_NAMES), ("LastName", strategies.LAST_NAMES)))
+
+
+@query(made_sql("customer", "c_custkey", 42, _P_KEYS, _P_POOLS, f"""new_key AS "PatientKey", new_key + 500000 AS "PatientDurableKey", printf('MRN%08d', new_key) AS "MRN",
+{_FIRST} AS "FirstName", {_LAST} AS "LastName", {_FIRST} || ' ' || {_LAST} AS "PatientName", {day_sql(42, 'DateOfBirth', synth.BORN)} AS "DateOfBirth",
+"Gender", "Race", "Ethnicity", "ZIP", "PCPProviderKey", true AS "_IsCurrent", DATE '2015-01-01' AS "EffectiveDate", DATE '9999-12-31' AS "ExpirationDate" """))
 def gen_patients(spark: SparkSession, d: str) -> DataFrame:
-    c = t(spark, d, "customer")
-    return synth.patients(c, "c_custkey", c.count(), {"segment": synth.pool(c, "c_mktsegment")})
+    pools = {name: synth.pool(source, column) for name, (source, column) in _sources(spark, d, _P_POOLS).items()}
+    return synth.patients(t(spark, d, "customer"), "c_custkey", pools, (t(spark, d, "supplier"), "s_suppkey"))
 
 
-@query()
+_C_KEYS = {
+    "PatientKey": ("customer", "c_custkey"), "BillingProviderKey": ("supplier", "s_suppkey"), "RenderingProviderKey": ("supplier", "s_suppkey"),
+    "PayerKey": ("nation", "n_nationkey"), "ProcedureKey": ("part", "p_partkey"), "DiagnosisKey": ("part", "p_size"),
+}
+_STATUS = "(SELECT CASE o_orderstatus WHEN 'F' THEN 'Paid' WHEN 'O' THEN 'Denied' ELSE 'Pending' END AS status FROM orders)"
+_BILLED = f"(7500 + {draw_sql(43, 'BilledAmount', 512501)})"
+_ALLOWED = f"(({_BILLED} * (450000 + {draw_sql(43, 'AllowedAmount', 450001)}) + 500000) // 1000000)"
+_PAID = f"""(CASE WHEN lower("ClaimStatus") = 'paid' THEN {_ALLOWED} ELSE ({_ALLOWED} * {draw_sql(43, 'PaidAmount', 800001)} + 500000) // 1000000 END)"""
+_CENTS = ", ".join(f'({x} / 100)::DECIMAL(12,2) AS "{n}"' for n, x in (("BilledAmount", _BILLED), ("AllowedAmount", _ALLOWED), ("PaidAmount", _PAID)))
+
+
+@query(made_sql("orders", "o_orderkey", 43, _C_KEYS, {"ClaimStatus": (_STATUS, "status")}, f"""new_key AS "ClaimKey", {', '.join(f'"{k}"' for k in _C_KEYS)}, {day_sql(43, 'ServiceDate', synth.SERVED)} AS "ServiceDate", {_CENTS}, "ClaimStatus" """))
 def gen_claims(spark: SparkSession, d: str) -> DataFrame:
-    o = t(spark, d, "orders")
-    return synth.claims(o, "o_orderkey", o.count(), t(spark, d, "customer"), "c_custkey")
+    o, s = t(spark, d, "orders"), F.col("o_orderstatus")
+    status = o.select(F.when(s == "F", "Paid").when(s == "O", "Denied").otherwise("Pending").alias("status"))
+    return synth.claims(o, "o_orderkey", _sources(spark, d, _C_KEYS), synth.pool(status, "status"))
+
+
+_E_KEYS = {
+    "PatientKey": ("customer", "c_custkey"), "AttendingProviderKey": ("supplier", "s_suppkey"), "ReferringProviderKey": ("supplier", "s_suppkey"),
+    "DepartmentKey": ("nation", "n_nationkey"), "LocationKey": ("region", "r_regionkey"), "DiagnosisKey": ("part", "p_size"),
+}
+_TYPE = "(SELECT CASE event_type WHEN 'click' THEN 'Inpatient' ELSE event_type END AS kind FROM events)"
 
 
-@query()
+@query(made_sql("events", "event_id", 44, _E_KEYS, {"EncounterType": (_TYPE, "kind")}, f"""new_key AS "EncounterKey", "PatientKey", "AttendingProviderKey",
+CASE WHEN {draw_sql(44, 'referred', 5)} >= 2 THEN "ReferringProviderKey" END AS "ReferringProviderKey", "DepartmentKey", "LocationKey", "DiagnosisKey", {day_sql(44, 'EncounterDate', synth.SERVED)} AS "EncounterDate",
+"EncounterType", (CASE WHEN lower("EncounterType") = 'inpatient' THEN {draw_sql(44, 'LengthOfStay', 14)} + 1 ELSE 0 END)::INTEGER AS "LengthOfStay" """))
 def gen_encounters(spark: SparkSession, d: str) -> DataFrame:
     e = t(spark, d, "events")
-    return synth.encounters(e, "event_id", e.count(), t(spark, d, "customer"), "c_custkey", t(spark, d, "supplier"), "s_suppkey")
+    kinds = e.select(F.when(F.col("event_type") == "click", "Inpatient").otherwise(F.col("event_type")).alias("kind"))
+    return synth.encounters(e, "event_id", _sources(spark, d, _E_KEYS), synth.pool(kinds, "kind"))
+
+
+_R_KEYS = {"PatientKey": ("customer", "c_custkey"), "ProviderKey": ("supplier", "s_suppkey")}
 
 
-@query()
+@query(made_sql("events", "event_id", 45, _R_KEYS, {"RiskModel": ("events", "event_type")}, f"""new_key AS "RiskScoreKey", "PatientKey", "ProviderKey", "RiskModel",
+(100 + {draw_sql(45, 'RiskScore', 2401)}) / 1000 AS "RiskScore", {day_sql(45, 'ScoreDate', synth.SERVED)} AS "ScoreDate" """))
 def gen_risk(spark: SparkSession, d: str) -> DataFrame:
     e = t(spark, d, "events")
-    return synth.risk_scores(e, "event_id", e.count(), t(spark, d, "customer"), "c_custkey")
+    return synth.risk_scores(e, "event_id", _sources(spark, d, _R_KEYS), synth.pool(e, "event_type"))

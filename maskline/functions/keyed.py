@@ -27,7 +27,9 @@ def pads(key: str) -> tuple[bytes, bytes]:
 
 
 def with_key(df: DataFrame, key: str) -> DataFrame:
-    """Attach the prepared key's two columns (one broadcast row; no shuffle)."""
+    """Attach the prepared key's two columns (one broadcast row; no shuffle). A frame that has columns of these names is refused."""
+    if taken := {INNER, OUTER} & {c.lower() for c in df.columns}:
+        raise ValueError(f"column names {sorted(taken)} are kept for the key")
     inner, outer = pads(key)
     spark: SparkSession = df.sparkSession
     row = spark.createDataFrame([(bytearray(inner), bytearray(outer))], f"{INNER} binary, {OUTER} binary")

@@ -18,6 +18,15 @@ PATTERNS = {
     "IP_ADDRESS": r"\b(?:\d{1,3}\.){3}\d{1,3}\b",
     "URL": r"\bhttps?://[^\s]+\b",
 }
+# What a text must hold for a match of a type to be possible: a cheap look before the pattern.
+HINTS = {
+    "US_SSN": r"\p{Nd}{3}",
+    "PHONE_NUMBER": r"\p{Nd}{3}",
+    "EMAIL_ADDRESS": "@",
+    "CREDIT_CARD": r"(?:\p{Nd}[ -]?){13}",
+    "IP_ADDRESS": r"\p{Nd}\.\p{Nd}",
+    "URL": "://",
+}
 SPAN = "struct<entity_type:string,start:int,end:int,score:double>"
 
 
@@ -26,21 +35,32 @@ def java(pattern: str) -> str:
     return "(?U)" + pattern
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table of few splits to all cores, before work on its texts that costs far more than moving them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if not df.isStreaming and df.rdd.getNumPartitions() < cores // 2 else df
+
+
+def hinted(text: Column, name: str) -> Column:
+    """Whether a text may hold a match of a type at all."""
+    hint = HINTS[name]
+    return text.contains(hint) if hint in ("@", "://") else text.rlike(hint)
+
+
 def _of_type(text: Column, name: str) -> Column:
     """Spans of one type. Gaps and matches alternate; their running lengths give the offsets."""
     found = F.regexp_extract_all(text, F.lit(java(PATTERNS[name])), F.lit(0))
     gaps = F.split(text, java(PATTERNS[name]), -1)
 
-    def add(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(F.get(found, i))
+    def add(state: Column, x: Column) -> Column:  # x: a gap and the match behind it (none behind the last)
+        start = state["at"] + F.length(x["0"])
+        end = start + F.length(x["1"])
         span = F.struct(F.lit(name).alias("entity_type"), start.alias("start"), end.alias("end"), F.lit(1.0).alias("score"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        return F.when(x["1"].isNull(), state).otherwise(F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans")))
 
     none = F.array().cast(f"array<{SPAN}>")
     state = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    folded = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), state, add, lambda s: s["spans"])
-    return F.when(text.rlike(java(PATTERNS[name])), folded).otherwise(none)
+    return F.when(hinted(text, name), F.aggregate(F.arrays_zip(gaps, found), state, add, lambda s: s["spans"])).otherwise(none)
 
 
 def spans(text: Column, entities: tuple[str, ...] = tuple(PATTERNS), score_threshold: float = 0.35) -> Column:
@@ -68,8 +88,8 @@ def merge(found: Column) -> Column:
     return F.aggregate(ordered, F.array().cast(f"array<{SPAN}>"), add)
 
 
-def redact(text: Column, found: Column, replacement: str = "label") -> Column:
-    """Text with its merged spans replaced: ``label`` [TYPE], ``token`` [TYPE:hex] (needs the key), ``remove``."""
+def redact(text: Column, found: Column, replacement: str = "label", namespace: str = "free_text") -> Column:
+    """Text with its merged spans replaced: ``label`` [TYPE], ``token`` [TYPE:hex] (needs the key), ``remove``. Null stays null."""
     if replacement not in ("label", "token", "remove"):
         raise ValueError(f"unknown replacement {replacement}")
 
@@ -79,43 +99,50 @@ def redact(text: Column, found: Column, replacement: str = "label") -> Column:
         if replacement == "label":
             return F.concat(F.lit("["), s["entity_type"], F.lit("]"))
         value = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        message = F.encode(F.concat(F.lit("free_text:"), s["entity_type"], F.lit(keyed.SEPARATOR), value), "UTF-8")
+        message = F.encode(F.concat(F.lit(namespace + ":"), s["entity_type"], F.lit(keyed.SEPARATOR), value), "UTF-8")
         inner = F.unhex(F.sha2(F.concat(F.col(keyed.INNER), message), 256))
         return F.concat(F.lit("["), s["entity_type"], F.lit(":"), F.substring(F.sha2(F.concat(F.col(keyed.OUTER), inner), 256), 1, 12), F.lit("]"))
 
-    def add(state: Column, s: Column) -> Column:
+    def add(state: Column, s: Column) -> Column:  # pieces are joined once, at the end
         kept = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(s["end"].alias("at"), F.concat(state["out"], kept, put(s)).alias("out"))
+        return F.struct(s["end"].alias("at"), F.concat(state["out"], F.array(kept, put(s))).alias("out"))
 
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate(found, state, add, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(found) > 0, whole).otherwise(text)
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    tail = lambda s: F.substring(text, s["at"] + 1, F.length(text))
+    whole = F.aggregate(found, state, add, lambda s: F.array_join(F.array_append(s["out"], tail(s)), ""))
+    return F.when(text.isNotNull(), whole)
 
 
-def redact_column(df: DataFrame, column: str, replacement: str = "label", output: str | None = None, entities: tuple[str, ...] = tuple(PATTERNS)) -> DataFrame:
+def redact_column(df: DataFrame, column: str, replacement: str = "label", output: str | None = None, entities: tuple[str, ...] = tuple(PATTERNS), score_threshold: float = 0.35) -> DataFrame:
     """Redact a text column in place or into ``output``; for ``token`` the frame must carry the key.
 
-    Only the types asked for are searched for. Merging is a projection of its own, so the spans
-    of a row are found once.
+    Only the types asked for are searched for. Rows, and all other columns, stay as they are.
     """
-    held = df.withColumn("_found", merge(spans(F.col(column), entities)))
-    return held.withColumn(output or column, redact(F.col(column), F.col("_found"), replacement)).drop("_found")
+    value = F.col(f"`{column}`")
+    return spread(df).withColumn(output or column, redact(value, merge(spans(value, entities, score_threshold)), replacement))
 
 
 def count_entities(df: DataFrame, column: str, sample_limit: int | None = None) -> DataFrame:
     """Number of findings of each type that occurs, over the whole column."""
-    df = df.limit(sample_limit) if sample_limit else df
-    sums = df.agg(*(F.sum(F.regexp_count(F.col(column), F.lit(java(p)))).alias(e) for e, p in PATTERNS.items()))
+    df, value = spread(df.limit(sample_limit) if sample_limit else df), F.col(f"`{column}`")
+    sums = df.agg(*(F.sum(F.when(hinted(value, e), F.regexp_count(value, F.lit(java(p))))).alias(e) for e, p in PATTERNS.items()))
     pairs = F.array(*(F.struct(F.lit(e).alias("entity_type"), F.col(e).cast("long").alias("findings")) for e in PATTERNS))
     return sums.select(F.inline(pairs)).where("findings > 0")
 
 
 def finding_rows(df: DataFrame, id_col: str, column: str, include_text: bool = False) -> DataFrame:
     """A row for each finding, with its text only when asked for."""
-    rows = df.select(id_col, F.col(column).alias("_t"), F.explode(spans(F.col(column))).alias("_s"))
-    shown = [F.substring("_t", F.col("_s.start") + 1, F.col("_s.end") - F.col("_s.start")).alias("matched")] if include_text else []
-    return rows.select(id_col, "_s.entity_type", "_s.start", "_s.end", "_s.score", *shown)
+    value = F.col(f"`{column}`")
+    found = spread(df).select(F.col(id_col).alias("i"), value.alias("t"), F.explode(spans(value)).alias("s"))
+    shown = [F.substring("t", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("matched")] if include_text else []
+    return found.select(F.col("i").alias(id_col), "s.entity_type", "s.start", "s.end", "s.score", *shown)
 
 
 def any_match(text: Column, patterns: list[str]) -> Column:
+    """Whether a text matches one of the patterns, which are used as they stand."""
     return reduce(lambda a, b: a | b, (text.rlike(p) for p in patterns))
+
+
+def any_entity(text: Column) -> Column:
+    """Whether a text holds a finding of any type."""
+    return reduce(lambda a, b: a | b, (hinted(text, e) & text.rlike(java(p)) for e, p in PATTERNS.items()))

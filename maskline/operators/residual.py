@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import PATTERNS, any_match, java
+from ..functions.text import PATTERNS, any_match, hinted, java, spread
 
-RESIDUAL = {"ssn": PATTERNS["US_SSN"], "phone": PATTERNS["PHONE_NUMBER"], "email": PATTERNS["EMAIL_ADDRESS"]}
+RESIDUAL = {"ssn": "US_SSN", "phone": "PHONE_NUMBER", "email": "EMAIL_ADDRESS"}
 # The scorecard's own, anchored patterns.
 LEAKS = [r"^\d{3}-\d{2}-\d{4}$", r"^(\+?1[-. ]?)?\(?\d{3}\)?[-. ]?\d{3}[-. ]?\d{4}$", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"]
 
@@ -19,9 +19,14 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def _holds(value: Column, name: str) -> Column:
+    """Whether a value holds a residual pattern; most are passed over at a cheap look."""
+    return hinted(value, RESIDUAL[name]) & value.rlike(java(PATTERNS[RESIDUAL[name]]))
+
+
 def flags(value: Column) -> Column:
     """Names of the patterns that a value holds."""
-    return F.filter(F.array(*(F.when(value.rlike(java(p)), F.lit(n)) for n, p in RESIDUAL.items())), lambda x: x.isNotNull())
+    return F.filter(F.array(*(F.when(_holds(value, n), F.lit(n)) for n in RESIDUAL)), lambda x: x.isNotNull())
 
 
 def scan(df: DataFrame, sample_limit: int | None = None) -> DataFrame:
@@ -30,7 +35,7 @@ def scan(df: DataFrame, sample_limit: int | None = None) -> DataFrame:
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, pattern string, hits long")
     pairs = [(c, n) for c in columns for n in RESIDUAL]
-    sums = df.agg(*(F.sum(F.when(F.col(c).rlike(java(RESIDUAL[n])), 1).otherwise(0)).cast("long").alias(f"h{i}") for i, (c, n) in enumerate(pairs)))
+    sums = spread(df.select(*(F.col(f"`{c}`") for c in columns))).agg(*(F.count_if(_holds(F.col(f"`{c}`"), n)).alias(f"h{i}") for i, (c, n) in enumerate(pairs)))
     rows = F.array(*(F.struct(F.lit(c).alias("column"), F.lit(n).alias("pattern"), F.col(f"h{i}").alias("hits")) for i, (c, n) in enumerate(pairs)))
     return sums.select(F.inline(rows)).where("hits > 0")
 

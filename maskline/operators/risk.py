@@ -96,6 +96,8 @@ def most_skewed(df: DataFrame, qis: list[str], sensitive: str, top: int = 5) ->
 def enforce_k(df: DataFrame, qis: list[str], k: int, strategy: str = "join") -> DataFrame:
     """Rows of classes of k and more. ``join`` (default) streams past a null-safe semi join with the class
     counts, so a huge class is no single task; ``window`` saves a second read where classes are small."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
     if strategy == "window":
         return df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*_some(qis)))).where(F.col("_n") >= k).drop("_n")
     large = classes(df, qis).where(F.col("class_size") >= k).select(*qis)

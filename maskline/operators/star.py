@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +49,11 @@ def date_dimension(first: DataFrame, first_date: str, second: DataFrame, second_
     """Every day from the earliest to the latest date of two facts, with its attributes; nothing is collected."""
     ends = [d.agg(F.min(F.col(c).cast("date")).alias(f"a{i}"), F.max(F.col(c).cast("date")).alias(f"b{i}")) for i, (d, c) in enumerate(((first, first_date), (second, second_date)))]
     span = ends[0].crossJoin(ends[1]).select(F.least("a0", "a1").alias("a"), F.greatest("b0", "b1").alias("b"))  # one row each
-    days = span.where("a is not null").select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("FullDate"))
-    d = F.col("FullDate")
+    days = span.where("a is not null").select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("Date"))
+    d = F.col("Date")
     return days.select(
-        date_key(d).alias("DateKey"), "FullDate", F.year(d).alias("Year"), F.quarter(d).alias("Quarter"), F.month(d).alias("Month"),
-        F.date_format(d, "MMMM").alias("MonthName"), F.dayofmonth(d).alias("Day"), F.date_format(d, "EEEE").alias("DayName"),
+        date_key(d).alias("DateKey"), "Date", F.year(d).alias("Year"), F.quarter(d).alias("Quarter"), F.month(d).alias("Month"),
+        F.date_format(d, "MMMM").alias("MonthName"), F.date_format(d, "yyyy-MM").alias("YearMonth"), F.date_format(d, "EEEE").alias("DayOfWeek"),
     )
 
 
@@ -64,7 +66,34 @@ def year_grain(df: DataFrame, column: str) -> Column:
     return F.col(column) if df.schema[column].dataType.typeName() in ("integer", "long", "short") else F.year(column)
 
 
-def claim_measures(df: DataFrame, billed: str, paid: str, denied: Column) -> list[Column]:
+@dataclass(frozen=True)
+class Relationship:
+    """A many-to-one link of a star. An inactive one is a second role of its dimension and joins only when asked for."""
+
+    role: str
+    from_column: str  # of the fact or, as role_column, of a dimension joined before
+    dimension: str
+    to_column: str
+    active: bool = True
+
+
+def star_join(fact: DataFrame, dimensions: dict[str, DataFrame], relationships: list[Relationship], roles: tuple[str, ...] = ()) -> DataFrame:
+    """Left-join a fact along its active relationships and the inactive ones named in ``roles``, in their order.
+
+    A dimension's columns come as role_column, so one dimension can play several roles. Facts
+    whose key is null or unknown keep their row, with nulls. Spark broadcasts small dimensions.
+    """
+    if unknown := set(roles) - {r.role for r in relationships}:
+        raise ValueError(f"no relationship {sorted(unknown)}")
+    for r in relationships:
+        if r.active or r.role in roles:
+            dim = dimensions[r.dimension]
+            dim = dim.select(*(F.col(f"`{c}`").alias(f"{r.role}_{c}") for c in dim.columns))
+            fact = fact.join(dim, fact[r.from_column] == dim[f"{r.role}_{r.to_column}"], "left")
+    return fact
+
+
+def claim_measures(billed: str, paid: str, denied: Column) -> list[Column]:
     """Total billed, total paid, denial rate (null over no rows), rows."""
     return [
         F.round(F.sum(billed), 2).alias("total_billed"),

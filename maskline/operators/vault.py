@@ -31,7 +31,17 @@ def rotation(df: DataFrame, column: str, old_key: str, new_key: str, namespace:
     return keyed.with_key(old, new_key).select("old_token", keyed.token(F.col(column), namespace, prefix=prefix).alias("new_token"))
 
 
-def rekey(published: DataFrame, token: str, mapping: DataFrame) -> DataFrame:
-    """Published rows under the new tokens; the raw table isn't touched. Unknown tokens become null."""
-    joined = published.join(mapping, published[token] == mapping["old_token"], "left")
-    return joined.select(*(F.col("new_token").alias(c) if c == token else published[c] for c in published.columns))
+def rekey(published: DataFrame, token: str, mapping: DataFrame, unknown: str = "raise") -> DataFrame:
+    """Published rows under the new tokens; the raw table isn't touched.
+
+    A token that the mapping doesn't know stops the run, or becomes null (``unknown="null"``);
+    null tokens stay null. ``parity`` counts unknown ones beforehand.
+    """
+    if unknown not in ("raise", "null"):
+        raise ValueError(f"unknown choice {unknown!r}")
+    known = mapping.select(F.col("old_token").alias("_old"), F.col("new_token").alias("_new"))
+    joined = published.join(known, published[token] == known["_old"], "left")
+    new = F.col("_new")
+    if unknown == "raise":
+        new = F.when(published[token].isNull() | new.isNotNull(), new).otherwise(F.raise_error(F.lit("a token to rotate is unknown")).cast("string"))
+    return joined.select(*(new.alias(c) if c == token else published[c] for c in published.columns))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +13,12 @@ from ..functions import keyed, strategies, text
 
 Rule = str | dict[str, Any]
 STRATEGIES = ("passthrough", "suppress", "tokenize", "generalize", "date_shift", "synthesize", "redact_text")
+_PARAMETERS = {
+    "passthrough": (), "suppress": ("redaction",), "tokenize": ("namespace", "length", "prefix", "format_preserving"), "generalize": ("kind", "cap"),
+    "date_shift": ("entity_column", "max_days"), "synthesize": ("kind",), "redact_text": ("replacement", "entities", "namespace", "score_threshold"),
+}
 _NEEDED = {"generalize": ("kind",), "date_shift": ("entity_column",), "synthesize": ("kind",)}
-_KINDS = {"generalize": ("year", "zip3", "age_cap"), "synthesize": ("first_name", "last_name", "name")}
+_KINDS = {"generalize": ("year", "zip3", "age_cap"), "synthesize": ("name", "first_name", "last_name")}  # the first is the default
 
 
 def resolve(rules: dict[str, Rule], column: str, default: str = "suppress") -> dict[str, Any]:
@@ -25,7 +30,7 @@ def resolve(rules: dict[str, Rule], column: str, default: str = "suppress") -> d
 
 
 def check(rules: dict[str, Rule], default: str = "suppress") -> None:
-    """Refuse unknown strategies and kinds, and missing parameters, before anything runs."""
+    """Refuse unknown strategies, kinds and parameters, and missing parameters, before anything runs."""
     for column in [*rules, None]:
         rule = resolve(rules, column, default) if column else {"strategy": default}
         name = rule.get("strategy")
@@ -33,8 +38,12 @@ def check(rules: dict[str, Rule], default: str = "suppress") -> None:
             raise ValueError(f"{column or 'default'}: unknown strategy {name!r}")
         if missing := [k for k in _NEEDED.get(name, ()) if k not in rule]:
             raise ValueError(f"{column}: {name} needs {', '.join(missing)}")
-        if name in _KINDS and rule["kind"] not in _KINDS[name]:
+        if unknown := set(rule) - {"strategy", *_PARAMETERS[name]}:
+            raise ValueError(f"{column}: {name} has no parameter {', '.join(sorted(unknown))}")
+        if name in _KINDS and rule.get("kind", _KINDS[name][0]) not in _KINDS[name]:
             raise ValueError(f"{column}: unknown kind {rule['kind']!r}")
+        if name == "redact_text" and (types := set(rule.get("entities") or ()) - set(text.PATTERNS)):
+            raise ValueError(f"{column}: no pattern for {', '.join(sorted(types))}")
 
 
 def expression(df: DataFrame, column: str, rule: dict[str, Any]) -> Column:
@@ -47,17 +56,22 @@ def expression(df: DataFrame, column: str, rule: dict[str, Any]) -> Column:
         return strategies.suppress(rule.get("redaction"))
     if name == "tokenize":
         keyed.require_keyable(df, column)
-        return keyed.token(value, rule.get("namespace", column), rule.get("length", 16), rule.get("prefix", ""))
+        namespace = rule.get("namespace", "default")
+        if rule.get("format_preserving"):
+            return keyed.token_shaped(value, namespace)
+        return keyed.token(value, namespace, rule.get("length", 16), rule.get("prefix", ""))
     if name == "synthesize":
         keyed.require_keyable(df, column)
-        return strategies.synthesize(value, rule["kind"])
+        return strategies.synthesize(value, rule.get("kind", "name"))
     if name == "generalize":
         made = {"year": lambda: strategies.year_of(value, kind), "zip3": lambda: strategies.zip3(value), "age_cap": lambda: strategies.age_cap(value, kind, rule.get("cap", 90))}
-        return made[rule["kind"]]()
+        return made[rule.get("kind", "year")]()
     if name == "date_shift":
         keyed.require_keyable(df, rule["entity_column"])
         return strategies.date_shift(value, F.col(f"`{rule['entity_column']}`"), kind, rule.get("max_days", 365))
-    return text.redact(value, text.merge(text.spans(value)), rule.get("replacement", "label"))
+    entities = tuple(rule.get("entities") or text.PATTERNS)
+    found = text.merge(text.spans(value.cast("string"), entities, rule.get("score_threshold", 0.35)))
+    return text.redact(value.cast("string"), found, rule.get("replacement", "label"), rule.get("namespace", "free_text"))
 
 
 def deidentify(df: DataFrame, rules: dict[str, Rule], key: str, default: str = "suppress") -> DataFrame:
@@ -83,7 +97,7 @@ def deidentify_tables(spark: SparkSession, jobs: dict[str, tuple[DataFrame, dict
             out.write.mode("overwrite").format(fmt).option("overwriteSchema", "true").saveAsTable(prefix + name)
             done.append((name, before.get["n"], after.get["n"]))
         except Exception as e:  # noqa: BLE001
-            failed.append(f"{name}: {type(e).__name__}")
+            failed.append(f"{name}: {type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}")
     if bad := [n for n, a, b in done if a != b]:
         failed += [f"{n}: rows were lost" for n in bad]
     if failed:
@@ -92,11 +106,22 @@ def deidentify_tables(spark: SparkSession, jobs: dict[str, tuple[DataFrame, dict
 
 
 def coverage(columns: DataFrame, rules: DataFrame) -> DataFrame:
-    """Classified, defaulted and missing columns: (table, column) frames of the catalog and of the rules, outer joined."""
+    """Classified, defaulted and missing columns: (table, column) frames of the catalog and of the rules, outer joined. Further columns of ``columns`` stay."""
     live = columns.where(~F.col("column").startswith("_")).withColumn("_live", F.lit(True))
     ruled = rules.where(~F.col("column").startswith("_")).withColumn("_ruled", F.lit(True))
     state = F.when(F.col("_live") & F.col("_ruled"), "classified").when(F.col("_live"), "defaulted").otherwise("missing")
-    return live.join(ruled, ["table", "column"], "full_outer").select("table", "column", state.alias("state"))
+    return live.join(ruled, ["table", "column"], "full_outer").select("table", "column", state.alias("state"), *(c for c in columns.columns if c not in ("table", "column")))
+
+
+def column_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and known values of every column of every table, in one aggregate each: table, column, n_rows, n_known."""
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        sums = df.agg(F.count(F.lit(1)).alias("n"), *(F.count(F.col(f"`{c}`")).alias(f"k{i}") for i, c in enumerate(df.columns)))
+        cells = (F.struct(F.lit(name).alias("table"), F.lit(c).alias("column"), F.col("n").alias("n_rows"), F.col(f"k{i}").alias("n_known")) for i, c in enumerate(df.columns))
+        return sums.select(F.inline(F.array(*cells)))
+
+    return reduce(DataFrame.unionByName, (one(n, d) for n, d in tables.items()))
 
 
 def columns_frame(spark: SparkSession, tables: dict[str, list[str]]) -> DataFrame:

@@ -12,11 +12,18 @@ def flag(value: Column) -> Column:
     return F.upper(F.trim(value)).isin("TRUE", "T", "1", "Y", "YES")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV file with header, quoted line breaks and doubled quotes; boolean columns are read as text and normalised."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE", malformed: str | None = None) -> DataFrame:
+    """A CSV file with header, quoted line breaks and doubled quotes; boolean columns are read as text and normalised.
+
+    ``mode`` is Spark's: what cannot be read becomes null (PERMISSIVE), is left out
+    (DROPMALFORMED) or stops the run (FAILFAST). ``malformed`` names a column that gets the text
+    of rows with unreadable values, so that they can be counted.
+    """
     booleans = {f.name for f in schema.fields if isinstance(f.dataType, T.BooleanType)}
-    read = T.StructType([T.StructField(f.name, T.StringType() if f.name in booleans else f.dataType) for f in schema.fields])
-    raw = spark.read.schema(read).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    fields = [T.StructField(f.name, T.StringType() if f.name in booleans else f.dataType) for f in schema.fields]
+    read = T.StructType(fields + ([T.StructField(malformed, T.StringType())] if malformed else []))
+    source = spark.read.schema(read).option("header", True).option("multiLine", True).option("escape", '"').option("mode", mode)
+    raw = (source.option("columnNameOfCorruptRecord", malformed) if malformed else source).csv(path)
     return raw.select(*(flag(F.col(c)).alias(c) if c in booleans else F.col(c) for c in raw.columns), F.col("_metadata.file_name").alias("_source_file")).withColumn("_ingested_at", F.current_timestamp())
 
 
