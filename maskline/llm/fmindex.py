@@ -41,32 +41,46 @@ class FMIndex:
         self.n = n
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 1))])
         self.levels, self.zeros = [], []
-        for bit in reversed(range(max(1, top.bit_length()))):
-            bits = (turned >> bit) & 1
-            self.levels.append((bit, BitRank(bits)))
-            self.zeros.append(int(n - bits.sum()))
-            turned = np.concatenate([turned[bits == 0], turned[bits == 1]])
+        bits = max(1, top.bit_length())
+        order, swapped = np.arange(top + 1), np.zeros(top + 1, np.int64)
+        for b in range(bits):
+            swapped |= ((order >> b) & 1) << (bits - 1 - b)
+        order = np.argsort(swapped)  # how the last level lays out the symbols
+        counts = np.diff(self.first)
+        self.base = np.empty(top + 1, np.int64)
+        self.base[order] = np.cumsum(counts[order]) - counts[order]
+        for bit in reversed(range(bits)):
+            ones = (turned >> bit) & 1
+            self.levels.append((bit, BitRank(ones)))
+            self.zeros.append(int(n - ones.sum()))
+            turned = np.concatenate([turned[ones == 0], turned[ones == 1]])
 
     def step(self, symbol: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of symbol + pattern, from the intervals of the patterns."""
-        base, lo, hi = np.zeros(len(symbol), np.int64), left, right
+        lo, hi = left, right
         for (bit, level), zeros in zip(self.levels, self.zeros, strict=True):
             one = ((symbol >> bit) & 1).astype(bool)
-            b, lo1, hi1 = level.rank(base), level.rank(lo), level.rank(hi)
-            base = np.where(one, zeros + b, base - b)
+            lo1, hi1 = level.rank(lo), level.rank(hi)
             lo = np.where(one, zeros + lo1, lo - lo1)
             hi = np.where(one, zeros + hi1, hi - hi1)
-        start = self.first[symbol]
-        return start + lo - base, start + hi - base
+        start = self.first[symbol] - self.base[symbol]
+        return start + lo, start + hi
 
-    def repeated(self, patterns: np.ndarray) -> np.ndarray:
-        """Which rows of ``patterns`` occur twice and more; a pattern is left once its interval has one suffix."""
-        alive = np.arange(len(patterns))
-        left, right = np.zeros(len(alive), np.int64), np.full(len(alive), self.n, np.int64)
-        for j in reversed(range(patterns.shape[1])):
-            left, right = self.step(patterns[alive, j], left, right)
-            more = right - left > 1
-            alive, left, right = alive[more], left[more], right[more]
-        out = np.zeros(len(patterns), bool)
-        out[alive] = True
-        return out
+    def matching(self, patterns: np.ndarray, times: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics at the end of each pattern (a row of symbols).
+
+        How many of its last symbols, at most all, occur together ``times`` times and more in
+        the text, and their interval of suffixes. A pattern is left as soon as one more symbol
+        would take its interval below that.
+        """
+        last = patterns[:, -1]
+        left, right = self.first[last], self.first[last + 1]
+        length = (right - left >= times).astype(np.int64)
+        alive = np.flatnonzero(length)
+        for j in reversed(range(patterns.shape[1] - 1)):
+            lo, hi = self.step(patterns[alive, j], left[alive], right[alive])
+            more = hi - lo >= times
+            alive = alive[more]
+            left[alive], right[alive] = lo[more], hi[more]
+            length[alive] += 1
+        return length, left, right

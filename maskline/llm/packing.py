@@ -37,7 +37,7 @@ def _tokenise(vocabulary: str, end_id: int):
 
 def _counted(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct ids of each document: document number, id, and how often it occurs there; ordered by both."""
-    keys = np.sort(np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths) << np.uint64(32) | flat)
+    keys = np.sort(np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths) << np.uint64(32) | flat.astype(np.uint64))
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return (keys[first] >> np.uint64(32)).astype(np.int64), (keys[first] & np.uint64(0xFFFFFFFF)).astype(np.int64), np.diff(first, append=len(keys))
 

@@ -124,24 +124,49 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[
         first = last
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, kept per Python worker; emptied when it grows past its limit."""
+_APART = np.zeros(256, bool)  # what stands between words
+_APART[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_PLACES = 256  # bytes of the longest word that is hashed with the others
+_PLACED = np.random.default_rng(11).integers(1, 1 << 63, _PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    limit = 300_000
 
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
+def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a column's texts, and each text's bounds among them.
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
-WORDS = WordHashes()
+    Texts are read as bytes, a megabyte at a time, cut between words, whatever their number and
+    length; with ``lower``, A-Z count as a-z. A null text has no words.
+    """
+    texts = texts.fill_null("").cast(pa.large_string())
+    at = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[: at[-1]]
+    hashes, begins, first = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], int(at[0])
+    while first < len(data):
+        last = min(first + (1 << 20), len(data))
+        while last < len(data) and not _APART[data[last]]:
+            ahead = np.flatnonzero(_APART[data[last : last + (1 << 16)]])
+            last = last + int(ahead[0]) if len(ahead) else min(last + (1 << 16), len(data))
+        part = data[first:last]
+        apart, starts = _APART[part], np.zeros(last - first, bool)
+        starts[at[np.searchsorted(at, first) : np.searchsorted(at, last)] - first] = True  # a text starts
+        begin = ~apart
+        begin[1:] &= apart[:-1] | starts[1:]
+        words = np.flatnonzero(begin)
+        if len(words):
+            place = np.maximum(np.arange(len(part)) - np.repeat(words, np.diff(words[1:], prepend=0, append=len(part))), 0)
+            terms = ((_LOWER[part] if lower else part).astype(np.uint64) + np.uint64(1)) * _PLACED[np.minimum(place, _PLACES - 1)]
+            terms[apart] = 0
+            h = mix(np.add.reduceat(terms, words))
+            for i in np.flatnonzero(np.diff(words, append=len(part)) > _PLACES).tolist():
+                word = part[words[i] : words[i + 1] if i + 1 < len(words) else len(part)]
+                word = word[: len(word) - int(_APART[word][::-1].argmin())]
+                if len(word) > _PLACES:
+                    h[i] = xxhash.xxh3_64_intdigest((_LOWER[word] if lower else word).tobytes())
+            hashes.append(h)
+            begins.append(words + first)
+        first = last
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), at)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -163,6 +188,8 @@ _POWERS = (np.random.default_rng(20).integers(1 << 32, 1 << 63, 64, dtype=np.uin
 
 def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k words that start at each position; empty if there are fewer."""
+    if k > len(_POWERS):
+        raise ValueError(f"at most {len(_POWERS)} words")
     n = len(h) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
@@ -172,6 +199,12 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @contextlib.contextmanager
 def table(df: DataFrame):
     """``df`` as a Parquet table in the shared folder, for the length of a ``with`` block."""
@@ -181,5 +214,9 @@ def table(df: DataFrame):
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        delete(spark, path)
+
+
+def hashes_at(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """The same hashes at chosen positions only."""
+    return mix((h[at[:, None] + np.arange(k)] * _POWERS[:k]).sum(axis=1, dtype=np.uint64))

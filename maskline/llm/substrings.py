@@ -19,56 +19,63 @@ SHARD = 20_000  # segments of an index
 HOT = 4_000  # distinct segments of one anchor from which its windows are dealt one by one
 
 
-def _anchors(h: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+def _check(window: int) -> None:
+    if window % BLOCK or not 2 * BLOCK <= window <= 60:
+        raise ValueError(f"the window must be a multiple of {BLOCK} words from {2 * BLOCK} to 60")
+
+
+def _anchors(h: np.ndarray, grams: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     """Anchors of a text: for each, the first window it stands for, how many, its hash, the segment's hash.
 
     A window's anchor is the leftmost smallest of its 8-word hashes, so equal windows have equal
     anchors; successive windows with the same anchor form a segment.
     """
-    grams = shared.gram_hashes(h, GRAM)
     at = np.lib.stride_tricks.sliding_window_view(grams, window - GRAM + 1).argmin(axis=1) + np.arange(len(h) - window + 1)
     lo = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
     hi = np.concatenate([lo[1:], [len(at)]]) - 1
-    whole = shared.gram_hashes(h, window)
-    segment = shared.mix(whole[lo] * np.uint64(3) + shared.mix(whole[hi]) + (hi - lo).astype(np.uint64))
+    ends = shared.hashes_at(h, np.concatenate([lo, hi]), window)
+    segment = shared.mix(ends[: len(lo)] * np.uint64(3) + shared.mix(ends[len(lo) :]) + (hi - lo).astype(np.uint64))
     return lo, hi - lo + 1, grams[at[lo]].view(np.int64), segment.view(np.int64)
 
 
 def _find(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                h = shared.WORDS.of(shared.words_of(text.as_py()))
-                if len(h) >= window:
-                    lo, n, anchor, segment = _anchors(h, window)
-                    parts.append((np.full(len(lo), row), lo, n, anchor, segment))
-            if parts:
-                row, lo, n, anchor, segment = map(np.concatenate, zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(lo, pa.int32()), pa.array(n, pa.int32()), pa.array(anchor), pa.array(segment)], ["row", "lo", "n", "anchor", "segment"])
+        for whole in batches:
+            for batch in shared.slices(whole, 2):
+                words, bounds = shared.word_hashes(batch.column(2))
+                grams = shared.gram_hashes(words, GRAM)
+                parts = []
+                for i in np.flatnonzero(np.diff(bounds) >= window).tolist():
+                    a, b = bounds[i], bounds[i + 1]
+                    lo, n, anchor, segment = _anchors(words[a:b], grams[a : b - GRAM + 1], window)
+                    parts.append((np.full(len(lo), i), lo, n, anchor, segment))
+                if parts:
+                    row, lo, n, anchor, segment = map(np.concatenate, zip(*parts, strict=True))
+                    row = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(lo, pa.int32()), pa.array(n, pa.int32()), pa.array(anchor), pa.array(segment)], ["row", "check", "lo", "n", "anchor", "segment"])
 
     return run
 
 
-def _segments(window: int):
-    """Word hashes of wanted segments; of hot anchors' segments, a row for each window."""
+def _segments(window: int, hot: bool):
+    """Word hashes of wanted segments: a row for each or, for hot anchors, for each window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "anchor", "segment", "at", "n", "words"]
-        for batch in batches:
-            out = []
-            for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist(), strict=True):
-                h = shared.WORDS.of(shared.words_of(text.as_py()))
-                for w in wanted:
-                    lo, n = w["lo"], w["n"]
-                    if w["hot"]:
-                        keys = shared.gram_hashes(h[lo : lo + n + window - 1], window).view(np.int64).tolist()
-                        out += [(key, w["anchor"], w["segment"], i, 1, h[lo + i : lo + i + window].tobytes()) for i, key in enumerate(keys)]
-                    else:
-                        out.append((w["anchor"], w["anchor"], w["segment"], 0, n, h[lo : lo + n + window - 1].tobytes()))
-            if out:
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names)
+        for whole in batches:
+            for batch in shared.slices(whole, 0):
+                words, bounds = shared.word_hashes(batch.column(0))
+                out = []
+                for begin, wanted in zip(bounds.tolist(), batch.column(1).to_pylist(), strict=False):
+                    for w in wanted:
+                        lo, n = begin + w["lo"], w["n"]
+                        if hot:
+                            keys = shared.hashes_at(words, lo + np.arange(n), window).view(np.int64).tolist()
+                            out += [(w["anchor"], w["segment"], key, i, words[lo + i : lo + i + window].tobytes()) for i, key in enumerate(keys)]
+                        else:
+                            out.append((w["anchor"], w["segment"], n, 1, words[lo : lo + n + window - 1].tobytes()))
+                if out:
+                    types, names = [pa.int64(), pa.int64(), pa.int64() if hot else pa.int32(), pa.int32(), pa.binary()], ["anchor", "segment", *(("key", "at") if hot else ("n", "copies")), "words"]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
     return run
 
@@ -76,22 +83,20 @@ def _segments(window: int):
 def _search(window: int):
     """Index a shard's segments and stream their windows through it.
 
-    A symbol is a block of five words. Each segment is laid down in five phases, so that a
-    window, whatever its start, is a run of ``window / 5`` symbols of one phase; the window must be a multiple of five.
+    A symbol is a block of five words. Each segment is laid down in five phases (twice where
+    copies of it were left out), so that a window, whatever its start, is a run of
+    ``window / 5`` symbols of one phase. The matching statistics at the window's end tell how
+    many of its last blocks stand at two places and more; where all do, the window is repeated.
     """
-    starts = [*range(0, window - BLOCK + 1, BLOCK)]
-    if starts[-1] != window - BLOCK:
-        raise ValueError(f"the window must be a multiple of {BLOCK} words")
+    starts = range(0, window, BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
         if not got:
             return
         rows = pa.Table.from_batches(got)
-        n_of = rows.column("n").to_numpy()
-        words = rows.column("words").combine_chunks()
-        words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
-        flat = np.frombuffer(words.buffers()[2], np.uint64, len(n_of) and int(np.sum(n_of + window - 1)))
+        n_of, copies = rows.column("n").to_numpy(), rows.column("copies").to_numpy()
+        flat = np.frombuffer(b"".join(x.as_py() for x in rows.column("words")), np.uint64)
         begin = np.concatenate([[0], np.cumsum(n_of + window - 1)])
         text, queries = [], []
         for n in np.unique(n_of):
@@ -99,17 +104,16 @@ def _search(window: int):
             grid = flat[begin[own][:, None] + np.arange(n + window - 1)]
             blocks = sum(grid[:, i : grid.shape[1] - BLOCK + 1 + i] * shared._POWERS[i] for i in range(BLOCK))
             blocks = np.maximum(shared.mix(blocks), np.uint64(1))
+            laid = np.repeat(blocks, copies[own], axis=0)
             for phase in range(BLOCK):
-                run_ = blocks[:, phase::BLOCK]
-                text.append(np.concatenate([run_, np.zeros((len(own), 1), np.uint64)], axis=1).ravel())
+                text.append(np.concatenate([laid[:, phase::BLOCK], np.zeros((len(laid), 1), np.uint64)], axis=1).ravel())
             queries += [(own, int(i), blocks[:, [i + s for s in starts]]) for i in range(n)]
         names, symbols = np.unique(np.concatenate([*text, np.zeros(1, np.uint64)]), return_inverse=True)
         index = FMIndex(symbols, len(starts))
         mask = np.zeros(len(n_of), np.int64)
         for own, i, wanted in queries:
-            hit = index.repeated(np.searchsorted(names, wanted))
-            mask[own[hit]] |= 1 << i
-        mask <<= rows.column("at").to_numpy()
+            length, _, _ = index.matching(np.searchsorted(names, wanted))
+            mask[own[length * BLOCK >= window]] |= 1 << i
         yield pa.RecordBatch.from_arrays([rows.column("anchor").combine_chunks(), rows.column("segment").combine_chunks(), pa.array(mask)], ["anchor", "segment", "mask"])
 
     return run
@@ -145,41 +149,64 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     1. Every text yields its anchors (about one for 14 words), the windows each stands for and
        a hash of that segment. Equal windows share an anchor, so windows of anchors that occur
        once in the corpus are unique and go no further.
-    2. Equal segments collapse to one with a count. Where a repeated anchor has one distinct
-       segment, that segment repeats as a whole.
-    3. The others are dealt by anchor to shards of about 20,000 segments; an anchor with more
-       than 4,000 distinct segments is dealt by window hash instead. Each shard builds an
-       FM-index of its segments and searches their windows backwards; those with an interval
-       of two and more suffixes are repeated.
+    2. Equal segments collapse to one with a count; such a segment repeats as a whole. Where a
+       repeated anchor has no other segment, that is all.
+    3. The others are dealt by anchor to shards of about 20,000 segments. Each shard builds an
+       FM-index of its segments and streams their windows through it; the matching statistics
+       give the windows that stand at two places and more. The windows of an anchor with more
+       than 4,000 distinct segments are collapsed first (one row for equal ones, laid down twice
+       if there were more) and dealt by their own hash, so that no anchor or window is a task.
     4. The marks go back to their rows, and the words they cover are dropped.
 
-    Windows are judged on the input. Returns the columns of ``df`` with the text replaced by its
-    kept words, joined by one space (null stays null), and n_words, n_removed (which replace
-    columns of these names). Texts of fewer words than the window lose nothing; repeated rows
-    count as repeats of each other; an empty table gives no rows.
+    Windows are judged on the input, by hashes: 64 bits a word, 128 bits (anchor and segment) a
+    segment, 96 bits (id and text) a row. The window is a multiple of five words from 10 to 60.
+    Returns the columns of ``df`` with the text replaced by its kept words, joined by one space
+    (null stays null), and n_words, n_removed (which replace columns of these names; all other
+    names may be any). Texts of fewer words than the window lose nothing; repeated rows count as
+    repeats of each other; an empty table gives no rows.
     """
+    _check(window)
     df = df.drop("n_words", "n_removed")
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
-    texts = df.select(row.alias("row"), F.col(text_col).alias("text"))
-    with shared.table(texts.mapInArrow(_find(window), "row long, lo int, n int, anchor long, segment long")) as found:
-        twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor")
+    row, check = F.xxhash64(F.col(id_col), F.col(text_col)), F.hash(F.col(text_col), F.col(id_col))
+    texts = df.select(row.alias("row"), check.alias("check"), F.col(text_col).alias("text"))
+    with shared.table(texts.mapInArrow(_find(window), "row long, check int, lo int, n int, anchor long, segment long")) as found:
+        # a stage of its own, so that a join's hot keys can be split at run time; so below
+        twice = shared.stage(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
         repeated = shared.stage(found.join(twice, "anchor", "left_semi"))
-    segments = repeated.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "lo", "n")).alias("one"))
-    kinds = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    segments = shared.stage(segments.join(kinds, "anchor"))
+    segments = repeated.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "check", "lo", "n")).alias("one"))
+    segments = shared.stage(segments)
+    kinds = shared.stage(segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
     whole = segments.where("times > 1").select("anchor", "segment", F.lit(-1).cast("long").alias("mask"))
 
-    unsure = segments.where("kinds > 1")
-    tally = unsure.agg(F.sum(F.when(F.col("kinds") > HOT, window - GRAM + 1).otherwise(1))).first()[0] or 0
-    one = F.struct(F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), "anchor", "segment", (F.col("kinds") > HOT).alias("hot"))
-    wanted = unsure.groupBy(F.col("one.row").alias("row")).agg(F.collect_list(one).alias("wanted"))
-    cut = texts.join(wanted, "row").mapInArrow(_segments(window), "key long, anchor long, segment long, at int, n int, words binary")
-    cut = cut.repartition(max(1, -(-tally // SHARD)), "key")
-    marks = cut.mapInArrow(_search(window), "anchor long, segment long, mask long")
-    marks = marks.unionByName(whole).groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")).where("mask <> 0")
-    marks = shared.stage(marks)
-    full = F.expr("shiftleft(1L, n) - 1")
-    on_row = repeated.join(marks, ["anchor", "segment"]).groupBy("row").agg(F.collect_list(F.struct("lo", F.col("mask").bitwiseAND(full).alias("mask"))).alias("__marks"))
-    out = df.withColumn("__row", row).join(on_row.withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
+    twins = shared.stage(repeated.where("lo = 0").groupBy("row", "check").agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times"))
+    one_each = texts
+    if twins.take(1):  # of rows with equal id and text, one is indexed
+        one_each = texts.join(twins, ["row", "check"], "left_anti").unionByName(texts.join(twins, ["row", "check"], "left_semi").dropDuplicates(["row", "check"]))
+
+    unsure, hot = segments.join(kinds, "anchor"), F.col("kinds") > HOT
+    tally = kinds.agg(F.coalesce(F.sum(F.when(~hot, F.col("kinds"))), F.lit(0)), F.coalesce(F.sum(F.when(hot, F.col("kinds"))), F.lit(0))).first()
+
+    def cut(rows: DataFrame, split: bool) -> DataFrame:
+        one = F.struct(F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), "anchor", "segment")
+        wanted = rows.groupBy(F.col("one.row").alias("row"), F.col("one.check").alias("check")).agg(F.collect_list(one).alias("wanted"))
+        of = "key long, at int" if split else "n int, copies int"
+        return one_each.join(wanted, ["row", "check"]).select("text", "wanted").mapInArrow(_segments(window, split), f"anchor long, segment long, {of}, words binary")
+
+    def searched(rows: DataFrame, n: int, by: str) -> DataFrame:
+        return rows.repartition(max(1, -(-n // SHARD)), by).mapInArrow(_search(window), "anchor long, segment long, mask long").where("mask <> 0")
+
+    marks = searched(cut(unsure.where(~hot), False), tally[0], "anchor").unionByName(whole)
+    if tally[1]:
+        windows = shared.stage(cut(unsure.where(hot), True))
+        once = windows.groupBy("anchor", "key").agg(F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("copies"), F.min("words").alias("words"))
+        once = once.select("anchor", F.col("key").alias("segment"), F.lit(1).alias("n"), "copies", "words")
+        again = shared.stage(searched(once, tally[1] * (window - GRAM + 1), "segment").select("anchor", F.col("segment").alias("key")))
+        bits = windows.drop("words").join(again, ["anchor", "key"]).select("anchor", "segment", F.expr("shiftleft(1L, at)").alias("mask"))
+        marks = marks.unionByName(bits)
+    marks = shared.stage(marks.groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")))
+    full, marked, key = F.expr("shiftleft(1L, n) - 1"), shared.fresh(df, "marks"), [shared.fresh(df, "row"), shared.fresh(df, "check")]
+    on_row = repeated.join(marks, ["anchor", "segment"]).groupBy("row", "check", "lo").agg(F.bit_or(F.col("mask").bitwiseAND(full)).alias("mask"))
+    on_row = on_row.groupBy(F.col("row").alias(key[0]), F.col("check").alias(key[1])).agg(F.collect_list(F.struct("lo", "mask")).alias(marked))
+    out = df.withColumns(dict(zip(key, (row, check), strict=True))).join(on_row, key, "left").drop(*key)
     schema = T.StructType([*df.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return out.mapInArrow(_remove(window, df.columns.index(text_col)), schema)
+    return out.select(*df.columns, marked).mapInArrow(_remove(window, df.columns.index(text_col)), schema)

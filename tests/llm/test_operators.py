@@ -79,8 +79,11 @@ def test_fm_index():
     text = np.random.default_rng(2).integers(1, 4, 400)
     index = FMIndex(np.append(text, 0), 5)
     windows = np.lib.stride_tricks.sliding_window_view(text, 5)
-    counts = Counter(map(tuple, windows.tolist()))
-    assert index.repeated(windows).tolist() == [counts[tuple(w)] > 1 for w in windows.tolist()]
+    counts = Counter(tuple(text[i : i + k].tolist()) for k in range(1, 6) for i in range(len(text) - k + 1))
+    length, left, right = index.matching(windows)
+    for w, n, a, b in zip(windows.tolist(), length.tolist(), left.tolist(), right.tolist(), strict=True):
+        assert n == max(k for k in range(6) if k == 0 or counts[tuple(w[5 - k :])] > 1)
+        assert n == 0 or b - a == counts[tuple(w[5 - n :])]
 
 
 @pytest.mark.parametrize("hot", [4000, 1])
@@ -111,7 +114,7 @@ def test_pieces():
     import sentencepiece
 
     path = P.path("piece_bpe_32k.model")
-    machine, library = pieces.PieceTransducer(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    machine, library = pieces.transducer(path), sentencepiece.SentencePieceProcessor(model_file=path)
     for text in [t for _, t in ROWS if t is not None] + ["  a  b \n c", "x" * 300, "a\r\nb\t", "<s> hi", "   "]:
         assert machine.encode(text).tolist() == library.encode(text)
         assert machine.decode(machine.encode(text)) == text
