@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
@@ -33,16 +33,19 @@ def permutations() -> tuple[np.ndarray, np.ndarray]:
     return _made["first"], _made["second"]
 
 
-def shingle_set(text: str | None, k: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's k-word shingles.
+def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's k-word shingles.
 
     A-Z are lower-cased; a text of fewer than k words has its whole sequence as its one
     shingle (of its own length, so it equals no longer one); no words, no shingles.
     """
-    h = shared.WORDS.of([w.lower() for w in shared.words_of(text)])
-    if 0 < len(h) < k:
-        return shared.gram_hashes(h, len(h)) + np.uint64(len(h))
-    return np.unique(shared.gram_hashes(h, k))
+    words, bounds = shared.word_hashes(texts, lower=True)
+    grams = shared.gram_hashes(words, k)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if 0 < b - a < k:
+            yield shared.gram_hashes(words[a:b], b - a) + np.uint64(b - a)
+        else:
+            yield np.unique(grams[a : max(a, b - k + 1)])
 
 
 def bands_of(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -59,12 +62,11 @@ def bands_of(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
     return keys.view(np.int64), signature.astype(np.uint8).tobytes()
 
 
-def _sketch(k: int, id_col: str, text_col: str):
+def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, sizes, left, right, bands, minis = batch.column(text_col), [], [], [], [], []
-            for text in texts:
-                s = shingle_set(text.as_py(), k)
+        for batch in (part for whole in batches for part in shared.slices(whole, 1)):
+            sizes, left, right, bands, minis = [], [], [], [], []
+            for s in shingle_sets(batch.column(1), k):
                 sizes.append(len(s))
                 digest = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
                 left.append(digest[0])
@@ -72,7 +74,7 @@ def _sketch(k: int, id_col: str, text_col: str):
                 keys, mini = bands_of(s) if len(s) else (np.empty(0, np.int64), b"")
                 bands.append(keys)
                 minis.append(mini)
-            arrays = [batch.column(id_col), pa.array(sizes, pa.int64()), pa.array(left, pa.int64()), pa.array(right, pa.int64())]
+            arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(left, pa.int64()), pa.array(right, pa.int64())]
             offsets = pa.array(np.cumsum([0, *map(len, bands)]), pa.int32())
             yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *bands]))), pa.array(minis, pa.binary())], ["doc_id", "n_shingles", "c1", "c2", "bands", "mini"])
 
@@ -81,8 +83,8 @@ def _sketch(k: int, id_col: str, text_col: str):
 
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t.as_py(), k).tobytes() for t in batch.column(1)], pa.binary())], ["node", "shingles"])
+        for batch in (part for whole in batches for part in shared.slices(whole, 1)):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), k)], pa.binary())], ["node", "shingles"])
 
     return run
 
@@ -107,38 +109,14 @@ def _verify(percent: int):
     return run
 
 
-def _linked(percent: int):
-    """One link for each two labels that a block pair joins.
-
-    Rows come sorted by (band, i, j); those of one key are at most two blocks. Pairs of different
-    labels whose signatures agree in enough coordinates are confirmed on the full sets, in the
-    first of the bands that they share only.
-    """
-
-    def links(rows: list[tuple]) -> tuple[list[int], list[int]]:
-        own, node, label = (np.array([r[c] for r in rows]) for c in (3, 4, 5))
-        mini = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1)
-        bands = np.array([r[7] for r in rows])
-        sets = [np.frombuffer(r[8], np.uint64) for r in rows]
-        left, right = np.flatnonzero(own == rows[0][1]), np.flatnonzero(own == rows[0][2])
-        found: dict[tuple[int, int], tuple[int, int]] = {}
-        for at in np.array_split(left, -(-len(left) // 64)):
-            alike = (mini[at][:, None] == mini[right][None]).sum(axis=2, dtype=np.int16) >= LIKELY * mini.shape[1]
-            apart = np.less if rows[0][1] == rows[0][2] else np.not_equal  # within a block, each pair once
-            x, y = np.nonzero(alike & apart(label[at][:, None], label[right][None]))
-            x, y = at[x], right[y]
-            first = bands[x, (bands[x] == bands[y]).argmax(axis=1)] == rows[0][0] if len(x) else np.empty(0, bool)
-            for a, b in zip(x[first].tolist(), y[first].tolist(), strict=True):
-                key = (min(label[a], label[b]), max(label[a], label[b]))
-                if key not in found and similar(sets[a], sets[b], percent):
-                    found[key] = (max(node[a], node[b]), min(node[a], node[b]))
-        return [u for u, _ in found.values()], [v for _, v in found.values()]
+def _by_key(handle, names: list[str]):
+    """Hand the rows of each (band, i, j), which come sorted by it, to ``handle``; at most two blocks at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in links(held)], ["u", "v"])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in handle(held)], names)
 
         for got in batches:
             for row in zip(*(c.to_pylist() for c in got.columns), strict=True):
@@ -153,6 +131,77 @@ def _linked(percent: int):
     return run
 
 
+def _alike(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of a block pair with different labels whose signatures agree often enough to reach the similarity: row numbers and agreement."""
+    own, label = (np.array([r[c] for r in rows]) for c in (3, 5))
+    mini = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1)
+    left, right = np.flatnonzero(own == rows[0][1]), np.flatnonzero(own == rows[0][2])
+    for at in np.array_split(left, max(1, -(-len(left) // 64))):
+        agree = (mini[at][:, None] == mini[right][None]).sum(axis=2, dtype=np.int16)
+        apart = np.less if rows[0][1] == rows[0][2] else np.not_equal  # within a block, each pair once
+        x, y = np.nonzero((agree >= LIKELY * mini.shape[1]) & apart(label[at][:, None], label[right][None]))
+        yield at[x], right[y], agree[x, y]
+
+
+def _likeliest(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """For each two labels that meet in a block pair, the pair of nodes whose signatures agree most."""
+    node, label = (np.array([r[c] for r in rows]) for c in (4, 5))
+    x, y, agree = (np.concatenate(c) for c in zip(*_alike(rows), strict=True))
+    low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+    order = np.lexsort((agree, high, low))
+    best = order[np.flatnonzero(np.append((np.diff(low[order]) != 0) | (np.diff(high[order]) != 0), True))] if len(order) else order
+    return np.maximum(node[x[best]], node[y[best]]), np.minimum(node[x[best]], node[y[best]])
+
+
+def _still_alike(rows: list[tuple]) -> tuple[list[int], ...]:
+    """Rows of a block pair that have a likely partner of another label: band, i, j, block, node, label."""
+    hit = sorted({r for x, y, _ in _alike(rows) for r in (*x.tolist(), *y.tolist())})
+    return tuple([rows[r][c] for r in hit] for c in range(6))
+
+
+def _linked(percent: int):
+    """One confirmed link for each two labels that a block pair joins."""
+
+    def links(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        sets = [np.frombuffer(r[7], np.uint64) for r in rows]
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        for x, y, _ in _alike(rows):
+            for a, b in zip(x.tolist(), y.tolist(), strict=True):
+                key = (min(rows[a][5], rows[b][5]), max(rows[a][5], rows[b][5]))
+                if key not in found and similar(sets[a], sets[b], percent):
+                    found[key] = (max(rows[a][4], rows[b][4]), min(rows[a][4], rows[b][4]))
+        return [u for u, _ in found.values()], [v for _, v in found.values()]
+
+    return links
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Deal the members (band, node, label, mini) of buckets of several labels to pairs of blocks: band, i, j, block, node, label, mini.
+
+    A label with half a block of members and more in a bucket has blocks of its own, dealt by a
+    hash; the others share blocks. Blocks of one and the same label never meet, so a large class
+    costs its bucket a share for each block of other labels, not for each of its own. Counts by
+    (band, label) decide; no task sorts a bucket.
+    """
+    counts = members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    counts = shared.stage(counts)
+    mixed = counts.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.sum(F.when(F.col("n") < BLOCK // 2, F.col("n")).otherwise(0)).alias("few")).where("a < b")
+    own = counts.where(F.col("n") >= BLOCK // 2).groupBy("band").agg(F.sort_array(F.collect_list(F.struct("label", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))).alias("own"))
+    plan = mixed.join(own, "band", "left").select("band", F.ceil(F.col("few") / BLOCK).cast("int").alias("pool"), F.coalesce("own", F.array().cast("array<struct<label:bigint,blocks:int>>")).alias("own"))
+    held = members.join(shared.stage(plan), "band")
+    at = F.array_position(F.transform("own", lambda o: o["label"]), F.col("label")).cast("int")  # 0: in the pool
+    base = F.aggregate(F.slice("own", 1, F.greatest(F.col("at") - 1, F.lit(0))), F.col("pool"), lambda t, o: t + o["blocks"])
+    size = F.when(F.col("at") > 0, F.try_element_at("own", F.greatest(F.col("at"), F.lit(1)))["blocks"]).otherwise(F.col("pool"))
+    held = held.withColumn("at", at).withColumn("base", F.when(F.col("at") > 0, base).otherwise(0)).withColumn("size", size)
+    held = held.withColumn("block", F.col("base") + F.pmod(F.xxhash64("node"), F.col("size")).cast("int"))
+    total = F.aggregate("own", F.col("pool"), lambda t, o: t + o["blocks"])
+    every = F.sequence(F.lit(0), total - 1)
+    met = F.when(F.col("at") > 0, F.filter(every, lambda b: (b < F.col("base")) | (b >= F.col("base") + F.col("size")))).otherwise(every)
+    dealt = held.withColumn("other", F.explode(met)).select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "mini")
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable over edges (u, v): columns node, label, a row for each node of an edge.
 
@@ -178,11 +227,13 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     2. Texts with equal sets form a class with one node, its smallest id; only nodes go on.
     3. In every band bucket the node with most companions leads; it is paired with the others
        (a star, never all pairs), pairs are confirmed on the full sets, components are formed.
-    4. Where a bucket's other members still lie in different components, they are compared in
-       blocks of 512 by one byte of each coordinate; pairs of different components that agree
-       often enough to reach the similarity are confirmed there on the full sets, and one link
-       for two components comes out. So every pair that shares a bucket is joined, confirmed,
-       or shown to be too far apart, and no list of pairs is ever written.
+    4. Where a bucket's members still lie in different components, they are compared in blocks
+       of about 512 by one byte of each coordinate (see ``_blocks``). For each two components
+       that meet there, the likeliest pair is confirmed on the full sets; that joins nearly all
+       that belong together, and components are formed again.
+    5. What is still apart meets once more; rows with a likely partner in another component
+       are given their full sets, and pairs are confirmed there until the two are joined or
+       shown to be too far apart. No list of pairs is written, and full sets go to these rows only.
 
     Returns doc_id, n_shingles, component_id, kept. Texts without words have no shingles, link
     with nothing and are kept. Rows without an id are kept with a null component. Rows with one
@@ -190,11 +241,11 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     are not read; an empty table gives no rows.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = shared.stage(docs.mapInArrow(_sketch(k, "doc_id", "text"), "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, mini binary"))
+    sketch = shared.stage(docs.mapInArrow(_sketch(k), "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, mini binary"))
     members = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = members.groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("mini").alias("mini"))
     spread = shared.stage(classes.select("node", F.explode("bands").alias("band")))
-    sizes = spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = shared.stage(spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))  # so that a hot band's rows can be split
     full = shared.stage(spread.join(sizes, "band"))  # buckets of two and more
     central = full.groupBy("node").agg(F.sum("size").alias("score"))
     shared_bands = shared.stage(full.join(central, "node").select("band", "node", F.struct("score", (-F.col("node")).alias("less")).alias("place")))
@@ -207,26 +258,31 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
         theirs = sets.select(F.col("node").alias("v"), F.col("shingles").alias("theirs"))
         return shared.stage(pairs.join(mine, "u").join(theirs, "v").mapInArrow(_verify(percent), "u long, v long"))
 
-    leaders = shared_bands.groupBy("band").agg(F.max("place").alias("top")).select("band", (-F.col("top.less")).alias("leader"))
+    leaders = shared.stage(shared_bands.groupBy("band").agg(F.max("place").alias("top")).select("band", (-F.col("top.less")).alias("leader")))
     led = shared.stage(shared_bands.join(leaders, "band").where("node <> leader"))
     edges = confirmed(led.select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v")).distinct())
     labels = components(edges)
 
-    labelled = led.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("members")).where("a < b")
-    rest = labelled.join(mixed.select("band", "members"), "band")
-    rest = rest.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("band").orderBy("label", "node")) - 1) / BLOCK).cast("int"))
-    about = classes.select("node", "mini", "bands").join(rest.select("node").distinct(), "node", "left_semi")
-    rest = rest.join(about, "node").join(sets, "node")
-    meets = F.explode(F.sequence(F.lit(0), F.floor((F.col("members") - 1) / BLOCK).cast("int")))
-    dealt = rest.select("band", "node", "label", "mini", "bands", "shingles", "block", meets.alias("other"))
-    dealt = dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    links = dealt.select("band", "i", "j", "block", "node", "label", "mini", "bands", "shingles").mapInArrow(_linked(percent), "u long, v long")
-    links = shared.stage(links.distinct())
-    if links.take(1):
-        labels = components(edges.union(links))
+    signs = classes.select("node", "mini")
+
+    def unlike() -> DataFrame:
+        """Members of the buckets, as they are labelled now, dealt to pairs of blocks."""
+        now = shared_bands.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+        torn = shared.stage(now.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("band"))
+        return _blocks(shared.stage(now.join(torn, "band", "left_semi").join(signs, "node")))
+
+    likely = shared.stage(unlike().mapInArrow(_by_key(_likeliest, ["u", "v"]), "u long, v long").distinct())
+    edges = shared.stage(edges.unionByName(confirmed(likely)))
+    labels = components(edges)
+    rows = ["band", "i", "j", "block", "node", "label"]
+    dealt = unlike()
+    rest = shared.stage(dealt.mapInArrow(_by_key(_still_alike, rows), ", ".join(f"{c} long" for c in rows)))
+    if rest.take(1):
+        rest = rest.join(signs, "node").join(sets, "node").select(*rows, "mini", "shingles")
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rest = rest.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
+        links = shared.stage(rest.mapInArrow(_by_key(_linked(percent), ["u", "v"]), "u long, v long").distinct())
+        labels = components(edges.unionByName(links))
 
     of_class = classes.select("c1", "c2", "node").join(labels, "node", "left").select("c1", "c2", F.coalesce("label", "node").alias("component"))
     return (
