@@ -9,13 +9,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import shared
+
 MAX_ROWS = 8_000  # labelled documents that the chain is fitted on, at most
-MAX_WORDS = 256  # screened words
-CATEGORIES = ("toxic", "repeated", "severe")
+CLEAR = 6.0  # standard errors above an even spread from which a word is screened
+CATEGORIES = ("low_quality", "severe", "toxic")  # in the order of the chain
 _WORD = re.compile(r"\w+")
 
 
@@ -27,7 +29,7 @@ class Chain:
     weights: list[np.ndarray] = field(default_factory=list)
 
     def features(self, counts: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-        return np.column_stack([np.ones(len(counts)), np.log1p(n_words) / 10, np.minimum(counts, 5)])
+        return np.column_stack([np.ones(len(counts)), np.log1p(n_words) / 10, np.log1p(counts)])
 
     def scores(self, counts: np.ndarray, n_words: np.ndarray) -> np.ndarray:
         """Probabilities of the categories, each model seeing those before it."""
@@ -80,64 +82,75 @@ def _counts(words: list[str], texts: list[str | None]) -> tuple[np.ndarray, np.n
     return counts, n_words
 
 
-def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Chain:
+def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", quality_col: str = "quality") -> Chain:
     """Screen words and fit the chain on at most ``MAX_ROWS`` labelled documents, chosen by a hash of their ids.
 
-    Words are those in more toxic documents than an even spread would give by six and more
-    standard errors, the 256 clearest of them; they are counted in one aggregate. The
-    categories follow from the label: toxic; repeated, toxic with three or more screened words;
-    severe, toxic with such words at one in fifty or more. Without labels nothing is toxic.
+    The categories come from the labels, not from the features: low_quality (quality 0), severe
+    (toxic and of low quality), and at the end toxic, whose model sees the probabilities of the
+    two before it. A document labelled more than once is toxic, or of low quality, if any of its
+    labels says so; a null quality counts as good. Screened words are all those in more toxic,
+    or more low-quality, documents than an even spread would give by six and more standard
+    errors; they are counted in one aggregate over the chosen documents. Without labels, or
+    without words that stand out, nothing is toxic. Null texts count as empty; labels without an
+    id, or of no document, are passed over.
     """
-    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("_y"))
+    low = F.coalesce((F.col(quality_col) == 0).cast("int"), F.lit(0)) if quality_col in labels.columns else F.lit(0)
+    known = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull())
+    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(toxic_col) == 1).cast("int")).alias("_y"), F.max(low).alias("_q"))
     n = known.count()
     if not n:
         return Chain([])
     share = min(1.0, 0.95 * MAX_ROWS / n)
-    chosen = known.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(share * 1_000_000)).limit(MAX_ROWS)
-    docs = df.select(id_col, F.col(text_col).alias("_t")).join(F.broadcast(chosen), id_col)  # MAX_ROWS rows of two numbers
+    chosen = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(MAX_ROWS)
+    chosen = F.broadcast(chosen)  # MAX_ROWS rows of three numbers
+    docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(chosen, "_id").select("_t", "_y", "_q")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = {0: Counter(), 1: Counter()}
-            for text, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                seen[int(y == 1)].update({None, *_WORD.findall((text.as_py() or "").lower())})
-            words = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([seen[y][w] for w in words], pa.int64()) for y in (1, 0))], ["word", "a", "b"])
-
-    seen = docs.select("_t", F.col("_y").cast("int").alias("_y")).mapInArrow(distinct, "word string, a long, b long")
-    table = seen.groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+            seen: dict[tuple[int, int], Counter] = {}
+            for text, y, q in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                seen.setdefault((y, q), Counter()).update({None, *_WORD.findall((text.as_py() or "").lower())})
+            words = sorted(set().union(*seen.values()) - {None}) + [None]
+            of = lambda cells: pa.array([sum(seen[c][w] for c in cells if c in seen) for w in words], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), of([(1, 0), (1, 1)]), of([(0, 1), (1, 1)]), of([(0, 0), (0, 1), (1, 0), (1, 1)])], ["word", "toxic", "low", "n"])
+
+    seen = docs.mapInArrow(distinct, "word string, toxic long, low long, n long")
+    table = seen.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("toxic", "low", "n")))
     everyone = table.where("word is null").first()
-    toxic, other = (everyone["a"], everyone["b"]) if everyone else (0, 0)
-    if not toxic or not other:
+    if not everyone or not 0 < everyone["toxic"] < everyone["n"]:
         return Chain([])
-    expected = (F.col("a") + F.col("b")) * (toxic / (toxic + other))
-    table = table.where("word is not null and a >= 3").withColumn("z", (F.col("a") - expected) / F.sqrt(expected))
-    words = sorted(r["word"] for r in table.where("z > 6").orderBy(F.desc("z"), "word").limit(MAX_WORDS).collect())
+
+    def clear(column: str) -> Column:
+        expected = F.col("n") * F.lit(everyone[column] / everyone["n"])
+        return (F.col(column) >= 3) & (F.col(column) - expected > CLEAR * F.sqrt(expected))
+
+    standing = table.where(F.col("word").isNotNull() & (clear("toxic") | clear("low")))
+    words = sorted(r["word"] for r in standing.select("word").collect())  # words of at most MAX_ROWS documents
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, n_words = _counts(words, batch.column(0).to_pylist())
-            small = [x.tobytes() for x in np.minimum(counts, 255).astype(np.uint8)]
-            yield pa.RecordBatch.from_arrays([pa.array(small, pa.binary()), pa.array(n_words), batch.column(1)], ["counts", "n", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array([x.astype("<i4").tobytes() for x in counts], pa.binary()), pa.array(n_words), *batch.columns[1:]], ["counts", "n", "y", "q"])
 
-    rows = docs.select("_t", F.col("_y").cast("int").alias("_y")).mapInArrow(count, "counts binary, n double, y int").toPandas()
-    rows = rows.sort_values(["y", "n", "counts"], ignore_index=True)  # the order in which tasks end doesn't matter
-    counts = np.array([np.frombuffer(x, np.uint8) for x in rows["counts"]], float).reshape(len(rows), len(words))
-    n_words, y, hits = rows["n"].to_numpy(), rows["y"].to_numpy() == 1, counts.sum(axis=1)
-    return fit_chain(Chain(words), counts, n_words, np.column_stack([y, y & (hits >= 3), y & (hits * 50 >= n_words)]).astype(float))
+    rows = docs.mapInArrow(count, "counts binary, n double, y int, q int").toPandas()
+    rows = rows.sort_values(["y", "q", "n", "counts"], ignore_index=True)  # the order in which tasks end doesn't matter
+    counts = np.array([np.frombuffer(x, "<i4") for x in rows["counts"]], float).reshape(len(rows), len(words))
+    y, q = rows["y"].to_numpy() == 1, rows["q"].to_numpy() == 1
+    return fit_chain(Chain(words), counts, rows["n"].to_numpy(), np.column_stack([q, q & y, y]).astype(float))
 
 
 def with_toxicity(df: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "p_") -> DataFrame:
-    """Add ``p_toxic``, ``p_repeated``, ``p_severe`` for every whole text (null: empty).
+    """Add ``p_low_quality``, ``p_severe``, ``p_toxic`` for every whole text (null: empty).
 
-    They replace columns of these names. A chain without words (no labels) gives zeros.
+    They replace columns of these names; all others stay, whatever their names. A chain that was
+    not fitted (no labels) gives zeros. Equal texts get equal values; an empty table, no rows.
     """
     names = [prefix + c for c in CATEGORIES]
     df = df.drop(*names)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in shared.slices(whole, at)):
             p = chain.scores(*_counts(chain.words, batch.column(at).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, j]) for j in range(len(names)))], [*batch.schema.names, *names])
 
