@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -11,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from . import shared
+
 PACKET, SYNC = 188, 0x47
 PAT_PID, PMT_PID, DATA_PID, NULL_PID = 0x0000, 0x1000, 0x0100, 0x1FFF
 PRIVATE_DATA, PRIVATE_STREAM_1 = 0x06, 0xBD  # stream type and stream id of private data
@@ -111,7 +114,7 @@ def read(data: bytes) -> Stream:
     """Parse a stream: tables, continuity, elementary packets. Damage raises ValueError."""
     if len(data) % PACKET:
         raise ValueError("not whole packets")
-    got, counters, map_pid, data_pid, parts, open_ = Stream(), {}, None, None, [], None
+    got, counters, twice, map_pid, data_pid, parts, open_ = Stream(), {}, set(), None, None, [], None
 
     def close() -> None:
         pts, enter, bodies = open_
@@ -132,13 +135,22 @@ def read(data: bytes) -> Stream:
         got.packets[pid] = got.packets.get(pid, 0) + 1
         if pid == NULL_PID:
             continue
-        if pid in counters and (counters[pid] + 1) & 15 != b3 & 15:
-            raise ValueError(f"packets of PID {pid} are missing")
-        counters[pid] = b3 & 15
-        begin, enter = at + 4, False
+        begin, enter, jumps = at + 4, False, False
         if b3 & 0x20:
             begin += 1 + data[begin]
-            enter = data[at + 4] > 0 and bool(data[at + 5] & 0x40)
+            enter, jumps = data[at + 4] > 0 and bool(data[at + 5] & 0x40), data[at + 4] > 0 and bool(data[at + 5] & 0x80)
+        before, counter = counters.get(pid), b3 & 15
+        if not b3 & 0x10:  # no payload, no count
+            if before is not None and counter != before and not jumps:
+                raise ValueError(f"packets of PID {pid} are missing")
+            continue
+        if counter == before and not jumps and pid not in twice:  # a packet may be sent twice
+            twice.add(pid)
+            continue
+        if before is not None and counter != (before + 1) & 15 and not jumps:
+            raise ValueError(f"packets of PID {pid} are missing")
+        counters[pid] = counter
+        twice.discard(pid)
         body = data[begin : at + PACKET]
         if pid == PAT_PID:
             map_pid = int.from_bytes(_section_of(body, 0)[10:12], "big") & 0x1FFF
@@ -172,33 +184,44 @@ def feature_of(stream: Stream) -> str:
     return f"units={len(stream.units)};entries={entries};last_pts={stream.units[-1][0]};packets={stream.packets[DATA_PID]};mean={samples.mean():.4f};std={samples.std():.4f}"
 
 
-def with_transport_stream(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Store every whole text as a transport stream, read the stored bytes back, and describe them.
+def _write(text_at: int, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in shared.slices(whole, text_at)):
+            made = [payload_of(t.as_py()) for t in batch.column(text_at)]
+            kept = [c for i, c in enumerate(batch.columns) if i != text_at]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array([n for n, _ in made], pa.int64()), pa.array([write(p) for _, p in made], pa.binary())], names)
 
-    Adds n_bytes, media (the stream), payload (as read back), entry_points (offset and timestamp
-    of the units that can be entered at), feature; they replace columns of these names. Null
-    texts count as empty.
-    """
-    names = ["n_bytes", "media", "payload", "entry_points", "feature"]
-    df = df.drop(*names)
-    at = df.columns.index(text_col)
-    point = pa.struct([("offset", pa.int64()), ("pts", pa.int64())])
+    return run
+
+
+def _read(media_at: int, names: list[str]):
+    point = pa.list_(pa.struct([("offset", pa.int64()), ("pts", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                batch = whole.slice(first, 500)
-                sizes, media, payloads, points, features = [], [], [], [], []
-                for text in batch.column(at):
-                    n, payload = payload_of(text.as_py())
-                    media.append(write(payload))
-                    stream = read(media[-1])
-                    sizes.append(n)
-                    payloads.append(stream.payload)
-                    points.append([{"offset": o, "pts": p} for p, o, e in stream.units if e])
-                    features.append(feature_of(stream))
-                columns = [pa.array(sizes, pa.int64()), pa.array(media, pa.binary()), pa.array(payloads, pa.binary()), pa.array(points, pa.list_(point)), pa.array(features, pa.string())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
-
-    added = T.StructType.fromDDL("n_bytes long, media binary, payload binary, entry_points array<struct<offset:bigint,pts:bigint>>, feature string")
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
+        for batch in (part for whole in batches for part in shared.slices(whole, media_at)):
+            streams = [read(m.as_py()) for m in batch.column(media_at)]
+            points = [[{"offset": o, "pts": p} for p, o, e in s.units if e] for s in streams]
+            columns = [pa.array([s.payload for s in streams], pa.binary()), pa.array(points, point), pa.array(map(feature_of, streams), pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
+
+    return run
+
+
+def with_transport_stream(df: DataFrame, text_col: str = "text", root: str | None = None) -> DataFrame:
+    """Store every whole text as a transport stream, read the stored bytes back, and describe them.
+
+    The streams are written as a Parquet table to ``root`` (a new folder in the shared one, the
+    caller's to delete, if none is given) and parsed from there in a second pass. Returns the
+    columns of ``df`` but for the text, which the payload holds, and n_bytes, media (the
+    stream), payload (as read back), entry_points (offset and timestamp of the units that can
+    be entered at), feature; these replace columns of their names. Null texts count as empty;
+    equal texts give equal streams; an empty table gives no rows.
+    """
+    spark = df.sparkSession
+    df = df.drop("n_bytes", "media", "payload", "entry_points", "feature")
+    kept = [f for f in df.schema.fields if f.name != text_col]
+    stored = T.StructType([*kept, *T.StructType.fromDDL("n_bytes long, media binary").fields])
+    root = root or f"{shared.shared_dir(spark)}/media-{uuid.uuid4().hex}"
+    df.mapInArrow(_write(df.columns.index(text_col), stored.names), stored).write.option("compression", "zstd").parquet(root)
+    found = T.StructType([*stored.fields, *T.StructType.fromDDL("payload binary, entry_points array<struct<offset:bigint,pts:bigint>>, feature string").fields])
+    return spark.read.schema(stored).parquet(root).mapInArrow(_read(len(kept) + 1, found.names), found)
