@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import shared
+
 WINDOW = 256  # bytes of a window
 WIDTHS, FILTERS = (2, 3, 4), 16
 MAX_ROWS, PER_TEXT = 1_200, 6  # training texts in all, and windows of each, at most
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
 _LETTERS = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
 
 
@@ -52,6 +54,11 @@ class ByteNet:
         return out
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a character of a letter category (signs like ½, ① or Ⅳ are none)."""
+    return any(m[0].isalpha() for m in _WORDLIKE.finditer(text))
+
+
 def windows(text: str) -> np.ndarray:
     """The whole text, lower-cased, as UTF-8 windows of ``WINDOW`` bytes (the last is filled with zeros)."""
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
@@ -95,7 +102,7 @@ def train(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 4, rate:
 
 
 def _drawn(df: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame | None:
-    """About ``MAX_ROWS`` labelled texts at most, an equal number of each language, chosen by a hash of their ids."""
+    """About ``MAX_ROWS`` labelled texts at most, an equal number of each language (of the ``MAX_ROWS`` most frequent), chosen by a hash of their ids."""
     known = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().orderBy(F.desc("count")).limit(MAX_ROWS).collect()}
     if not counts:
@@ -111,7 +118,8 @@ def _drawn(df: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFram
 def fit_language(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> ByteNet | None:
     """Fit on at most ``MAX_ROWS`` texts, an equal number of each language, chosen by a hash of their ids.
 
-    Each gives ``PER_TEXT`` windows spread over it. Rows without text, language or id are passed
+    Each gives ``PER_TEXT`` windows of 256 characters, spread evenly over it, of which the first
+    256 bytes train (the prediction reads every byte of a text). Rows without text, language or id are passed
     over. None if nothing is left.
     """
     drawn = _drawn(df, text_col, lang_col, id_col)
@@ -124,7 +132,7 @@ def fit_language(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     x, y = [], []
     for lang, parts in zip(rows["lang"], rows["parts"], strict=True):
         for part in dict.fromkeys(parts):
-            if _LETTER.search(part):
+            if has_letter(part):
                 x.append(windows(part)[:1])
                 y.append(langs.index(lang))
     return train(np.concatenate(x), np.array(y), langs) if x else None
@@ -155,11 +163,11 @@ def with_language(df: DataFrame, net: ByteNet | None, text_col: str = "text") ->
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in shared.slices(whole, at)):
             langs, scores, sures = [], [], []
             for value in batch.column(at):
                 text = value.as_py()
-                if net is None or text is None or not _LETTER.search(text):
+                if net is None or text is None or not has_letter(text):
                     langs.append("und")
                     scores.append(0.0)
                     sures.append(0.0)
