@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import struct
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from math import inf
 from operator import add
 
@@ -14,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from . import shared
+
 SPACE = "▁"
 _loaded: dict[str, PieceTransducer] = {}
 
@@ -32,16 +36,82 @@ class _Ids(dict):
         return found
 
 
+@dataclass
+class Model:
+    """What a model file says: pieces with score and kind, the merge or unigram rule, the normaliser's switches."""
+
+    pieces: list[tuple[str, float, int]] = field(default_factory=list)
+    unigram: bool = True
+    blank_in_front: bool = True
+    single_blanks: bool = True
+    escaped_blanks: bool = True
+    rewrites: bool = False  # the normaliser rewrites characters by a table
+
+
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Field numbers and values of a protocol buffer message."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 0x7F) << shift
+            shift += 7
+            if byte < 0x80:
+                return value
+
+    while at < len(data):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+            continue
+        size = {1: 8, 5: 4}.get(key & 7) or number()
+        yield key >> 3, data[at : at + size]
+        at += size
+
+
+# Kinds of pieces, and field numbers of the model file's public format.
+NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
+PIECES, TRAINER, NORMALISER = 1, 2, 3
+
+
+def read_model(path: str) -> Model:
+    """The parts of a model file that encoding needs."""
+    model = Model()
+    with open(path, "rb") as f:
+        data = f.read()
+    for part, body in _fields(data):
+        got = dict(_fields(body)) if part in (PIECES, TRAINER, NORMALISER) else {}
+        if part == PIECES:
+            model.pieces.append((got.get(1, b"").decode(), struct.unpack("<f", got[2])[0] if 2 in got else 0.0, got.get(3, NORMAL)))
+        elif part == TRAINER:
+            if got.get(3, 1) not in (1, 2):
+                raise ValueError("only unigram and merge models are read")
+            model.unigram = got.get(3, 1) == 1
+        elif part == NORMALISER:
+            model.rewrites = bool(got.get(2, b"") or got.get(6, b""))
+            model.blank_in_front, model.single_blanks, model.escaped_blanks = (bool(got.get(i, 1)) for i in (3, 4, 5))
+    return model
+
+
 class PieceTransducer:
-    """Normaliser, pieces and byte fallback of a model file, as one transducer.
+    """Normaliser, pieces and byte fallback of a model, as one weighted transducer.
+
+    The normaliser is compiled from the model's switches: a blank becomes U+2581, one is put in
+    front, runs of blanks shrink to one, or not. A model that rewrites characters by a table, or
+    leaves blanks as they are, is refused.
 
-    The normaliser maps a blank to U+2581 and puts one in front. The piece machine has a state
-    for each last piece; an arc reads a piece's characters and writes its id, and its weight in
-    the tropical semiring is 0 where the merge rule leaves the two pieces as they are, and
-    infinite where it would join or split them otherwise. A character that no piece holds is
-    read by an arc that writes its bytes' ids. Composed with a text, exactly one path of finite
-    weight is left, and it is the shortest: the encoding. For a unigram model the weights are
-    the negated scores and do not depend on the last piece.
+    The piece machine has a state for each last piece. An arc reads a piece's characters and
+    writes its id; a character that no piece holds is read by an arc that writes its bytes' ids
+    (``arcs``). Weights lie in the tropical semiring, where paths add and the least sum wins. In
+    a unigram model an arc weighs the negated score and all states are one. In a merge model the
+    result is no sum of scores; there an arc weighs 0 where the merge rule leaves its piece and
+    the one before as they are, and infinitely much elsewhere (such arcs are left out), so that
+    one path of finite weight remains. The machine is composed with a text as it is searched:
+    nodes are positions with states, made when they are reached.
 
     A text is composed chunk by chunk, cut where no piece reaches across (before a run of
     blanks, around a line break); chunks are kept per worker.
@@ -49,21 +119,19 @@ class PieceTransducer:
 
     limit = 300_000
 
-    def __init__(self, path: str):
-        from sentencepiece import SentencePieceProcessor
-
-        model = SentencePieceProcessor(model_file=path)
-        n = model.vocab_size()
-        self.unknown = model.unk_id()
-        self.bytes = {model.id_to_piece(i): i for i in range(n) if model.is_byte(i)}
+    def __init__(self, model: Model):
+        if model.rewrites or not model.escaped_blanks:
+            raise ValueError("the model's normaliser rewrites characters: not supported")
+        self.model, self.unigram, n = model, model.unigram, len(model.pieces)
+        self.unknown = next((i for i, (_, _, kind) in enumerate(model.pieces) if kind == UNKNOWN), 0)
+        self.bytes = {p: i for i, (p, _, kind) in enumerate(model.pieces) if kind == BYTE}
         self.byte_ids = [self.bytes.get(f"<0x{b:02X}>", self.unknown) for b in range(256)]
-        plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-        self.ids = {model.id_to_piece(i): i for i in plain}
-        self.score = {model.id_to_piece(i): model.get_score(i) for i in plain}
+        plain = [(i, p, s) for i, (p, s, kind) in enumerate(model.pieces) if kind in (NORMAL, USER)]
+        self.ids = {p: i for i, p, _ in plain}
+        self.score = {p: s for _, p, s in plain}
         self.longest = max(map(len, self.ids))
         if any(SPACE in p.lstrip(SPACE) or "\n" in p and p != "\n" for p in self.ids):
             raise ValueError("pieces reach across words; chunks cannot be cut at blanks")
-        self.unigram = any(s != int(s) for s in self.score.values())  # merge ranks are whole numbers
         self.rank = {p: k for k, p in enumerate(sorted(self.ids, key=lambda p: (-self.score[p], self.ids[p])))}
         self.last_join: dict[str, list[str]] = {}
         if not self.unigram:
@@ -123,9 +191,41 @@ class PieceTransducer:
             else:
                 limit, right = r + 1, last[right][0]
 
+    def arcs(self, state: str, chunk: str, at: int) -> Iterator[tuple[str, str, float]]:
+        """Arcs that read on at a position: the piece, the state they lead to, the weight. Infinite ones are left out."""
+        for end in range(at + 1, min(len(chunk), at + self.longest) + 1):
+            piece = chunk[at:end]
+            if piece not in self.ids and end > at + 1:
+                continue
+            if self.unigram:
+                yield piece, "", -self.score.get(piece, self.worst)
+            elif not state or self.stays(state, piece):
+                yield piece, piece, 0.0
+
+    def shortest(self, chunk: str) -> list[str]:
+        """Pieces of the shortest path through a chunk composed with the machine, in the tropical semiring.
+
+        Arcs only lead on, so positions are relaxed from left to right. Of equal paths to a node
+        the one found first stays, whose last piece begins earlier.
+        """
+        nodes: list[dict[str, tuple[float, str, str]]] = [{} for _ in range(len(chunk) + 1)]
+        nodes[0][""] = (0.0, "", "")
+        for at in range(len(chunk)):
+            for state, (cost, _, _) in nodes[at].items():
+                for piece, leads, weight in self.arcs(state, chunk, at):
+                    old = nodes[at + len(piece)].get(leads, (inf,))
+                    if cost + weight < old[0]:
+                        nodes[at + len(piece)][leads] = (cost + weight, piece, state)
+        state, at, out = min(nodes[-1], key=lambda s: nodes[-1][s][0]), len(chunk), []
+        while at:
+            _, piece, before = nodes[at][state]
+            out.append(piece)
+            at, state = at - len(piece), before
+        return out[::-1]
+
     def path(self, chunk: str) -> list[str]:
-        """Pieces of the shortest path through the composition of a chunk with the piece machine."""
-        return self._least(chunk) if self.unigram else self._finite(chunk)
+        """The shortest path's pieces; where weights are 0 or infinite, by the quicker search for the one finite path."""
+        return self.shortest(chunk) if self.unigram else self._finite(chunk)
 
     def _finite(self, chunk: str) -> list[str]:
         """Weights are 0 or infinite: search the one finite path depth first, longest arcs first."""
@@ -155,21 +255,6 @@ class PieceTransducer:
                 known = follow[last] if out else None
         return out
 
-    def _least(self, chunk: str) -> list[str]:
-        """Weights are negated scores: relax the lattice's arcs from left to right."""
-        n = len(chunk)
-        cost, back = [0.0] + [inf] * n, [""] * (n + 1)
-        for i in range(n):
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                piece = chunk[i:j]
-                if (piece in self.ids or j == i + 1) and (c := cost[i] - self.score.get(piece, self.worst)) < cost[j]:
-                    cost[j], back[j] = c, piece
-        out, at = [], n
-        while at:
-            out.append(back[at])
-            at -= len(back[at])
-        return out[::-1]
-
     def _span_ids(self, span: str) -> bytes:
         ids: list[int] = []
         for piece in self.path(span):
@@ -187,6 +272,11 @@ class PieceTransducer:
             return self._span_ids(chunk)
         return b"".join([self._spans[chunk[a:b]] for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True)])
 
+    def normalised(self, text: str) -> str:
+        if self.model.single_blanks:
+            text = re.sub(" +", " ", text.strip(" "))
+        return (SPACE if self.model.blank_in_front and text else "") + text.replace(" ", SPACE)
+
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.kind)
@@ -197,13 +287,13 @@ class PieceTransducer:
         if self._arcs > 2 * self.limit:
             self._follow.clear()
             self._arcs = 0
-        chunks = _CHUNK.findall(SPACE + text.replace(" ", SPACE))
+        chunks = _CHUNK.findall(self.normalised(text))
         return np.frombuffer(b"".join(map(self._chunks.__getitem__, chunks)), self.kind)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that the ids were written for: the machine read backwards, less the blank in front."""
         text = b"".join(map(self.written.__getitem__, ids.tolist())).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return text[1:] if self.model.blank_in_front and text.startswith(" ") else text
 
 
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -212,7 +302,7 @@ _CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 def transducer(path: str) -> PieceTransducer:
     """The transducer of this Python worker for a model file."""
     if path not in _loaded:
-        _loaded[path] = PieceTransducer(path)
+        _loaded[path] = PieceTransducer(read_model(path))
     return _loaded[path]
 
 
@@ -220,14 +310,14 @@ def with_pieces(df: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     """Add piece_ids (little-endian unsigned 32-bit) and decoded for every whole text.
 
     Null and empty texts have no ids and decode to an empty text. The two replace columns of
-    these names.
+    these names; all others stay. Equal texts get equal ids; an empty table gives no rows.
     """
     df = df.drop("piece_ids", "decoded")
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(model)
-        for batch in batches:
+        for batch in (part for whole in batches for part in shared.slices(whole, at)):
             ids = [machine.encode(t.as_py()) for t in batch.column(at)]
             columns = [pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([machine.decode(x) for x in ids], pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "piece_ids", "decoded"])
