@@ -44,7 +44,7 @@ def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chain = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.with_toxicity(docs.select("doc_id", "text"), chain)
-    return scored.select("doc_id", (F.col("p_toxic") > TOXIC_FROM).alias("toxic"), "p_toxic", "p_repeated", "p_severe")
+    return scored.select("doc_id", (F.col("p_toxic") > TOXIC_FROM).alias("toxic"), "p_toxic", "p_severe", "p_low_quality")
 
 
 def op5_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,7 @@ def op7_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         "feature",
+        F.to_json("entry_points").alias("entry_points"),
     )
 
 

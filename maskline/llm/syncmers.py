@@ -65,18 +65,19 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     a passage keeps its steps wherever it stands, chance hits do not. The likeness is the
     matched anchors over all different ones. Two texts without anchors are alike.
     """
-    sided, once, met = f"{name}_s", f"{name}_o", f"{name}_m"
-    of = lambda c, side: F.transform(c, lambda x: F.struct(x["hash"].alias("h"), F.lit(side).alias("s"), x["pos"].alias("p")))
-    df = df.withColumn(sided, F.array_sort(F.concat(of(a, 0), of(b, 1))))
-    before = lambda i: F.get(sided, i - 1)
-    df = df.withColumn(once, F.filter(sided, lambda x, i: (i == 0) | (before(i)["h"] != x["h"]) | (before(i)["s"] != x["s"])))
-    after = lambda i: F.get(once, i + 1)
-    pairs = F.transform(once, lambda x, i: F.when(after(i)["h"] == x["h"], F.struct(x["p"].alias("p"), after(i)["p"].alias("q"))))
-    df = df.withColumn(met, F.array_sort(F.filter(pairs, lambda x: x.isNotNull())))
-    step = lambda x, y: F.coalesce((y["p"] - x["p"]) == (y["q"] - x["q"]), F.lit(False))
+    sided, once, at, met = f"{name}_s", f"{name}_o", f"{name}_i", f"{name}_m"
+    # A number for each anchor: 32 bits of hash, one for the text, 31 of place; so they sort as numbers.
+    of = lambda c, side: F.transform(c, lambda x: F.shiftleft(x["hash"], 32).bitwiseOR(F.lit(side << 31)).bitwiseOR(x["pos"].cast("long")))
+    df = df.withColumn(sided, F.sort_array(F.concat(of(a, 0), of(b, 1))))
+    df = df.withColumn(once, F.filter(sided, lambda x, i: (i == 0) | (F.shiftright(F.get(sided, i - 1), 31) != F.shiftright(x, 31))))
+    same = lambda i: F.shiftright(F.get(once, i), 32) == F.shiftright(F.get(once, i + 1), 32)
+    df = df.withColumn(at, F.when(F.size(once) > 1, F.filter(F.sequence(F.lit(0), F.size(once) - 2), same)).otherwise(F.array().cast("array<int>")))
+    place = lambda x: F.coalesce(x.bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(0))
+    df = df.withColumn(met, F.sort_array(F.transform(at, lambda i: F.shiftleft(place(F.get(once, i)), 32).bitwiseOR(place(F.get(once, i + 1))))))
+    step = lambda x, y: F.coalesce(F.shiftright(y, 32) - F.shiftright(x, 32) == place(y) - place(x), F.lit(False))
     placed = F.size(F.filter(met, lambda x, i: step(F.get(met, i - 1), x) | step(x, F.get(met, i + 1)) | (F.size(met) == 1)))
     union = F.size(once) - F.size(met)
-    return df.withColumn(name, F.when(union == 0, F.lit(1.0)).otherwise(placed / union)).drop(sided, once, met)
+    return df.withColumn(name, F.when(union == 0, F.lit(1.0)).otherwise(placed / union)).drop(sided, once, at, met)
 
 
 def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = shared.RANGE_BYTES) -> DataFrame:
