@@ -16,7 +16,7 @@ from .fmindex import FMIndex
 GRAM = 8  # words of an anchor
 BLOCK = 5  # words of an index symbol
 SHARD = 20_000  # segments of an index
-HOT = 4_000  # distinct segments of one anchor from which its windows are dealt one by one
+HOT = 1_000  # distinct segments of one anchor from which its windows are dealt one by one
 
 
 def _check(window: int) -> None:
@@ -154,7 +154,7 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     3. The others are dealt by anchor to shards of about 20,000 segments. Each shard builds an
        FM-index of its segments and streams their windows through it; the matching statistics
        give the windows that stand at two places and more. The windows of an anchor with more
-       than 4,000 distinct segments are collapsed first (one row for equal ones, laid down twice
+       than 1,000 distinct segments are collapsed first (one row for equal ones, laid down twice
        if there were more) and dealt by their own hash, so that no anchor or window is a task.
     4. The marks go back to their rows, and the words they cover are dropped.
 
@@ -172,7 +172,7 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     with shared.table(texts.mapInArrow(_find(window), "row long, check int, lo int, n int, anchor long, segment long")) as found:
         # a stage of its own, so that a join's hot keys can be split at run time; so below
         twice = shared.stage(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
-        repeated = shared.stage(found.join(twice, "anchor", "left_semi"))
+        repeated = shared.stage(found.join(twice.hint("merge"), "anchor", "left_semi"))  # alike at every size
     segments = repeated.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "check", "lo", "n")).alias("one"))
     segments = shared.stage(segments)
     kinds = shared.stage(segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
@@ -183,7 +183,7 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     if twins.take(1):  # of rows with equal id and text, one is indexed
         one_each = texts.join(twins, ["row", "check"], "left_anti").unionByName(texts.join(twins, ["row", "check"], "left_semi").dropDuplicates(["row", "check"]))
 
-    unsure, hot = segments.join(kinds, "anchor"), F.col("kinds") > HOT
+    unsure, hot = segments.join(kinds.hint("merge"), "anchor"), F.col("kinds") > HOT
     tally = kinds.agg(F.coalesce(F.sum(F.when(~hot, F.col("kinds"))), F.lit(0)), F.coalesce(F.sum(F.when(hot, F.col("kinds"))), F.lit(0))).first()
 
     def cut(rows: DataFrame, split: bool) -> DataFrame:
@@ -205,7 +205,7 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
         marks = marks.unionByName(bits)
     marks = shared.stage(marks.groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")))
     full, marked, key = F.expr("shiftleft(1L, n) - 1"), shared.fresh(df, "marks"), [shared.fresh(df, "row"), shared.fresh(df, "check")]
-    on_row = repeated.join(marks, ["anchor", "segment"]).groupBy("row", "check", "lo").agg(F.bit_or(F.col("mask").bitwiseAND(full)).alias("mask"))
+    on_row = repeated.join(marks.hint("merge"), ["anchor", "segment"]).groupBy("row", "check", "lo").agg(F.bit_or(F.col("mask").bitwiseAND(full)).alias("mask"))
     on_row = on_row.groupBy(F.col("row").alias(key[0]), F.col("check").alias(key[1])).agg(F.collect_list(F.struct("lo", "mask")).alias(marked))
     out = df.withColumns(dict(zip(key, (row, check), strict=True))).join(on_row, key, "left").drop(*key)
     schema = T.StructType([*df.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
