@@ -123,6 +123,24 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS
 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
+def _crc_table() -> list[int]:
+    table = []
+    for i in range(256):
+        for _ in range(8):
+            i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+        table.append(i)
+    return table
+
+
+_SHARDS = f"""
+WITH bytes AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+  list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)) AS b FROM documents),
+sized AS (SELECT doc_id, size::BIGINT AS size, xor(list_reduce(b, lambda c, v: xor(c >> 8, ({_crc_table()}::UINTEGER[])[(xor(c, v) & 255) + 1]::BIGINT)), 4294967295) AS text_crc32 FROM bytes),
+summed AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total FROM sized),
+placed AS (SELECT *, least(39, floor((upto - size / 2) / total * 40))::INTEGER AS shard FROM summed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, NULL::INTEGER AS grown_shard FROM placed"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Where SQL can say it at the size of the check: near-duplicate classes and repeated windows."""
-    return {"op3_circulant_minhash": _SHINGLES, "op6_substring_dedup": _REPEATS}
+    """Where SQL can say it at the size of the check: shards, near-duplicate classes and repeated windows."""
+    return {"op1_sharding": _SHARDS, "op3_circulant_minhash": _SHINGLES, "op6_substring_dedup": _REPEATS}

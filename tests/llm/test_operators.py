@@ -1,15 +1,22 @@
 """Operators against brute force and round trips, on small tables with awkward rows."""
 
 import hashlib
+import re
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+sys.path.insert(0, str(Path(__file__).parent))
+import brute  # noqa: E402
+
 P = pytest.importorskip("public_tokenizers")
 
-from maskline.llm import eliasfano, language, neardup, packing, pieces, sharding, substrings, syncmers, tokenstore, toxicity, transport, wordbpe  # noqa: E402
+from maskline.llm import eliasfano, language, neardup, packing, pieces, sharding, shared, substrings, syncmers, tokenstore, toxicity, transport, wordbpe  # noqa: E402
 from maskline.llm.fmindex import FMIndex  # noqa: E402
 
 LONG = " ".join(f"w{i % 700}" for i in range(3000))
@@ -28,15 +35,54 @@ def empty(docs):
     return docs.where("doc_id = -1")
 
 
-def test_sharding(docs, empty):
-    got = sharding.shard_by_bytes(docs, 4).collect()
-    assert len(got) == len(ROWS)
-    for shard in {r["shard"] for r in got}:
-        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in got)))
-    assert {r["text_crc32"] for r in got if r["doc_id"] == 1} == {zlib.crc32(BASE.encode())}
+def shuffled(n, seed, ids=40):
+    """Rows of texts of every length, with repeated ids and rows, null ids and texts."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(n):
+        text = " ".join(f"u{x}" for x in rng.integers(0, 60, rng.integers(0, 80)))
+        rows.append((int(rng.integers(0, ids)) if rng.random() > 0.2 else None, text if rng.random() > 0.1 else None))
+    return rows + rows[:20] + [(7, "x " * 4000)]
+
+
+@pytest.fixture(scope="module")
+def tied(spark):
+    return spark.createDataFrame([(*r, 1, "b") for r in shuffled(300, 5)], "doc_id long, text string, size int, _range string")
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 23, 240])
+def test_sharding(tied, empty, range_bytes):
+    order = sorted(((i is not None, i or 0, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()), i) for i, t in shuffled(300, 5)), key=lambda r: r[:4])
+    total, upto, slots, want = sum(r[2] for r in order), 0, Counter(), []
+    for _, _, size, crc, i in order:
+        shard = min(9, int((upto + size / 2) / total * 10))
+        want.append((i, size, crc, "bytes", shard, slots[shard], None))
+        slots[shard] += 1
+        upto += size
+    got = sharding.shard_by_bytes(tied, 10, range_bytes=range_bytes).collect()
+    assert Counter(map(tuple, got)) == Counter(want)
+    weights = Counter()
+    for r in got:
+        weights[r["shard"]] += r["size"]
+    heaviest = max(r[2] for r in order)
+    assert all(abs(w - total / 10) <= heaviest for w in weights.values())
     assert sharding.shard_by_bytes(empty).count() == 0
 
 
+def test_ranges(spark, tied):
+    from pyspark.sql import functions as F
+
+    keys = [F.col("doc_id"), F.xxhash64("text").alias("tie")]
+    cut = shared.ranges(tied, keys, F.coalesce(F.octet_length("text"), F.lit(0)) + 16, 2000)
+    assert len(cut.cuts) > 8
+    got = tied.select(F.col("doc_id").alias("i"), F.xxhash64("text").alias("h"), cut.index().alias("r")).collect()
+    place = lambda i, h: (i is not None, i or 0, h)
+    cuts = [place(c["doc_id"], c["tie"]) for c in cut.cuts]
+    assert cuts == sorted(set(cuts))
+    assert all(r["r"] == sum(c < place(r["i"], r["h"]) for c in cuts) for r in got)
+    assert shared.ranges(tied.where("doc_id = -1"), keys, F.lit(1)).cuts == []
+
+
 def test_elias_fano():
     for values in ([], [0], [0, 0, 5], np.cumsum(np.random.default_rng(1).integers(0, 900, 2000)).tolist()):
         read = eliasfano.Reader(b"xx" + eliasfano.encode(np.array(values, np.uint64)), 2)
@@ -50,20 +96,44 @@ def test_token_store(docs, empty):
     path = P.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
     got = sorted(tokenstore.token_store(docs, path).collect(), key=lambda r: r["start"])
-    order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
-    start = 0
-    for row, (i, text) in zip(got, order, strict=True):
-        ids = library.encode(text or "", add_special_tokens=False).ids + [1]
-        assert tuple(row) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in ROWS), key=lambda i: (i is not None, i or 0))
+    start, texts = 0, dict(ROWS)
+    for row in got:
+        ids = library.encode(texts[row["doc_id"]] or "", add_special_tokens=False).ids + [1]
+        assert tuple(row)[1:] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
     assert tokenstore.token_store(docs.where("doc_id = 7"), path).count() == 1
+    assert tokenstore.token_store(empty, path).count() == 0
+
+
+def test_token_store_of_many_ranges(tied):
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    library, start = Tokenizer.from_file(path), 0
+    got = sorted(tokenstore.token_store(tied, path, range_bytes=2000).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in shuffled(300, 5)), key=lambda i: (i is not None, i or 0))
+    left = Counter()
+    for i, text in shuffled(300, 5):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [1]
+        left[(i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))] += 1
+    for row in got:
+        assert row["start"] == start
+        left[(row["doc_id"], row["n_tokens"], row["ids_crc32"])] -= 1
+        start += row["n_tokens"]
+    assert not any(left.values())
 
 
 def test_word_cache():
     encode = wordbpe.WordEncoder(P.path("word_bpe_49k.json"))
     odd = ["Σίσυφος ΣΑΣ", "İstanbul I'm don't it's", "a\tb\rc\x85d", "naïve*** µm ª º 5µ ÿ", "123abc abc123, x...y ***", "A ", ",a", "ẞ ß STRASSE", "a\n\nb.\n", "|a| <x>", "é" * 60, "x" * 60 + "..", "ab\x00cd", "× a×b", "e\u0301.", "a <|endoftext|>b"]
-    for text in odd * 2:
-        assert encode.ids(text).tolist() == [*encode.library.encode(text, add_special_tokens=False).ids, 1], text
+    long = " ".join(f"word{i}, x" for i in range(500_000))  # cut at blanks
+    for text in [*odd * 2, long]:
+        assert encode.ids(text).tolist() == [*encode.library.encode(text, add_special_tokens=False).ids, 1], text[:60]
+    flat, bounds = encode.batch(pa.array([None, *odd, "", "last"]).slice(1))
+    for i, text in enumerate([*odd, "", "last"]):
+        assert flat[bounds[i] : bounds[i + 1]].tolist() == encode.ids(text).tolist()
+
 
 
 def test_near_duplicates(docs, empty):
@@ -75,6 +145,46 @@ def test_near_duplicates(docs, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_word_hashes():
+    texts = ["", None, "  ", "A b\tc", "x" * 600, "x" * 300 + "y" + "x" * 299, "é ñ\n\x0b日本 " + "z" * 257, "y" * 300 + " y", LONG * 80]
+    for lower in (False, True):
+        for first in (0, 3):
+            hashes, bounds = shared.word_hashes(pa.array(texts).slice(first), lower)
+            seen = {}
+            for i, text in enumerate(texts[first:]):
+                own = brute.words(re.sub("[A-Z]", lambda m: m[0].lower(), text or "") if lower else text)
+                for word, h in zip(own, hashes[bounds[i] : bounds[i + 1]].tolist(), strict=True):
+                    assert seen.setdefault(word, h) == h
+            assert len(set(seen.values())) == len(seen)
+    with pytest.raises(ValueError):
+        shared.gram_hashes(np.zeros(99, np.uint64), 65)
+
+
+@pytest.mark.parametrize("block", [512, 8])
+def test_near_duplicates_against_all_pairs(spark, block, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng, rows = np.random.default_rng(8), []
+    for family in range(6):
+        base = rng.integers(0, 5000, 70)
+        for i in range(25):  # some closer than 80 %, some not
+            text = base.copy()
+            text[rng.choice(70, i // 4, replace=False)] = rng.integers(0, 5000, i // 4)
+            rows.append((100 * family + i, " ".join(f"W{x}" for x in text)))
+    rows += [(1000, rows[0][1].lower()), (1001, None), (1002, ""), (1003, "a b"), (1004, "A B"), (1005, "a"), (5, rows[5][1])]
+    got = neardup.near_duplicates(spark.createDataFrame([(*r, 0, 1) for r in rows], "doc_id long, text string, label int, band int"), k=4).collect()
+    want = brute.near_classes(rows, 4)
+    assert len(got) == len(rows) and {r["doc_id"]: r["component_id"] for r in got} == want
+    assert all(r["kept"] == (r["doc_id"] == want[r["doc_id"]]) for r in got)
+    sizes = {i: len(brute.shingles(t, 4)) for i, t in rows}
+    assert all(r["n_shingles"] == sizes[r["doc_id"]] for r in got)
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.range(400).selectExpr("(id * 7919) % 401 AS u", "((id + 1) * 7919) % 401 AS v")  # a path over 401 nodes
+    got = neardup.components(edges).collect()
+    assert len(got) == 401 and {r["label"] for r in got} == {0}
+
+
 def test_fm_index():
     text = np.random.default_rng(2).integers(1, 4, 400)
     index = FMIndex(np.append(text, 0), 5)
@@ -87,27 +197,63 @@ def test_fm_index():
 
 
 @pytest.mark.parametrize("hot", [4000, 1])
-def test_remove_repeats(docs, empty, hot, monkeypatch):
+def test_remove_repeats(spark, docs, empty, hot, monkeypatch):
     monkeypatch.setattr(substrings, "HOT", hot)
-    words = [(t or "").encode().split() for _, t in ROWS]
-    count = Counter(tuple(w[i : i + 35]) for w in words for i in range(len(w) - 34))
-    want = []
-    for (i, _), w in zip(ROWS, words, strict=True):
-        drop = {j for s in range(len(w) - 34) if count[tuple(w[s : s + 35])] > 1 for j in range(s, s + 35)}
-        want.append((i or 0, len(w), len(drop), b" ".join(x for j, x in enumerate(w) if j not in drop).decode()))
-    got = [(r["doc_id"] or 0, r["n_words"], r["n_removed"], r["text"] or "") for r in substrings.remove_repeats(docs).collect()]
-    assert sorted(got) == sorted(want)
+    rng = np.random.default_rng(3)
+    common = " ".join(f"c{i}" for i in range(50))  # stands in many different contexts
+    some = [f"{' '.join(map(str, rng.integers(0, 99, 30)))} {common} {' '.join(map(str, rng.integers(0, 99, 20)))}" for _ in range(30)]
+    rows = [*ROWS, *enumerate(some, 100), (7, LONG), (7, LONG), (200, "very long " + " ".join(map(str, rng.integers(0, 40, 60_000))))]
+    want = Counter((i, len(brute.words(t)), len(brute.words(t)) - len(k), " ".join(k)) for (i, t), k in zip(rows, brute.without_repeats([t for _, t in rows], 35), strict=True))
+    named = "doc_id long, text string, row string, check int, marks string, n_words int"
+    out = substrings.remove_repeats(spark.createDataFrame([(*r, "r", 1, "m", -1) for r in rows], named))
+    assert out.columns == ["doc_id", "text", "row", "check", "marks", "n_words", "n_removed"]
+    got = out.collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"] or "") for r in got) == want
+    assert {(r["row"], r["check"], r["marks"]) for r in got} == {("r", 1, "m")}
+    assert sum(r["text"] is None for r in got) == 1
     assert substrings.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("window", [0, 5, 36, 65, 100])
+def test_remove_repeats_refuses_windows(docs, window):
+    with pytest.raises(ValueError):
+        substrings.remove_repeats(docs, window)
+
+
 def test_toxicity(spark, empty):
-    rows = [(i, f"you idiot {i} and moron" if i % 4 == 0 else f"a kind word {i} and more") for i in range(200)]
-    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
-    scored = toxicity.with_toxicity(docs, toxicity.fit_toxicity(docs, labels)).collect()
-    assert all((r["p_toxic"] > 0.5) == (r["doc_id"] % 4 == 0) for r in scored)
+    rows = [(i, f"you idiot {i} and moron" if i % 4 == 0 else f"a kind word {i} and more") for i in range(200)] + [(900, None), (901, ""), (902, "idiot moron " * 5000), (0, "a kind word")]
+    docs, labels = spark.createDataFrame([(*r, -7.0) for r in rows], "doc_id long, text string, p_toxic double"), spark.createDataFrame([(i, int(i % 4 == 0), i % 3) for i in range(200)], "doc_id long, toxic int, quality int")
+    labels = labels.unionByName(labels.where("doc_id < 9")).unionByName(spark.createDataFrame([(None, 1, 1), (5000, 1, 0)], labels.schema))
+    chain = toxicity.fit_toxicity(docs, labels)
+    assert [len(w) for w in chain.weights] == [len(chain.words) + 2, len(chain.words) + 3, len(chain.words) + 4]  # each link sees those before it
+    out = toxicity.with_toxicity(docs, chain)
+    assert out.columns == ["doc_id", "text", "p_low_quality", "p_severe", "p_toxic"]
+    scored = out.collect()
+    assert len(scored) == len(rows)
+    assert all((r["p_toxic"] > 0.5) == ("idiot" in (r["text"] or "")) for r in scored)
     nothing = toxicity.fit_toxicity(docs, labels.where("toxic > 5"))
     assert toxicity.with_toxicity(docs, nothing).where("p_toxic > 0").count() == 0
     assert toxicity.with_toxicity(empty, nothing).count() == 0
+    assert toxicity.fit_toxicity(empty, labels).words == []
+
+
+def test_toxicity_chain_predicts_out_of_fold():
+    rng = np.random.default_rng(1)
+    counts, n, y = rng.poisson(1, (90, 3)).astype(float), np.full(90, 30.0), rng.integers(0, 2, (90, 2)).astype(float)
+    chain = toxicity.fit_chain(toxicity.Chain(["a", "b", "c"]), counts, n, y)
+    x, held, part = chain.features(counts, n), np.zeros(90), np.arange(90) % 3
+    for k in range(3):
+        held[part == k] = 1 / (1 + np.exp(-(x[part == k] @ toxicity._logistic(x[part != k], y[part != k, 0]))))
+    assert np.allclose(chain.weights[1], toxicity._logistic(np.column_stack([x, held]), y[:, 1]))
+
+
+def test_toxicity_on_labels_left_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    chain = toxicity.fit_toxicity(docs, labels.where("doc_id % 5 <> 0"))
+    rows = toxicity.with_toxicity(docs.select("doc_id", "text"), chain).join(labels.where("doc_id % 5 = 0"), "doc_id").select("toxic", "p_toxic").collect()
+    toxic, clean = [r["p_toxic"] > 0.5 for r in rows if r["toxic"] == 1], [r["p_toxic"] > 0.5 for r in rows if r["toxic"] == 0]
+    print(f"{sum(toxic)} of {len(toxic)} toxic found, {sum(clean)} of {len(clean)} clean accused")
+    assert sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.01 * len(clean)
 
 
 def test_pieces():
@@ -120,32 +266,148 @@ def test_pieces():
         assert machine.decode(machine.encode(text)) == text
 
 
+def test_piece_paths_agree():
+    """The quick search gives the shortest path of the composed machine."""
+    machine = pieces.transducer(P.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(9)
+    for _ in range(120):
+        chunk = "▁" + "".join(rng.choice(list("aeinrstzéß日-'x▁"), rng.integers(1, 9)))
+        assert machine._finite(chunk) == machine.shortest(chunk)
+
+
+def test_unigram_paths():
+    scores = {"▁": -2.0, "a": -2.5, "b": -2.0, "▁a": -2.2, "ab": -3.0, "ba": -3.5, "▁ab": -6.5, "bab": -4.9}
+    model = pieces.Model([("<unk>", 0.0, pieces.UNKNOWN), *((p, s, pieces.NORMAL) for p, s in scores.items()), ("<0xC3>", 0.0, pieces.BYTE)], single_blanks=True)
+    machine = pieces.PieceTransducer(model)
+
+    def best(text):  # over all segmentations
+        if not text:
+            return 0.0, []
+        tried = [(best(text[n:]), text[:n]) for n in range(1, len(text) + 1) if text[:n] in scores or n == 1]
+        return max(((s + scores.get(p, min(scores.values()) - 10), [p, *rest]) for (s, rest), p in tried), key=lambda x: x[0])
+
+    for text in ("▁ab", "▁abab", "▁babab", "▁aéb", "▁bbaa", "▁ababbab"):
+        assert machine.path(text) == best(text)[1]
+    assert machine.normalised("  a   b ") == "▁a▁b"
+    assert machine.encode("é").tolist() == [1, 9, 0]  # the blank, a byte's piece, an unknown byte
+    for bad in (pieces.Model(model.pieces, rewrites=True), pieces.Model(model.pieces, escaped_blanks=False)):
+        with pytest.raises(ValueError):
+            pieces.PieceTransducer(bad)
+
+
+def test_with_pieces(docs, empty):
+    import sentencepiece
+
+    path = P.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    out = pieces.with_pieces(docs.selectExpr("doc_id AS decoded", "text", "label"), path)
+    assert out.columns == ["text", "label", "piece_ids", "decoded"]
+    for r in out.collect():
+        assert np.frombuffer(r["piece_ids"], "<u4").tolist() == library.encode(r["text"] or "") and r["decoded"] == (r["text"] or "")
+    assert pieces.with_pieces(empty, path).count() == 0
+
+
+def plain_stream(data):
+    """Payload of the only elementary stream, by packet offsets alone."""
+    out, body = b"", b""
+    for packet in [data[i : i + 188] for i in range(0, len(data), 188)] + [b"\x47\x41\x00\x10"]:
+        assert packet[0] == 0x47
+        if (packet[1] & 0x1F) << 8 | packet[2] != 0x100:
+            continue
+        if packet[1] & 0x40 and body:
+            assert body[:4] == b"\x00\x00\x01\xbd" and int.from_bytes(body[4:6], "big") == len(body) - 6
+            out, body = out + body[9 + body[8] :], b""
+        body += packet[5 + packet[4] :] if packet[3] & 0x20 else packet[4:]
+    return out
+
+
 def test_transport(docs, empty):
     for n in range(1, 700, 7):
         data = bytes(i % 251 for i in range(n))
-        assert transport.read(transport.write(data)).payload == data
+        assert transport.read(transport.write(data)).payload == data == plain_stream(transport.write(data))
     big = transport.payload_of(LONG * 3)[1]
     stream = transport.write(big)
-    assert transport.read(stream).payload == big
-    with pytest.raises(ValueError):
-        transport.read(stream[: 188 * 5] + stream[188 * 6 :])  # a packet is lost
-    assert transport.with_transport_stream(docs).count() == len(ROWS) and transport.with_transport_stream(empty).count() == 0
+    got = transport.read(stream)
+    assert got.payload == big == plain_stream(stream)
+    assert [u[0] for u in got.units] == [3600 * k for k in range(len(got.units))] and [u[2] for u in got.units] == [k % 4 == 0 for k in range(len(got.units))]
+    packets = [stream[i : i + 188] for i in range(0, len(stream), 188)]
+    empty_one = bytes([0x47, 0x01, 0x00, 0x20 | packets[3][3] & 15, 183, 0]) + b"\xff" * 182
+    assert transport.read(b"".join([*packets[:4], packets[3], empty_one, *packets[4:]])).payload == big  # sent twice, and one without payload
+    for bad in (packets[:5] + packets[6:], [*packets[:4], packets[3], packets[3], *packets[4:]], [packets[0][:-1] + b"\0", *packets[1:]][::-1]):
+        with pytest.raises(ValueError):
+            transport.read(b"".join(bad))
+
+
+def test_with_transport_stream(spark, docs, empty):
+    made = transport.with_transport_stream(docs.selectExpr("doc_id", "text", "label AS media", "size AS entry_points", "source"))
+    assert made.columns == ["doc_id", "source", "n_bytes", "media", "payload", "entry_points", "feature"]
+    rows = made.collect()
+    want = Counter()
+    for i, text in ROWS:
+        raw = (text or "").encode()
+        payload = raw + b" " * (-len(raw) % 192 if raw else 192)
+        want[(i, len(raw), payload)] += 1
+    assert Counter((r["doc_id"], r["n_bytes"], bytes(r["payload"])) for r in rows) == want
+    for r in rows:
+        samples = np.frombuffer(bytes(r["payload"]), np.uint8)
+        assert plain_stream(bytes(r["media"])) == bytes(r["payload"])
+        units = -(-len(samples) // (24 * 192))
+        assert r["feature"].startswith(f"units={units};entries={-(-units // 4)};last_pts={3600 * (units - 1)};")
+        assert r["feature"].endswith(f"mean={samples.mean():.4f};std={samples.std():.4f}")
+        assert [tuple(p) for p in r["entry_points"]] == [(k * 24 * 192, 3600 * k) for k in range(0, units, 4)]
+    assert transport.with_transport_stream(empty).count() == 0
 
 
 def test_packing(docs, empty):
+    from tokenizers import Tokenizer
+
     path = P.path("word_bpe_49k.json")
-    got = packing.pack_by_retrieval(docs, path, size=256).collect()
+    library = Tokenizer.from_file(path)
+    got = packing.pack_by_retrieval(docs.withColumnRenamed("label", "ids"), path, size=256).collect()
+    filled = Counter()
     for sequence in {r["sequence_id"] for r in got}:
         parts = sorted((r["offset"], r["length"], len(r["ids"]) // 4) for r in got if r["sequence_id"] == sequence)
-        assert [o for o, _, _ in parts] == [0, *np.cumsum([n for _, n, _ in parts])[:-1].tolist()] and sum(n for _, n, _ in parts) <= 256
+        assert [o for o, _, _ in parts] == [0, *np.cumsum([n for _, n, _ in parts])[:-1].tolist()]
         assert all(n == m for _, n, m in parts)
-    whole = Counter()
+        filled[sum(n for _, n, _ in parts)] += 1
+    assert max(filled) == 256 and sum(n for f, n in filled.items() if f < 256) <= 1  # one shard: all but its last are full
+    whole = Counter()  # each id of each row once
+    for i, text in ROWS:
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+        whole.update((i, len(ids), p, int(x)) for p, x in enumerate(ids))
     for r in got:
-        whole[(r["doc_id"], r["doc_tokens"])] += r["length"]
-    assert all(n % tokens == 0 for (_, tokens), n in whole.items())
+        whole.subtract((r["doc_id"], r["doc_tokens"], r["start"] + p, int(x)) for p, x in enumerate(np.frombuffer(r["ids"], "<u4")))
+    assert not any(whole.values())
+    many = packing.pack_by_retrieval(docs, path, size=256, shard_ids=500).collect()
+    assert sum(r["length"] for r in many) == sum(r["length"] for r in got)
     assert packing.pack_by_retrieval(empty, path).count() == 0
 
 
+def test_packing_order():
+    """Windows are filled as by the plain definition: best unused neighbour first, ties by number."""
+    rng = np.random.default_rng(16)
+    for _ in range(4):
+        texts = [np.minimum(rng.zipf(1.4, rng.integers(1, 90)), 300).astype(np.uint16) for _ in range(50)]
+        texts += [texts[0], texts[1][:5], np.array([301], np.uint16), np.arange(150, dtype=np.uint16)]
+        df = np.bincount(np.concatenate([np.unique(t) for t in texts]), minlength=400)
+        mean = sum(map(len, texts)) / len(texts)
+        index, scores = packing.Index(texts, df, len(texts), mean), brute.bm25(texts, df, len(texts), mean)
+        for q in range(len(texts)):
+            assert np.allclose(index.scores(q), scores[q])
+        exact = np.array([index.scores(q) for q in range(len(texts))])
+        assert list(packing.fill(texts, index, 64)) == brute.packed(texts, exact, 64)
+
+
+def test_packing_frequencies():
+    rng = np.random.default_rng(17)
+    docs = [rng.integers(0, 90, rng.integers(1, 50)).astype("<u2") for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([d.tobytes() for d in docs], pa.binary())], ["ids"])
+    (out,) = packing._document_frequencies("<u2", 100)(iter([batch.slice(0, 20), batch.slice(20)]))
+    found = dict(zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True))
+    want = Counter(x for d in docs for x in set(d.tolist())) | Counter({-2: 60, -1: sum(map(len, docs))})
+    assert found == {**want, -2: 60, -1: sum(map(len, docs))}
+
+
 def test_packing_scores():
     rng = np.random.default_rng(6)
     texts = [np.unique(rng.zipf(1.3, 90) % 400).repeat(2)[: rng.integers(1, 300)] for _ in range(40)] + [np.array([401])]
@@ -165,23 +427,96 @@ def test_packing_scores():
 
 
 def test_language(spark, docs, empty):
-    rows = [(i, ("the thing with this and that " if i % 2 else "der die und ein nicht für über ") * 9, "en" if i % 2 else "de") for i in range(120)]
+    rows = [(i, ("the thing with this and that " if i % 2 else "der die und ein nicht für über ") * 9, "en" if i % 2 else "de") for i in range(120)] + [(500, None, "en"), (501, "text", None), (None, "text", "en")]
     net = language.fit_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    got = language.with_language(spark.createDataFrame([(1, "this thing and that thing"), (2, "nicht die und der"), (3, None), (4, "123 ...")], "doc_id long, text string"), net)
-    assert [r["lang_pred"] for r in sorted(got.collect(), key=lambda r: r["doc_id"])] == ["en", "de", "und", "und"]
+    asked = [("this thing and that thing", "en"), ("nicht die und der", "de"), (None, "und"), ("123 ...", "und"), ("", "und"), ("² ½ ① Ⅳ _", "und"), ("ª", None), ("the thing with " * 20_000, "en"), ("this thing and that thing", "en")]
+    out = language.with_language(spark.createDataFrame([(i, t, "x", 5) for i, (t, _) in enumerate(asked)], "doc_id long, text string, lang_pred string, sure int"), net)
+    assert out.columns == ["doc_id", "text", "lang_pred", "score", "sure"]
+    got = sorted(out.collect(), key=lambda r: r["doc_id"])
+    for r, (_, lang) in zip(got, asked, strict=True):
+        assert lang in (r["lang_pred"], None) and 0 <= r["score"] <= 1 and (r["lang_pred"] != "und" or r["score"] == 0)
+    assert got[6]["lang_pred"] in net.langs and tuple(got[0])[2:] == tuple(got[8])[2:]
     assert language.fit_language(empty) is None and language.with_language(empty, None).count() == 0
+    assert language.with_language(docs, None).where("lang_pred <> 'und'").count() == 0
+
+
+def test_network_against_plain_convolution():
+    rng = np.random.default_rng(12)
+    tables = [rng.normal(0, 1, (w, 256, 3)).astype(np.float32) for w in (2, 3)]
+    net = language.ByteNet(["a", "b"], tables, rng.normal(0, 1, 6).astype(np.float32), rng.normal(0, 1, (6, 2)).astype(np.float32), np.array([0.1, -0.2], np.float32))
+    x = language.windows("Größe und Länge " * 40)
+    assert x.shape[1] == 256 and x.tobytes().rstrip(b"\0").decode() == "größe und länge " * 40
+    got = net.probabilities(x)
+    for row, window in zip(got, x, strict=True):
+        tops = [max(sum(t[j][window[i + j]][f] for j in range(len(t))) for i in range(256 - len(t) + 1)) for t in tables for f in range(3)]
+        z = np.exp(np.maximum(np.array(tops) + net.bias, 0) @ net.out + net.out_bias)
+        assert np.allclose(row, z / z.sum(), atol=1e-4)
+
+
+def test_language_on_texts_left_out(spark):
+    from maskline.llm.queries import op9_byte_network
+
+    found = op9_byte_network(spark, "/root/testdata/sf0.01")
+    rows = found.join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text"), "doc_id").where("held_out and lang is not null").collect()
+    right = [r["lang_pred"] == r["lang"] for r in rows if any(c.isalpha() for c in r["text"] or "")]
+    assert len(right) > 100 and sum(right) >= 0.95 * len(right)
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 23, 1500])
+def test_fingerprints_of_edits(spark, tied, empty, range_bytes):
+    got = syncmers.fingerprint_edits(tied, range_bytes=range_bytes).collect()
+    rows = [(i, t or "") for i, t in shuffled(300, 5)]
+    keys = {t: r for t, r in spark.createDataFrame([(t,) for t in {t for _, t in rows}], "t string").selectExpr("t", "xxhash64(t) AS h").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, keys[r[1]]), reverse=True)
+    anchors = {r["t"]: [tuple(a) for a in r["s"]] for r in syncmers.with_syncmers(spark.createDataFrame([(t,) for t in keys], "t string"), "t", "s").collect()}
+    want = Counter()
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        want[(i, len(text), hashlib.sha256(edited.encode()).hexdigest(), round(brute.alike(anchors[text], anchors[after]), 9))] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_next"], 9)) for r in got) == want
+    for r in got:  # the likeness is that of the returned fingerprints
+        a, b = (read_anchors(r[c]) for c in ("fingerprint", "edited_fingerprint"))
+        assert r["near_edited"] == pytest.approx(brute.alike(a, b))
+    assert syncmers.fingerprint_edits(empty).count() == 0
+
+
+def read_anchors(fingerprint):
+    out, at = [], 0
+    for i in range(0, len(fingerprint), 9):
+        at += int(fingerprint[i])
+        out.append((at, int(fingerprint[i + 1 : i + 9], 16)))
+    return out
+
+
+def test_likeness(spark):
+    rng = np.random.default_rng(2)
+    rows = [([], []), ([(0, 1)], [(9, 1)]), ([(0, 1), (2, 2)], [(0, 1), (3, 2)]), ([(0, 1), (1, 1), (4, 2)], [(5, 1), (9, 2)]), ([(0, 1)], [])]
+    for _ in range(60):
+        draw = lambda: [(int(p), int(h)) for p, h in zip(np.cumsum(rng.integers(1, 4, rng.integers(0, 12))), rng.integers(0, 9, 12) * 0x1FFFFFFF & 0xFFFFFFFF)]  # noqa: B905, E731
+        a = draw()
+        rows.append((a, [(p + 7, h) for p, h in a[: len(a) // 2]] + [(p + 60, h) for p, h in draw()]))
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], f"i int, a {syncmers.ANCHORS}, b {syncmers.ANCHORS}")
+    for r in syncmers.with_likeness(df, "a", "b", "near").collect():
+        assert r["near"] == pytest.approx(brute.alike(*rows[r["i"]])), rows[r["i"]]
+
+
+def test_syncmers_of_runs_without_blanks(spark):
+    """An inserted character moves the anchors behind it, but changes only those around it."""
+    run = "".join(chr(0x4E00 + x) for x in np.random.default_rng(3).integers(0, 900, 400))
+    df = spark.createDataFrame([(0, run), (1, run[:50] + "x" + run[50:])], "i int, t string")
+    a, b = ([tuple(x) for x in r["s"]] for r in syncmers.with_syncmers(df, "t", "s").orderBy("i").collect())
+    moved = {(p + 1 if p >= 50 else p, h) for p, h in a}
+    assert len(set(b) ^ moved) <= 12 and len(brute.units(run)) == 400
 
 
 def test_syncmers(docs, empty):
     one = docs.where("doc_id in (1, 2, 7, 8)")
     got = {r["doc_id"]: r for r in syncmers.fingerprint_edits(one).collect()}
-    texts = dict(ROWS)
-    for i, after in ((8, 7), (7, 2), (2, 1), (1, 8)):
-        half = len(texts[i]) // 2
-        edited = texts[i][: len(texts[i]) - half] + texts[after][:half]
-        assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
     assert got[1]["fingerprint"] == got[2]["fingerprint"] and got[2]["near_next"] == 1.0
     assert syncmers.fingerprint_edits(docs).count() == len(ROWS) and syncmers.fingerprint_edits(empty).count() == 0
+    alone = syncmers.fingerprint_edits(docs.where("doc_id = 7")).collect()
+    assert len(alone) == 1 and alone[0]["near_next"] == 1.0
 
 
 def test_syncmers_of_short_texts(spark):
@@ -199,11 +534,10 @@ def test_syncmers_of_short_texts(spark):
     flat = spark.createDataFrame([(i, *c) for i in chosen for c in chosen[i]], "i long, pos int, a long, b long, c long")
     want = {i: [] for i in chosen}
     for r in flat.selectExpr("i", "pos", "xxhash64(a, b, c) AS h").orderBy("i", "pos").collect():
-        want[r["i"]].append((r["pos"], r["h"]))
-    whole = {r[0]: r[1] for r in df.selectExpr("doc_id", "xxhash64(text)").collect()}
+        want[r["i"]].append((r["pos"], r["h"] & 0xFFFFFFFF))
+    whole = {r[0]: r[1] & 0xFFFFFFFF for r in df.selectExpr("doc_id", "xxhash64(text)").collect()}
     got = {r["doc_id"]: [tuple(a) for a in r["s"]] for r in syncmers.with_syncmers(df, "text", "s").collect()}
     assert got == {i: want[i] or [(0, whole[i])] for i in chosen}
     for r in syncmers.fingerprint_edits(df).collect():
         i, after = r["doc_id"], (r["doc_id"] - 1) % len(texts)
-        a, b = ({h for _, h in got[j]} for j in (i, after))
-        assert r["fingerprint"] and r["edited_fingerprint"] and r["near_next"] == pytest.approx(len(a & b) / len(a | b))
+        assert r["fingerprint"] and r["edited_fingerprint"] and r["near_next"] == pytest.approx(brute.alike(got[i], got[after]))
