@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -268,6 +269,58 @@ def deid_table_shift(spark: SparkSession, d: str) -> DataFrame:
     return rules.deidentify(people(spark, d), ANALYTIC, KEY)
 
 
+_TOKEN = {"strategy": "tokenize", "namespace": "npi", "prefix": "NP-"}
+_YEAR, _SHIFT = {"strategy": "generalize", "kind": "year"}, {"strategy": "date_shift", "entity_column": "patient_key", "max_days": 365}
+PROFILES: dict[str, dict[str, dict[str, rules.Rule]]] = {
+    "strict": {
+        "people": STRICT,
+        "providers": {"s_suppkey": _TOKEN, "s_name": {"strategy": "synthesize", "kind": "name"}, "s_nationkey": "passthrough"},
+        "claims": {"claim_key": "passthrough", "patient_key": "passthrough", "service_date": _YEAR, "status": "passthrough"},
+        "parts": {"p_partkey": "passthrough", "p_brand": "passthrough"},
+    }
+}
+PROFILES["analytic"] = PROFILES["strict"] | {"people": ANALYTIC, "claims": PROFILES["strict"]["claims"] | {"service_date": _SHIFT}}
+
+
+def layer(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {"people": people(spark, d), "providers": t(spark, d, "supplier"), "claims": claims(spark, d), "parts": t(spark, d, "part").drop("p_retailprice")}
+
+
+def _digest(df: DataFrame) -> DataFrame:
+    return df.select(F.md5(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(df.columns)))).alias("row"))
+
+
+def _digest_sql(source: str, columns: dict[str, str]) -> str:
+    cells = ", ".join(f"coalesce(({columns[c]})::VARCHAR, '-')" for c in sorted(columns))
+    return f"SELECT md5(concat_ws('|', {cells})) AS row FROM {source}"
+
+
+_DOB = {"strict": "year(dob)", "analytic": shift_sql("dob", "patient_key")}
+_SERVED = {"strict": "year(service_date)", "analytic": shift_sql("service_date", "patient_key")}
+_MADE = f"{_list(strategies.LAST_NAMES)}[({number_sql('s_name', 'synth_name')} // 16) % 16 + 1] || ', ' || {_list(strategies.FIRST_NAMES)}[{number_sql('s_name', 'synth_name')} % 16 + 1]"
+_LAYER_SQL = " UNION ALL ".join(
+    f"SELECT '{profile}' AS profile, '{name}' AS \"table\", row FROM ({_digest_sql(source, columns)})"
+    for profile in PROFILES
+    for name, source, columns in (
+        ("people", "people", {"patient_key": "patient_key", "mrn": token_sql("mrn", "mrn", "PT-"), "zip": ZIP3_SQL, "age": "least(age, 90)", "dob": _DOB[profile], "segment": "segment", "nation": "nation", "balance": "NULL"}),
+        ("providers", "supplier", {"s_suppkey": token_sql("s_suppkey", "npi", "NP-"), "s_name": _MADE, "s_nationkey": "s_nationkey", "s_acctbal": "NULL"}),
+        ("claims", "claims", {"claim_key": "claim_key", "patient_key": "patient_key", "service_date": _SERVED[profile], "status": "status", "priority": "NULL", "billed": "NULL", "allowed": "NULL", "paid": "NULL"}),
+        ("parts", "part", {"p_partkey": "p_partkey", "p_name": "NULL", "p_brand": "p_brand", "p_type": "NULL", "p_size": "NULL"}),
+    )
+)
+
+
+@query(f"WITH {PEOPLE}, {CLAIMS} {_LAYER_SQL}")
+def deid_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """Two profiles over four tables; a digest of each row."""
+    parts = [
+        _digest(df).select(F.lit(profile).alias("profile"), F.lit(name).alias("table"), "row")
+        for profile in PROFILES
+        for name, df in rules.deidentify_layer(layer(spark, d), PROFILES[profile], KEY).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 PLAIN = {"o_custkey": "tokenize", "o_orderpriority": {"strategy": "tokenize", "namespace": "level", "format_preserving": True}, "o_orderstatus": {"strategy": "suppress", "redaction": "*"}}
 
 
@@ -612,6 +665,32 @@ def safe_dims(spark: SparkSession, d: str) -> DataFrame:
     return safe.select("patient_key", "mrn", star.year_grain(safe, "dob").alias("birth_year"), "age", "zip")
 
 
+SHAPES: dict[str, tuple[str, dict]] = {
+    "dim_patient": ("people", {"key": "patient_key", "label": "mrn", "place": "zip"}), "dim_provider": ("providers", {"key": "s_suppkey", "label": "s_name", "place": "s_nationkey"}),
+    "dim_part": ("parts", {"key": "p_partkey", "label": "p_brand", "place": "p_size"}), "fact_claim": ("claims", {"key": "claim_key", "label": "status", "place": "service_date"}),
+}
+_SHAPED = f"""
+SELECT 'dim_patient' AS "table", patient_key::VARCHAR AS key, {token_sql('mrn', 'mrn', 'PT-')} AS label, {ZIP3_SQL} AS place FROM people
+UNION ALL SELECT 'dim_provider', {token_sql('s_suppkey', 'npi', 'NP-')}, {_MADE}, s_nationkey::VARCHAR FROM supplier
+UNION ALL SELECT 'dim_part', p_partkey::VARCHAR, p_brand, NULL FROM part
+UNION ALL SELECT 'fact_claim', claim_key::VARCHAR, status, year(service_date)::VARCHAR FROM claims"""
+
+
+@query(f"WITH {PEOPLE}, {CLAIMS} {_SHAPED}")
+def safe_layer(spark: SparkSession, d: str) -> DataFrame:
+    """The published shapes of several tables at once."""
+    shown = star.project(rules.deidentify_layer(layer(spark, d), PROFILES["strict"], KEY), SHAPES)
+    return reduce(DataFrame.unionByName, (df.select(F.lit(n).alias("table"), *(F.col(c).cast("string").alias(c) for c in df.columns)) for n, df in shown.items()))
+
+
+@query("""SELECT 'claims' AS fact, o_orderkey AS fact_key, year(o_orderdate)::INTEGER AS year FROM orders
+UNION ALL SELECT 'lines', l_orderkey, year(l_shipdate)::INTEGER FROM lineitem UNION ALL SELECT 'events', event_id, year(ts)::INTEGER FROM events""")
+def safe_fact_years(spark: SparkSession, d: str) -> DataFrame:
+    """Three facts at year grain, whether their column holds dates or years."""
+    facts = {"claims": (t(spark, d, "orders"), "o_orderkey", "o_orderdate"), "lines": (t(spark, d, "lineitem"), "l_orderkey", "l_shipdate"), "events": (t(spark, d, "events").withColumn("ts", F.year("ts")), "event_id", "ts")}
+    return reduce(DataFrame.unionByName, (df.select(F.lit(n).alias("fact"), F.col(k).alias("fact_key"), star.year_grain(df, c).alias("year")) for n, (df, k, c) in facts.items()))
+
+
 @query(f"WITH {CLAIMS} SELECT claim_key, patient_key, year({shift_sql('service_date', 'patient_key')})::INTEGER AS service_year, billed, paid FROM claims")
 def safe_facts(spark: SparkSession, d: str) -> DataFrame:
     profile = {c: "passthrough" for c in ("claim_key", "patient_key", "billed", "paid")} | {"service_date": {"strategy": "date_shift", "entity_column": "patient_key"}}

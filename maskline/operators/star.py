@@ -93,6 +93,11 @@ def star_join(fact: DataFrame, dimensions: dict[str, DataFrame], relationships:
     return fact
 
 
+def project(tables: dict[str, DataFrame], shapes: dict[str, tuple[str, dict[str, Column | str]]]) -> dict[str, DataFrame]:
+    """Published tables: for each name, its source and the columns that it shows, by their new names."""
+    return {name: tables[source].select(*((F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items())) for name, (source, columns) in shapes.items()}
+
+
 def claim_measures(billed: str, paid: str, denied: Column) -> list[Column]:
     """Total billed, total paid, denial rate (null over no rows), rows."""
     return [

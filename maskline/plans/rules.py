@@ -81,6 +81,13 @@ def deidentify(df: DataFrame, rules: dict[str, Rule], key: str, default: str = "
     return with_key.select(*(expression(df, c, resolve(rules, c, default)).alias(c) for c in df.columns))
 
 
+def deidentify_layer(tables: dict[str, DataFrame], profile: dict[str, dict[str, Rule]], key: str, default: str = "suppress") -> dict[str, DataFrame]:
+    """De-identify a layer's tables by a profile, which has rules for each; a table without rules is refused."""
+    if missing := sorted(set(tables) - set(profile)):
+        raise ValueError(f"the profile has no rules for {', '.join(missing)}")
+    return {name: deidentify(df, profile[name], key, default) for name, df in tables.items()}
+
+
 def deidentify_tables(spark: SparkSession, jobs: dict[str, tuple[DataFrame, dict[str, Rule]]], key: str, prefix: str = "silver_deid_", fmt: str = "parquet") -> DataFrame:
     """Write every table's de-identified form; one failure doesn't stop the others, but all are raised at the end.
 
