@@ -1,24 +1,40 @@
-"""The pipeline's stages on a small table, each against brute force on its own input."""
+"""The pipeline's stages on small tables, each against brute force on its own input."""
 
-import re
+import sys
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pytest
 
-pytest.importorskip("public_tokenizers")
+sys.path.insert(0, str(Path(__file__).parent))
+import brute  # noqa: E402
+
+P = pytest.importorskip("public_tokenizers")
 corpus = pytest.importorskip("corpus_pipeline")
 
 DATA = "/root/testdata/sf0.001"
 
 
-def words(text):
-    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
-
+def check_packing(before, after):
+    """Every id of every row in one piece, gapless documents and sequences; before: (doc_id, text)."""
+    from tokenizers import Tokenizer
 
-def shingles(text):
-    w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
-    w = words(w)
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    want = Counter()
+    for i, text in before:
+        want[(i, len(library.encode(text or "", add_special_tokens=False).ids) + 1)] += 1
+    pieces = Counter()
+    for r in after:
+        pieces[(r["doc_id"], r["doc_tokens"])] += r["length"]
+    assert pieces == Counter({key: key[1] * n for key, n in want.items()})
+    sequences = {}
+    for r in after:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1].tolist()] and ends[-1] <= 2048
+    assert sum(sum(n for _, n in parts) < 2048 for parts in sequences.values()) <= 1  # one shard
 
 
 def test_stages(spark, tmp_path):
@@ -36,45 +52,68 @@ def test_stages(spark, tmp_path):
     assert after <= before and len(before - after - toxic) <= 0.02 * len(before)
 
     before, after = seen[1]
-    assert {r["doc_id"] for r in after} >= {r["doc_id"] for r in before if len(words(r["text"])) > 5 and r["lang"]}
+    assert {r["doc_id"] for r in after} >= {r["doc_id"] for r in before if len(brute.words(r["text"])) > 5 and r["lang"]}
 
     before, after = seen[2]
-    sets, parent = {r["doc_id"]: shingles(r["text"]) for r in before}, {r["doc_id"]: r["doc_id"] for r in before}
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for a in sets:
-        for b in sets:
-            both = len(sets[a] & sets[b]) if a < b else 0
-            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
-                x, y = sorted((root(a), root(b)))
-                parent[y] = x
-    assert sorted(r["doc_id"] for r in after) == sorted(i for i in parent if root(i) == i)
+    classes = brute.near_classes([(r["doc_id"], r["text"]) for r in before], 5)
+    assert sorted(r["doc_id"] for r in after) == sorted(i for i, c in classes.items() if i == c)
 
     before, after = seen[3]
-    count = Counter(tuple(w[i : i + 50]) for w in (words(r["text"]) for r in before) for i in range(len(w) - 49))
-    want = {}
-    for r in before:
-        w = words(r["text"])
-        gone = {j for i in range(len(w) - 49) if count[tuple(w[i : i + 50])] > 1 for j in range(i, i + 50)}
-        want[r["doc_id"]] = [x for j, x in enumerate(w) if j not in gone]
-    assert {r["doc_id"]: words(r["text"]) for r in after} == want
+    want = dict(zip((r["doc_id"] for r in before), brute.without_repeats([r["text"] for r in before], 50), strict=True))
+    assert {r["doc_id"]: brute.words(r["text"]) for r in after} == want and all(r["n_chars"] == len(r["text"]) for r in after)
 
     before, after = seen[4]
-    assert {r["doc_id"] for r in after} == {r["doc_id"] for r in before}
-    for column, start, total in (("doc_id", "start", "doc_tokens"), ("sequence_id", "offset", None)):
-        groups = {}
-        for r in after:
-            groups.setdefault(r[column], []).append((r[start], r["length"], r[total] if total else None))
-        for parts in groups.values():
-            at = 0
-            for begin, length, _ in sorted(parts):
-                assert begin == at
-                at += length
-            assert at == parts[0][2] if total else at <= 2048
+    check_packing([(r["doc_id"], r["text"]) for r in before], after)
+
+
+NAMES = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string, p_toxic double, n_words int, n_removed int, row string, band int, component_id int"
+EXTRA = ("s", 3, -7.0, "xx", 0.9, 1, 2, "r", 4, 5)
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Null, empty and very long texts, ties, repeated rows, null ids, and columns named as the operators' own."""
+    rng = np.random.default_rng(4)
+    passage = " ".join(f"passage{i}" for i in range(60))
+    rows = [(i, "the thing with this and that " * 5 + " ".join(f"w{x}" for x in rng.integers(0, 900, 40)), "en") for i in range(60)]
+    rows += [(100, None, "en"), (101, "", None), (102, "  ", None), (103, "123 ½", None), (None, "the thing without an id and that", None), (None, None, None)]
+    rows += [rows[3], (105, rows[3][1], "en"), (106, f"the thing {passage} that", "en"), (107, f"this and {passage} with", "en"), (108, "this and that thing " * 30_000, "en")]
+    return rows, spark.createDataFrame([(*r, *EXTRA) for r in rows], NAMES)
+
+
+def test_stages_on_awkward_rows(spark, awkward):
+    rows, docs = awkward
+    tuples = lambda df: Counter(tuple(r) for r in df.collect())
+    whole = Counter((*r, *EXTRA) for r in rows)
+    clean = corpus.drop_toxic(spark, docs, DATA)
+    assert clean.columns == docs.columns and tuples(clean) == whole
+    known = corpus.drop_unknown_language(spark, docs, DATA)
+    assert known.columns == docs.columns and tuples(known) == Counter({t: n for t, n in whole.items() if any(c.isalpha() for c in t[1] or "")})
+    apart = corpus.drop_near_duplicates(spark, docs, DATA)
+    classes = brute.near_classes([r[:2] for r in rows if r[0] is not None], 5)
+    assert apart.columns == docs.columns and tuples(apart) == Counter({t: n for t, n in whole.items() if t[0] is None or classes[t[0]] == t[0]})
+    cut = corpus.drop_repeated_passages(spark, docs, DATA)
+    want = Counter()
+    for r, kept in zip(rows, brute.without_repeats([r[1] for r in rows], 50), strict=True):
+        text = None if r[1] is None else " ".join(kept)
+        want[(r[0], text, r[2], "s", None if text is None else len(text), *EXTRA[2:])] += 1
+    assert cut.columns == docs.columns and tuples(cut) == want
+    check_packing([r[:2] for r in rows], corpus.pack(spark, docs, DATA).collect())
+
+
+def test_stages_on_an_empty_table(spark, awkward):
+    nothing = awkward[1].where("doc_id = -5")
+    for _, stage in corpus.STAGES:
+        assert stage(spark, nothing, DATA).count() == 0
+
+
+def test_toxic_documents_go(spark):
+    rows = [(r["doc_id"], r["text"], None, "s", 1) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    toxic = {r["doc_id"] for r in spark.read.parquet(f"{DATA}/labels.parquet").where("toxic = 1").collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus.drop_toxic(spark, docs, DATA).collect()}
+    gone = {r[0] for r in rows} - kept
+    assert len(toxic & gone) >= 0.5 * len(toxic & {r[0] for r in rows}) and len(gone - toxic) <= 0.02 * len(rows)
 
 
 def test_language_keeps_clean_texts(spark):
