@@ -205,16 +205,21 @@ def _blocks(members: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable over edges (u, v): columns node, label, a row for each node of an edge.
 
-    Every round takes the smallest label among a node and its neighbours, then the label of that
-    label, so paths shorten at least by half; each round is checkpointed and ends in one count.
+    Every node has a label, at first the least of itself and its neighbours. In each round every
+    edge offers the label's label of one end to the other end and to that end's label, so whole
+    groups are joined at once, and labels are replaced by their own labels, so paths shorten by
+    half. The rounds grow with the logarithm of the longest path (a path of 400 nodes in mixed
+    order takes about ten); each is checkpointed.
     """
     both = shared.stage(edges.select("u", "v").union(edges.select("v", "u")).distinct())
     labels = shared.stage(both.groupBy(F.col("u").alias("node")).agg(F.least(F.first("u"), F.min("v")).alias("label")))
     while True:
-        seen = both.join(labels, both.v == labels.node).groupBy("u").agg(F.min("label").alias("near"))
-        lower = labels.join(seen, labels.node == seen.u).select("node", "label", F.least("label", "near").alias("low"))
-        jump = labels.select(F.col("node").alias("low"), F.col("label").alias("beyond"))
-        new = shared.stage(lower.join(jump, "low", "left").select("node", F.col("label").alias("was"), F.least("low", "beyond").alias("label")))
+        own = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
+        held = shared.stage(labels.join(own, "label").select("node", "label", "beyond"))
+        near = both.join(held.select(F.col("node").alias("v"), "beyond"), "v").groupBy(F.col("u").alias("node")).agg(F.min("beyond").alias("near"))
+        held = shared.stage(held.join(near, "node"))
+        hooks = held.groupBy("label").agg(F.min("near").alias("hook")).withColumnRenamed("label", "node")
+        new = shared.stage(held.join(hooks, "node", "left").select("node", F.col("label").alias("was"), F.least("label", "beyond", "near", "hook").alias("label")))
         if not new.where("was <> label").take(1):
             return new.select("node", "label")
         labels = new.select("node", "label")
