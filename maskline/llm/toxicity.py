@@ -1,4 +1,4 @@
-"""Toxicity by a chain of linear classifiers over screened words."""
+"""Toxicity by a chain of linear classifiers over screened words and word beginnings."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from . import shared
 MAX_ROWS = 8_000  # labelled documents that the chain is fitted on, at most
 CLEAR = 6.0  # standard errors above an even spread from which a word is screened
 CATEGORIES = ("low_quality", "severe", "toxic")  # in the order of the chain
+STEMS = (4, 5, 6)  # letters of the word beginnings that are counted like words
 _WORD = re.compile(r"\w+")
 
 
@@ -72,13 +73,23 @@ def fit_chain(chain: Chain, counts: np.ndarray, n_words: np.ndarray, labels: np.
     return chain
 
 
+def _named(word: str) -> list[str]:
+    """A word and its beginnings, each a possible feature."""
+    return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
+
+
 def _counts(words: list[str], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """How often each screened word or beginning occurs in each text, and the texts' words."""
     at, counts, n_words = {w: i for i, w in enumerate(words)}, np.zeros((len(texts), len(words))), np.zeros(len(texts))
+    stems = sorted({len(w) - 1 for w in words if w.endswith("*")})
     for i, text in enumerate(texts):
         seen = Counter(_WORD.findall((text or "").lower()))
         n_words[i] = seen.total()
         for w in at.keys() & seen.keys():
             counts[i, at[w]] = seen[w]
+        for n in stems:
+            for w in [w for w in seen if w[:n] + "*" in at and len(w) > n]:
+                counts[i, at[w[:n] + "*"]] += seen[w]
     return counts, n_words
 
 
@@ -87,12 +98,13 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     The categories come from the labels, not from the features: low_quality (quality 0), severe
     (toxic and of low quality), and at the end toxic, whose model sees the probabilities of the
-    two before it. A document labelled more than once is toxic, or of low quality, if any of its
-    labels says so; a null quality counts as good. Screened words are all those in more toxic,
-    or more low-quality, documents than an even spread would give by six and more standard
-    errors; they are counted in one aggregate over the chosen documents. Without labels, or
-    without words that stand out, nothing is toxic. Null texts count as empty; labels without an
-    id, or of no document, are passed over.
+    two before it. Features are words and word beginnings; all are taken that stand in more
+    toxic, or more low-quality, documents than an even spread would give by six and more standard
+    errors. They are counted in one aggregate over the chosen documents.
+
+    A document labelled more than once is toxic, or of low quality, if any of its labels says so;
+    a null quality counts as good. Without labels, or without features that stand out, nothing is
+    toxic. Null texts count as empty; labels without an id, or of no document, are passed over.
     """
     low = F.coalesce((F.col(quality_col) == 0).cast("int"), F.lit(0)) if quality_col in labels.columns else F.lit(0)
     known = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull())
@@ -109,7 +121,8 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         for batch in batches:
             seen: dict[tuple[int, int], Counter] = {}
             for text, y, q in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                seen.setdefault((y, q), Counter()).update({None, *_WORD.findall((text.as_py() or "").lower())})
+                words = set(_WORD.findall((text.as_py() or "").lower()))
+                seen.setdefault((y, q), Counter()).update({None, *(f for w in words for f in _named(w))})
             words = sorted(set().union(*seen.values()) - {None}) + [None]
             of = lambda cells: pa.array([sum(seen[c][w] for c in cells if c in seen) for w in words], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), of([(1, 0), (1, 1)]), of([(0, 1), (1, 1)]), of([(0, 0), (0, 1), (1, 0), (1, 1)])], ["word", "toxic", "low", "n"])
