@@ -215,9 +215,9 @@ def components(edges: DataFrame) -> DataFrame:
     labels = shared.stage(both.groupBy(F.col("u").alias("node")).agg(F.least(F.first("u"), F.min("v")).alias("label")))
     while True:
         own = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
-        held = shared.stage(labels.join(own, "label").select("node", "label", "beyond"))
+        held = labels.join(own, "label").select("node", "label", "beyond")
         near = both.join(held.select(F.col("node").alias("v"), "beyond"), "v").groupBy(F.col("u").alias("node")).agg(F.min("beyond").alias("near"))
-        held = shared.stage(held.join(near, "node"))
+        held = held.join(near, "node")
         hooks = held.groupBy("label").agg(F.min("near").alias("hook")).withColumnRenamed("label", "node")
         new = shared.stage(held.join(hooks, "node", "left").select("node", F.col("label").alias("was"), F.least("label", "beyond", "near", "hook").alias("label")))
         if not new.where("was <> label").take(1):
