@@ -105,7 +105,7 @@ def _search(window: int):
             blocks = sum(grid[:, i : grid.shape[1] - BLOCK + 1 + i] * shared._POWERS[i] for i in range(BLOCK))
             blocks = np.maximum(shared.mix(blocks), np.uint64(1))
             laid = np.repeat(blocks, copies[own], axis=0)
-            for phase in range(BLOCK):
+            for phase in range(min(BLOCK, int(n))):  # windows start in these only
                 text.append(np.concatenate([laid[:, phase::BLOCK], np.zeros((len(laid), 1), np.uint64)], axis=1).ravel())
             queries += [(own, int(i), blocks[:, [i + s for s in starts]]) for i in range(n)]
         names, symbols = np.unique(np.concatenate([*text, np.zeros(1, np.uint64)]), return_inverse=True)
