@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, neardup, packing, pieces, sharding, substrings, syncmers, tokenstore, toxicity, transport
+from . import alignment, language, merkle, neardup, packing, pieces, secrets, sharding, substrings, syncmers, tokenstore, toxicity, transport
 
 TOXIC_FROM = 0.5
 
@@ -95,8 +95,29 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.with_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, secrets.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+ALL = (
+    op1_sharding, op2_token_store, op3_circulant_minhash, op4_toxicity_chain, op5_piece_transducer, op6_substring_dedup, op7_transport_stream,
+    op8_retrieval_packing, op9_byte_network, op10_syncmers, op11_secret_layers, op12_merkle_manifest, op13_token_alignment,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_store, op3_circulant_minhash, op4_toxicity_chain, op5_piece_transducer, op6_substring_dedup, op7_transport_stream, op8_retrieval_packing, op9_byte_network, op10_syncmers)}
+    return {f.__name__: f for f in ALL}
 
 
 _SHINGLES = r"""
@@ -141,6 +162,37 @@ placed AS (SELECT *, least(39, floor((upto - size / 2) / total * 40))::INTEGER A
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, NULL::INTEGER AS grown_shard FROM placed"""
 
 
+_FRAMED = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FRAMED.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_CRC_EVEN = f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, v: xor(c >> 8, ({_crc_table()}::UINTEGER[])[(xor(c, v) & 255) + 1]::BIGINT)), 4294967295) % 2 = 0"
+_TREE = """
+{name} AS (
+  SELECT tree, 0 AS level, i, h, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, i, h, count(*) OVER (PARTITION BY tree)
+  FROM (SELECT tree, level, i // 3 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {name} WHERE n > 1 GROUP BY tree, level, i // 3))"""
+_CLIMB = """
+{name} AS (
+  SELECT doc_id, {start}
+  UNION ALL
+  SELECT c.doc_id, c.tree, level + 1, c.i // 3, proof || r.b || r.a, sha256(r.b || fold || r.a)
+  FROM {name} c, LATERAL (SELECT coalesce(string_agg(h, '' ORDER BY t.i) FILTER (t.i < c.i), '') AS b, coalesce(string_agg(h, '' ORDER BY t.i) FILTER (t.i > c.i), '') AS a, max(n) AS n
+    FROM {tree} t WHERE t.tree = c.tree AND t.level = c.level AND t.i // 3 = c.i // 3) r WHERE r.n > 1),
+{name}_end AS (SELECT doc_id, arg_max(proof, level) AS proof, arg_max(fold, level) AS fold FROM {name} GROUP BY doc_id)"""
+_MANIFEST = f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, {_LEAF.format(text="text")} AS h,
+    CASE WHEN {_CRC_EVEN} THEN {_LEAF.format(text="replace(text, chr(10), '')")} ELSE {_LEAF.format(text="text")} END AS seen FROM documents),
+{_TREE.format(name="low", leaves="leaf")},
+sub AS (SELECT 0 AS tree, tree AS i, h FROM low WHERE n = 1),
+{_TREE.format(name="high", leaves="sub")},
+{_CLIMB.format(name="up", tree="low", start="tree, 0 AS level, i, '' AS proof, seen AS fold FROM leaf")},
+{_CLIMB.format(name="over", tree="high", start="0 AS tree, 0 AS level, leaf.tree AS i, proof, fold FROM up_end JOIN leaf USING (doc_id)")},
+whole AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT doc_id, leaf.h AS leaf, sub.h AS subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root AS verified
+FROM leaf JOIN sub ON sub.i = leaf.tree JOIN over_end USING (doc_id), whole"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Where SQL can say it at the size of the check: shards, near-duplicate classes and repeated windows."""
-    return {"op1_sharding": _SHARDS, "op3_circulant_minhash": _SHINGLES, "op6_substring_dedup": _REPEATS}
+    """Where SQL can say it at the size of the check: shards, near-duplicate classes, repeated windows, the manifest."""
+    return {"op1_sharding": _SHARDS, "op3_circulant_minhash": _SHINGLES, "op6_substring_dedup": _REPEATS, "op12_merkle_manifest": _MANIFEST}
