@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import shared
@@ -13,6 +14,7 @@ from . import shared
 FAN = 3  # nodes that become one
 LEVELS, TOP = 128, 64  # a node's number is its first leaf times 128, plus its level; levels of the tree of subroots start at 64
 HEAVY, HEAVY_LEAVES = 2_000, 729  # a node is heavy if more than a 2,000th of all leaves, and more than 729, are below it
+BUCKET_LEAVES = 200_000  # leaves for each bucket of the node table, beyond as many buckets as shuffle partitions
 _LEAF_BYTES = 100
 
 
@@ -94,9 +96,9 @@ def built(level: DataFrame, most: int, top: bool, above: Column) -> tuple[list[D
     """Build trees, all at once, a level at a time, from rows (tree, base, n nodes of the level, index, hash, leaves below).
 
     ``most`` is the largest tree's number of nodes. Each level is one aggregate over runs of
-    three, stored. Returns the node rows of each level (key, parent, before, after, weight of
-    the node and of its parent) and the roots (tree, base, hash, weight). A root is no node here: the parent
-    of a tree's last nodes is ``above``.
+    three, stored. Returns the node rows of each level (key, parent, before, after, weight:
+    the leaves below it) and the roots (tree, base, hash, weight). A root is no node here: the
+    parent of a tree's last nodes is ``above``.
     """
     nodes, roots, k = [], [level.where("n = 1").select("tree", "base", "hash", "weight")], 0
     level = level.where("n > 1")
@@ -116,7 +118,6 @@ def built(level: DataFrame, most: int, top: bool, above: Column) -> tuple[list[D
                 F.unhex(beside(kid, lambda a, b: a < b)).alias("before"),
                 F.unhex(beside(kid, lambda a, b: a > b)).alias("after"),
                 kid["weight"].alias("weight"),
-                F.col("weight").alias("parent_weight"),
             )
         )
         up = runs.select("tree", "base", F.col("n_up").alias("n"), F.col("up").alias("index"), sha(F.array_join(F.transform("kids", lambda x: shown(x["hash"])), "")).alias("hash"), "weight")
@@ -126,27 +127,41 @@ def built(level: DataFrame, most: int, top: bool, above: Column) -> tuple[list[D
 
 
 CLIMB = """
-WITH RECURSIVE climb(leaf, at, heavy, step, fold, beside) AS (
-  SELECT leaf, at, heavy, step, fold, CAST(NULL AS BINARY) FROM {starts}
+WITH RECURSIVE climb(leaf, at, step, fold, beside) AS (
+  SELECT leaf, at, step, fold, beside FROM {starts}
   UNION ALL
-  SELECT /*+ {hint}(n) */ c.leaf, n.parent, n.parent_heavy, c.step + 1,
+  SELECT /*+ {hint}(n) */ c.leaf, n.parent, c.step + 1,
     unhex(sha2(concat(lower(hex(n.before)), lower(hex(c.fold)), lower(hex(n.after))), 256)),
     concat(n.before, n.after)
   FROM climb c JOIN {nodes} n ON c.at = n.key)
-SELECT * FROM climb"""
+SELECT leaf, max_by(at, step) AS at, max(step) AS step, max_by(fold, step) AS fold,
+  unhex(array_join(transform(array_sort(collect_list(struct(step, hex(beside) AS beside))), x -> x.beside), '')) AS beside
+FROM climb GROUP BY leaf"""
 
 
-def _climbed(starts: DataFrame, nodes: str, hint: str) -> DataFrame:
-    """Rows of the climb from ``starts`` along the node table: a row for each leaf and step, the first (with nothing beside) as it starts."""
-    spark, name = starts.sparkSession, f"starts_{uuid.uuid4().hex}"
+def climbed(starts: DataFrame, nodes: str, hint: str) -> DataFrame:
+    """Ascend from ``starts`` (leaf, at, step, fold, beside) as far as the node table reaches: a row for each leaf, as it ends.
+
+    The caller lifts the bound on a recursive query's rows; the climb ends by itself, after as
+    many steps as the tree is high.
+    """
+    name = f"starts_{uuid.uuid4().hex}"
+    starts.createOrReplaceTempView(name)
+    try:
+        return shared.stage(starts.sparkSession.sql(CLIMB.format(starts=name, nodes=nodes, hint=hint)))
+    finally:
+        starts.sparkSession.catalog.dropTempView(name)
+
+
+@contextlib.contextmanager
+def unbounded(spark: SparkSession):
+    """No bound on the rows of recursive queries, for the length of a ``with`` block."""
     limit = "spark.sql.cteRecursionRowLimit"
     held = spark.conf.get(limit, None)
-    starts.createOrReplaceTempView(name)
-    spark.conf.set(limit, "-1")  # the climb ends by itself, after as many steps as the tree is high
+    spark.conf.set(limit, "-1")
     try:
-        return shared.stage(spark.sql(CLIMB.format(starts=name, nodes=nodes, hint=hint)))
+        yield
     finally:
-        spark.catalog.dropTempView(name)
         spark.conf.unset(limit) if held is None else spark.conf.set(limit, held)
 
 
@@ -160,9 +175,10 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
     the digests beside them. A recursive query ascends from each leaf, appending the digests beside
     it and folding the tampered leaf (the original one where nothing is tampered).
 
-    The climb has two parts, so that no key is hot: nodes with few leaves below them are joined
-    by key, with the node table bucketed by it, and a key meets only the leaves below it; heavy nodes (more than a 2,000th of all
-    leaves below them, so at most 2,000 in a level, some 40,000 in all) are broadcast.
+    The climb has two parts, so that no key is hot. Nodes with few leaves below them are joined
+    by key, in a table bucketed by it, so only the climbing rows are shuffled. Heavy nodes (more
+    than a 2,000th of all leaves below them, so at most 2,000 in a level, some 40,000 in all)
+    are broadcast, and rows climb on where they are.
 
     Returns doc_id, leaf, subroot, root, proof_sha256 (of the digests beside the path, hex,
     level by level and left to right), folded_root and verified (it equals the root). Nulls of
@@ -174,7 +190,7 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
     leaves, parts = placed(leaves_of(df, list(columns), group, order, text), range_bytes)
     seen = leaves.agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("most"), (F.max("tree") + 1).alias("trees")).first()
     n, trees = seen["n"], seen["trees"] or 0
-    heavy = max(HEAVY_LEAVES, n // HEAVY)
+    bound = max(HEAVY_LEAVES, n // HEAVY)
     nothing = F.lit(None).cast("long")
     top_leaf = node_key(F.lit(0), F.col("tree"), 0, True) if trees > 1 else nothing
     low, roots = built(leaves.select("tree", "base", F.col("size").alias("n"), "index", F.col("leaf").alias("hash"), F.lit(1).cast("long").alias("weight")), seen["most"] or 0, False, top_leaf)
@@ -183,50 +199,41 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
     high, whole = built(over, trees, True, nothing)
     root = whole.select("hash").first()
     root = bytes(root[0]) if root else b""
-    parts_of = parts.join(roots.select("tree", F.col("hash").alias("subroot"), F.col("weight").alias("below")).hint("shuffle_hash"), "tree")
+    parts_of = parts.join(roots.select("tree", F.col("hash").alias("subroot")).hint("shuffle_hash"), "tree")
 
-    nodes = [d.select("key", "parent", "before", "after", (F.col("weight") > heavy).alias("heavy"), (F.col("parent_weight") > heavy).alias("parent_heavy")) for d in [*low, *high]]
+    nodes = [*low, *high]
+    stored = reduce(DataFrame.unionByName, nodes) if nodes else spark.createDataFrame([], "key long, parent long, before binary, after binary, weight long")
     where = f"{root_dir}/nodes-{uuid.uuid4().hex}"
-    light_name, heavy_name = f"nodes_{uuid.uuid4().hex}", f"heavy_{uuid.uuid4().hex}"
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if nodes:
-        stored = reduce(DataFrame.unionByName, nodes)
-    else:
-        stored = spark.createDataFrame([], "key long, parent long, before binary, after binary, heavy boolean, parent_heavy boolean")
-    stored = shared.stage(stored)
+    light, heavy = f"nodes_{uuid.uuid4().hex}", f"heavy_{uuid.uuid4().hex}"
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // BUCKET_LEAVES)
+    placed_leaves = leaves.join(parts_of.select("part", "tree", "subroot").hint("shuffle_hash"), ["part", "tree"])
+    place = F.col("base") + F.col("index")
+    starts = leaves.select(
+        place.alias("leaf"),
+        F.when(F.col("size") > 1, node_key(F.col("base"), F.col("index"), 0, False)).otherwise(top_leaf).alias("at"),
+        F.lit(0).alias("step"),
+        F.coalesce("tampered", "leaf").alias("fold"),
+        F.lit(b"").alias("beside"),
+    )
     try:
-        stored.where("not heavy").drop("heavy").repartition(buckets, "key").write.bucketBy(buckets, "key").option("path", f"{where}/light").saveAsTable(light_name)
-        stored.where("heavy").drop("heavy").createOrReplaceTempView(heavy_name)
-        placed_leaves = leaves.join(parts_of.select("part", "tree", "subroot", "below").hint("shuffle_hash"), ["part", "tree"])
-        place = F.col("base") + F.col("index")
-        own = placed_leaves.select(
-            place.alias("place"),
-            F.when(F.col("size") > 1, node_key(F.col("base"), F.col("index"), 0, False)).otherwise(top_leaf).alias("at"),
-            F.coalesce((F.col("size") == 1) & (F.col("below") > heavy), F.lit(False)).alias("heavy"),
-            F.coalesce("tampered", "leaf").alias("fold"),
-        )
-        starts = own.select(F.col("place").alias("leaf"), "at", "heavy", F.lit(0).alias("step"), "fold")
-        below = _climbed(starts, light_name, "SHUFFLE_HASH")
-        above = _climbed(below.where("heavy and at is not null").drop("beside"), heavy_name, "BROADCAST")
+        stored.where(F.col("weight") <= bound).drop("weight").repartition(buckets, "key").write.bucketBy(buckets, "key").option("path", where).saveAsTable(light)
+        stored.where(F.col("weight") > bound).drop("weight").createOrReplaceTempView(heavy)
+        with unbounded(spark):
+            ends = climbed(climbed(starts, light, "SHUFFLE_HASH"), heavy, "BROADCAST").withColumnRenamed("leaf", "climbed")
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {light_name}")
-        spark.catalog.dropTempView(heavy_name)
+        spark.sql(f"DROP TABLE IF EXISTS {light}")
+        spark.catalog.dropTempView(heavy)
         shared.delete(spark, where)
-    steps = below.unionByName(above.where("beside is not null"))
-    ends = steps.groupBy("leaf").agg(
-        F.max_by("fold", "step").alias("folded"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step", "beside"))), lambda x: shown(x["beside"])), "").alias("beside"),
-    )
     return (
         placed_leaves.select(place.alias("place"), "doc_id", F.col("leaf").alias("own"), "subroot")
-        .join(ends, F.col("place") == F.col("leaf"))
+        .join(ends, F.col("place") == F.col("climbed"))
         .select(
             "doc_id",
             shown(F.col("own")).alias("leaf"),
             shown(F.col("subroot")).alias("subroot"),
             F.lit(root.hex()).alias("root"),
-            F.sha2("beside", 256).alias("proof_sha256"),
-            shown(F.col("folded")).alias("folded_root"),
-            (F.col("folded") == F.lit(root)).alias("verified"),
+            F.sha2(shown(F.col("beside")), 256).alias("proof_sha256"),
+            shown(F.col("fold")).alias("folded_root"),
+            (F.col("fold") == F.lit(root)).alias("verified"),
         )
     )
