@@ -96,8 +96,8 @@ def built(level: DataFrame, most: int, top: bool, above: Column) -> tuple[list[D
     """Build trees, all at once, a level at a time, from rows (tree, base, n nodes of the level, index, hash, leaves below).
 
     ``most`` is the largest tree's number of nodes. Each level is one aggregate over runs of
-    three, stored. Returns the node rows of each level (key, parent, before, after, weight:
-    the leaves below it) and the roots (tree, base, hash, weight). A root is no node here: the
+    three, stored. Returns the node rows of each level (key, parent, before, after, the
+    leaves below it and below its parent) and the roots (tree, base, hash, weight). A root is no node here: the
     parent of a tree's last nodes is ``above``.
     """
     nodes, roots, k = [], [level.where("n = 1").select("tree", "base", "hash", "weight")], 0
@@ -118,6 +118,7 @@ def built(level: DataFrame, most: int, top: bool, above: Column) -> tuple[list[D
                 F.unhex(beside(kid, lambda a, b: a < b)).alias("before"),
                 F.unhex(beside(kid, lambda a, b: a > b)).alias("after"),
                 kid["weight"].alias("weight"),
+                F.col("weight").alias("parent_weight"),
             )
         )
         up = runs.select("tree", "base", F.col("n_up").alias("n"), F.col("up").alias("index"), sha(F.array_join(F.transform("kids", lambda x: shown(x["hash"])), "")).alias("hash"), "weight")
@@ -126,31 +127,36 @@ def built(level: DataFrame, most: int, top: bool, above: Column) -> tuple[list[D
     return nodes, reduce(DataFrame.unionByName, roots)
 
 
-CLIMB = """
-WITH RECURSIVE climb(leaf, at, step, fold, beside) AS (
-  SELECT leaf, at, step, fold, beside FROM {starts}
+_FOLDED = "unhex(sha2(concat(lower(hex(n.before)), lower(hex(c.fold)), lower(hex(n.after))), 256))"
+_IN_ORDER = "array_join(transform(array_sort(collect_list(struct(step, beside))), x -> lower(hex(x.beside))), '')"
+
+# From each leaf through the light nodes: where it ends, what it has folded to, what stood beside its path.
+BELOW = f"""
+WITH RECURSIVE climb(leaf, at, more, step, fold, beside) AS (
+  SELECT leaf, at, at IS NOT NULL, 0, fold, X'' FROM {{starts}}
   UNION ALL
-  SELECT /*+ {hint}(n) */ c.leaf, n.parent, c.step + 1,
-    unhex(sha2(concat(lower(hex(n.before)), lower(hex(c.fold)), lower(hex(n.after))), 256)),
-    concat(n.before, n.after)
-  FROM climb c JOIN {nodes} n ON c.at = n.key)
-SELECT leaf, max_by(at, step) AS at, max(step) AS step, max_by(fold, step) AS fold,
-  unhex(array_join(transform(array_sort(collect_list(struct(step, hex(beside) AS beside))), x -> x.beside), '')) AS beside
+  SELECT /*+ SHUFFLE_HASH(n) */ c.leaf, n.parent, n.more, c.step + 1, {_FOLDED}, concat(n.before, n.after)
+  FROM climb c JOIN {{light}} n ON c.at = n.key)
+SELECT leaf, max(if(more, NULL, at)) AS at, max(if(more, NULL, fold)) AS fold, {_IN_ORDER} AS beside
 FROM climb GROUP BY leaf"""
 
-
-def climbed(starts: DataFrame, nodes: str, hint: str) -> DataFrame:
-    """Ascend from ``starts`` (leaf, at, step, fold, beside) as far as the node table reaches: a row for each leaf, as it ends.
-
-    The caller lifts the bound on a recursive query's rows; the climb ends by itself, after as
-    many steps as the tree is high.
-    """
-    name = f"starts_{uuid.uuid4().hex}"
-    starts.createOrReplaceTempView(name)
-    try:
-        return shared.stage(starts.sparkSession.sql(CLIMB.format(starts=name, nodes=nodes, hint=hint)))
-    finally:
-        starts.sparkSession.catalog.dropTempView(name)
+# What stands beside the path from each heavy node to the root.
+PATHS = f"""
+WITH RECURSIVE path(entry, at, step, beside) AS (
+  SELECT key, key, 0, X'' FROM {{heavy}}
+  UNION ALL
+  SELECT /*+ BROADCAST(n) */ p.entry, n.parent, p.step + 1, concat(n.before, n.after)
+  FROM path p JOIN {{heavy}} n ON p.at = n.key)
+SELECT entry, {_IN_ORDER} AS above FROM path GROUP BY entry"""
+
+# From where each leaf left the light nodes, on to the root.
+ABOVE = f"""
+WITH RECURSIVE climb(leaf, at, fold, proof) AS (
+  SELECT leaf, at, fold, proof FROM {{starts}}
+  UNION ALL
+  SELECT /*+ BROADCAST(n) */ c.leaf, n.parent, {_FOLDED}, c.proof
+  FROM climb c JOIN {{heavy}} n ON c.at = n.key)
+SELECT leaf AS climbed, fold, proof FROM climb WHERE at IS NULL"""
 
 
 @contextlib.contextmanager
@@ -178,7 +184,7 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
     The climb has two parts, so that no key is hot. Nodes with few leaves below them are joined
     by key, in a table bucketed by it, so only the climbing rows are shuffled. Heavy nodes (more
     than a 2,000th of all leaves below them, so at most 2,000 in a level, some 40,000 in all)
-    are broadcast, and rows climb on where they are.
+    are broadcast, and rows climb on where they are; what stands beside the path above is found once for each heavy node.
 
     Returns doc_id, leaf, subroot, root, proof_sha256 (of the digests beside the path, hex,
     level by level and left to right), folded_root and verified (it equals the root). Nulls of
@@ -202,27 +208,32 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
     parts_of = parts.join(roots.select("tree", F.col("hash").alias("subroot")).hint("shuffle_hash"), "tree")
 
     nodes = [*low, *high]
-    stored = reduce(DataFrame.unionByName, nodes) if nodes else spark.createDataFrame([], "key long, parent long, before binary, after binary, weight long")
+    stored = reduce(DataFrame.unionByName, nodes) if nodes else spark.createDataFrame([], "key long, parent long, before binary, after binary, weight long, parent_weight long")
     where = f"{root_dir}/nodes-{uuid.uuid4().hex}"
-    light, heavy = f"nodes_{uuid.uuid4().hex}", f"heavy_{uuid.uuid4().hex}"
+    light, heavy, begun = (f"{name}_{uuid.uuid4().hex}" for name in ("light", "heavy", "starts"))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // BUCKET_LEAVES)
     placed_leaves = leaves.join(parts_of.select("part", "tree", "subroot").hint("shuffle_hash"), ["part", "tree"])
     place = F.col("base") + F.col("index")
     starts = leaves.select(
         place.alias("leaf"),
         F.when(F.col("size") > 1, node_key(F.col("base"), F.col("index"), 0, False)).otherwise(top_leaf).alias("at"),
-        F.lit(0).alias("step"),
         F.coalesce("tampered", "leaf").alias("fold"),
-        F.lit(b"").alias("beside"),
     )
     try:
-        stored.where(F.col("weight") <= bound).drop("weight").repartition(buckets, "key").write.bucketBy(buckets, "key").option("path", where).saveAsTable(light)
-        stored.where(F.col("weight") > bound).drop("weight").createOrReplaceTempView(heavy)
+        lit = stored.where(F.col("weight") <= bound).withColumn("more", F.col("parent").isNotNull() & (F.col("parent_weight") <= bound))
+        lit.drop("weight", "parent_weight").repartition(buckets, "key").write.bucketBy(buckets, "key").option("path", where).saveAsTable(light)
+        stored.where(F.col("weight") > bound).drop("weight", "parent_weight").createOrReplaceTempView(heavy)
+        starts.createOrReplaceTempView(begun)
         with unbounded(spark):
-            ends = climbed(climbed(starts, light, "SHUFFLE_HASH"), heavy, "BROADCAST").withColumnRenamed("leaf", "climbed")
+            paths = spark.sql(PATHS.format(heavy=heavy))
+            below = spark.sql(BELOW.format(starts=begun, light=light)).join(F.broadcast(paths), F.col("at") == F.col("entry"), "left")
+            proof = F.unhex(F.sha2(F.concat("beside", F.coalesce("above", F.lit(""))), 256)).alias("proof")
+            shared.stage(below.select("leaf", "at", "fold", proof)).createOrReplaceTempView(begun)
+            ends = shared.stage(spark.sql(ABOVE.format(starts=begun, heavy=heavy)))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {light}")
         spark.catalog.dropTempView(heavy)
+        spark.catalog.dropTempView(begun)
         shared.delete(spark, where)
     return (
         placed_leaves.select(place.alias("place"), "doc_id", F.col("leaf").alias("own"), "subroot")
@@ -232,7 +243,7 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
             shown(F.col("own")).alias("leaf"),
             shown(F.col("subroot")).alias("subroot"),
             F.lit(root.hex()).alias("root"),
-            F.sha2(shown(F.col("beside")), 256).alias("proof_sha256"),
+            shown(F.col("proof")).alias("proof_sha256"),
             shown(F.col("fold")).alias("folded_root"),
             (F.col("fold") == F.lit(root)).alias("verified"),
         )
