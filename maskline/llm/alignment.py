@@ -68,6 +68,7 @@ class Aligner:
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in model.pieces]
         by_bytes = {self.b_bytes[i]: i for i, (_, _, kind) in reversed(list(enumerate(model.pieces))) if kind == BYTE}
         by_bytes |= {self.b_bytes[i]: i for i, (_, _, kind) in reversed(list(enumerate(model.pieces))) if kind in (NORMAL, USER)}
+        self.worded = False
         self.same = np.array([by_bytes.get(x, -1) for x in self.a_bytes], np.int64)
         self.forget()
 
@@ -75,29 +76,34 @@ class Aligner:
         self.number: dict[str, int] = {}
         self.sizes = array("q")  # A tokens, B tokens, groups, links of each chunk; and whether its bytes differ
         self.begin, self.links = array("q", [0]), array("q")
-        self.groups: list[bytes] = []
+        self.groups: list[bytes] = []  # as text, where they are asked for
         self.held = 0
 
     def learn(self, chunks: list[str]) -> None:
         """Align chunks that are new."""
-        n_b = self.n_b
-        for chunk, a, b in zip(chunks, self.a.encode_batch(chunks, add_special_tokens=False), self.b.encode(chunks, num_threads=1), strict=True):
+        for chunk, a, b in zip(chunks, self.a.encode_batch_fast(chunks, add_special_tokens=False), self.b.encode(chunks, num_threads=1), strict=True):
             a = a.ids
             a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
             raw = chunk.encode("utf-8", "surrogatepass")
             differs = b"".join(a_bytes) != raw or b"".join(b_bytes) != raw
-            codes, cuts = ([], []) if differs else self._linked(a, b, a_bytes, b_bytes)
-            self.number[chunk] = len(self.groups)
-            self.sizes.extend((len(a), len(b), len(cuts), len(codes), differs))
+            codes, ends = ([], []) if differs else self._linked(a, b, a_bytes, b_bytes)
+            self.number[chunk] = len(self.begin) - 1
+            self.sizes.extend((len(a), len(b), len(ends), len(codes), differs))
             self.links.extend(codes)
             self.begin.append(len(self.links))
-            self.groups.append(";".join(cuts).encode())
-            self.held += 8 * len(codes) + len(self.groups[-1]) + 4 * len(chunk) + 200
-
-    def _linked(self, a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> tuple[list[int], list[str]]:
-        """Codes of the links of tokens over the same bytes, and the groups: two pointers, every step is one link."""
-        n_b, codes, cuts = self.n_b, [], []
-        i = j = a_from = b_from = 0
+            if self.worded:
+                x = y = 0
+                cuts = []
+                for i, j in ends:
+                    cuts.append(f"{','.join(map(str, a[x:i]))}|{','.join(map(str, b[y:j]))}")
+                    x, y = i, j
+                self.groups.append(";".join(cuts).encode())
+            self.held += 20 * len(codes) + 4 * len(chunk) + 200
+
+    def _linked(self, a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> tuple[list[int], list[tuple[int, int]]]:
+        """Codes of the links of tokens over the same bytes, and where groups end: two pointers, every step is one link."""
+        n_b, codes, ends = self.n_b, [], []
+        i = j = 0
         a_end, b_end, n = len(a_bytes[0]), len(b_bytes[0]), len(a)
         while True:
             codes.append(a[i] * n_b + b[j])
@@ -109,10 +115,9 @@ class Aligner:
                 b_end += len(b_bytes[j])
             else:
                 i, j = i + 1, j + 1
-                cuts.append(f"{','.join(map(str, a[a_from:i]))}|{','.join(map(str, b[b_from:j]))}")
+                ends.append((i, j))
                 if i == n:
-                    return codes, cuts
-                a_from, b_from = i, j
+                    return codes, ends
                 a_end += len(a_bytes[i])
                 b_end += len(b_bytes[j])
 
@@ -143,7 +148,7 @@ class Aligner:
             self.forget()
         found = [_CHUNK.findall(text) for _, text in waiting]
         flat = [c for own in found for c in own]
-        new = list(dict.fromkeys(c for c in flat if c not in self.number))
+        new = list(set(flat).difference(self.number))
         if new:
             self.learn(new)
         numbers = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
@@ -177,6 +182,9 @@ class Aligner:
         ``codes`` (ascending) and ``totals`` count the irregular pairs, ``same_totals`` by A id
         those with the same bytes; ``best`` is each A id's highest count.
         """
+        if not self.worded:
+            self.worded = True
+            self.forget()
         out, differs = np.zeros((len(texts), 6), np.int64), np.zeros(len(texts), bool)
         hashes = [hashlib.sha256() for _ in texts]
         begun = np.zeros(len(texts), bool)

@@ -14,6 +14,7 @@ from . import shared
 FAN = 3  # nodes that become one
 LEVELS, TOP = 128, 64  # a node's number is its first leaf times 128, plus its level; levels of the tree of subroots start at 64
 HEAVY, HEAVY_LEAVES = 2_000, 729  # a node is heavy if more than a 2,000th of all leaves, and more than 729, are below it
+HEAVY_PARTS = 8  # partitions of the heavy nodes
 BUCKET_LEAVES = 200_000  # leaves for each bucket of the node table, beyond as many buckets as shuffle partitions
 _LEAF_BYTES = 100
 
@@ -222,7 +223,7 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
     try:
         lit = stored.where(F.col("weight") <= bound).withColumn("more", F.col("parent").isNotNull() & (F.col("parent_weight") <= bound))
         lit.drop("weight", "parent_weight").repartition(buckets, "key").write.bucketBy(buckets, "key").option("path", where).saveAsTable(light)
-        stored.where(F.col("weight") > bound).drop("weight", "parent_weight").createOrReplaceTempView(heavy)
+        shared.stage(stored.where(F.col("weight") > bound).select("key", "parent", "before", "after").repartition(HEAVY_PARTS)).createOrReplaceTempView(heavy)
         starts.createOrReplaceTempView(begun)
         with unbounded(spark):
             paths = spark.sql(PATHS.format(heavy=heavy))
