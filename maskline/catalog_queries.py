@@ -933,3 +933,6 @@ _R_KEYS = {"PatientKey": ("customer", "c_custkey"), "ProviderKey": ("supplier",
 def gen_risk(spark: SparkSession, d: str) -> DataFrame:
     e = t(spark, d, "events")
     return synth.risk_scores(e, "event_id", _sources(spark, d, _R_KEYS), synth.pool(e, "event_type"))
+
+
+from . import mechanism_queries  # noqa: E402, F401  registers its queries with the ones above
