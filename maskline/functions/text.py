@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -35,10 +36,47 @@ def java(pattern: str) -> str:
     return "(?U)" + pattern
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table of few splits to all cores, before work on its texts that costs far more than moving them."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if not df.isStreaming and df.rdd.getNumPartitions() < cores // 2 else df
+def spread(df: DataFrame, most: int = 1 << 30) -> DataFrame:
+    """Deal a small table of few splits to all cores, before work on its texts that costs far more than moving them.
+
+    Splits are estimated from the plan's size, so nothing runs; a table of over ``most`` bytes stays as it is.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores, size = spark.sparkContext.defaultParallelism, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if size <= min(most, cores // 2 * split) else df
+
+
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` reads it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+RUN = 256  # spans that are folded together
+
+
+def runs(items: Column) -> Column:
+    """An array in runs of 256."""
+    starts = F.filter(F.sequence(F.lit(0), F.floor(F.size(items) / RUN).cast("int")), lambda j: j * RUN < F.size(items))
+    return F.transform(starts, lambda j: F.slice(items, j * RUN + 1, RUN))
+
+
+def fold(items: Column, state: Column, add: Callable[[Column, Column], Column], end: Callable[[Column], Column] | None = None) -> Column:
+    """Fold an array into a state whose last field, ``out``, is an array that ``add`` appends to; the result is all of ``out``.
+
+    An append copies the array, so a run has its own, and runs are joined once: the time stays
+    near the array's length. ``end`` gives what the last state leaves to append.
+    """
+
+    def run(done: Column, own: Column) -> Column:
+        begun = F.struct(done["state"].alias("state"), F.slice(done["out"][0], 1, 0).alias("out"))
+        return once(F.aggregate(own, begun, add), lambda s: F.struct(s["state"].alias("state"), F.array_append(done["out"], s["out"]).alias("out")))
+
+    first = F.struct(state["state"].alias("state"), F.array(state["out"]).alias("out"))
+    finish = (lambda s: F.concat(F.flatten(s["out"]), end(s["state"]))) if end else (lambda s: F.flatten(s["out"]))
+    return once(items, lambda x: F.aggregate(runs(x), first, run, finish))
 
 
 def hinted(text: Column, name: str) -> Column:
@@ -52,15 +90,15 @@ def _of_type(text: Column, name: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(java(PATTERNS[name])), F.lit(0))
     gaps = F.split(text, java(PATTERNS[name]), -1)
 
-    def add(state: Column, x: Column) -> Column:  # x: a gap and the match behind it (none behind the last)
-        start = state["at"] + F.length(x["0"])
+    def add(done: Column, x: Column) -> Column:  # x: a gap and the match behind it (none behind the last)
+        start = done["state"] + F.length(x["0"])
         end = start + F.length(x["1"])
         span = F.struct(F.lit(name).alias("entity_type"), start.alias("start"), end.alias("end"), F.lit(1.0).alias("score"))
-        return F.when(x["1"].isNull(), state).otherwise(F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans")))
+        return F.when(x["1"].isNull(), done).otherwise(F.struct(end.alias("state"), F.array_append(done["out"], span).alias("out")))
 
     none = F.array().cast(f"array<{SPAN}>")
-    state = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.when(hinted(text, name), F.aggregate(F.arrays_zip(gaps, found), state, add, lambda s: s["spans"])).otherwise(none)
+    found = fold(F.arrays_zip(gaps, found), F.struct(F.lit(0).alias("state"), none.alias("out")), add)
+    return F.when(hinted(text, name), found).otherwise(none)
 
 
 def spans(text: Column, entities: tuple[str, ...] = tuple(PATTERNS), score_threshold: float = 0.35) -> Column:
@@ -75,17 +113,23 @@ def spans(text: Column, entities: tuple[str, ...] = tuple(PATTERNS), score_thres
 
 
 def merge(found: Column) -> Column:
-    """Join overlapping spans (touching ones stay apart). The higher score names the whole; ties, the earlier."""
+    """Join overlapping spans (touching ones stay apart). The higher score names the whole; ties, the earlier.
+
+    The spans are gone through in order with the one that is still open: a span that begins
+    before its end is joined to it, any other closes it.
+    """
     ordered = F.array_sort(F.transform(found, lambda s, i: F.struct(s["start"].alias("a"), (-s["end"]).alias("b"), i.alias("i"), s.alias("s"))))
 
     def add(done: Column, x: Column) -> Column:
-        s, last = x["s"], F.try_element_at(done, F.lit(-1))
+        s, last = x["s"], done["state"]
         best = F.when(s["score"] > last["score"], s).otherwise(last)
         joined = F.struct(best["entity_type"].alias("entity_type"), last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), best["score"].alias("score"))
-        rest = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
-        return F.when(s["start"] < last["end"], F.concat(rest, F.array(joined))).otherwise(F.concat(done, F.array(s)))
+        meets = F.coalesce(s["start"] < last["end"], F.lit(False))
+        out = F.when(meets | last.isNull(), done["out"]).otherwise(F.array_append(done["out"], last))
+        return F.struct(F.when(meets, joined).otherwise(s).alias("state"), out.alias("out"))
 
-    return F.aggregate(ordered, F.array().cast(f"array<{SPAN}>"), add)
+    none = F.array().cast(f"array<{SPAN}>")
+    return fold(ordered, F.struct(F.lit(None).cast(SPAN).alias("state"), none.alias("out")), add, lambda last: F.when(last.isNull(), none).otherwise(F.array(last)))
 
 
 def redact(text: Column, found: Column, replacement: str = "label", namespace: str = "free_text") -> Column:
@@ -93,24 +137,29 @@ def redact(text: Column, found: Column, replacement: str = "label", namespace: s
     if replacement not in ("label", "token", "remove"):
         raise ValueError(f"unknown replacement {replacement}")
 
-    def put(s: Column) -> Column:
+    def put(s: Column, near: Column, base: Column) -> Column:
         if replacement == "remove":
             return F.lit("")
         if replacement == "label":
             return F.concat(F.lit("["), s["entity_type"], F.lit("]"))
-        value = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+        value = F.substring(near, s["start"] - base + 1, s["end"] - s["start"])
         message = F.encode(F.concat(F.lit(namespace + ":"), s["entity_type"], F.lit(keyed.SEPARATOR), value), "UTF-8")
         inner = F.unhex(F.sha2(F.concat(F.col(keyed.INNER), message), 256))
         return F.concat(F.lit("["), s["entity_type"], F.lit(":"), F.substring(F.sha2(F.concat(F.col(keyed.OUTER), inner), 256), 1, 12), F.lit("]"))
 
-    def add(state: Column, s: Column) -> Column:  # pieces are joined once, at the end
-        kept = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(s["end"].alias("at"), F.concat(state["out"], F.array(kept, put(s))).alias("out"))
+    before = lambda all_, i: F.coalesce(F.try_element_at(all_, F.nullif(i, F.lit(0)))["end"], F.lit(0))  # noqa: E731  where the span before the i-th ends
+
+    def run(all_: Column, own: Column, j: Column) -> Column:  # a run of spans, and the stretch of text that they are in
+        base = before(all_, j * RUN)
+        near = F.substring(text, base + 1, F.element_at(own, -1)["end"] - base)
+        pieces = lambda near: F.transform(own, lambda s, i: F.concat(F.substring(near, before(all_, j * RUN + i) - base + 1, s["start"] - before(all_, j * RUN + i)), put(s, near, base)))
+        return once(near, lambda n: F.array_join(pieces(n), ""))
+
+    def whole(all_: Column) -> Column:
+        tail = F.substring(text, before(all_, F.size(all_)) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(runs(all_), lambda own, j: run(all_, own, j)), ""), tail)
 
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    tail = lambda s: F.substring(text, s["at"] + 1, F.length(text))
-    whole = F.aggregate(found, state, add, lambda s: F.array_join(F.array_append(s["out"], tail(s)), ""))
-    return F.when(text.isNotNull(), whole)
+    return F.when(text.isNotNull(), once(found, whole))
 
 
 def redact_column(df: DataFrame, column: str, replacement: str = "label", output: str | None = None, entities: tuple[str, ...] = tuple(PATTERNS), score_threshold: float = 0.35) -> DataFrame:
