@@ -502,14 +502,18 @@ def scorecard_leaks(spark: SparkSession, d: str) -> DataFrame:
     return residual.leaky_columns(_layer(spark, d))
 
 
-@query(f"""WITH {PEOPLE}, {SAFE} SELECT * FROM (
-SELECT 'tokens carry the prefix' AS "check", count_if(NOT starts_with(mrn, 'PT-')) = 0 AS passed, false AS advisory FROM safe
-UNION ALL SELECT 'years are plausible', count_if(dob < 1900 OR dob > 2100) = 0, false FROM safe
-UNION ALL SELECT 'ZIPs have three characters', count_if(length(zip) > 3) = 0, false FROM safe
-UNION ALL SELECT 'no column DateOfBirth', count_if(c = 'DateOfBirth') = 0, false FROM (SELECT unnest(json_keys(to_json(s))) AS c FROM (SELECT * FROM safe LIMIT 1) s)
-UNION ALL SELECT 'no column zip', count_if(c = 'zip') = 0, false FROM (SELECT unnest(json_keys(to_json(s))) AS c FROM (SELECT * FROM safe LIMIT 1) s)
-UNION ALL SELECT 'column dob is there', count_if(c = 'dob') > 0, false FROM (SELECT unnest(json_keys(to_json(s))) AS c FROM (SELECT * FROM safe LIMIT 1) s)
-UNION ALL SELECT 'no identifier patterns', NOT coalesce(bool_or({" OR ".join("(" + _LEAK.replace('{c}', c) + ")" for c in ("mrn", "zip", "segment"))}), false), false FROM safe)""")
+_NAMES = "(SELECT unnest(json_keys(to_json(s))) AS c FROM (SELECT * FROM safe LIMIT 1) s)"
+_LEAKY = " UNION ALL ".join(f"SELECT 'people.{c}' AS c, coalesce(bool_or({_LEAK.replace('{c}', c)}), false) AS leaks FROM safe" for c in ("mrn", "zip", "segment"))
+CARD = f"""SELECT 'tokens carry the prefix' AS "check", count_if(NOT starts_with(mrn, 'PT-')) = 0 AS passed, count_if(NOT starts_with(mrn, 'PT-')) || ' without it' AS detail, false AS advisory FROM safe
+UNION ALL SELECT 'years are plausible', count_if(dob < 1900 OR dob > 2100) = 0, count_if(dob < 1900 OR dob > 2100) || ' are not', false FROM safe
+UNION ALL SELECT 'ZIPs have three characters', count_if(length(zip) > 3) = 0, count_if(length(zip) > 3) || ' have more', false FROM safe
+UNION ALL SELECT 'no column DateOfBirth', count_if(c = 'DateOfBirth') = 0, '', false FROM {_NAMES}
+UNION ALL SELECT 'no column zip', count_if(c = 'zip') = 0, '', false FROM {_NAMES}
+UNION ALL SELECT 'column dob is there', count_if(c = 'dob') > 0, '', false FROM {_NAMES}
+UNION ALL SELECT 'no identifier patterns', count_if(leaks) = 0, coalesce(string_agg(c, ', ' ORDER BY c) FILTER (leaks), ''), false FROM ({_LEAKY})"""
+
+
+@query(f"WITH {PEOPLE}, {SAFE} SELECT * FROM ({CARD})")
 def scorecard(spark: SparkSession, d: str) -> DataFrame:
     safe = safe_people(spark, d)
     return residual.scorecard(safe, {"people": safe}, "mrn", "PT-", "dob", "zip", ("DateOfBirth", "zip"))

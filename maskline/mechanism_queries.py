@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import catalog_queries as base
 from .catalog_queries import PEOPLE, matches_sql, people, query, t
-from .operators import contents, lattice, linkage, residual, versions
+from .operators import contents, lattice, ledger, linkage, residual, risk, synth, versions
 from .sources import scratch
 from .streaming import monitor
 
@@ -113,3 +116,44 @@ def content_reconcile(spark: SparkSession, d: str) -> DataFrame:
     b = a.withColumn("l_quantity", F.when(F.col("l_quantity") == 7, 8.0).otherwise(F.col("l_quantity")))
     sides = contents.difference(a, b).agg(*(F.coalesce(F.sum(F.when(F.col("side") == s, F.col("copies"))), F.lit(0)).alias(f"only_{s}") for s in ("before", "after")))
     return sides.withColumn("same_count", F.col("only_before") == F.col("only_after"))
+
+
+# --- the whole scorecard, and facts over new patients --------------------------------------
+
+_ON = ", ".join(base.QI)
+_CARD = f"""WITH {base.PEOPLE}, {base.SAFE}, {base.RISKY}, {base.CLASSES}, {base.DISTANCES}, card AS ({base.CARD}
+UNION ALL SELECT 'k-anonymity of at least 5 on {_ON}', min(class_size) >= 5, 'k=' || min(class_size) || '; ' || coalesce(sum(class_size) FILTER (class_size < 5), 0)::BIGINT || ' rows in ' || count_if(class_size < 5) || ' classes', true FROM classes
+UNION ALL SELECT 'l-diversity of at least 2 for nation', min(n_values) >= 2, 'l=' || min(n_values) || '; ' || coalesce(sum(class_size) FILTER (n_values < 2), 0)::BIGINT || ' rows in ' || count_if(n_values < 2) || ' classes', true FROM classes
+UNION ALL SELECT 't-closeness of at most 0.2 for nation', round(max(distance), 9) <= 0.2, 't=' || printf('%.3f', round(max(distance), 9)) || ' over ' || count_if(distance > 0.2) || ' classes', true FROM far
+UNION ALL SELECT 'determination not expired', false, 'method safe harbor, review by 2025-01-01T00:00:00', true)"""
+
+
+def _card(spark: SparkSession, d: str) -> DataFrame:
+    safe = base.safe_people(spark, d)
+    more = (risk.advisory(base.risky(spark, d), base.QI, base.SENSITIVE, 5, 2, 0.2), ledger.expiry_row(spark, datetime(2025, 1, 1), datetime(2026, 1, 1), "safe harbor"))
+    return residual.scorecard(safe, {"people": safe}, "mrn", "PT-", "dob", "zip", ("DateOfBirth", "zip"), more)
+
+
+@query(f"{_CARD} SELECT * FROM card")
+def scorecard_full(spark: SparkSession, d: str) -> DataFrame:
+    """Hard checks and advisory ones: k, l, t and expiry."""
+    return _card(spark, d)
+
+
+@query(f"{_CARD} SELECT bool_and(passed) FILTER (NOT advisory) AS passed, count(*) AS checks, count_if(advisory AND NOT passed)::BIGINT AS advisory_failures FROM card")
+def scorecard_verdict(spark: SparkSession, d: str) -> DataFrame:
+    """Advisory checks fail here and don't block."""
+    return residual.verdict(_card(spark, d))
+
+
+_NEW = "(SELECT c_custkey FROM customer UNION ALL SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER () AS c_custkey FROM customer)"
+_GROWN = {"PatientKey": (_NEW, "c_custkey"), "ProviderKey": ("supplier", "s_suppkey")}
+
+
+@query(base.made_sql("events", "event_id", 45, _GROWN, {"RiskModel": ("events", "event_type")}, f"""new_key AS "RiskScoreKey", "PatientKey", "ProviderKey", "RiskModel",
+(100 + {base.draw_sql(45, 'RiskScore', 2401)}) / 1000 AS "RiskScore", {base.day_sql(45, 'ScoreDate', synth.SERVED)} AS "ScoreDate" """))
+def gen_risk_grown(spark: SparkSession, d: str) -> DataFrame:
+    """Patients are added first; new scores then draw from old and new patients."""
+    e, c = t(spark, d, "events"), t(spark, d, "customer")
+    everyone = c.select("c_custkey").unionByName(synth.new_rows(c, "c_custkey", "PatientKey").select(F.col("PatientKey").alias("c_custkey")))
+    return synth.risk_scores(e, "event_id", {"PatientKey": (everyone, "c_custkey"), "ProviderKey": (t(spark, d, "supplier"), "s_suppkey")}, synth.pool(e, "event_type"))

@@ -6,7 +6,7 @@ import hashlib
 import json
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import rules as plans
@@ -28,6 +28,23 @@ def run_rows(tables: DataFrame, rules: dict[str, dict], columns: dict[str, list[
     )
 
 
+def record_run(spark: SparkSession, jobs: dict[str, tuple[DataFrame, dict]], key: str, actor: str, key_version: str, at: datetime, ledger: str, prefix: str = "silver_deid_", fmt: str = "parquet") -> DataFrame:
+    """De-identify and write every table, and append a ledger row for each, with the counts that the writing jobs observed.
+
+    Nothing is read a second time. If a table fails, the run raises and the ledger stays as it was.
+    """
+    counts = plans.deidentify_tables(spark, jobs, key, prefix, fmt)
+    rows = run_rows(counts, {n: r for n, (_, r) in jobs.items()}, {n: d.columns for n, (d, _) in jobs.items()}, actor, key_version, at)
+    append(rows, ledger, fmt)
+    return rows
+
+
+def expiry_row(spark: SparkSession, expires: datetime | None, as_of: datetime, method: str) -> DataFrame:
+    """Whether a determination is in date, as a row of a scorecard. Without a date it isn't."""
+    told = f"method {method}, review by {expires.isoformat() if expires else 'no date'}"
+    return spark.createDataFrame([("determination not expired", expires is not None and as_of < expires, told)], "check string, passed boolean, detail string")
+
+
 def append(rows: DataFrame, table: str, fmt: str = "parquet") -> None:
     rows.write.mode("append").format(fmt).saveAsTable(table)
 

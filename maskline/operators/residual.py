@@ -61,24 +61,35 @@ def leaky_columns(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (one(n, d) for n, d in tables.items() if text_columns(d)))
 
 
-def scorecard(people: DataFrame, tables: dict[str, DataFrame], token: str, prefix: str, year: str, zip_col: str, forbidden: tuple[str, ...]) -> DataFrame:
-    """Checks of a published layer: check, passed, advisory. Null tokens, years and ZIPs are no failures."""
+def scorecard(people: DataFrame, tables: dict[str, DataFrame], token: str, prefix: str, year: str, zip_col: str, forbidden: tuple[str, ...], advisory: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """Checks of a published layer: check, passed, detail, advisory. Null tokens, years and ZIPs are no failures.
+
+    The checks of the layer itself are hard; ``advisory`` frames (check, passed, detail) are
+    added as rows that are reported and don't block.
+    """
     has = set(people.columns)
     counted = people.agg(
         F.count_if(~F.col(token).startswith(prefix)).alias("raw_tokens"),
         F.count_if((F.col(year) < 1900) | (F.col(year) > 2100)).alias("odd_years") if year in has else F.lit(0).alias("odd_years"),
         F.count_if(F.length(zip_col) > 3).alias("long_zips"),
     )
-    facts = [("tokens carry the prefix", F.col("raw_tokens") == 0), ("years are plausible", F.col("odd_years") == 0), ("ZIPs have three characters", F.col("long_zips") == 0)]
-    facts += [(f"no column {c}", F.lit(c not in has)) for c in forbidden] + [(f"column {year} is there", F.lit(year in has))]
-    rows = counted.select(F.inline(F.array(*(F.struct(F.lit(n).alias("check"), ok.alias("passed")) for n, ok in facts))))
-    leaks = leaky_columns(tables).agg((F.count_if("leaks") == 0).alias("passed")).select(F.lit("no identifier patterns").alias("check"), "passed")
-    return rows.unionByName(leaks).withColumn("advisory", F.lit(False))
+    none = lambda name, told: (F.col(name) == 0, F.concat(F.col(name).cast("string"), F.lit(f" {told}")))
+    facts = [("tokens carry the prefix", *none("raw_tokens", "without it")), ("years are plausible", *none("odd_years", "are not")), ("ZIPs have three characters", *none("long_zips", "have more"))]
+    facts += [(f"no column {c}", F.lit(c not in has), F.lit("")) for c in forbidden] + [(f"column {year} is there", F.lit(year in has), F.lit(""))]
+    rows = counted.select(F.inline(F.array(*(F.struct(F.lit(n).alias("check"), ok.alias("passed"), told.alias("detail")) for n, ok, told in facts))))
+    found = F.array_join(F.sort_array(F.collect_list(F.when(F.col("leaks"), F.concat_ws(".", "table", "column")))), ", ")  # as many as columns
+    leaks = leaky_columns(tables).agg((F.count_if("leaks") == 0).alias("passed"), found.alias("detail")).select(F.lit("no identifier patterns").alias("check"), "passed", "detail")
+    card = rows.unionByName(leaks).withColumn("advisory", F.lit(False))
+    return reduce(DataFrame.unionByName, (d.select("check", "passed", "detail", F.lit(True).alias("advisory")) for d in advisory), card)
 
 
 def verdict(card: DataFrame) -> DataFrame:
-    """One row: the hard checks decide."""
-    return card.agg(F.coalesce(F.bool_and(F.when(~F.col("advisory"), F.col("passed"))), F.lit(True)).alias("passed"), F.count(F.lit(1)).alias("checks"))
+    """One row: the hard checks decide; advisory ones that failed are counted."""
+    return card.agg(
+        F.coalesce(F.bool_and(F.when(~F.col("advisory"), F.col("passed"))), F.lit(True)).alias("passed"),
+        F.count(F.lit(1)).alias("checks"),
+        F.count_if(F.col("advisory") & ~F.col("passed")).alias("advisory_failures"),
+    )
 
 
 def reconcile(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:

@@ -116,6 +116,21 @@ def suppression_report(df: DataFrame, qis: list[str], k: int) -> DataFrame:
     return out.withColumn("suppressed", lost).withColumn("rate", F.round(F.coalesce(F.try_divide(lost, "rows_in"), F.lit(0.0)), 6))
 
 
+def advisory(df: DataFrame, qis: list[str], sensitive: str, k: int, l: int, t: float) -> DataFrame:  # noqa: E741
+    """k, l and t over the whole table as rows of a scorecard: check, passed, detail."""
+    told = lambda least: F.concat(least, F.lit("; "), F.col("violating_rows").cast("string"), F.lit(" rows in "), F.col("violating_classes").cast("string"), F.lit(" classes"))
+    named = lambda name: F.concat(F.lit(f"{name}="), F.col(name).cast("string"))
+    on = ", ".join(qis)
+    rows = [
+        k_anonymity(df, qis, k).select(F.lit(f"k-anonymity of at least {k} on {on}").alias("check"), "passes", told(named("k")).alias("detail")),
+        l_diversity(df, qis, sensitive, l).select(F.lit(f"l-diversity of at least {l} for {sensitive}").alias("check"), "passes", told(named("l")).alias("detail")),
+        t_closeness(df, qis, sensitive, t).select(
+            F.lit(f"t-closeness of at most {t} for {sensitive}").alias("check"), "passes", F.concat(F.lit("t="), F.format_string("%.3f", "t"), F.lit(" over "), F.col("violating_classes").cast("string"), F.lit(" classes")).alias("detail")
+        ),
+    ]
+    return reduce(DataFrame.unionByName, rows).withColumnRenamed("passes", "passed")
+
+
 def evidence(k: DataFrame | None = None, l: DataFrame | None = None, t: DataFrame | None = None, residual: DataFrame | None = None) -> DataFrame:  # noqa: E741
     """One row: each check's verdict (null where it wasn't made) and whether nothing made failed."""
     made = {"k_passes": k, "l_passes": l, "t_passes": t, "residual_passes": residual}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,6 +89,12 @@ def deidentify_layer(tables: dict[str, DataFrame], profile: dict[str, dict[str,
     return {name: deidentify(df, profile[name], key, default) for name, df in tables.items()}
 
 
+def _cause(e: Exception) -> str:
+    """Class and condition of an error. Its text stays out: it can quote a cell."""
+    condition = e.getCondition() if isinstance(e, PySparkException) else None
+    return f"{type(e).__name__}: {condition}" if condition else f"{type(e).__name__}: {e}" if isinstance(e, ValueError | TypeError) else type(e).__name__
+
+
 def deidentify_tables(spark: SparkSession, jobs: dict[str, tuple[DataFrame, dict[str, Rule]]], key: str, prefix: str = "silver_deid_", fmt: str = "parquet") -> DataFrame:
     """Write every table's de-identified form; one failure doesn't stop the others, but all are raised at the end.
 
@@ -104,7 +111,7 @@ def deidentify_tables(spark: SparkSession, jobs: dict[str, tuple[DataFrame, dict
             out.write.mode("overwrite").format(fmt).option("overwriteSchema", "true").saveAsTable(prefix + name)
             done.append((name, before.get["n"], after.get["n"]))
         except Exception as e:  # noqa: BLE001
-            failed.append(f"{name}: {type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}")
+            failed.append(f"{name}: {_cause(e)}")
     if bad := [n for n, a, b in done if a != b]:
         failed += [f"{n}: rows were lost" for n in bad]
     if failed:

@@ -155,3 +155,44 @@ def test_contents_as_bags(spark):
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, contents.digest(a, a.columns, 5).collect()))
     with pytest.raises(ValueError):
         contents.difference(a, a.drop("x"))
+
+
+def test_a_failing_advisory_row_does_not_block(spark):
+    from maskline.operators import ledger, residual
+
+    people = spark.createDataFrame([("PT-1", 1980, "100", "a", "x"), ("PT-2", 1990, "200", "b", "y")], "tok string, dob int, zip string, q string, s string")
+    late = ledger.expiry_row(spark, datetime(2025, 1, 1), datetime(2025, 1, 1), "expert")
+    card = residual.scorecard(people, {"p": people}, "tok", "PT-", "dob", "zip", ("name",), (risk.advisory(people, ["q"], "s", 2, 2, 0.2), late))
+    rows = {r["check"]: r for r in card.collect()}
+    assert [r["passed"] for r in rows.values() if r["advisory"]] == [False] * 4 and all(r["passed"] for r in rows.values() if not r["advisory"])
+    assert rows["k-anonymity of at least 2 on q"]["detail"] == "k=1; 2 rows in 2 classes"
+    assert rows["t-closeness of at most 0.2 for s"]["detail"] == "t=0.500 over 2 classes"
+    assert residual.verdict(card).first().asDict() == {"passed": True, "checks": 10, "advisory_failures": 4}
+    leaky = people.withColumn("tok", F.lit("mail a@b.com"))
+    card = residual.scorecard(leaky, {"p": leaky}, "tok", "PT-", "dob", "zip", ())
+    told = {r["check"]: (r["passed"], r["detail"]) for r in card.collect()}
+    assert told["tokens carry the prefix"] == (False, "2 without it") and told["no identifier patterns"] == (False, "p.tok")
+    assert residual.verdict(card).first()["passed"] is False
+    assert ledger.expiry_row(spark, None, datetime(2025, 1, 1), "x").first()["passed"] is False
+
+
+def test_a_run_books_what_its_jobs_counted(spark, tmp_path):
+    from maskline.operators import ledger
+
+    name = f"ledger_{random.randrange(10**9)}"
+    df = spark.createDataFrame([(1, "secret-value"), (2, None)], "k int, v string")
+    rules = {"k": "passthrough", "v": "tokenize"}
+    made = [f"{name}_{t}" for t in ("a", "b")]
+    try:
+        for _ in range(2):
+            ledger.record_run(spark, {"a": (df, rules), "b": (df.limit(1), rules)}, "a-key-of-more-than-thirty-two-characters", "me", "v1", datetime(2025, 1, 1), name, f"{name}_")
+        booked = spark.table(name).collect()
+        assert sorted((r["table"], r["rows_in"], r["rows_out"], r["strategies"]) for r in booked) == sorted([("a", 2, 2, '{"passthrough":1,"tokenize":1}'), ("b", 1, 1, '{"passthrough":1,"tokenize":1}')] * 2)
+        bad = df.select("k", F.col("v").cast("string")).withColumn("k", F.expr("cast(if(k = 1, 'secret-value', '2') as int)"))
+        with pytest.raises(RuntimeError) as told:
+            ledger.record_run(spark, {"a": (bad, rules)}, "a-key-of-more-than-thirty-two-characters", "me", "v1", datetime(2025, 1, 1), name, f"{name}_")
+        assert "secret-value" not in str(told.value) and "CAST_INVALID_INPUT" in str(told.value)
+        assert spark.table(name).count() == 4
+    finally:
+        for table in (name, *made):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
