@@ -58,7 +58,7 @@ def _find(window: int):
 
 
 def _segments(window: int, hot: bool):
-    """Word hashes of wanted segments: a row for each or, for hot anchors, for each window."""
+    """Word hashes of wanted segments, a row for each; for hot anchors only the hash of each of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -70,11 +70,12 @@ def _segments(window: int, hot: bool):
                         lo, n = begin + w["lo"], w["n"]
                         if hot:
                             keys = shared.hashes_at(words, lo + np.arange(n), window).view(np.int64).tolist()
-                            out += [(w["anchor"], w["segment"], key, i, words[lo + i : lo + i + window].tobytes()) for i, key in enumerate(keys)]
+                            out += [(w["anchor"], w["segment"], key, i) for i, key in enumerate(keys)]
                         else:
                             out.append((w["anchor"], w["segment"], n, 1, words[lo : lo + n + window - 1].tobytes()))
                 if out:
-                    types, names = [pa.int64(), pa.int64(), pa.int64() if hot else pa.int32(), pa.int32(), pa.binary()], ["anchor", "segment", *(("key", "at") if hot else ("n", "copies")), "words"]
+                    types = [pa.int64(), pa.int64(), *((pa.int64(), pa.int32()) if hot else (pa.int32(), pa.int32(), pa.binary()))]
+                    names = ["anchor", "segment", *(("key", "at") if hot else ("n", "copies", "words"))]
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
     return run
@@ -154,8 +155,9 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     3. The others are dealt by anchor to shards of about 20,000 segments. Each shard builds an
        FM-index of its segments and streams their windows through it; the matching statistics
        give the windows that stand at two places and more. The windows of an anchor with more
-       than 4,000 distinct segments are collapsed first (one row for equal ones, laid down twice
-       if there were more) and dealt by their own hash, so that no anchor or window is a task.
+       than 4,000 distinct segments are collapsed by their hashes first; those that stand once
+       go no further, one of each other kind is cut from its text, laid down twice and dealt by
+       its own hash, so that no anchor or window is a task.
     4. The marks go back to their rows, and the words they cover are dropped.
 
     Windows are judged on the input, by hashes: 64 bits a word, 128 bits (anchor and segment) a
@@ -189,19 +191,22 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     def cut(rows: DataFrame, split: bool) -> DataFrame:
         one = F.struct(F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), "anchor", "segment")
         wanted = rows.groupBy(F.col("one.row").alias("row"), F.col("one.check").alias("check")).agg(F.collect_list(one).alias("wanted"))
-        of = "key long, at int" if split else "n int, copies int"
-        return one_each.join(wanted, ["row", "check"]).select("text", "wanted").mapInArrow(_segments(window, split), f"anchor long, segment long, {of}, words binary")
+        of = "key long, at int" if split else "n int, copies int, words binary"
+        return one_each.join(wanted, ["row", "check"]).select("text", "wanted").mapInArrow(_segments(window, split), f"anchor long, segment long, {of}")
 
     def searched(rows: DataFrame, n: int, by: str) -> DataFrame:
         return rows.repartition(max(1, -(-n // SHARD)), by).mapInArrow(_search(window), "anchor long, segment long, mask long").where("mask <> 0")
 
     marks = searched(cut(unsure.where(~hot), False), tally[0], "anchor").unionByName(whole)
     if tally[1]:
-        windows = shared.stage(cut(unsure.where(hot), True))
-        once = windows.groupBy("anchor", "key").agg(F.least(F.count(F.lit(1)), F.lit(2)).cast("int").alias("copies"), F.min("words").alias("words"))
-        once = once.select("anchor", F.col("key").alias("segment"), F.lit(1).alias("n"), "copies", "words")
-        again = shared.stage(searched(once, tally[1] * (window - GRAM + 1), "segment").select("anchor", F.col("segment").alias("key")))
-        bits = windows.drop("words").join(again, ["anchor", "key"]).select("anchor", "segment", F.expr("shiftleft(1L, at)").alias("mask"))
+        windows = shared.stage(cut(unsure.where(hot), True))  # hashes only
+        once = windows.groupBy("anchor", "key").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("segment", "at")).alias("first")).where("times > 1")
+        once = shared.stage(once.select("anchor", "key", F.col("first.segment").alias("segment"), F.col("first.at").alias("at")))
+        place = F.struct("one.row", "one.check", (F.col("one.lo") + F.col("at")).alias("lo"), F.lit(1).alias("n"))
+        lone = once.join(unsure.where(hot).select("anchor", "segment", "one"), ["anchor", "segment"]).select("anchor", F.col("key").alias("segment"), place.alias("one"))
+        twofold = cut(lone, False).withColumn("copies", F.lit(2))
+        again = shared.stage(searched(twofold, once.count(), "segment").select("anchor", F.col("segment").alias("key")))
+        bits = windows.join(again, ["anchor", "key"]).select("anchor", "segment", F.expr("shiftleft(1L, at)").alias("mask"))
         marks = marks.unionByName(bits)
     marks = shared.stage(marks.groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")))
     full, marked, key = F.expr("shiftleft(1L, n) - 1"), shared.fresh(df, "marks"), [shared.fresh(df, "row"), shared.fresh(df, "check")]
