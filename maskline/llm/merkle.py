@@ -201,7 +201,8 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
     nothing = F.lit(None).cast("long")
     top_leaf = node_key(F.lit(0), F.col("tree"), 0, True) if trees > 1 else nothing
     low, roots = built(leaves.select("tree", "base", F.col("size").alias("n"), "index", F.col("leaf").alias("hash"), F.lit(1).cast("long").alias("weight")), seen["most"] or 0, False, top_leaf)
-    roots = shared.stage(roots)
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))  # unions of levels have as many partitions as all of them
+    roots = shared.stage(roots.coalesce(few))
     over = roots.select(F.lit(0).alias("tree"), F.lit(0).cast("long").alias("base"), F.lit(trees).cast("long").alias("n"), F.col("tree").alias("index"), "hash", "weight")
     high, whole = built(over, trees, True, nothing)
     root = whole.select("hash").first()
@@ -209,10 +210,10 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
     parts_of = parts.join(roots.select("tree", F.col("hash").alias("subroot")).hint("shuffle_hash"), "tree")
 
     nodes = [*low, *high]
-    stored = reduce(DataFrame.unionByName, nodes) if nodes else spark.createDataFrame([], "key long, parent long, before binary, after binary, weight long, parent_weight long")
+    stored = reduce(DataFrame.unionByName, nodes).coalesce(few) if nodes else spark.createDataFrame([], "key long, parent long, before binary, after binary, weight long, parent_weight long")
     where = f"{root_dir}/nodes-{uuid.uuid4().hex}"
     light, heavy, begun = (f"{name}_{uuid.uuid4().hex}" for name in ("light", "heavy", "starts"))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // BUCKET_LEAVES)
+    buckets = max(few, n // BUCKET_LEAVES)
     placed_leaves = leaves.join(parts_of.select("part", "tree", "subroot").hint("shuffle_hash"), ["part", "tree"])
     place = F.col("base") + F.col("index")
     starts = leaves.select(
@@ -230,7 +231,7 @@ def manifest(df: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lan
             below = spark.sql(BELOW.format(starts=begun, light=light)).join(F.broadcast(paths), F.col("at") == F.col("entry"), "left")
             proof = F.unhex(F.sha2(F.concat("beside", F.coalesce("above", F.lit(""))), 256)).alias("proof")
             shared.stage(below.select("leaf", "at", "fold", proof)).createOrReplaceTempView(begun)
-            ends = shared.stage(spark.sql(ABOVE.format(starts=begun, heavy=heavy)))
+            ends = shared.stage(spark.sql(ABOVE.format(starts=begun, heavy=heavy)).coalesce(few))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {light}")
         spark.catalog.dropTempView(heavy)
