@@ -36,9 +36,8 @@ def with_key(df: DataFrame, key: str) -> DataFrame:
     return df.crossJoin(F.broadcast(row))
 
 
-def require_keyable(df: DataFrame, column: str) -> None:
+def require_keyable(kind: T.DataType, column: str) -> None:
     """Only types whose text form is beyond doubt can be keyed."""
-    kind = df.schema[column].dataType
     if not isinstance(kind, _KEYABLE):
         raise TypeError(f"column {column} of type {kind.simpleString()} cannot be keyed: cast it to string, an integer or a date")
 

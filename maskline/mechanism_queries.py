@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from . import catalog_queries as base
 from .catalog_queries import PEOPLE, matches_sql, people, query, t
-from .operators import contents, lattice, ledger, linkage, residual, risk, synth, versions
+from .operators import contents, lattice, ledger, linkage, prefilter, residual, risk, synth, versions
+from .plans import nested
 from .sources import scratch
 from .streaming import monitor
 
@@ -157,3 +158,58 @@ def gen_risk_grown(spark: SparkSession, d: str) -> DataFrame:
     e, c = t(spark, d, "events"), t(spark, d, "customer")
     everyone = c.select("c_custkey").unionByName(synth.new_rows(c, "c_custkey", "PatientKey").select(F.col("PatientKey").alias("c_custkey")))
     return synth.risk_scores(e, "event_id", {"PatientKey": (everyone, "c_custkey"), "ProviderKey": (t(spark, d, "supplier"), "s_suppkey")}, synth.pool(e, "event_type"))
+
+
+# --- nested data and sketches --------------------------------------------------------------
+
+_BY_PATH = {
+    "doc_id": "passthrough",
+    "record.number": {"strategy": "tokenize", "namespace": "mrn", "prefix": "PT-"},
+    "record.site": "passthrough",
+    "lines[].body": {"strategy": "tokenize", "namespace": "line", "length": 8},
+    "lines[].size": "passthrough",
+    "attrs{key}": {"strategy": "tokenize", "namespace": "attr"},
+    "attrs{}.held": {"strategy": "generalize", "kind": "age_cap", "cap": 2},
+}
+_LINE = f"CASE WHEN x = '' THEN x ELSE {base.token_sql('x', 'line', length=8)} END"
+
+
+@query(f"""SELECT doc_id, {base.token_sql('doc_id', 'mrn', 'PT-')} AS number, source AS site, NULL::VARCHAR AS n_chars,
+array_to_string(list_transform(string_split(text, chr(10)), lambda x: {_LINE}), ' ') AS lines, (length(text) - length(replace(text, chr(10), '')) + 1)::INTEGER AS n_lines,
+{base.token_sql("'lang'", 'attr')} AS key, least(length(lang), 2)::INTEGER AS held, NULL::VARCHAR AS lang FROM documents""")
+def nested_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as records of structs, arrays and maps, by rules of paths; shown flat."""
+    line = lambda x: F.struct(x.alias("body"), F.length(x).alias("size"))
+    rows = t(spark, d, "documents").select(
+        "doc_id",
+        F.struct(F.col("doc_id").alias("number"), F.col("source").alias("site"), "n_chars").alias("record"),
+        F.transform(F.split("text", "\n"), line).alias("lines"),
+        F.create_map(F.lit("lang"), F.struct(F.length("lang").alias("held"), F.col("lang").alias("name"))).alias("attrs"),
+    )
+    safe = nested.deidentify(rows, _BY_PATH, base.KEY)
+    key = F.map_keys("attrs")[0]
+    shown = F.col("attrs")[key]
+    return safe.select("doc_id", "record.*", F.array_join("lines.body", " ").alias("lines"), F.when(F.col("lines").isNotNull(), F.size("lines")).alias("n_lines"), key.alias("key"), shown["held"].alias("held"), shown["name"].alias("lang"))
+
+
+@query(f"""SELECT event_id, '{{"who":{{"id":"' || {base.token_sql('user_id', 'user')} || '"}},"k":[' || (props->>'$.k') || ']}}' AS seen, '{{"k":"' || {base.token_sql("(props->>'$.k')", 'k')} || '"}}' AS props, NULL::VARCHAR AS event_type FROM events""")
+def nested_json(spark: SparkSession, d: str) -> DataFrame:
+    """Events whose JSON text is rewritten inside: a plain object, and a nested one made from the row."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    made = F.to_json(F.struct(F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name")).alias("who"), F.array(k).alias("k")))
+    rows = t(spark, d, "events").select("event_id", made.alias("seen"), "props", "event_type")
+    by_path = {"event_id": "passthrough", "seen.who.id": {"strategy": "tokenize", "namespace": "user"}, "seen.k": "passthrough", "props.k": {"strategy": "tokenize", "namespace": "k"}}
+    return nested.deidentify(rows, by_path, base.KEY, {"seen": "who struct<id: long, name: string>, k array<int>", "props": "k int"})
+
+
+_LINES_RISK = "SELECT l_returnflag AS flag, l_linestatus AS status, (l_suppkey % 40)::INTEGER AS place, CASE WHEN l_partkey % 11 <> 0 THEN l_partkey END AS part FROM lineitem"
+
+
+@query(f"""WITH r AS ({_LINES_RISK}), c AS (SELECT count(DISTINCT part) + max((part IS NULL)::INTEGER) AS n, count(*) AS size FROM r GROUP BY flag, status, place)
+SELECT CASE WHEN min(n) < 20 THEN min(n) END::BIGINT AS l, count(*) AS n_classes, count_if(n < 20)::BIGINT AS violating_classes, coalesce(sum(size) FILTER (n < 20), 0)::BIGINT AS violating_rows, min(n) >= 20 AS passes FROM c""")
+def l_diversity_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """The verdict on parts in lines, from merged sketches of each year."""
+    rows = t(spark, d, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), (F.col("l_suppkey") % 40).cast("int").alias("place"), F.when(F.col("l_partkey") % 11 != 0, F.col("l_partkey")).alias("part"), F.year("l_shipdate").alias("year"))
+    qis = ["flag", "status", "place"]
+    yearly = prefilter.sketches(rows, ["year", *qis], "part", prefilter.words_for(20))
+    return prefilter.l_diversity(rows, qis, "part", 20, prefilter.merged(yearly, qis)).drop("doubtful_classes")

@@ -47,34 +47,44 @@ def check(rules: dict[str, Rule], default: str = "suppress") -> None:
             raise ValueError(f"{column}: no pattern for {', '.join(sorted(types))}")
 
 
-def expression(df: DataFrame, column: str, rule: dict[str, Any]) -> Column:
-    """The native expression of a column's rule; the frame carries the key."""
-    value, kind = F.col(f"`{column}`"), df.schema[column].dataType.simpleString()
-    name = rule["strategy"]
+def applied(value: Column, kind: T.DataType, rule: dict[str, Any], column: str, entity: tuple[Column, T.DataType] | None = None) -> Column:
+    """The native expression of a rule on a value of the type ``kind``; the frame carries the key. ``entity`` is whose date a shift moves."""
+    name, shape = rule["strategy"], kind.simpleString()
     if name == "passthrough":
         return value
     if name == "suppress":
         return strategies.suppress(rule.get("redaction"))
     if name == "tokenize":
-        keyed.require_keyable(df, column)
+        keyed.require_keyable(kind, column)
         namespace = rule.get("namespace", "default")
         if rule.get("format_preserving"):
             return keyed.token_shaped(value, namespace)
         return keyed.token(value, namespace, rule.get("length", 16), rule.get("prefix", ""))
     if name == "synthesize":
-        keyed.require_keyable(df, column)
+        keyed.require_keyable(kind, column)
         return strategies.synthesize(value, rule.get("kind", "name"))
     if name == "generalize":
-        made = {"year": lambda: strategies.year_of(value, kind), "zip3": lambda: strategies.zip3(value), "age_cap": lambda: strategies.age_cap(value, kind, rule.get("cap", 90))}
+        made = {"year": lambda: strategies.year_of(value, shape), "zip3": lambda: strategies.zip3(value), "age_cap": lambda: strategies.age_cap(value, shape, rule.get("cap", 90))}
         return made[rule.get("kind", "year")]()
     if name == "date_shift":
-        keyed.require_keyable(df, rule["entity_column"])
-        return strategies.date_shift(value, F.col(f"`{rule['entity_column']}`"), kind, rule.get("max_days", 365))
+        keyed.require_keyable(entity[1], rule["entity_column"])
+        return strategies.date_shift(value, entity[0], shape, rule.get("max_days", 365))
     entities = tuple(rule.get("entities") or text.PATTERNS)
     found = text.merge(text.spans(value.cast("string"), entities, rule.get("score_threshold", 0.35)))
     return text.redact(value.cast("string"), found, rule.get("replacement", "label"), rule.get("namespace", "free_text"))
 
 
+def entity_of(df: DataFrame, rule: dict[str, Any]) -> tuple[Column, T.DataType] | None:
+    """The top-level column whose value decides a date shift, with its type."""
+    name = rule.get("entity_column") if rule["strategy"] == "date_shift" else None
+    return None if name is None else (F.col(f"`{name}`"), df.schema[name].dataType)
+
+
+def expression(df: DataFrame, column: str, rule: dict[str, Any]) -> Column:
+    """The native expression of a column's rule."""
+    return applied(F.col(f"`{column}`"), df.schema[column].dataType, rule, column, entity_of(df, rule))
+
+
 def deidentify(df: DataFrame, rules: dict[str, Rule], key: str, default: str = "suppress") -> DataFrame:
     """De-identify a table, batch or stream: same rows, same columns, each by its rule."""
     check(rules, default)
