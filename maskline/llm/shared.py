@@ -35,10 +35,22 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def stage(df: DataFrame, free: bool = False) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+
+    ``free`` deletes the files of its shuffles once it is written, not when the driver next
+    collects garbage. An executor lost until then is made good from the lineage, later from the written copy.
+    """
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    shared_dir(spark)
+    if not free:
+        return df.checkpoint()
+    held = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        return df.select("*").checkpoint()  # planned under the setting
+    finally:
+        spark.conf.unset(setting) if held is None else spark.conf.set(setting, held)
 
 
 RANGE_BYTES, MOST_RANGES = 8 << 20, 50_000  # a range of rows, and how many of them at most

@@ -19,6 +19,10 @@ SHARD = 20_000  # segments of an index
 HOT = 4_000  # distinct segments of one anchor from which its windows are dealt one by one
 
 
+def _stage(df: DataFrame) -> DataFrame:
+    return shared.stage(df, free=True)
+
+
 def _check(window: int) -> None:
     if window % BLOCK or not 2 * BLOCK <= window <= 60:
         raise ValueError(f"the window must be a multiple of {BLOCK} words from {2 * BLOCK} to 60")
@@ -173,14 +177,14 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     texts = df.select(row.alias("row"), check.alias("check"), F.col(text_col).alias("text"))
     with shared.table(texts.mapInArrow(_find(window), "row long, check int, lo int, n int, anchor long, segment long")) as found:
         # a stage of its own, so that a join's hot keys can be split at run time; so below
-        twice = shared.stage(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
-        repeated = shared.stage(found.join(twice.hint("merge"), "anchor", "left_semi"))  # alike at every size
+        twice = _stage(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
+        repeated = _stage(found.join(twice.hint("merge"), "anchor", "left_semi"))  # alike at every size
     segments = repeated.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "check", "lo", "n")).alias("one"))
-    segments = shared.stage(segments)
-    kinds = shared.stage(segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    segments = _stage(segments)
+    kinds = _stage(segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
     whole = segments.where("times > 1").select("anchor", "segment", F.lit(-1).cast("long").alias("mask"))
 
-    twins = shared.stage(repeated.where("lo = 0").groupBy("row", "check").agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times"))
+    twins = _stage(repeated.where("lo = 0").groupBy("row", "check").agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times"))
     one_each = texts
     if twins.take(1):  # of rows with equal id and text, one is indexed
         one_each = texts.join(twins, ["row", "check"], "left_anti").unionByName(texts.join(twins, ["row", "check"], "left_semi").dropDuplicates(["row", "check"]))
@@ -199,16 +203,16 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
 
     marks = searched(cut(unsure.where(~hot), False), tally[0], "anchor").unionByName(whole)
     if tally[1]:
-        windows = shared.stage(cut(unsure.where(hot), True))  # hashes only
+        windows = _stage(cut(unsure.where(hot), True))  # hashes only
         once = windows.groupBy("anchor", "key").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("segment", "at")).alias("first")).where("times > 1")
-        once = shared.stage(once.select("anchor", "key", F.col("first.segment").alias("segment"), F.col("first.at").alias("at")))
+        once = _stage(once.select("anchor", "key", F.col("first.segment").alias("segment"), F.col("first.at").alias("at")))
         place = F.struct("one.row", "one.check", (F.col("one.lo") + F.col("at")).alias("lo"), F.lit(1).alias("n"))
         lone = once.join(unsure.where(hot).select("anchor", "segment", "one"), ["anchor", "segment"]).select("anchor", F.col("key").alias("segment"), place.alias("one"))
         twofold = cut(lone, False).withColumn("copies", F.lit(2))
-        again = shared.stage(searched(twofold, once.count(), "segment").select("anchor", F.col("segment").alias("key")))
+        again = _stage(searched(twofold, once.count(), "segment").select("anchor", F.col("segment").alias("key")))
         bits = windows.join(again, ["anchor", "key"]).select("anchor", "segment", F.expr("shiftleft(1L, at)").alias("mask"))
         marks = marks.unionByName(bits)
-    marks = shared.stage(marks.groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")))
+    marks = _stage(marks.groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")))
     full, marked, key = F.expr("shiftleft(1L, n) - 1"), shared.fresh(df, "marks"), [shared.fresh(df, "row"), shared.fresh(df, "check")]
     on_row = repeated.join(marks.hint("merge"), ["anchor", "segment"]).groupBy("row", "check", "lo").agg(F.bit_or(F.col("mask").bitwiseAND(full)).alias("mask"))
     on_row = on_row.groupBy(F.col("row").alias(key[0]), F.col("check").alias(key[1])).agg(F.collect_list(F.struct("lo", "mask")).alias(marked))
