@@ -7,6 +7,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,7 +69,8 @@ class Aligner:
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in model.pieces]
         by_bytes = {self.b_bytes[i]: i for i, (_, _, kind) in reversed(list(enumerate(model.pieces))) if kind == BYTE}
         by_bytes |= {self.b_bytes[i]: i for i, (_, _, kind) in reversed(list(enumerate(model.pieces))) if kind in (NORMAL, USER)}
-        self.worded = False
+        self.a_lengths, self.b_lengths = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
+        self.worded, self.shown = False, []
         self.same = np.array([by_bytes.get(x, -1) for x in self.a_bytes], np.int64)
         self.forget()
 
@@ -80,46 +82,61 @@ class Aligner:
         self.held = 0
 
     def learn(self, chunks: list[str]) -> None:
-        """Align chunks that are new."""
-        for chunk, a, b in zip(chunks, self.a.encode_batch_fast(chunks, add_special_tokens=False), self.b.encode(chunks, num_threads=1), strict=True):
-            a = a.ids
-            a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            raw = chunk.encode("utf-8", "surrogatepass")
-            differs = b"".join(a_bytes) != raw or b"".join(b_bytes) != raw
-            codes, ends = ([], []) if differs else self._linked(a, b, a_bytes, b_bytes)
-            self.number[chunk] = len(self.begin) - 1
-            self.sizes.extend((len(a), len(b), len(ends), len(codes), differs))
-            self.links.extend(codes)
-            self.begin.append(len(self.links))
-            if self.worded:
-                x = y = 0
-                cuts = []
-                for i, j in ends:
-                    cuts.append(f"{','.join(map(str, a[x:i]))}|{','.join(map(str, b[y:j]))}")
-                    x, y = i, j
-                self.groups.append(";".join(cuts).encode())
-            self.held += 20 * len(codes) + 4 * len(chunk) + 200
-
-    def _linked(self, a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> tuple[list[int], list[tuple[int, int]]]:
-        """Codes of the links of tokens over the same bytes, and where groups end: two pointers, every step is one link."""
-        n_b, codes, ends = self.n_b, [], []
-        i = j = 0
-        a_end, b_end, n = len(a_bytes[0]), len(b_bytes[0]), len(a)
-        while True:
-            codes.append(a[i] * n_b + b[j])
-            if a_end < b_end:
-                i += 1
-                a_end += len(a_bytes[i])
-            elif b_end < a_end:
-                j += 1
-                b_end += len(b_bytes[j])
-            else:
-                i, j = i + 1, j + 1
-                ends.append((i, j))
-                if i == n:
-                    return codes, ends
-                a_end += len(a_bytes[i])
-                b_end += len(b_bytes[j])
+        """Align chunks that are new, all at once.
+
+        Their bytes are laid end to end. Between two neighbouring ends of tokens lies one link, of
+        the A and the B token that cover the place; a group ends where tokens of both do.
+        """
+        a_lists = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+        b_lists = self.b.encode(chunks, num_threads=1)
+        raw = [c.encode("utf-8", "surrogatepass") for c in chunks]
+        differs = self._differing(a_lists, b_lists, raw)
+        if differs.any():
+            none: list[int] = []
+            a_lists = [none if d else x for x, d in zip(a_lists, differs, strict=True)]
+            b_lists = [none if d else x for x, d in zip(b_lists, differs, strict=True)]
+        n_tokens = [np.fromiter(map(len, x), np.int64, len(x)) for x in (a_lists, b_lists)]
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in zip((a_lists, b_lists), n_tokens, strict=True))
+        a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+        ends = np.union1d(a_ends, b_ends)
+        codes = a[np.searchsorted(a_ends, ends)] * self.n_b + b[np.searchsorted(b_ends, ends)]
+        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        last = np.cumsum(np.where(differs, 0, np.fromiter(map(len, raw), np.int64, len(raw))))
+        n_links = np.diff(np.searchsorted(ends, last, "right"), prepend=0)
+        n_groups = np.diff(np.searchsorted(common, last, "right"), prepend=0)
+        first = len(self.begin) - 1
+        self.number.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+        self.sizes.frombytes(np.column_stack([*n_tokens, n_groups, n_links, differs]).astype(np.int64).tobytes())
+        self.begin.frombytes((len(self.links) + np.cumsum(n_links)).astype(np.int64).tobytes())
+        self.links.frombytes(codes.tobytes())
+        if self.worded:
+            self.groups.extend(self._words(a, b, np.searchsorted(common, a_ends), np.searchsorted(common, b_ends), np.cumsum(n_tokens[0] + n_tokens[1])))
+        self.held += 20 * len(codes) + sum(map(len, chunks)) * 4 + 200 * len(chunks)
+
+    def _differing(self, a_lists: list[list[int]], b_lists: list[list[int]], raw: list[bytes]) -> np.ndarray:
+        """Which chunks have tokens of other bytes than their own; chunk by chunk only where the bytes of all of them differ."""
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        whole, alike = b"".join(raw), True
+        for lists, table, sizes in ((a_lists, self.a_bytes, self.a_lengths), (b_lists, self.b_bytes, self.b_lengths)):
+            flat = list(chain.from_iterable(lists))
+            ends = np.concatenate([[0], np.cumsum(sizes[np.array(flat, np.int64)])])[np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))]
+            alike = alike and np.array_equal(ends, np.cumsum(lengths)) and b"".join(map(table.__getitem__, flat)) == whole
+        if alike:
+            return np.zeros(len(raw), bool)
+        joined = ((b"".join(map(self.a_bytes.__getitem__, x)), b"".join(map(self.b_bytes.__getitem__, y))) for x, y in zip(a_lists, b_lists, strict=True))
+        return np.fromiter((x != r or y != r for (x, y), r in zip(joined, raw, strict=True)), bool, len(raw))
+
+    def _words(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, upto: np.ndarray) -> list[bytes]:
+        """The groups of each chunk as text: every token's id with the mark that follows it, A's of a group before B's.
+
+        ``upto`` counts the tokens of both up to each chunk's end.
+        """
+        a_last, b_last = np.diff(a_group, append=-1) != 0, np.diff(b_group, append=-1) != 0
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        shown = np.concatenate([2 * a + a_last, 2 * self.n_a + 2 * b + b_last])[order]
+        text = b"".join(map(self.shown.__getitem__, shown.tolist()))
+        end = np.concatenate([[0], np.cumsum(self.shown_lengths[shown])])[upto].tolist()
+        return [text[x : max(x, y - 1)] for x, y in zip([0, *end[:-1]], end, strict=True)]
 
     def parts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Numbers of the chunks of texts, and of the text that each is in, about a million characters at a time.
@@ -184,6 +201,8 @@ class Aligner:
         """
         if not self.worded:
             self.worded = True
+            self.shown = [f"{i}{mark}".encode() for n, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for i in range(n) for mark in marks]
+            self.shown_lengths = np.fromiter(map(len, self.shown), np.int64, len(self.shown))
             self.forget()
         out, differs = np.zeros((len(texts), 6), np.int64), np.zeros(len(texts), bool)
         hashes = [hashlib.sha256() for _ in texts]
