@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from . import catalog_queries as base
 from .catalog_queries import PEOPLE, matches_sql, people, query, t
-from .operators import contents, lattice, ledger, linkage, prefilter, residual, risk, synth, versions
+from .functions import keyed
+from .operators import contents, lattice, ledger, linkage, prefilter, residual, risk, synth, tokenfilter, vault, versions
 from .plans import nested
-from .sources import scratch
+from .sources import layout, scratch
 from .streaming import monitor
 
 # --- streams -------------------------------------------------------------------------------
@@ -213,3 +215,38 @@ def l_diversity_sketched(spark: SparkSession, d: str) -> DataFrame:
     qis = ["flag", "status", "place"]
     yearly = prefilter.sketches(rows, ["year", *qis], "part", prefilter.words_for(20))
     return prefilter.l_diversity(rows, qis, "part", 20, prefilter.merged(yearly, qis)).drop("doubtful_classes")
+
+
+# --- layers laid out by token --------------------------------------------------------------
+
+
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    o = keyed.with_key(t(spark, d, "orders"), base.KEY)
+    return o.select("o_orderkey", keyed.token(F.col("o_custkey"), "customer").alias("token"), F.year("o_orderdate").alias("order_year"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+
+
+@query(f"""SELECT o_orderkey, {base.token_sql('o_custkey', 'customer')} AS token, c_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'""")
+def token_filter_join(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of a crosswalk that knows one segment only: its filter, merged from a filter for each nation's half, is stored and read by version."""
+    c = t(spark, d, "customer").where("c_mktsegment = 'BUILDING'")
+    walk = vault.crosswalk(c, "c_custkey", base.KEY, ["c_custkey", "c_name", "c_nationkey"], "customer")
+    words = tokenfilter.words_for(c.count())
+    first = F.col("c_nationkey") < 12
+    parts = tokenfilter.build(walk.where(first), "token", words).unionByName(tokenfilter.build(walk.where(~first), "token", words))
+    root = scratch.folder(spark, "filters")
+    tokenfilter.save(tokenfilter.merged(parts), root, "1")
+    orders = _orders(spark, d).select("o_orderkey", "token")
+    return tokenfilter.known_rows(orders, "token", walk.drop("c_nationkey"), tokenfilter.load(spark, root, "1"), words)
+
+
+@query(f"""SELECT {base.token_sql('o_custkey', 'customer')} AS token, any_value(c_mktsegment) AS segment, count(*) AS n_orders, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS cents
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) BETWEEN 1995 AND 1996 GROUP BY o_custkey""")
+def bucketed_spend(spark: SparkSession, d: str) -> DataFrame:
+    """Spend of each customer in two years, from layers bucketed by token: joined and grouped without a shuffle."""
+    run, root = uuid.uuid4().hex, scratch.folder(spark, "layers")
+    c = keyed.with_key(t(spark, d, "customer"), base.KEY).select(keyed.token(F.col("c_custkey"), "customer").alias("token"), F.col("c_mktsegment").alias("segment"))
+    layout.save_bucketed(_orders(spark, d), f"orders_{run}", "token", 8, f"{root}/orders", "order_year")
+    layout.save_bucketed(c, f"customers_{run}", "token", 8, f"{root}/customers")
+    facts = spark.table(f"orders_{run}").where("order_year BETWEEN 1995 AND 1996")
+    spent = layout.joined(facts, spark.table(f"customers_{run}"), "token").groupBy("token", "segment")
+    return layout.require_no_shuffle(spent.agg(F.count(F.lit(1)).alias("n_orders"), F.sum("cents").alias("cents")))
