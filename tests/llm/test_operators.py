@@ -90,6 +90,19 @@ def test_elias_fano():
         assert [read.select(i) for i in range(len(values))] == values
 
 
+@pytest.mark.parametrize("kind", ["<u2", "<u4"])
+def test_token_files_serve_documents_by_position(kind):
+    rng = np.random.default_rng(7)
+    doc_ids = [None, None, -5, -5, 0, 3, *range(10, 400, 3), 1 << 40]  # null ids first, repeated and negative ones
+    ids = [rng.integers(0, 60_000, n).astype(kind) for n in [1, 70_000, *rng.integers(1, 30, len(doc_ids) - 2)]]
+    f = tokenstore.TokenFile(tokenstore.pack(3, 1, doc_ids, ids))
+    assert (f.range, f.chunk, f.n) == (3, 1, len(doc_ids))
+    for i in rng.permutation(len(doc_ids)).tolist():
+        assert f.doc_id(i) == doc_ids[i] and f.document(i).tolist() == ids[i].tolist()
+    docs, bounds = f.table()
+    assert docs == doc_ids and bounds == [0, *np.cumsum([len(x) for x in ids]).tolist()]
+
+
 def test_token_store(docs, empty):
     from tokenizers import Tokenizer
 
