@@ -19,6 +19,10 @@ LIKELY = 0.68  # agreeing coordinates of a pair, 4.5 standard errors below 0.8
 _made: dict[str, np.ndarray] = {}
 
 
+def _stage(df: DataFrame) -> DataFrame:
+    return shared.stage(df, free=True)
+
+
 def permutations() -> tuple[np.ndarray, np.ndarray]:
     """The two permutations: the first scatters shingles, the second gives all coordinates.
 
@@ -184,11 +188,11 @@ def _blocks(members: DataFrame) -> DataFrame:
     (band, label) decide; no task sorts a bucket.
     """
     counts = members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    counts = shared.stage(counts)
+    counts = _stage(counts)
     mixed = counts.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.sum(F.when(F.col("n") < BLOCK // 2, F.col("n")).otherwise(0)).alias("few")).where("a < b")
     own = counts.where(F.col("n") >= BLOCK // 2).groupBy("band").agg(F.sort_array(F.collect_list(F.struct("label", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))).alias("own"))
     plan = mixed.join(own, "band", "left").select("band", F.ceil(F.col("few") / BLOCK).cast("int").alias("pool"), F.coalesce("own", F.array().cast("array<struct<label:bigint,blocks:int>>")).alias("own"))
-    held = members.join(shared.stage(plan), "band")
+    held = members.join(_stage(plan), "band")
     at = F.array_position(F.transform("own", lambda o: o["label"]), F.col("label")).cast("int")  # 0: in the pool
     base = F.aggregate(F.slice("own", 1, F.greatest(F.col("at") - 1, F.lit(0))), F.col("pool"), lambda t, o: t + o["blocks"])
     size = F.when(F.col("at") > 0, F.try_element_at("own", F.greatest(F.col("at"), F.lit(1)))["blocks"]).otherwise(F.col("pool"))
@@ -211,15 +215,15 @@ def components(edges: DataFrame) -> DataFrame:
     half. The rounds grow with the logarithm of the longest path (a path of 400 nodes in mixed
     order takes about ten); each is checkpointed.
     """
-    both = shared.stage(edges.select("u", "v").union(edges.select("v", "u")).distinct())
-    labels = shared.stage(both.groupBy(F.col("u").alias("node")).agg(F.least(F.first("u"), F.min("v")).alias("label")))
+    both = _stage(edges.select("u", "v").union(edges.select("v", "u")).distinct())
+    labels = _stage(both.groupBy(F.col("u").alias("node")).agg(F.least(F.first("u"), F.min("v")).alias("label")))
     while True:
         own = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
         held = labels.join(own, "label").select("node", "label", "beyond")
         near = both.join(held.select(F.col("node").alias("v"), "beyond"), "v").groupBy(F.col("u").alias("node")).agg(F.min("beyond").alias("near"))
         held = held.join(near, "node")
         hooks = held.groupBy("label").agg(F.min("near").alias("hook")).withColumnRenamed("label", "node")
-        new = shared.stage(held.join(hooks, "node", "left").select("node", F.col("label").alias("was"), F.least("label", "beyond", "near", "hook").alias("label")))
+        new = _stage(held.join(hooks, "node", "left").select("node", F.col("label").alias("was"), F.least("label", "beyond", "near", "hook").alias("label")))
         if not new.where("was <> label").take(1):
             return new.select("node", "label")
         labels = new.select("node", "label")
@@ -246,25 +250,25 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     are not read; an empty table gives no rows.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = shared.stage(docs.mapInArrow(_sketch(k), "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, mini binary"))
+    sketch = _stage(docs.mapInArrow(_sketch(k), "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, mini binary"))
     members = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = members.groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("mini").alias("mini"))
-    spread = shared.stage(classes.select("node", F.explode("bands").alias("band")))
-    sizes = shared.stage(spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))  # so that a hot band's rows can be split
-    full = shared.stage(spread.join(sizes, "band"))  # buckets of two and more
+    spread = _stage(classes.select("node", F.explode("bands").alias("band")))
+    sizes = _stage(spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))  # so that a hot band's rows can be split
+    full = _stage(spread.join(sizes, "band"))  # buckets of two and more
     central = full.groupBy("node").agg(F.sum("size").alias("score"))
-    shared_bands = shared.stage(full.join(central, "node").select("band", "node", F.struct("score", (-F.col("node")).alias("less")).alias("place")))
+    shared_bands = _stage(full.join(central, "node").select("band", "node", F.struct("score", (-F.col("node")).alias("less")).alias("place")))
 
     involved = shared_bands.select("node").distinct()
-    sets = shared.stage(docs.join(involved, docs.doc_id == involved.node, "left_semi").mapInArrow(_sets(k), "node long, shingles binary"))
+    sets = _stage(docs.join(involved, docs.doc_id == involved.node, "left_semi").mapInArrow(_sets(k), "node long, shingles binary"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         mine = sets.select(F.col("node").alias("u"), F.col("shingles").alias("mine"))
         theirs = sets.select(F.col("node").alias("v"), F.col("shingles").alias("theirs"))
-        return shared.stage(pairs.join(mine, "u").join(theirs, "v").mapInArrow(_verify(percent), "u long, v long"))
+        return _stage(pairs.join(mine, "u").join(theirs, "v").mapInArrow(_verify(percent), "u long, v long"))
 
-    leaders = shared.stage(shared_bands.groupBy("band").agg(F.max("place").alias("top")).select("band", (-F.col("top.less")).alias("leader")))
-    led = shared.stage(shared_bands.join(leaders, "band").where("node <> leader"))
+    leaders = _stage(shared_bands.groupBy("band").agg(F.max("place").alias("top")).select("band", (-F.col("top.less")).alias("leader")))
+    led = _stage(shared_bands.join(leaders, "band").where("node <> leader"))
     edges = confirmed(led.select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v")).distinct())
     labels = components(edges)
 
@@ -273,20 +277,20 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     def unlike() -> DataFrame:
         """Members of the buckets, as they are labelled now, dealt to pairs of blocks."""
         now = shared_bands.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-        torn = shared.stage(now.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("band"))
-        return _blocks(shared.stage(now.join(torn, "band", "left_semi").join(signs, "node")))
+        torn = _stage(now.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("band"))
+        return _blocks(_stage(now.join(torn, "band", "left_semi").join(signs, "node")))
 
-    likely = shared.stage(unlike().mapInArrow(_by_key(_likeliest, ["u", "v"]), "u long, v long").distinct())
-    edges = shared.stage(edges.unionByName(confirmed(likely)))
+    likely = _stage(unlike().mapInArrow(_by_key(_likeliest, ["u", "v"]), "u long, v long").distinct())
+    edges = _stage(edges.unionByName(confirmed(likely)))
     labels = components(edges)
     rows = ["band", "i", "j", "block", "node", "label"]
     dealt = unlike()
-    rest = shared.stage(dealt.mapInArrow(_by_key(_still_alike, rows), ", ".join(f"{c} long" for c in rows)))
+    rest = _stage(dealt.mapInArrow(_by_key(_still_alike, rows), ", ".join(f"{c} long" for c in rows)))
     if rest.take(1):
         rest = rest.join(signs, "node").join(sets, "node").select(*rows, "mini", "shingles")
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rest = rest.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-        links = shared.stage(rest.mapInArrow(_by_key(_linked(percent), ["u", "v"]), "u long, v long").distinct())
+        links = _stage(rest.mapInArrow(_by_key(_linked(percent), ["u", "v"]), "u long, v long").distinct())
         labels = components(edges.unionByName(links))
 
     of_class = classes.select("c1", "c2", "node").join(labels, "node", "left").select("c1", "c2", F.coalesce("label", "node").alias("component"))

@@ -1,8 +1,10 @@
 """Operators against brute force and round trips, on small tables with awkward rows."""
 
 import hashlib
+import os
 import re
 import sys
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -194,6 +196,26 @@ def test_near_duplicates_against_all_pairs(spark, block, monkeypatch):
     assert all(r["n_shingles"] == sizes[r["doc_id"]] for r in got)
 
 
+def test_near_duplicates_delete_shuffles(spark, docs, monkeypatch):
+    """Files of a stage's shuffles go once it is written; before, they stayed until the driver collected garbage."""
+    store, left = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), []
+    held = lambda: {f for d in store.localDirs() for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_")}
+    stage = shared.stage
+
+    def watched(*args, **kwargs):
+        before = held()
+        out = stage(*args, **kwargs)
+        until = time.time() + 2  # they are deleted in the background
+        while held() - before and time.time() < until:
+            time.sleep(0.05)
+        left.append(len(held() - before))
+        return out
+
+    monkeypatch.setattr(shared, "stage", watched)
+    neardup.near_duplicates(docs, k=4)
+    assert len(left) > 10 and sum(n > 0 for n in left) <= 3, left  # 19 before
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(400).selectExpr("(id * 7919) % 401 AS u", "((id + 1) * 7919) % 401 AS v")  # a path over 401 nodes
     got = neardup.components(edges).collect()
