@@ -122,6 +122,11 @@ class ResidualMonitor:
 
 
 def arriving(df: DataFrame, path: str, order: Column, parts: int) -> DataFrame:
-    """A table as a stream that arrives in ``parts`` micro-batches, cut in an order; its files stay under ``path``."""
-    df.repartitionByRange(parts, order).write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    """A table as a stream that arrives in at most ``parts`` micro-batches, cut in an order; its files stay under ``path``.
+
+    A micro-batch has as many files as its share of the table's input splits, so a file stays of
+    a split's size however large the table is. Files arrive in the order in which they were written.
+    """
+    files = -(-df.rdd.getNumPartitions() // parts)
+    df.repartitionByRange(parts * files, order).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)

@@ -196,3 +196,16 @@ def test_a_run_books_what_its_jobs_counted(spark, tmp_path):
     finally:
         for table in (name, *made):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_arriving_files_stay_of_a_splits_size(spark, tmp_path):
+    """A micro-batch has as many files as its share of the input's splits; before, it was one file, so one task wrote a quarter of any table."""
+    spark.range(0, 4000, 1, 10).select("id", F.lit("text").alias("text")).write.parquet(f"{tmp_path}/table")
+    df = spark.read.parquet(f"{tmp_path}/table").repartition(10)
+    batches = []
+    stream = monitor.arriving(df, f"{tmp_path}/in", F.col("id"), 4)
+    query = stream.writeStream.foreachBatch(lambda rows, n: batches.append((len(rows.inputFiles()), rows.count()))).option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    files = list((tmp_path / "in").glob("*.parquet"))
+    assert len(files) == 12 and len(batches) == 4 and sum(n for _, n in batches) == 4000
+    assert max(spark.read.parquet(str(f)).count() for f in files) < 600
