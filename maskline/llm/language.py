@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,7 +17,8 @@ from . import shared
 
 WINDOW = 256  # bytes of a window
 WIDTHS, FILTERS = (2, 3, 4), 16
-MAX_ROWS, PER_TEXT = 1_200, 6  # training texts in all, and windows of each, at most
+MAX_ROWS, PER_TEXT = 1_200, 6  # texts that the first weights come from, and windows of each, at most
+HELD, RATE, SETTLED, PARTS, ONE = 4_096, 0.02, 0.01, 32, 1 << 20  # windows that are mixed at a time; step of the pass over all texts; error from which a window moves the weights; tasks that add replicas up; fixed point of a weight
 _WORDLIKE = re.compile(r"[^\W\d_]")
 _LETTERS = np.array([c >= 128 or chr(c).isalpha() for c in range(256)])
 
@@ -31,6 +33,9 @@ class ByteNet:
     out: np.ndarray
     out_bias: np.ndarray
 
+    def params(self) -> list[np.ndarray]:
+        return [*self.tables, self.bias, self.out, self.out_bias]
+
     def pooled(self, x: np.ndarray, where: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
         """Largest response of every filter over a window (rectified), and where it stood."""
         tops, places = [], []
@@ -67,32 +72,39 @@ def windows(text: str) -> np.ndarray:
     return out.reshape(-1, WINDOW)
 
 
+def _gradients(net: ByteNet, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> list[np.ndarray]:
+    """Mean gradients of the cross-entropy, in the order of the parameters."""
+    h, places = net.pooled(x, where=True)
+    z = h @ net.out + net.out_bias
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(len(x)), y] -= 1
+    if weight is not None:
+        p *= weight[:, None]
+    p /= len(x)
+    dh = (p @ net.out.T) * (h > 0)
+    grads = []
+    for k, (table, place) in enumerate(zip(net.tables, places, strict=True)):
+        g, d = np.zeros_like(table), dh[:, k * FILTERS : (k + 1) * FILTERS]
+        for j in range(len(table)):
+            np.add.at(g[j], (x[np.arange(len(x))[:, None], place + j], np.arange(FILTERS)), d)
+        grads.append(g)
+    return [*grads, dh.sum(axis=0), h.T @ p, p.sum(axis=0)]
+
+
 def train(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 4, rate: float = 0.02) -> ByteNet:
     """Adam on cross-entropy. A pooled filter passes its gradient to the bytes where it was largest."""
     rng = np.random.default_rng(3)
     tables = [rng.normal(0, 0.3, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS]
     n = FILTERS * len(WIDTHS)
     net = ByteNet(langs, tables, np.zeros(n, np.float32), rng.normal(0, 0.2, (n, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32))
-    params = [*net.tables, net.bias, net.out, net.out_bias]
+    params = net.params()
     first, second, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for _ in range(epochs):
         order = rng.permutation(len(x))
         for i in range(0, len(x), 64):
             pick = order[i : i + 64]
-            h, places = net.pooled(x[pick], where=True)
-            z = h @ net.out + net.out_bias
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(pick)), y[pick]] -= 1
-            p /= len(pick)
-            dh = (p @ net.out.T) * (h > 0)
-            grads = []
-            for k, (table, place) in enumerate(zip(net.tables, places, strict=True)):
-                g, d = np.zeros_like(table), dh[:, k * FILTERS : (k + 1) * FILTERS]
-                for j in range(len(table)):
-                    np.add.at(g[j], (x[pick][np.arange(len(pick))[:, None], place + j], np.arange(FILTERS)), d)
-                grads.append(g)
-            grads += [dh.sum(axis=0), h.T @ p, p.sum(axis=0)]
+            grads = _gradients(net, x[pick], y[pick])
             t += 1
             for a, g, m, v in zip(params, grads, first, second, strict=True):
                 m += 0.1 * (g - m)
@@ -101,52 +113,117 @@ def train(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 4, rate:
     return net
 
 
-def _drawn(df: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame | None:
+def _known(df: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame:
+    return df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
+
+
+def _drawn(known: DataFrame, counts: dict[str, int], lang_col: str, id_col: str) -> DataFrame:
     """About ``MAX_ROWS`` labelled texts at most, an equal number of each language (of the ``MAX_ROWS`` most frequent), chosen by a hash of their ids."""
-    known = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().orderBy(F.desc("count")).limit(MAX_ROWS).collect()}
-    if not counts:
-        return None
     each = max(1, MAX_ROWS // len(counts))
     draw = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000))
     take = F.lit(False)
-    for lang, n in counts.items():
+    for lang, n in sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:MAX_ROWS]:
         take = take | ((F.col(lang_col) == lang) & (draw < int(min(1.0, 0.9 * each / n) * 1_000_000)))
     return known.where(take)
 
 
+def _descend(net: ByteNet, counts: dict[str, int]):
+    """A replica of the network goes once over all windows of a task's texts: its parameters times the windows, in fixed point."""
+    number = {lang: i for i, lang in enumerate(net.langs)}
+    even = sum(counts.values()) / len(counts)
+    share = np.array([min(4.0, (even / counts[lang]) ** 0.5) for lang in net.langs], np.float32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, rng, seen = copy.deepcopy(net), np.random.default_rng(5), 0
+        held: list[tuple[np.ndarray, int, float]] = []
+
+        def learn() -> None:
+            x = np.concatenate([w for w, _, _ in held])
+            n = [len(w) for w, _, _ in held]
+            y, weight = (np.repeat(np.array([h[c] for h in held], t), n) for c, t in ((1, np.int64), (2, np.float32)))
+            order = rng.permutation(len(x))
+            for i in range(0, len(x), 64):
+                pick = order[i : i + 64]
+                pick = pick[1 - own.probabilities(x[pick])[np.arange(len(pick)), y[pick]] > SETTLED]
+                if not len(pick):
+                    continue
+                for a, g in zip(own.params(), _gradients(own, x[pick], y[pick], weight[pick]), strict=True):
+                    a -= RATE * (len(pick) / 64) * g
+
+        for batch in (part for whole in batches for part in shared.slices(whole, 0)):
+            for value, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                x = windows(value.as_py())
+                x = x[_LETTERS[x].any(axis=1)]
+                for i in range(0, len(x), HELD):  # a long text counts as PER_TEXT windows
+                    held.append((x[i : i + HELD], number[lang], share[number[lang]] * min(1.0, PER_TEXT / len(x))))
+                    seen += len(held[-1][0])
+                    if sum(len(h[0]) for h in held) >= HELD:
+                        learn()
+                        held.clear()
+        if held:
+            learn()
+        if seen:
+            flat = np.concatenate([a.ravel() for a in own.params()])
+            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([(np.rint(flat.astype(float) * ONE).astype(np.int64) * seen).tobytes()], pa.binary())], ["n", "params"])
+
+    return run
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replicas of a task added up: whole numbers, so that their order doesn't matter."""
+    seen, total = 0, None
+    for batch in batches:
+        for n, params in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            more = np.frombuffer(params.as_py(), np.int64)
+            seen, total = seen + n, more if total is None else total + more
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["n", "params"])
+
+
 def fit_language(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> ByteNet | None:
-    """Fit on at most ``MAX_ROWS`` texts, an equal number of each language, chosen by a hash of their ids.
+    """Fit on every window of every labelled text.
 
-    Each gives ``PER_TEXT`` windows of 256 characters, spread evenly over it, of which the first
-    256 bytes train (the prediction reads every byte of a text). Rows without text, language or id are passed
-    over. None if nothing is left.
+    The first weights come from at most ``MAX_ROWS`` texts, an equal number of each language,
+    chosen by a hash of their ids, and ``PER_TEXT`` windows of each. From there a replica in each
+    task goes once over all windows with letters of all its texts, by gradient descent (a window
+    predicted right with 0.99 and more has next to no gradient and moves nothing); the mean of
+    the replicas, by their windows, is the network. Languages weigh by the inverse root of their
+    texts (up to four times), a text's windows together as ``PER_TEXT`` at most. Rows without
+    text, language or id are passed over. None if nothing is left.
     """
-    drawn = _drawn(df, text_col, lang_col, id_col)
-    if drawn is None:
+    known = _known(df, text_col, lang_col, id_col)
+    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
+    if not counts:
         return None
     cut = [F.substring(F.col(text_col), (F.length(text_col) * i / PER_TEXT).cast("int") + 1, F.lit(WINDOW)) for i in range(PER_TEXT)]
-    rows = drawn.select(F.col(lang_col).alias("lang"), F.array(*cut).alias("parts"), F.col(id_col).alias("id")).limit(MAX_ROWS).toPandas()
+    rows = _drawn(known, counts, lang_col, id_col).select(F.col(lang_col).alias("lang"), F.array(*cut).alias("parts"), F.col(id_col).alias("id")).limit(MAX_ROWS).toPandas()
     rows = rows.sort_values("id")
-    langs = sorted(set(rows["lang"]))
+    langs = sorted(counts)
     x, y = [], []
     for lang, parts in zip(rows["lang"], rows["parts"], strict=True):
         for part in dict.fromkeys(parts):
             if has_letter(part):
                 x.append(windows(part)[:1])
                 y.append(langs.index(lang))
-    return train(np.concatenate(x), np.array(y), langs) if x else None
+    net = train(np.concatenate(x) if x else np.empty((0, WINDOW), np.uint8), np.array(y, np.int64), langs)
+    replicas = known.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).mapInArrow(_descend(net, counts), "n long, params binary")
+    done = next(_summed(replicas.repartition(PARTS).mapInArrow(_summed, "n long, params binary").toArrow().to_batches()), None)
+    if done is None:  # no window of any text has a letter
+        return None
+    mean, first = np.frombuffer(done.column(1)[0].as_py(), np.int64) / (done.column(0)[0].as_py() * ONE), 0
+    for a in net.params():
+        a[...] = mean[first : first + a.size].reshape(a.shape)
+        first += a.size
+    return net
 
 
 def sure_from(df: DataFrame, net: ByteNet, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> float:
-    """The limit of ``sure`` under which a text is in no learned language, from labelled texts left out of the fit.
+    """The limit of ``sure`` under which a text is in no learned language, from all labelled texts left out of the fit.
 
     Half-way from chance to the least sure of them, so that all of them stay; 0 if there are none.
     """
-    drawn = _drawn(df, text_col, lang_col, id_col)
-    if drawn is None:
-        return 0.0
-    scored = with_language(drawn.select(F.col(text_col).alias("text")), net).where(F.col("lang_pred") != "und")
+    known = _known(df, text_col, lang_col, id_col)
+    scored = with_language(known.select(F.col(text_col).alias("text")), net).where(F.col("lang_pred") != "und")
     least = scored.agg(F.min("sure")).first()[0]
     return 0.0 if least is None else (least + 1 / len(net.langs)) / 2
 

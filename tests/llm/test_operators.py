@@ -477,6 +477,23 @@ def test_language(spark, docs, empty):
     assert language.with_language(docs, None).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_learns_from_every_text(spark):
+    """A language pattern of texts that the first weights never see, and the least sure text outside a draw; before, both went unread."""
+    known = [(i, ("the thing with this and that " if i % 2 else "der die und ein nicht für über ") * 9, "en" if i % 2 else "de") for i in range(4_000)]
+    df = spark.createDataFrame(known, "doc_id long, text string, lang string")
+    counts = {"de": 2_000, "en": 2_000}
+    drawn = {r[0] for r in language._drawn(df, counts, "lang", "doc_id").select("doc_id").collect()}
+    left = [r for r in known if r[0] not in drawn]
+    assert len(drawn) <= language.MAX_ROWS and left
+    odd = [(i, "zq xk zq vw " * 20, "en") if i not in drawn and i % 2 else (i, t, lang) for i, t, lang in known]
+    plain, taught = (language.fit_language(spark.createDataFrame(rows, "doc_id long, text string, lang string")) for rows in (known, odd))
+    asked = language.windows("zq xk zq vw " * 20)
+    assert taught.probabilities(asked)[0, 1] > 0.9 and abs(taught.probabilities(asked)[0, 1] - plain.probabilities(asked)[0, 1]) > 1e-3
+    weird = [(left[0][0], "12 zq zq zq " * 20, "en") if r[0] == left[0][0] else r for r in known]
+    least = min(r["sure"] for r in language.with_language(spark.createDataFrame(weird, "doc_id long, text string, lang string"), plain).collect())
+    assert language.sure_from(spark.createDataFrame(weird, "doc_id long, text string, lang string"), plain) == (least + 0.5) / 2
+
+
 def test_network_against_plain_convolution():
     rng = np.random.default_rng(12)
     tables = [rng.normal(0, 1, (w, 256, 3)).astype(np.float32) for w in (2, 3)]
