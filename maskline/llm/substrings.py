@@ -61,8 +61,8 @@ def _find(window: int):
     return run
 
 
-def _segments(window: int, hot: bool):
-    """Word hashes of wanted segments, a row for each; for hot anchors only the hash of each of their windows."""
+def _segments(window: int):
+    """Word hashes of wanted segments, a row for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -72,19 +72,32 @@ def _segments(window: int, hot: bool):
                 for begin, wanted in zip(bounds.tolist(), batch.column(1).to_pylist(), strict=False):
                     for w in wanted:
                         lo, n = begin + w["lo"], w["n"]
-                        if hot:
-                            keys = shared.hashes_at(words, lo + np.arange(n), window).view(np.int64).tolist()
-                            out += [(w["anchor"], w["segment"], key, i) for i, key in enumerate(keys)]
-                        else:
-                            out.append((w["anchor"], w["segment"], n, 1, words[lo : lo + n + window - 1].tobytes()))
+                        out.append((w["anchor"], w["segment"], w["hot"], n, 1, words[lo : lo + n + window - 1].tobytes()))
                 if out:
-                    types = [pa.int64(), pa.int64(), *((pa.int64(), pa.int32()) if hot else (pa.int32(), pa.int32(), pa.binary()))]
-                    names = ["anchor", "segment", *(("key", "at") if hot else ("n", "copies", "words"))]
+                    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary()]
+                    names = ["anchor", "segment", "hot", "n", "copies", "words"]
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
     return run
 
 
+def _windows(window: int):
+    """The hash of each window of segments, whose word hashes are given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy().astype(np.int64)
+            flat = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64)
+            row = np.repeat(np.arange(len(n)), n)
+            at = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+            begin = np.cumsum(n + window - 1) - (n + window - 1)
+            keys = shared.hashes_at(flat, begin[row] + at, window).view(np.int64)
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(keys), pa.array(at, pa.int32())], ["anchor", "segment", "key", "at"])
+
+    return run
+
+
 def _search(window: int):
     """Index a shard's segments and stream their windows through it.
 
@@ -160,8 +173,9 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
        FM-index of its segments and streams their windows through it; the matching statistics
        give the windows that stand at two places and more. The windows of an anchor with more
        than 4,000 distinct segments are collapsed by their hashes first; those that stand once
-       go no further, one of each other kind is cut from its text, laid down twice and dealt by
-       its own hash, so that no anchor or window is a task.
+       go no further, one of each other kind is laid down twice and dealt by its own hash, so
+       that no anchor or window is a task. Both come from one cut: the texts are shuffled once
+       for it, however many anchors are hot, and once more for the marks.
     4. The marks go back to their rows, and the words they cover are dropped.
 
     Windows are judged on the input, by hashes: 64 bits a word, 128 bits (anchor and segment) a
@@ -189,27 +203,24 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
     if twins.take(1):  # of rows with equal id and text, one is indexed
         one_each = texts.join(twins, ["row", "check"], "left_anti").unionByName(texts.join(twins, ["row", "check"], "left_semi").dropDuplicates(["row", "check"]))
 
-    unsure, hot = segments.join(kinds.hint("merge"), "anchor"), F.col("kinds") > HOT
-    tally = kinds.agg(F.coalesce(F.sum(F.when(~hot, F.col("kinds"))), F.lit(0)), F.coalesce(F.sum(F.when(hot, F.col("kinds"))), F.lit(0))).first()
-
-    def cut(rows: DataFrame, split: bool) -> DataFrame:
-        one = F.struct(F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), "anchor", "segment")
-        wanted = rows.groupBy(F.col("one.row").alias("row"), F.col("one.check").alias("check")).agg(F.collect_list(one).alias("wanted"))
-        of = "key long, at int" if split else "n int, copies int, words binary"
-        return one_each.join(wanted, ["row", "check"]).select("text", "wanted").mapInArrow(_segments(window, split), f"anchor long, segment long, {of}")
+    tally = kinds.agg(F.coalesce(F.sum(F.when(F.col("kinds") <= HOT, F.col("kinds"))), F.lit(0)), F.coalesce(F.max("kinds") > HOT, F.lit(False))).first()
+    one = F.struct(F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), "anchor", "segment", (F.col("kinds") > HOT).alias("hot"))
+    wanted = segments.join(kinds.hint("merge"), "anchor").groupBy(F.col("one.row").alias("row"), F.col("one.check").alias("check")).agg(F.collect_list(one).alias("wanted"))
+    # the only shuffle of the texts before the marks go back: all that follows comes from the word hashes
+    cut = one_each.join(wanted, ["row", "check"]).select("text", "wanted")
+    cut = _stage(cut.mapInArrow(_segments(window), "anchor long, segment long, hot boolean, n int, copies int, words binary"))
 
     def searched(rows: DataFrame, n: int, by: str) -> DataFrame:
         return rows.repartition(max(1, -(-n // SHARD)), by).mapInArrow(_search(window), "anchor long, segment long, mask long").where("mask <> 0")
 
-    marks = searched(cut(unsure.where(~hot), False), tally[0], "anchor").unionByName(whole)
+    marks = searched(cut.where("not hot").drop("hot"), tally[0], "anchor").unionByName(whole)
     if tally[1]:
-        windows = _stage(cut(unsure.where(hot), True))  # hashes only
+        hot = cut.where("hot").select("anchor", "segment", "n", "words")
+        windows = _stage(hot.mapInArrow(_windows(window), "anchor long, segment long, key long, at int"))  # hashes only
         once = windows.groupBy("anchor", "key").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("segment", "at")).alias("first")).where("times > 1")
         once = _stage(once.select("anchor", "key", F.col("first.segment").alias("segment"), F.col("first.at").alias("at")))
-        place = F.struct("one.row", "one.check", (F.col("one.lo") + F.col("at")).alias("lo"), F.lit(1).alias("n"))
-        lone = once.join(unsure.where(hot).select("anchor", "segment", "one"), ["anchor", "segment"]).select("anchor", F.col("key").alias("segment"), place.alias("one"))
-        twofold = cut(lone, False).withColumn("copies", F.lit(2))
-        again = _stage(searched(twofold, once.count(), "segment").select("anchor", F.col("segment").alias("key")))
+        lone = once.join(hot, ["anchor", "segment"]).select("anchor", F.col("key").alias("segment"), F.lit(1).alias("n"), F.lit(2).alias("copies"), F.expr(f"substring(words, 8 * at + 1, {8 * window})").alias("words"))
+        again = _stage(searched(lone, once.count(), "segment").select("anchor", F.col("segment").alias("key")))
         bits = windows.join(again, ["anchor", "key"]).select("anchor", "segment", F.expr("shiftleft(1L, at)").alias("mask"))
         marks = marks.unionByName(bits)
     marks = _stage(marks.groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")))

@@ -251,6 +251,28 @@ def test_remove_repeats(spark, docs, empty, hot, monkeypatch):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_remove_repeats_shuffles_texts_twice(spark, monkeypatch):
+    """Hot anchors' windows come from the same cut as the others; before, their texts were shuffled two more times."""
+    rng = np.random.default_rng(5)
+    common = " ".join(f"c{i}" for i in range(50))
+    own = lambda n: " ".join(rng.integers(16, 256, 20 * n, dtype=np.uint8).tobytes().hex()[40 * i : 40 * i + 40] for i in range(n))
+    df = spark.createDataFrame([(i, f"{own(300)} {common} {own(300)}") for i in range(200)], "doc_id long, text string")
+    stages = lambda: spark._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+
+    def shuffled(hot: int) -> tuple[list, int]:
+        monkeypatch.setattr(substrings, "HOT", hot)
+        found = stages()
+        before = {x.stageId() for x in map(found.apply, range(found.size()))}
+        got = sorted(map(tuple, substrings.remove_repeats(df).collect()))
+        spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        found = stages()
+        return got, sum(x.shuffleWriteBytes() for x in map(found.apply, range(found.size())) if x.stageId() not in before)
+
+    (cold, few), (hot, many) = shuffled(4000), shuffled(1)
+    assert cold == hot and all(r[-1] == 50 for r in hot)
+    assert many < 1.5 * few, (many, few)  # 2.0 before
+
+
 @pytest.mark.parametrize("window", [0, 5, 36, 65, 100])
 def test_remove_repeats_refuses_windows(docs, window):
     with pytest.raises(ValueError):
