@@ -7,7 +7,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class _Numbers(dict):
+    """Numbers chunks in the order in which they are first met."""
+
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self)
+        return n
+
+
 class Aligner:
     """Aligned tokens of texts, by chunks that neither tokenizer reaches across.
 
@@ -70,15 +78,16 @@ class Aligner:
         by_bytes = {self.b_bytes[i]: i for i, (_, _, kind) in reversed(list(enumerate(model.pieces))) if kind == BYTE}
         by_bytes |= {self.b_bytes[i]: i for i, (_, _, kind) in reversed(list(enumerate(model.pieces))) if kind in (NORMAL, USER)}
         self.a_lengths, self.b_lengths = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
-        self.worded, self.shown = False, []
+        self.shown = [f"{i}{mark}".encode() for n, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for i in range(n) for mark in marks]
+        self.shown_lengths = np.fromiter(map(len, self.shown), np.int64, len(self.shown))
         self.same = np.array([by_bytes.get(x, -1) for x in self.a_bytes], np.int64)
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.sizes = array("q")  # A tokens, B tokens, groups, links of each chunk; and whether its bytes differ
         self.begin, self.links = array("q", [0]), array("q")
-        self.groups: list[bytes] = []  # as text, where they are asked for
+        self.groups: list[bytes] = []  # as text
         self.held = 0
 
     def learn(self, chunks: list[str]) -> None:
@@ -98,19 +107,18 @@ class Aligner:
         n_tokens = [np.fromiter(map(len, x), np.int64, len(x)) for x in (a_lists, b_lists)]
         a, b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in zip((a_lists, b_lists), n_tokens, strict=True))
         a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
-        ends = np.union1d(a_ends, b_ends)
+        ends = np.concatenate([a_ends, b_ends])
+        ends.sort(kind="stable")
+        ends = ends[np.diff(ends, prepend=-1) > 0]
         codes = a[np.searchsorted(a_ends, ends)] * self.n_b + b[np.searchsorted(b_ends, ends)]
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
         last = np.cumsum(np.where(differs, 0, np.fromiter(map(len, raw), np.int64, len(raw))))
         n_links = np.diff(np.searchsorted(ends, last, "right"), prepend=0)
         n_groups = np.diff(np.searchsorted(common, last, "right"), prepend=0)
-        first = len(self.begin) - 1
-        self.number.update(zip(chunks, range(first, first + len(chunks)), strict=True))
         self.sizes.frombytes(np.column_stack([*n_tokens, n_groups, n_links, differs]).astype(np.int64).tobytes())
         self.begin.frombytes((len(self.links) + np.cumsum(n_links)).astype(np.int64).tobytes())
         self.links.frombytes(codes.tobytes())
-        if self.worded:
-            self.groups.extend(self._words(a, b, np.searchsorted(common, a_ends), np.searchsorted(common, b_ends), np.cumsum(n_tokens[0] + n_tokens[1])))
+        self.groups.extend(self._words(a, b, np.searchsorted(common, a_ends), np.searchsorted(common, b_ends), np.cumsum(n_tokens[0] + n_tokens[1])))
         self.held += 20 * len(codes) + sum(map(len, chunks)) * 4 + 200 * len(chunks)
 
     def _differing(self, a_lists: list[list[int]], b_lists: list[list[int]], raw: list[bytes]) -> np.ndarray:
@@ -164,11 +172,11 @@ class Aligner:
         if self.held > KEPT:
             self.forget()
         found = [_CHUNK.findall(text) for _, text in waiting]
-        flat = [c for own in found for c in own]
-        new = list(set(flat).difference(self.number))
-        if new:
-            self.learn(new)
+        flat = list(chain.from_iterable(found))
+        known = len(self.number)
         numbers = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        if len(self.number) > known:
+            self.learn(list(islice(reversed(self.number), len(self.number) - known))[::-1])
         return numbers, np.repeat([i for i, _ in waiting], [len(own) for own in found])
 
     def _sizes(self) -> np.ndarray:
@@ -184,54 +192,38 @@ class Aligner:
 
     def linked(self, texts: list[str | None]) -> np.ndarray:
         """Codes of the distinct pairs that each text holds linked, one text after the other."""
-        bits, keys, differs = np.int64(self.n_a * self.n_b).item().bit_length(), [np.empty(0, np.int64)], np.zeros(len(texts), bool)
-        for numbers, text in self.parts(texts):
-            differs[text[self._sizes()[numbers, 4] > 0]] = True
-            once = np.unique(text << 32 | numbers)
-            codes, n = self._codes(once & 0xFFFFFFFF)
-            keys.append(np.unique(np.repeat(once >> 32, n) << bits | codes))
-        keys = keys[1] if len(keys) == 2 else np.unique(np.concatenate(keys))
-        return keys[~differs[keys >> bits]] & ((1 << bits) - 1)
-
-    def described(self, texts: list[str | None], codes: np.ndarray, totals: np.ndarray, same_totals: np.ndarray, best: np.ndarray) -> list[list]:
-        """n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of each text.
-
-        ``codes`` (ascending) and ``totals`` count the irregular pairs, ``same_totals`` by A id
-        those with the same bytes; ``best`` is each A id's highest count.
+        return self.described(texts)[3]
+
+    def described(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """n_a, n_b, n_groups, n_links of each text; its groups_sha256; then the distinct pairs it holds linked.
+
+        The pairs stand one text after the other: which text, the code, and how many of its links.
         """
-        if not self.worded:
-            self.worded = True
-            self.shown = [f"{i}{mark}".encode() for n, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for i in range(n) for mark in marks]
-            self.shown_lengths = np.fromiter(map(len, self.shown), np.int64, len(self.shown))
-            self.forget()
-        out, differs = np.zeros((len(texts), 6), np.int64), np.zeros(len(texts), bool)
+        bits, found, held = np.int64(self.n_a * self.n_b).item().bit_length(), [], 0
+        out, differs, begun = np.zeros((len(texts), 4), np.int64), np.zeros(len(texts), bool), np.zeros(len(texts), bool)
         hashes = [hashlib.sha256() for _ in texts]
-        begun = np.zeros(len(texts), bool)
         for numbers, text in self.parts(texts):
-            sizes, (once, back) = self._sizes(), np.unique(numbers, return_inverse=True)
-            differs[text[sizes[numbers, 4] > 0]] = True
-            of, n = self._codes(once)
-            a, regular = of // self.n_b, self.same[of // self.n_b] == of % self.n_b
-            count = np.zeros(len(of), np.int64)
-            count[regular] = same_totals[a[regular]]
-            sought = np.searchsorted(codes, of[~regular])
-            known = (sought < len(codes)) & (codes[np.minimum(sought, max(len(codes) - 1, 0))] == of[~regular]) if len(codes) else np.zeros(len(sought), bool)
-            count[~regular] = np.where(known, totals[np.minimum(sought, max(len(codes) - 1, 0))] if len(codes) else 0, 0)
-            owner = np.repeat(np.arange(len(once)), n)
-            hits = np.bincount(owner, count == best[a], len(once)).astype(np.int64)
-            upto = np.concatenate([[0], np.cumsum(count)])
-            sums = upto[np.cumsum(n)] - upto[np.cumsum(n) - n]
-            each = np.column_stack([sizes[once, :4], hits, sums])[back]
+            each = self._sizes()[numbers]
+            differs[text[each[:, 4] > 0]] = True
+            codes, n = self._codes(numbers)
+            found.append(_runs(np.repeat(text, n) << bits | codes))
+            held += len(found[-1][0])
+            if held > 4_000_000:
+                found = [_counted(found)]
+                held = len(found[0][0]) // 2  # merge again only after it has grown
             starts = np.flatnonzero(np.diff(text, prepend=-1))
             if len(starts):
-                out[text[starts]] += np.add.reduceat(each, starts)
+                out[text[starts]] += np.add.reduceat(each[:, :4], starts)
             for i, first, last in zip(text[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(text)], strict=True):
                 if begun[i]:
                     hashes[i].update(b";")
                 begun[i] = True
                 hashes[i].update(b";".join(map(self.groups.__getitem__, numbers[first:last].tolist())))
         out[differs] = 0
-        return [[*row, h.hexdigest() if row[0] else ""] for row, h in zip(out.tolist(), hashes, strict=True)]
+        keys, times = found[0] if len(found) == 1 else _counted(found)
+        keep = ~differs[keys >> bits]
+        keys, times = keys[keep], times[keep]
+        return out, [h.hexdigest() if n else "" for n, h in zip(out[:, 0].tolist(), hashes, strict=True)], keys >> bits, keys & ((1 << bits) - 1), times
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
@@ -241,9 +233,36 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return _loaded[a_path, b_path]
 
 
+def _narrow(pair: Aligner) -> type:
+    return np.uint32 if pair.n_a * pair.n_b <= 1 << 32 else np.uint64
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each stands there (``keys`` is sorted in place; numpy's unique hashes, which takes longer)."""
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys))
+
+
 def _counted(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    codes, back = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
-    return codes, np.bincount(back, np.concatenate([n for _, n in found]), len(codes)).astype(np.int64)
+    """The same, of keys that were counted in several parts."""
+    keys, times = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ((), ())))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(times[order], first) if len(first) else times
+
+
+_FOUND = pa.schema([
+    ("where", pa.int32()), ("kind", pa.int32()), ("code", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
+    ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("codes", pa.binary()), ("times", pa.binary()),
+])
+IRREGULAR, REGULAR, TEXT = range(3)  # kinds of rows
+
+
+def _rows(where: int, kind: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
+    columns |= {"where": pa.array([where] * size, pa.int32()), "kind": pa.array([kind] * size, pa.int32())}
+    return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in _FOUND], schema=_FOUND)
 
 
 def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = shared.RANGE_BYTES) -> DataFrame:
@@ -254,10 +273,11 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_
     doc_id, n_a, n_b, n_groups, n_links, n_best (links whose count is their A id's highest, ties
     included), count_sum (of counts over links), groups_sha256.
 
-    Texts are dealt to ranges of about ``range_bytes`` twice. First each range counts its links:
-    those of two ids with the same bytes in a vector by A id, the others by code, so that only
-    irregular pairs enter the shuffle, once for each range that holds them. Then the ranges get
-    the totals of just their pairs, and rate the links. The driver sees two numbers for each A id.
+    Texts are dealt to ranges of about ``range_bytes`` and read once. Each range describes its
+    texts, with the distinct pairs of each, and counts its links: those of two ids with the same
+    bytes in a vector by A id, the others by code, so that only irregular pairs enter the
+    shuffle, once for each range that holds them. Then the ranges get the totals of just their
+    pairs, and rate the links of the texts by these. The driver sees two numbers for each A id.
 
     Null and empty texts, and those whose tokens' bytes differ from the text (U+2581 reads as a
     blank in B), have no tokens: zeros and ''. Rows with equal or null ids are separate
@@ -275,28 +295,34 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_
         def counts() -> Iterator[pa.RecordBatch]:
             nonlocal found, held
             alike = np.flatnonzero(vector)
-            out = [(True, alike * pair.n_b + pair.same[alike], vector[alike])]
+            out = [(REGULAR, alike * pair.n_b + pair.same[alike], vector[alike])]
             if found:
-                out.append((False, *_counted(found)))
-            for regular, codes, n in out:
+                out.append((IRREGULAR, *_counted(found)))
+            for kind, codes, n in out:
                 for i in range(0, len(codes), 1 << 16):
                     m = len(codes[i : i + (1 << 16)])
-                    yield pa.RecordBatch.from_arrays([pa.array([where] * m, pa.int32()), pa.array([regular] * m, pa.bool_()), pa.array(codes[i : i + m]), pa.array(n[i : i + m])], ["where", "regular", "code", "n"])
+                    yield _rows(where, kind, m, code=pa.array(codes[i : i + m]), n=pa.array(n[i : i + m]))
             vector[:] = 0
             found, held = [], 0
 
         for whole in batches:
-            for batch in shared.slices(whole, 1):
+            for batch in shared.slices(whole, 2):
                 at = batch.column(0).to_numpy()
                 for r in np.unique(at).tolist():
                     if where is not None and r != where:
                         yield from counts()
                     where = r
-                    codes = pair.linked([t.as_py() for t, own in zip(batch.column(1), (at == r).tolist(), strict=True) if own])
+                    own = batch.filter(pa.array(at == r))
+                    sizes, hashes, text, codes, times = pair.described(own.column(2).to_pylist())
+                    ends = np.searchsorted(text, np.arange(own.num_rows), "right").tolist()
+                    bounds = list(zip([0, *ends[:-1]], ends, strict=True))
+                    columns = {n: pa.array(sizes[:, i]) for i, n in enumerate(("n_a", "n_b", "n_groups", "n_links"))}
+                    columns |= {n: pa.array([x[i:j].tobytes() for i, j in bounds], pa.binary()) for n, x in (("codes", codes.astype(_narrow(pair))), ("times", times.astype(np.uint32)))}
+                    yield _rows(r, TEXT, own.num_rows, doc_id=own.column(1), groups_sha256=pa.array(hashes, pa.string()), **columns)
                     a = codes // pair.n_b
                     regular = pair.same[a] == codes % pair.n_b
                     vector += np.bincount(a[regular], minlength=pair.n_a)
-                    found.append(np.unique(codes[~regular], return_counts=True))
+                    found.append(_runs(codes[~regular]))
                     held += len(found[-1][0])
                     if held > 2_000_000:
                         found = [_counted(found)]
@@ -304,7 +330,9 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_
         if where is not None:
             yield from counts()
 
-    counted = shared.stage(cut.dealt(docs, "where").sortWithinPartitions("where").select("where", "text").mapInArrow(count, "where int, regular boolean, code long, n long"))
+    kinds = ", ".join(f"{f.name} {({pa.int32(): 'int', pa.int64(): 'long', pa.string(): 'string', pa.binary(): 'binary'})[f.type]}" for f in _FOUND)
+    seen = shared.stage(cut.dealt(docs, "where").sortWithinPartitions("where").select("where", "doc_id", "text").mapInArrow(count, kinds), free=True)
+    counted = shared.stage(seen.where(F.col("kind") != TEXT).select("where", (F.col("kind") == REGULAR).alias("regular"), "code", "n"))
     n_b = len(read_model(b_path).pieces)
     irregular = counted.where("not regular")
     totals = irregular.groupBy("code").agg(F.sum("n").alias("total"))
@@ -318,31 +346,39 @@ def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_
     same_totals[vectors["a"].to_numpy()], best[vectors["a"].to_numpy()] = vectors["same"].to_numpy(), vectors["best"].to_numpy()
     known = df.sparkSession.sparkContext.broadcast((same_totals, best))
 
-    needed = irregular.join(totals.hint("shuffle_hash"), "code").select("where", F.lit(0).alias("kind"), "code", "total", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
-    both = needed.unionByName(docs.select("where", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("code"), F.lit(None).cast("long").alias("total"), "doc_id", "text"))
+    needed = irregular.join(totals.hint("shuffle_hash"), "code").select("where", F.lit(IRREGULAR).alias("kind"), "code", F.col("total").alias("n"))
+    both = seen.where(F.col("kind") == TEXT).unionByName(needed, allowMissingColumns=True)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = aligner(a_path, b_path)
         same_totals, best = known.value
         same_totals, best = (np.pad(v, (0, max(0, pair.n_a - len(v)))) for v in (same_totals, best))
         where, got = None, []  # totals of a range's pairs come before its texts
-        for whole in batches:
-            for batch in shared.slices(whole, 5):
-                at, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                for r in np.unique(at).tolist():
-                    if r != where:
-                        where, got = r, []
-                    own = batch.filter(pa.array((at == r) & (kind == 0)))
-                    if own.num_rows:
-                        got.append((own.column(2).to_numpy(), own.column(3).to_numpy()))
-                    own = batch.filter(pa.array((at == r) & (kind == 1)))
-                    if own.num_rows:
-                        if isinstance(got, list):
-                            codes = np.concatenate([np.empty(0, np.int64), *(c for c, _ in got)])
-                            order = np.argsort(codes)
-                            got = codes[order], np.concatenate([np.empty(0, np.int64), *(t for _, t in got)])[order]
-                        said = pair.described(own.column(5).to_pylist(), *got, same_totals, best)
-                        yield pa.RecordBatch.from_arrays([own.column(4), *(pa.array(x, pa.int64()) for x in list(zip(*said, strict=True))[:6]), pa.array([x[6] for x in said], pa.string())], names)
+        for batch in batches:
+            at, kind = batch.column("where").to_numpy(), batch.column("kind").to_numpy()
+            for r in np.unique(at).tolist():
+                if r != where:
+                    where, got = r, []
+                own = batch.filter(pa.array((at == r) & (kind == IRREGULAR)))
+                if own.num_rows:
+                    got.append((own.column("code").to_numpy(), own.column("n").to_numpy()))
+                own = batch.filter(pa.array((at == r) & (kind == TEXT)))
+                if not own.num_rows:
+                    continue
+                if isinstance(got, list):
+                    got = _counted(got)
+                codes, times = (np.frombuffer(b"".join(own.column(c).to_pylist()), width).astype(np.int64) for c, width in (("codes", _narrow(pair)), ("times", np.uint32)))
+                a = codes // pair.n_b
+                regular = pair.same[a] == codes % pair.n_b
+                total = np.empty(len(codes), np.int64)
+                total[regular] = same_totals[a[regular]]
+                total[~regular] = got[1][np.searchsorted(got[0], codes[~regular])]
+                ends = np.cumsum([len(x) // 4 for x in own.column("times").to_pylist()])
+                rated = []
+                for x in (np.where(total == best[a], times, 0), total * times):
+                    upto = np.concatenate([[0], np.cumsum(x)])
+                    rated.append(pa.array(np.diff(upto[ends], prepend=0)))
+                yield pa.RecordBatch.from_arrays([*(own.column(n) for n in names[:5]), *rated, own.column("groups_sha256")], names)
 
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     out = T.StructType([T.StructField(n, T.StringType() if n == "groups_sha256" else T.LongType()) for n in names])

@@ -258,3 +258,19 @@ def test_alignment_on_awkward_rows(spark):
     assert got[1, 0]["groups_sha256"] == got[2, 0]["groups_sha256"] == got[5, 0]["groups_sha256"] == ""
     long = next(r for r in got.values() if r["doc_id"] == 7)
     assert long["n_a"] == 600_001 and long["n_links"] >= 600_000
+
+
+def test_alignment_reads_texts_once(spark):
+    """One pass of the tokenizers describes the texts; before, the rating read and encoded them again."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    paths = queries.tokenizer_file("byte_bpe_50k.json"), queries.tokenizer_file("piece_bpe_32k.model")
+    df = spark.createDataFrame([(i, f"some words of text {i}") for i in range(100)], "doc_id long, text string")
+    want = sorted(map(tuple, alignment.align(df, *paths).collect()))
+    assert sorted(map(tuple, alignment.align(df.mapInArrow(counted, df.schema), *paths).collect())) == want
+    assert read.value == 200, read.value  # once for the ranges, once by the tokenizers; 300 before
