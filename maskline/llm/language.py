@@ -133,6 +133,7 @@ def _descend(net: ByteNet, counts: dict[str, int]):
     even = sum(counts.values()) / len(counts)
     share = np.array([min(4.0, (even / counts[lang]) ** 0.5) for lang in net.langs], np.float32)
 
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, rng, seen = copy.deepcopy(net), np.random.default_rng(5), 0
         held: list[tuple[np.ndarray, int, float]] = []
@@ -169,6 +170,7 @@ def _descend(net: ByteNet, counts: dict[str, int]):
     return run
 
 
+@shared.lean
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replicas of a task added up: whole numbers, so that their order doesn't matter."""
     seen, total = 0, None
@@ -239,6 +241,7 @@ def with_language(df: DataFrame, net: ByteNet | None, text_col: str = "text") ->
     df = df.drop("lang_pred", "score", "sure")
     at = df.columns.index(text_col)
 
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in shared.slices(whole, at)):
             langs, scores, sures = [], [], []

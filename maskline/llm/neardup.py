@@ -67,8 +67,9 @@ def bands_of(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
 
 
 def _sketch(k: int):
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in shared.slices(whole, 1)):
+        for batch in (part for whole in batches for part in shared.slices(whole, 1, shared.FEW)):
             sizes, left, right, bands, minis = [], [], [], [], []
             for s in shingle_sets(batch.column(1), k):
                 sizes.append(len(s))
@@ -86,8 +87,9 @@ def _sketch(k: int):
 
 
 def _sets(k: int):
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in shared.slices(whole, 1)):
+        for batch in (part for whole in batches for part in shared.slices(whole, 1, shared.FEW)):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), k)], pa.binary())], ["node", "shingles"])
 
     return run
@@ -104,6 +106,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _verify(percent: int):
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = zip(batch.column("mine"), batch.column("theirs"), strict=True)
@@ -116,6 +119,7 @@ def _verify(percent: int):
 def _by_key(handle, names: list[str]):
     """Hand the rows of each (band, i, j), which come sorted by it, to ``handle``; at most two blocks at a time."""
 
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 

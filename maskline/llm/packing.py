@@ -19,10 +19,11 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 
 
 def _tokenise(vocabulary: str, end_id: int):
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = wordbpe.encoder(vocabulary)
         for whole in batches:
-            for batch in shared.slices(whole, 1):
+            for batch in shared.slices(whole, 1, shared.FEW):
                 flat, bounds = encode.batch(batch.column(1), end_id)
                 # smallest hash of two neighbouring ids: texts that share much often share it
                 pairs = flat[:-1].astype(np.uint64) << np.uint64(32) | flat[1:]
@@ -50,10 +51,11 @@ def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _document_frequencies(kind: str, vocab: int):
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, docs, total = np.zeros(vocab, np.int64), 0, 0
         for whole in batches:
-            for batch in shared.slices(whole, 0):
+            for batch in shared.slices(whole, 0, shared.FEW):
                 flat, lengths = _flat(batch.column(0), kind)
                 df += np.bincount(_counted(flat, lengths)[1], minlength=vocab)
                 docs, total = docs + len(lengths), total + len(flat)
@@ -145,6 +147,7 @@ def fill(docs: list[np.ndarray], index: Index, size: int) -> Iterator[list[tuple
 
 
 def _pack(size: int, kind: str, df: np.ndarray, n_docs: int, mean: float):
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
         if not got:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import json
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -125,6 +126,9 @@ def ranges(df: DataFrame, keys: list[Column], weight: Column, target: int = RANG
     return Ranges(keys, kind, [dict(zip(names, c, strict=True)) for c in cuts], top and top.asDict())
 
 
+FEW = 1 << 20  # bytes of texts whose words, ids or sets, at eight bytes and more, are in memory at a time
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows whose texts in a column have about ``size`` bytes, one row at least."""
     upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -136,6 +140,31 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[
         first = last
 
 
+def give_back() -> None:
+    """Hand freed memory that Arrow's pool and the C library keep for later back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function that hands freed memory back at its end.
+
+    A Python worker serves one task after the other, of all stages, and would keep what the
+    largest step of each took.
+    """
+
+    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return outer
+
+
+_PART = 1 << 18  # bytes of text that are hashed at a time, each taking about 40 bytes meanwhile
 _APART = np.zeros(256, bool)  # what stands between words
 _APART[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -147,7 +176,7 @@ _PLACED = np.random.default_rng(11).integers(1, 1 << 63, _PLACES, dtype=np.uint6
 def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a column's texts, and each text's bounds among them.
 
-    Texts are read as bytes, a megabyte at a time, cut between words, whatever their number and
+    Texts are read as bytes, a quarter of a megabyte at a time, cut between words, whatever their number and
     length; with ``lower``, A-Z count as a-z. A null text has no words.
     """
     texts = texts.fill_null("").cast(pa.large_string())
@@ -155,7 +184,7 @@ def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[: at[-1]]
     hashes, begins, first = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], int(at[0])
     while first < len(data):
-        last = min(first + (1 << 20), len(data))
+        last = min(first + _PART, len(data))
         while last < len(data) and not _APART[data[last]]:
             ahead = np.flatnonzero(_APART[data[last : last + (1 << 16)]])
             last = last + int(ahead[0]) if len(ahead) else min(last + (1 << 16), len(data))

@@ -43,9 +43,10 @@ def _anchors(h: np.ndarray, grams: np.ndarray, window: int) -> tuple[np.ndarray,
 
 
 def _find(window: int):
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in shared.slices(whole, 2):
+            for batch in shared.slices(whole, 2, shared.FEW):
                 words, bounds = shared.word_hashes(batch.column(2))
                 grams = shared.gram_hashes(words, GRAM)
                 parts = []
@@ -64,9 +65,10 @@ def _find(window: int):
 def _segments(window: int):
     """Word hashes of wanted segments, a row for each."""
 
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in shared.slices(whole, 0):
+            for batch in shared.slices(whole, 0, shared.FEW):
                 words, bounds = shared.word_hashes(batch.column(0))
                 out = []
                 for begin, wanted in zip(bounds.tolist(), batch.column(1).to_pylist(), strict=False):
@@ -84,6 +86,7 @@ def _segments(window: int):
 def _windows(window: int):
     """The hash of each window of segments, whose word hashes are given."""
 
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column(2).to_numpy().astype(np.int64)
@@ -108,6 +111,7 @@ def _search(window: int):
     """
     starts = range(0, window, BLOCK)
 
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
         if not got:
@@ -138,6 +142,7 @@ def _search(window: int):
 
 
 def _remove(window: int, text_at: int):
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, total, gone = [], [], []

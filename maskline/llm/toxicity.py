@@ -117,6 +117,7 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     chosen = F.broadcast(chosen)  # MAX_ROWS rows of three numbers
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(chosen, "_id").select("_t", "_y", "_q")
 
+    @shared.lean
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[tuple[int, int], Counter] = {}
@@ -140,6 +141,7 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     standing = table.where(F.col("word").isNotNull() & (clear("toxic") | clear("low")))
     words = sorted(r["word"] for r in standing.select("word").collect())  # words of at most MAX_ROWS documents
 
+    @shared.lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, n_words = _counts(words, batch.column(0).to_pylist())
@@ -162,6 +164,7 @@ def with_toxicity(df: DataFrame, chain: Chain, text_col: str = "text", prefix: s
     df = df.drop(*names)
     at = df.columns.index(text_col)
 
+    @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in shared.slices(whole, at)):
             p = chain.scores(*_counts(chain.words, batch.column(at).to_pylist()))

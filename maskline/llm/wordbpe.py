@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 END_ID = 1
-SLICE = 1 << 20  # bytes of text that are cut into words at a time
+SLICE = 1 << 18  # bytes of text that are cut into words at a time
 CACHED = 48  # bytes of the longest word that is kept
 BLANK, LETTER, MARK, OTHER = range(4)
 MARKS = b".,;:!?*&%$#@|"

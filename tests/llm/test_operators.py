@@ -1,5 +1,6 @@
 """Operators against brute force and round trips, on small tables with awkward rows."""
 
+import ctypes
 import hashlib
 import os
 import re
@@ -177,6 +178,30 @@ def test_word_hashes():
         shared.gram_hashes(np.zeros(99, np.uint64), 65)
 
 
+@pytest.mark.skipif(not Path("/proc/self/statm").exists(), reason="reads /proc")
+def test_tasks_hand_memory_back():
+    """A worker that has served a task keeps next to nothing that it freed."""
+
+    def anonymous() -> int:
+        status = Path("/proc/self/status").read_text()
+        return int(re.search(r"RssAnon:\s+(\d+)", status)[1])  # kB
+
+    malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if malloc_trim is None:
+        pytest.skip("the C library has no malloc_trim")
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i}" for i in range(20_000)])
+    texts = pa.array([" ".join(words[rng.integers(0, len(words), 300)]) for _ in range(6_000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6_000), pa.int64()), pa.array(range(6_000), pa.int64()), texts], ["row", "check", "text"])
+    two = pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
+    runs = [(packing._tokenise(P.path("word_bpe_49k.json"), 1), two), (neardup._sketch(5), two), (substrings._find(50), batch)]
+    for run, rows in runs:
+        held = [out.num_rows for out in run(iter([rows]))]
+        before = anonymous()
+        malloc_trim(0)
+        assert held and before - anonymous() < 6_000
+
+
 @pytest.mark.parametrize("block", [512, 8])
 def test_near_duplicates_against_all_pairs(spark, block, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", block)
