@@ -3,10 +3,12 @@
 Every stage takes (spark, docs, sf_dir), where docs are all the documents that the stage before
 it kept. All but the last return the columns of documents, whatever further columns there are
 and whatever their names: operators run under positional names. An empty table gives no rows.
+Stages bound the Arrow batches of their session (``shared.small_batches``).
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -24,6 +26,18 @@ def apart(docs: DataFrame, step: Callable[[DataFrame, str], DataFrame]) -> DataF
     return out.select(names).toDF(*docs.columns)
 
 
+def lean(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage whose rows go to Python in small batches."""
+
+    @functools.wraps(stage)
+    def outer(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        shared.small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return outer
+
+
+@lean
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents that the classifier chain finds toxic.
 
@@ -34,6 +48,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return apart(docs, lambda d, text: toxicity.with_toxicity(d, chain, text).where(F.col("p_toxic") <= TOXIC_FROM))
 
 
+@lean
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents without a letter (null and empty ones too) and those in no language that the network learned; all stay if it learned none.
 
@@ -48,6 +63,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return apart(docs, lambda d, text: language.with_language(d, net, text).where((F.col("lang_pred") != "und") & (F.col("sure") >= limit)))
 
 
+@lean
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each near-duplicate group.
 
@@ -58,6 +74,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
+@lean
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take repeated 50-word passages out of the texts; every row stays, some with less text.
 
@@ -74,6 +91,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return apart(docs, step)
 
 
+@lean
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences of 2048 ids; a row for each piece.
 

@@ -38,9 +38,12 @@ def _tokenise(vocabulary: str, end_id: int):
 
 def _counted(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct ids of each document: document number, id, and how often it occurs there; ordered by both."""
-    keys = np.sort(np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths) << np.uint64(32) | flat.astype(np.uint64))
+    keys = np.repeat(np.arange(len(lengths), dtype=np.uint64) << np.uint64(32), lengths)
+    keys |= flat
+    keys.sort()
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return (keys[first] >> np.uint64(32)).astype(np.int64), (keys[first] & np.uint64(0xFFFFFFFF)).astype(np.int64), np.diff(first, append=len(keys))
+    times, keys = np.diff(first, append=len(keys)).astype(np.int32), keys[first]
+    return (keys >> np.uint64(32)).astype(np.int32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int32), times
 
 
 def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -75,12 +78,21 @@ class Index:
         self.n, self._cut = len(docs), np.searchsorted(doc, np.arange(len(docs) + 1))
         by_term = np.argsort(distinct, kind="stable")
         self.docs, term, tf = doc[by_term], distinct[by_term], tf[by_term]
-        idf = np.log(1 + (n_docs - df[term] + 0.5) / (df[term] + 0.5))
-        self.weights = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
+        del doc, distinct
+        self.weights = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))[term]
+        self.weights *= tf
+        self.weights *= K1 + 1
+        below = B * lengths[self.docs]
+        below /= mean
+        below += 1 - B
+        below *= K1
+        below += tf
+        self.weights /= below
+        del below
         fresh = np.diff(term, prepend=-1) != 0
         begins = np.flatnonzero(fresh)
         ends = np.append(begins[1:], len(term))
-        group = np.cumsum(fresh) - 1
+        group = np.cumsum(fresh, dtype=np.int32) - 1
         self._groups = np.empty_like(group)  # of each document's distinct terms
         self._groups[by_term] = group
         self._spans = list(zip(begins.tolist(), ends.tolist(), strict=True))
@@ -166,7 +178,7 @@ def _pack(size: int, kind: str, df: np.ndarray, n_docs: int, mean: float):
             for i, start, length in sequence:
                 rows.append((doc_ids[i], start, length, len(docs[i]), first + k, offset, docs[i][start : start + length].astype("<u4").tobytes()))
                 offset += length
-            if len(rows) >= 2000:
+            if len(rows) >= 500:
                 yield flush()
         if rows:
             yield flush()

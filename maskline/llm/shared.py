@@ -140,6 +140,20 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[
         first = last
 
 
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand rows to Python in Arrow batches of about ``BATCH_BYTES``, where the session lets them be larger.
+
+    10,000 texts are a batch of 20 MB and more otherwise, held on both sides by each task. The
+    session keeps the setting, since a returned frame runs later.
+    """
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(setting)) <= BATCH_BYTES:
+        spark.conf.set(setting, f"{BATCH_BYTES}b")
+
+
 def give_back() -> None:
     """Hand freed memory that Arrow's pool and the C library keep for later back to the system."""
     pa.default_memory_pool().release_unused()

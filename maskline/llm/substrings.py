@@ -15,7 +15,7 @@ from .fmindex import FMIndex
 
 GRAM = 8  # words of an anchor
 BLOCK = 5  # words of an index symbol
-SHARD = 20_000  # segments of an index
+SHARD = 8_000  # segments of an index
 HOT = 4_000  # distinct segments of one anchor from which its windows are dealt one by one
 
 
@@ -88,7 +88,7 @@ def _windows(window: int):
 
     @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in shared.slices(whole, 3, shared.FEW // 4)):
             n = batch.column(2).to_numpy().astype(np.int64)
             flat = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64)
             row = np.repeat(np.arange(len(n)), n)
@@ -120,7 +120,7 @@ def _search(window: int):
         n_of, copies = rows.column("n").to_numpy(), rows.column("copies").to_numpy()
         flat = np.frombuffer(b"".join(x.as_py() for x in rows.column("words")), np.uint64)
         begin = np.concatenate([[0], np.cumsum(n_of + window - 1)])
-        text, queries = [], []
+        text, queries = [np.zeros(1, np.uint64)], []
         for n in np.unique(n_of):
             own = np.flatnonzero(n_of == n)
             grid = flat[begin[own][:, None] + np.arange(n + window - 1)]
@@ -129,13 +129,17 @@ def _search(window: int):
             laid = np.repeat(blocks, copies[own], axis=0)
             for phase in range(min(BLOCK, int(n))):  # windows start in these only
                 text.append(np.concatenate([laid[:, phase::BLOCK], np.zeros((len(laid), 1), np.uint64)], axis=1).ravel())
-            queries += [(own, int(i), blocks[:, [i + s for s in starts]]) for i in range(n)]
-        names, symbols = np.unique(np.concatenate([*text, np.zeros(1, np.uint64)]), return_inverse=True)
-        index = FMIndex(symbols, len(starts))
+            queries.append((own, int(n), blocks))
+        del flat, grid, laid
+        text = np.concatenate(text)
+        names = np.unique(text)
+        index = FMIndex(np.searchsorted(names, text), len(starts))
+        del text
         mask = np.zeros(len(n_of), np.int64)
-        for own, i, wanted in queries:
-            length, _, _ = index.matching(np.searchsorted(names, wanted))
-            mask[own[length * BLOCK >= window]] |= 1 << i
+        for own, n, blocks in queries:
+            for i in range(n):
+                length, _, _ = index.matching(np.searchsorted(names, blocks[:, [i + s for s in starts]]))
+                mask[own[length * BLOCK >= window]] |= 1 << i
         yield pa.RecordBatch.from_arrays([rows.column("anchor").combine_chunks(), rows.column("segment").combine_chunks(), pa.array(mask)], ["anchor", "segment", "mask"])
 
     return run
@@ -144,7 +148,7 @@ def _search(window: int):
 def _remove(window: int, text_at: int):
     @shared.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in shared.slices(whole, text_at, shared.FEW)):
             texts, total, gone = [], [], []
             for text, marks in zip(batch.column(text_at), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 text = text.as_py()
@@ -174,7 +178,7 @@ def remove_repeats(df: DataFrame, window: int = 35, id_col: str = "doc_id", text
        once in the corpus are unique and go no further.
     2. Equal segments collapse to one with a count; such a segment repeats as a whole. Where a
        repeated anchor has no other segment, that is all.
-    3. The others are dealt by anchor to shards of about 20,000 segments. Each shard builds an
+    3. The others are dealt by anchor to shards of about 8,000 segments. Each shard builds an
        FM-index of its segments and streams their windows through it; the matching statistics
        give the windows that stand at two places and more. The windows of an anchor with more
        than 4,000 distinct segments are collapsed by their hashes first; those that stand once

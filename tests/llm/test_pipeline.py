@@ -1,10 +1,12 @@
 """The pipeline's stages on small tables, each against brute force on its own input."""
 
 import sys
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -125,3 +127,50 @@ def test_language_keeps_clean_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     kept = {r["doc_id"] for r in corpus.drop_unknown_language(spark, docs, DATA).collect()}
     assert kept == {r[0] for r in rows} - {1002, 1003}
+
+
+def traced(task, batch):
+    """A task's output for one batch, and its peak of memory in MB."""
+    tracemalloc.start()
+    out = list(task(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return out, most
+
+
+def test_tasks_of_substring_dedup_are_small():
+    from maskline.llm import substrings
+
+    rng, window = np.random.default_rng(1), 50
+    n = rng.integers(8, 44, substrings.SHARD)
+    words = [rng.integers(0, 1 << 63, k + window - 1, dtype=np.uint64) for k in n]
+    words[7] = words[8][-window:]
+    n[7] = 1
+    numbers, words = pa.array(np.arange(len(n))), pa.array([w.tobytes() for w in words], pa.binary())
+    shard = pa.RecordBatch.from_arrays([numbers, numbers, pa.array(n, pa.int32()), pa.array(np.ones(len(n)), pa.int32()), words], ["anchor", "segment", "n", "copies", "words"])
+    out, most = traced(substrings._search(window), shard)
+    marked = {s: m for b in out for s, m in zip(b["segment"].to_pylist(), b["mask"].to_pylist(), strict=True) if m}
+    assert marked == {7: 1, 8: 1 << int(n[8]) - 1} and most < 100  # 216 with 20,000 segments and all windows side by side
+
+    hot = shard.select(["anchor", "segment", "n", "words"]).slice(0, 4000)
+    out, most = traced(substrings._windows(window), hot)
+    assert sum(b.num_rows for b in out) == int(n[:4000].sum()) and most < 40
+
+    texts = pa.array([f"{i} " + "word " * 400 for i in range(3000)])
+    marks = pa.array([[{"lo": 1, "mask": 1}]] * 3000, pa.list_(pa.struct([("lo", pa.int32()), ("mask", pa.int64())])))
+    out = list(substrings._remove(window, 0)(iter([pa.RecordBatch.from_arrays([texts, marks], ["text", "marks"])])))
+    assert max(b.nbytes for b in out) < 2e6 and sum(b.num_rows for b in out) == 3000 and {x for b in out for x in b["n_removed"].to_pylist()} == {window}
+
+
+def test_stages_hand_rows_over_in_small_batches(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+    docs = spark.range(6000, numPartitions=1).selectExpr("id doc_id", "repeat('some words ', 200) text")
+    try:
+        for given, most in (("64m", 4e6), ("300k", 6e5)):  # a smaller bound of the session stays
+            for _, stage in corpus.STAGES:
+                spark.conf.set(setting, given)
+                stage(spark, spark.createDataFrame([], NAMES), DATA)
+                assert docs.mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0] < most
+    finally:
+        spark.conf.unset(setting)
