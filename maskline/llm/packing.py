@@ -39,7 +39,7 @@ def _tokenise(vocabulary: str, end_id: int):
 def _counted(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct ids of each document: document number, id, and how often it occurs there; ordered by both."""
     keys = np.repeat(np.arange(len(lengths), dtype=np.uint64) << np.uint64(32), lengths)
-    keys |= flat
+    keys |= flat.astype(np.uint64)
     keys.sort()
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     times, keys = np.diff(first, append=len(keys)).astype(np.int32), keys[first]
